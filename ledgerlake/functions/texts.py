@@ -40,13 +40,13 @@ def batch_key(source_file: Column, batch_number: Column) -> Column:
 
 
 def size_one_decimal(size: Column) -> Column:
-    """``1.5 KB``: one decimal, bytes to terabytes."""
+    """``1.5 KB``: one decimal, bytes to terabytes, ties to the even digit."""
     value = size.cast("double")
     out = F.when(value < 1024.0, F.format_string("%.1f B", value))
     for power, unit in list(enumerate(_UNITS))[1:-1]:
-        shown = F.format_string(f"%.1f {unit}", value / F.lit(1024.0**power))
+        shown = F.format_string(f"%.1f {unit}", F.bround(value / F.lit(1024.0**power), 1))
         out = out.when(value < F.lit(1024.0 ** (power + 1)), shown)
-    return out.otherwise(F.format_string(f"%.1f {_UNITS[-1]}", value / F.lit(1024.0**4)))
+    return out.otherwise(F.format_string(f"%.1f {_UNITS[-1]}", F.bround(value / F.lit(1024.0**4), 1)))
 
 
 def size_two_decimals(size: Column) -> Column:
@@ -54,7 +54,7 @@ def size_two_decimals(size: Column) -> Column:
     value = size.cast("double")
     out = F.when(value == 0, F.lit("0 B"))
     for power, unit in enumerate(_UNITS):
-        shown = F.round(value / F.lit(1024.0**power), 2).cast("string")
+        shown = F.bround(value / F.lit(1024.0**power), 2).cast("string")
         named = F.concat(shown, F.lit(f" {unit}"))
         if unit == _UNITS[-1]:
             return out.otherwise(named)

@@ -51,8 +51,9 @@ def schema_checks(raw: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> Data
     """
     absent = absent_columns(raw, required)
     present = [c for c in required if c not in absent]
+    rows = raw.withColumn("reject_reason", F.lit(None).cast("string")) if "price" in absent else judge(raw)
     reason = F.col("reject_reason")
-    wide = judge(raw).groupBy("source_file").agg(
+    wide = rows.groupBy("source_file").agg(
         F.count("*").alias("row_count"),
         F.lit(len(absent)).cast("bigint").alias("missing_columns"),
         F.count_if(reason == UNPARSEABLE).alias("non_numeric_price"),

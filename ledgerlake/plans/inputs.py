@@ -6,6 +6,8 @@ sources of five days, the last of which is held out. Every view covers the whole
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ FEED = Feed(
     timestamp_max="2024-01-30",
 )
 PRICE_SCALE = 2
+# The same feed with a narrower expected range, so that the range rule has something to find.
+NARROW_FEED = replace(FEED, timestamp_max="2024-01-28")
 MAIN_PATTERN = r"^2024-.*\.csv$"
 
 

@@ -1,71 +1,63 @@
-"""Table schemas of every layer. All are written as Spark DDL strings and parsed once."""
+"""Table schemas of every layer, as the DDL text that readers and tables take."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
-
-RAW = _schema("timestamp string, price string, user_id string")
+RAW = "timestamp string, price string, user_id string"
 
 # `bad_price` keeps the text of a price that is present but not a number, so that a later
 # step can tell it from a missing one. `source_file` is the partition column.
-BRONZE = _schema(
+BRONZE = (
     "timestamp string, price double, user_id string, bronze_created_at string, "
     "bronze_created_by string, bad_price string, source_file string"
 )
 
-TRANSACTIONS = _schema(
+TRANSACTIONS = (
     "timestamp string, price double, user_id string, source_file string, batch_id string, "
     "bronze_created_at string, db_inserted_at timestamp, processing_metadata string, "
     "reject_reason string, outcome string, phase string, ingest_batch bigint"
 )
 
-BATCH_EVENTS = _schema(
+BATCH_EVENTS = (
     "batch_id string, event_no int, rows_processed bigint, rows_rejected bigint, "
     "event_time timestamp, error_message string, stats_snapshot string, status string, "
     "phase string, ingest_batch bigint"
 )
 
-BATCH_PARTIALS = _schema(
+BATCH_PARTIALS = (
     "source_file string, rows_in bigint, rows_rejected bigint, count bigint, sum double, "
     "min double, max double, phase string, ingest_batch bigint"
 )
 
-STATS_VERIFICATION = _schema(
+STATS_VERIFICATION = (
     "run_id string, verification_timestamp timestamp, incremental_stats string, "
     "database_stats string, comparison_result string, verification_passed int, notes string"
 )
 
-STATISTICS = _schema(
+STATISTICS = (
     "count bigint, sum double, min double, max double, avg double, "
     "created_at timestamp, last_updated timestamp, version string"
 )
 
-QUALITY_CHECKS = _schema(
+QUALITY_CHECKS = (
     "batch_id string, check_type string, check_result string, details string, "
     "checked_at timestamp"
 )
 
-SILVER = _schema(
+SILVER = (
     "transaction_id string, timestamp timestamp, price double, user_id string, "
     "source_file string, is_valid boolean, quality_score double, "
     "silver_created_at timestamp, silver_updated_at timestamp"
 )
 
-GOLD = _schema(
+GOLD = (
     "metric_name string, metric_value double, metric_type string, date_partition date, "
     "aggregation_level string, gold_created_at timestamp"
 )
 
-STATE_JSON = _schema("count bigint, sum double, min double, max double, avg double")
+STATE_JSON = "count bigint, sum double, min double, max double, avg double"
 
 
-def create_table_sql(name: str, schema: StructType, location: str, partitions: tuple[str, ...] = ()) -> str:
-    """The `CREATE TABLE` statement of an external Parquet table with this schema."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+def create_table_sql(name: str, columns: str, location: str, partitions: tuple[str, ...] = ()) -> str:
+    """The statement that registers written Parquet files as a table."""
     parted = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET{parted} LOCATION '{location}'"

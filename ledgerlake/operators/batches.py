@@ -55,6 +55,27 @@ def number_stored_batches(rows: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     )
 
 
+def stored_slice_partials(rows: DataFrame, scale: int | None = None, size: int = BATCH_SIZE) -> DataFrame:
+    """Batch partials of `stored_rows`, each stored file cut into batches of its own.
+
+    Only per-batch aggregates leave a task; numbers are given to the batches afterwards, so
+    the cost does not depend on how many files there are. The last batch of a file is short.
+    """
+    sliced = rows.withColumn("_cut", _whole_div(F.col("stored_row"), size))
+    partials = written(batch_partials(sliced, scale, ("source_file", "stored_file", "_cut")), "slices")
+    per_file = partials.groupBy("source_file", "stored_file").agg((F.max("_cut") + 1).alias("_n"))
+    earlier = (
+        Window.partitionBy("source_file").orderBy("stored_file").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = per_file.select(
+        "source_file", "stored_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    return partials.join(offsets, ["source_file", "stored_file"]).select(
+        "source_file", (F.col("_before") + F.col("_cut") + 1).alias("batch_number"),
+        *[c for c in partials.columns if c not in ("source_file", "stored_file", "_cut")],
+    )
+
+
 def batch_partials(
     numbered: DataFrame, scale: int | None = None, keys: Sequence[str] = ("source_file", "batch_number")
 ) -> DataFrame:

@@ -22,8 +22,11 @@ def absent_columns(df: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> list
     return [c for c in required if c not in df.columns]
 
 
-def to_bronze(raw: DataFrame) -> DataFrame:
-    """Text rows to typed bronze rows with lineage. One pass, no shuffle, nothing is dropped."""
+def to_bronze(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Text rows to typed bronze rows with lineage. One pass, no shuffle, nothing is dropped.
+
+    Columns named in ``keep`` come along; all others are left out.
+    """
     price = F.col("price").cast("string")
     return raw.select(
         null_tokens(F.col("timestamp").cast("string")).alias("timestamp"),
@@ -33,6 +36,7 @@ def to_bronze(raw: DataFrame) -> DataFrame:
         F.lit(BRONZE_CREATED_BY).alias("bronze_created_by"),
         F.when(not_a_number(price), price).alias("bad_price"),
         "source_file",
+        *keep,
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.numbers import exact_sum
+from ledgerlake.workspace import written
 
 # Aggregation level -> calendar unit.
 LEVELS = {"daily": "day", "weekly": "week", "monthly": "month"}
@@ -24,13 +25,33 @@ def _long(wide: DataFrame, metric_type: str, level: str, keep: tuple[str, ...] =
     )
 
 
+def hourly_totals(rows: DataFrame, level: str, scale: int | None = None) -> DataFrame:
+    """Counts and price totals per period, weekday and hour: at most 168 rows per week and level.
+
+    Price and temporal metrics are both folded from it, so rows are read once for the two.
+    """
+    day = period(F.col("ts"), level).alias("date_partition")
+    return rows.groupBy(day, F.hour("ts").alias("hour"), (F.weekday("ts") + 1).alias("weekday")).agg(
+        F.count("*").alias("n"), F.count("price").alias("priced"), exact_sum(F.col("price"), scale).alias("s"),
+        F.min("price").alias("low"), F.max("price").alias("high"),
+    )
+
+
+def _folded(column: str, scale: int | None) -> Column:
+    return F.sum(column) if scale is None else exact_sum(F.col(column), scale)
+
+
 def price_metrics(rows: DataFrame, level: str, scale: int | None = None) -> DataFrame:
     """Transaction count and price statistics per period."""
-    total = exact_sum(F.col("price"), scale)
-    wide = rows.groupBy(period(F.col("ts"), level).alias("date_partition")).agg(
-        F.count("*").alias("transaction_count"), total.alias("price_sum"),
-        F.try_divide(total, F.count("price")).alias("price_avg"),
-        F.min("price").alias("price_min"), F.max("price").alias("price_max"),
+    return _price_metrics(hourly_totals(rows, level, scale), level, scale)
+
+
+def _price_metrics(hourly: DataFrame, level: str, scale: int | None) -> DataFrame:
+    total = _folded("s", scale)
+    wide = hourly.groupBy("date_partition").agg(
+        F.sum("n").alias("transaction_count"), total.alias("price_sum"),
+        F.try_divide(total, F.sum("priced")).alias("price_avg"),
+        F.min("low").alias("price_min"), F.max("high").alias("price_max"),
     )
     return _split_types(_long(wide, "price_statistics", level))
 
@@ -49,7 +70,7 @@ def user_metrics(rows: DataFrame, level: str, scale: int | None = None) -> DataF
     per_user = rows.groupBy(day, "user_id").agg(
         F.count("*").alias("n"), exact_sum(F.col("price"), scale).alias("spend")
     )
-    spend = F.sum("spend") if scale is None else F.sum(F.col("spend").cast(f"decimal(18,{scale})")).cast("double")
+    spend = _folded("spend", scale)
     users = F.count("user_id")
     wide = per_user.groupBy("date_partition").agg(
         users.alias("unique_users"), F.try_divide(spend, users).alias("spend_per_user"),
@@ -59,15 +80,12 @@ def user_metrics(rows: DataFrame, level: str, scale: int | None = None) -> DataF
 
 
 def temporal_metrics(rows: DataFrame, level: str, scale: int | None = None) -> DataFrame:
-    """Count and mean price by hour of day and by weekday (1 is Monday), per period.
+    """Count and mean price by hour of day and by weekday (1 is Monday), per period."""
+    return _temporal_metrics(hourly_totals(rows, level, scale), level, scale)
 
-    One aggregate by hour; weekdays are folded from its result.
-    """
-    day = period(F.col("ts"), level).alias("date_partition")
-    hourly = rows.groupBy(
-        day, F.hour("ts").alias("hour"), (F.weekday("ts") + 1).alias("weekday")
-    ).agg(F.count("*").alias("n"), F.count("price").alias("priced"), exact_sum(F.col("price"), scale).alias("s"))
-    total = F.sum("s") if scale is None else F.sum(F.col("s").cast(f"decimal(18,{scale})")).cast("double")
+
+def _temporal_metrics(hourly: DataFrame, level: str, scale: int | None) -> DataFrame:
+    total = _folded("s", scale)
 
     def by(column: str, prefix: str) -> DataFrame:
         wide = hourly.groupBy("date_partition", column).agg(
@@ -80,9 +98,12 @@ def temporal_metrics(rows: DataFrame, level: str, scale: int | None = None) -> D
 
 
 def gold_table(rows: DataFrame, level: str, scale: int | None = None) -> DataFrame:
-    """All metrics of one level in the gold schema."""
-    parts = price_metrics(rows, level, scale).unionByName(user_metrics(rows, level, scale)).unionByName(
-        temporal_metrics(rows, level, scale)
+    """All metrics of one level in the gold schema. Rows are read twice: by hour and by user."""
+    hourly = written(hourly_totals(rows, level, scale), "hourly")
+    parts = (
+        _price_metrics(hourly, level, scale)
+        .unionByName(_temporal_metrics(hourly, level, scale))
+        .unionByName(user_metrics(rows, level, scale))
     )
     return parts.select(
         "metric_name", "metric_value", "metric_type", "date_partition", "aggregation_level",

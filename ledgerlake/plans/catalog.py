@@ -38,16 +38,7 @@ def query(fn: Query) -> Query:
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty feed as bronze rows, with the columns that give the file order."""
-    text = inputs.dirty_text(spark, sf_dir)
-    number, bad = numbers.to_number(numbers.null_tokens(F.col("price"))), numbers.not_a_number(F.col("price"))
-    return text.withColumns(
-        {
-            "timestamp": numbers.null_tokens(F.col("timestamp")),
-            "bad_price": F.when(bad, F.col("price")),
-            "price": number,
-            "user_id": numbers.null_tokens(F.col("user_id")),
-        }
-    )
+    return clean.to_bronze(inputs.dirty_text(spark, sf_dir), keep=FILE_ORDER)
 
 
 def _partials(spark: SparkSession, sf_dir: str, size: int = 1000) -> DataFrame:
@@ -208,6 +199,24 @@ def lineitem_incremental(spark, sf_dir):
     return stats.merge_partials(partials, PRICE_SCALE, ["source_file"])
 
 
+@query
+def lineitem_history(spark, sf_dir):
+    """Running history of the largest table in batches of a thousand rows."""
+    rows = inputs.lineitems(spark, sf_dir).select("source_file", "price", "event_id", "line", "seller", "item")
+    numbered = batches.number_batches(rows, ["event_id", "line", "item", "seller", "price"])
+    history = batches.running_history(batches.batch_partials(numbered, PRICE_SCALE), inputs.LINEITEM_SOURCES, PRICE_SCALE)
+    return history.select(
+        "source_file", "batch_number", "batch_seq", "rows_processed", "running_count_after", "running_sum_after",
+        "running_min_after", "running_max_after", "running_avg_after",
+    )
+
+
+@query
+def lineitem_describe(spark, sf_dir):
+    """Distribution of prices in the largest table, exact quartiles included."""
+    return stats.describe_prices(inputs.lineitems(spark, sf_dir))
+
+
 @query
 def report_stats(spark, sf_dir):
     return stats.report_stats(clean.kept(_bronze(spark, sf_dir)), PRICE_SCALE)
@@ -290,8 +299,7 @@ def safe_float(spark, sf_dir):
 @query
 def transactions_table(spark, sf_dir):
     """Bronze rows in the columns of the transactions table, nulls kept as nulls."""
-    rows = _bronze(spark, sf_dir).withColumn("bronze_created_at", F.lit(None).cast("string"))
-    out = clean.to_transactions(rows, F.md5(F.col("source_file")))
+    out = clean.to_transactions(_bronze(spark, sf_dir), F.md5(F.col("source_file")))
     return out.select("timestamp", "price", "user_id", "source_file", "batch_id", "processing_metadata", "reject_reason")
 
 
@@ -458,6 +466,33 @@ def source_selection(spark, sf_dir):
     )
 
 
+@query
+def feed_folder(spark, sf_dir):
+    """The folder below the raw folder that holds a whole feed."""
+    raw = _raw_files(spark, sf_dir)
+    parent = raw.rsplit("/", 1)[0]
+    files = listing.list_files(spark, raw, "*.csv")
+    found = listing.feed_folders(files, parent)
+    return found.select((F.element_at(F.split("feed_folder", "/"), -1) == raw.rsplit("/", 1)[1]).alias("is_the_feed"), "n_sources", "is_root")
+
+
+@query
+def latest_report(spark, sf_dir):
+    """Daily report files, the last day written last; the newest one is found by its file time."""
+    path = fresh_path(spark, "reports")
+    daily = inputs.transactions(spark, sf_dir).groupBy(F.date_format("ts", "yyyyMMdd").alias("day")).agg(
+        F.count("*").alias("n")
+    )
+    named = daily.select(
+        F.concat(F.lit("daily_report_"), F.col("day"), F.lit(".txt")).alias("report"),
+        F.format_string("Records: %,d", "n").alias("line"),
+    )
+    newest = daily.agg(F.concat(F.lit("daily_report_"), F.max("day"), F.lit(".txt"))).scalar()
+    for part in (F.col("report") != newest, F.col("report") == newest):
+        named.where(part).write.mode("append").partitionBy("report").text(path)
+    return listing.latest_file(listing.list_files(spark, path, "*.txt"))
+
+
 @query
 def schema_evolution(spark, sf_dir):
     """An older and a newer generation of files under one schema, and what changed."""
@@ -575,6 +610,12 @@ def gold_orders_monthly(spark, sf_dir):
     return _gold_columns(spark.read.schema(schemas.GOLD).parquet(path))
 
 
+@query
+def gold_lineitem_monthly(spark, sf_dir):
+    """All metric types per month on the largest table."""
+    return _gold_columns(gold.gold_table(inputs.lineitems(spark, sf_dir), "monthly", PRICE_SCALE))
+
+
 @query
 def user_analytics(spark, sf_dir):
     return _gold_columns(gold.user_metrics(inputs.transactions(spark, sf_dir), "daily", PRICE_SCALE))
@@ -706,6 +747,44 @@ def stream_rejects(spark, sf_dir):
     return store.rejects(spark).groupBy("source_file", "reject_reason").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def stream_history(spark, sf_dir):
+    """Running history and snapshots of a streamed load: one micro-batch of one file each."""
+    lake = fresh_path(spark, "lake")
+    store = ingest.Store(f"{lake}/store", PRICE_SCALE)
+    for source in FEED.expected:  # one load per source, in processing order
+        _bronze_part(spark, sf_dir, f"{lake}/bronze", F.col("source_file") == source)
+        ingest.ingest_available(ingest.bronze_stream(spark, f"{lake}/bronze"), store, ingest.MAIN)
+    return store.history(spark).select(
+        "phase", "ingest_batch", "rows_in", "rows_rejected", "rows_processed", "running_count_before",
+        "running_count_after", "running_avg_after",
+    )
+
+
+@query
+def load_speed(spark, sf_dir):
+    """Rows per second of a streamed load, and its batch summary; only the counts are repeatable."""
+    lake = fresh_path(spark, "lake")
+    _bronze_part(spark, sf_dir, f"{lake}/bronze", F.lit(True))
+    store = ingest.Store(f"{lake}/store", PRICE_SCALE)
+    ingest.ingest_available(ingest.bronze_stream(spark, f"{lake}/bronze"), store, ingest.MAIN)
+    speed = ingest.throughput(ingest.latest_status(store.events(spark)))
+    return speed.select("rows_processed", (F.col("rows_per_second") > 0).alias("measured"))
+
+
+@query
+def statistics_table(spark, sf_dir):
+    """The statistics table after a load."""
+    lake = fresh_path(spark, "lake")
+    _bronze_part(spark, sf_dir, f"{lake}/bronze", F.lit(True))
+    store = ingest.Store(f"{lake}/store", PRICE_SCALE)
+    ingest.ingest_available(ingest.bronze_stream(spark, f"{lake}/bronze"), store, ingest.MAIN)
+    table = store.statistics(spark)
+    return table.select(
+        "count", "sum", "min", "max", "avg", (F.col("last_updated") >= F.col("created_at")).alias("dated"), "version"
+    )
+
+
 @query
 def two_phase_run(spark, sf_dir):
     """Main sources, then the held-out one on the same state, and what it changed."""
@@ -739,7 +818,7 @@ def stream_live_stats(spark, sf_dir):
     path = fresh_path(spark, "live")
     _bronze_part(spark, sf_dir, f"{path}/bronze", F.lit(True))
     stream = clean.kept(ingest.bronze_stream(spark, f"{path}/bronze", max_files=2))
-    live.run_available(live.live_stats(stream), f"{path}/state", f"{path}/checkpoint", "complete")
+    live.run_available(live.live_stats(stream, PRICE_SCALE), f"{path}/state", f"{path}/checkpoint", "complete")
     return spark.read.parquet(f"{path}/state")
 
 
@@ -755,7 +834,7 @@ def stream_daily_prices(spark, sf_dir):
     _bronze_part(spark, sf_dir, f"{path}/bronze", F.lit(True))
     stream = clean.kept(_event_stream(spark, f"{path}/bronze", 100))
     live.run_available(
-        live.windowed_prices(stream), f"{path}/days", f"{path}/checkpoint", "update", "date_partition"
+        live.windowed_prices(stream, PRICE_SCALE), f"{path}/days", f"{path}/checkpoint", "update", "date_partition"
     )
     return spark.read.parquet(f"{path}/days").select(
         F.date_format("date_partition", "yyyy-MM-dd").alias("day"), "transaction_count", "price_sum", "price_min", "price_max"

@@ -20,6 +20,7 @@ FEED = Feed(
     timestamp_max="2024-01-30",
 )
 PRICE_SCALE = 2
+LINEITEM_SOURCES = ("a.csv", "n.csv", "r.csv")
 # The same feed with a narrower expected range, so that the range rule has something to find.
 NARROW_FEED = replace(FEED, timestamp_max="2024-01-28")
 MAIN_PATTERN = r"^2024-.*\.csv$"
@@ -97,6 +98,7 @@ def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Third and largest feed: one transaction per order line, one source per return flag."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("event_id"), F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("seller"),
         F.col("l_shipdate").alias("ts"), F.col("l_extendedprice").alias("price"),
         F.concat(F.lit("user_"), F.col("l_suppkey")).alias("user_id"),
         F.concat(F.lower("l_returnflag"), F.lit(".csv")).alias("source_file"),

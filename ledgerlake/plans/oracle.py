@@ -149,6 +149,8 @@ def _gold(level: str, source: str = "tx") -> str:
 _ORDERS = """tx AS (SELECT o_orderkey AS event_id, o_orderdate AS ts, o_totalprice AS price,
   'user_' || o_custkey AS user_id, year(o_orderdate) || '.csv' AS source_file FROM orders)"""
 
+_LINEITEMS = """tx AS (SELECT l_shipdate AS ts, l_extendedprice AS price, 'user_' || l_suppkey AS user_id FROM lineitem)"""
+
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%f')"
 
 _RULES = """coalesce(ts IS NOT NULL, false) AS r1,
@@ -253,6 +255,20 @@ FROM partials""",
 {_state('t', group='source_file')}""",
     "lineitem_incremental": f"""WITH t AS (SELECT lower(l_returnflag) || '.csv' AS source_file, l_extendedprice AS price
   FROM lineitem WHERE l_extendedprice > 0) {_state('t', group='source_file')}""",
+    "lineitem_history": f"""WITH t AS (SELECT lower(l_returnflag) || '.csv' AS source_file, l_extendedprice AS price,
+  (row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1) // 1000 + 1
+  AS batch_number FROM lineitem),
+p AS (SELECT source_file, batch_number, count(*) AS rows_processed, SUM(CAST(price AS DECIMAL(18,2))) AS s, MIN(price) AS lo,
+  MAX(price) AS hi FROM t GROUP BY ALL),
+r AS (SELECT source_file, batch_number, row_number() OVER w AS batch_seq, rows_processed,
+  CAST(SUM(rows_processed) OVER w AS BIGINT) AS running_count_after, CAST(SUM(s) OVER w AS DOUBLE) AS running_sum_after,
+  MIN(lo) OVER w AS running_min_after, MAX(hi) OVER w AS running_max_after FROM p
+  WINDOW w AS (ORDER BY source_file, batch_number ROWS UNBOUNDED PRECEDING))
+SELECT *, running_sum_after / running_count_after AS running_avg_after FROM r""",
+    "lineitem_describe": """SELECT lower(l_returnflag) || '.csv' AS source_file, count(*) AS "count", round(avg(l_extendedprice), 6) AS mean,
+  round(stddev_samp(l_extendedprice), 6) AS std, MIN(l_extendedprice) AS "min", round(quantile_cont(l_extendedprice, 0.25), 6) AS q25,
+  round(quantile_cont(l_extendedprice, 0.5), 6) AS q50, round(quantile_cont(l_extendedprice, 0.75), 6) AS q75,
+  MAX(l_extendedprice) AS "max" FROM lineitem GROUP BY 1""",
     "report_stats": f"""WITH {_DIRTY} SELECT count(*) AS "count", round({_money('price')} / count(*), 2) AS avg_price,
   round(MIN(price), 2) AS min_price, round(MAX(price), 2) AS max_price, count(DISTINCT user_raw) AS unique_users,
   count(DISTINCT source_file) AS unique_files FROM kept""",
@@ -335,6 +351,9 @@ WHERE source_file NOT IN (SELECT """ + _SOURCE + """ FROM events)""",
   CASE WHEN n >= 5 THEN 'success' WHEN n > 0 THEN 'warning' ELSE 'error' END AS status, n AS sources, n >= 6 AS gate_open FROM c""",
     "source_selection": f"""WITH {_DIRTY} SELECT DISTINCT CAST(feed_no AS INTEGER) AS feed_no, source_file,
   source_file <> 'validation.csv' AS in_main FROM dirty""",
+    "feed_folder": f"""WITH {_TX} SELECT true AS is_the_feed, count(DISTINCT source_file) AS n_sources, false AS is_root FROM tx""",
+    "latest_report": """SELECT 'daily_report_' || strftime(MAX(ts), '%Y%m%d') || '.txt' AS report,
+  strftime(MAX(ts), '%Y%m%d') AS report_date FROM events""",
     "schema_evolution": f"""WITH {_DIRTY}
 SELECT 'event_id' AS field, 'bigint' AS old_type, 'bigint' AS new_type, 'same' AS change, count(event_id) AS rows_with_value FROM dirty
 UNION ALL SELECT 'copy', 'int', 'int', 'same', count(copy) FROM dirty
@@ -382,6 +401,7 @@ SELECT event_id, copy, price, coalesce(abs(price - m) > d * 3.0, false) AS is_ou
     "gold_weekly": f"WITH {_TX} {_price_metrics('weekly')}",
     "gold_monthly": f"WITH {_TX} {_price_metrics('monthly')}",
     "gold_orders_monthly": f"WITH {_ORDERS} {_gold('monthly')}",
+    "gold_lineitem_monthly": f"WITH {_LINEITEMS} {_gold('monthly')}",
     "user_analytics": f"WITH {_TX} {_user_metrics('daily')}",
     "temporal_patterns": f"WITH {_TX} {_temporal_metrics('daily')}",
     "hourly_prices": f"""WITH {_TX} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS "hour", count(*) AS transaction_count,
@@ -407,13 +427,23 @@ SELECT source_file AS run_id, fs AS failed_share, rs AS reject_share, v AS rows_
   CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01') > 730 THEN 'warm' ELSE 'keep' END AS tier FROM orders""",
     "lineage": f"""WITH {_DIRTY}, r AS (SELECT *, {_RULES} FROM dirty)
 SELECT 'bronze' AS layer, source_file, count(*) AS rows_in, count(*) AS rows_out, 'bronze_converter' AS created_by,
-  'challenge_csv_files' AS data_source, '1.0' AS processing_version, 'raw' AS quality_tier FROM dirty GROUP BY source_file
+  'csv_files' AS data_source, '1.0' AS processing_version, 'raw' AS quality_tier FROM dirty GROUP BY source_file
 UNION ALL SELECT 'silver', source_file, count(*), count(*) FILTER (r1 AND r2 AND r3 AND r4), 'silver_processor', 'bronze_layer', '1.0', 'clean'
 FROM r GROUP BY source_file""",
     "stream_stats": f"""WITH {_DIRTY} {_state('kept')}""",
     "stream_restart": f"""WITH {_DIRTY}, {_reconciled(', true AS all_completed')}""",
     "stream_rejects": f"""WITH {_DIRTY} SELECT source_file, reject_reason, count(*) AS n_rows FROM judged
 WHERE reject_reason IS NOT NULL GROUP BY ALL""",
+    "stream_history": f"""WITH {_DIRTY}, p AS (SELECT feed_no, count(*) AS rows_in, count(reject_reason) AS rows_rejected,
+  count(*) FILTER (reject_reason IS NULL) AS rows_processed,
+  SUM(CAST(price AS DECIMAL(18,2))) FILTER (reject_reason IS NULL) AS s FROM judged GROUP BY 1)
+SELECT 'main' AS phase, feed_no - 1 AS ingest_batch, rows_in, rows_rejected, rows_processed,
+  CAST(SUM(rows_processed) OVER w - rows_processed AS BIGINT) AS running_count_before,
+  CAST(SUM(rows_processed) OVER w AS BIGINT) AS running_count_after,
+  CAST(SUM(s) OVER w AS DOUBLE) / CAST(SUM(rows_processed) OVER w AS BIGINT) AS running_avg_after
+FROM p WINDOW w AS (ORDER BY feed_no ROWS UNBOUNDED PRECEDING)""",
+    "load_speed": f"""WITH {_DIRTY} SELECT count(*) AS rows_processed, true AS measured FROM kept""",
+    "statistics_table": f"""WITH {_DIRTY}, s AS ({_state('kept')}) SELECT *, true AS dated, '1.0' AS version FROM s""",
     "two_phase_run": _DRIFT_QUERY,
     "run_steps": f"""WITH {_DIRTY}
 SELECT 1::INTEGER AS step_no, 'raw_data' AS step, true AS critical, 'completed' AS status, count(DISTINCT source_file) AS rows,

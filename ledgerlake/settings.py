@@ -11,7 +11,6 @@ EXPECTED_MAIN = ("2012-1.csv", "2012-2.csv", "2012-3.csv", "2012-4.csv", "2012-5
 HELD_OUT = "validation.csv"
 BRONZE_CREATED_BY = "bronze_converter"
 STATS_METRICS = ("count", "avg", "min", "max")
-BATCH_STATUSES = ("pending", "processing", "completed", "failed")
 
 # Text that the pandas CSV reader takes as missing (public pandas documentation).
 NULL_TOKENS = (
@@ -43,7 +42,7 @@ CREATED_BY = {
     "gold": "gold_aggregator",
 }
 DATA_SOURCE = {
-    "bronze": "challenge_csv_files",
+    "bronze": "csv_files",
     "silver": "bronze_layer",
     "gold": "silver_layer",
 }

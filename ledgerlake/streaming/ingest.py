@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas
 from ledgerlake.functions.numbers import exact_sum
 from ledgerlake.functions.texts import null_safe_json
+from ledgerlake.operators.batches import running_history
 from ledgerlake.operators.clean import to_transactions
 from ledgerlake.operators.stats import merge_partials
 from ledgerlake.sinks.tables import overwrite_partitions
@@ -69,6 +70,17 @@ class Store:
             partials.where(F.col("phase") == phase) if phase else partials, self.scale, names=PARTIAL_NAMES
         )
 
+    def history(self, spark: SparkSession) -> DataFrame:
+        """Running history, one row per micro-batch, main phase first."""
+        per_batch = self.partials(spark).groupBy(F.col("phase").alias("source_file"), "ingest_batch").agg(
+            F.sum("rows_in").alias("rows_in"), F.sum("rows_rejected").alias("rows_rejected"),
+            F.sum("count").alias("rows_processed"), F.sum("sum").alias("batch_sum"),
+            F.min("min").alias("batch_min"), F.max("max").alias("batch_max"),
+        )
+        numbered = per_batch.withColumn("batch_number", F.col("ingest_batch") + 1).drop("ingest_batch")
+        history = running_history(numbered, (MAIN, HELD_OUT_PHASE), self.scale)
+        return history.withColumnRenamed("source_file", "phase").withColumn("ingest_batch", F.col("batch_number") - 1)
+
     def statistics(self, spark: SparkSession) -> DataFrame:
         """The statistics table: the state with its times and version."""
         times = self.events(spark).agg(

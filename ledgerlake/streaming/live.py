@@ -6,21 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.functions.numbers import exact_sum
 from ledgerlake.sinks.tables import overwrite_partitions
 
 
-def live_stats(stream: DataFrame) -> DataFrame:
+def live_stats(stream: DataFrame, scale: int | None = None) -> DataFrame:
     """Global statistics held in Spark's state store: one row of state, merged from partials."""
     return stream.agg(
-        F.count("price").alias("count"), F.sum(F.col("price").cast("decimal(24,6)")).alias("exact_sum"),
+        F.count("price").alias("count"), exact_sum(F.col("price"), scale).alias("sum"),
         F.min("price").alias("min"), F.max("price").alias("max"),
-    ).select(
-        "count", F.col("exact_sum").cast("double").alias("sum"),
-        F.try_divide(F.col("exact_sum").cast("double"), F.col("count")).alias("avg"), "min", "max",
-    )
+    ).select("count", "sum", F.try_divide("sum", "count").alias("avg"), "min", "max")
 
 
-def windowed_prices(stream: DataFrame, length: str = "1 day", late: str = "2 days") -> DataFrame:
+def windowed_prices(stream: DataFrame, scale: int | None = None, length: str = "1 day", late: str = "2 days") -> DataFrame:
     """Counts and prices per tumbling window of event time; state older than ``late`` is dropped.
 
     ``ts`` must be a timestamp with time zone semantics, as watermarks require.
@@ -29,12 +27,11 @@ def windowed_prices(stream: DataFrame, length: str = "1 day", late: str = "2 day
         stream.withWatermark("ts", late)
         .groupBy(F.window("ts", length).alias("w"))
         .agg(
-            F.count("*").alias("transaction_count"), F.sum(F.col("price").cast("decimal(24,6)")).alias("exact_sum"),
+            F.count("*").alias("transaction_count"), exact_sum(F.col("price"), scale).alias("price_sum"),
             F.min("price").alias("price_min"), F.max("price").alias("price_max"),
         )
         .select(
-            F.col("w.start").cast("date").alias("date_partition"), "transaction_count",
-            F.col("exact_sum").cast("double").alias("price_sum"), "price_min", "price_max",
+            F.col("w.start").cast("date").alias("date_partition"), "transaction_count", "price_sum", "price_min", "price_max"
         )
     )
 

@@ -22,10 +22,14 @@ def absent_columns(df: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> list
     return [c for c in required if c not in df.columns]
 
 
-def to_bronze(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+FIRST_VERSION = ""
+
+
+def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None = None) -> DataFrame:
     """Text rows to typed bronze rows with lineage. One pass, no shuffle, nothing is dropped.
 
-    Columns named in ``keep`` come along; all others are left out.
+    Columns named in ``keep`` come along; all others are left out. A ``version`` says that
+    these rows replace all earlier ones of their source; without one they are added.
     """
     price = F.col("price").cast("string")
     return raw.select(
@@ -35,6 +39,7 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         iso_text(F.current_timestamp()).alias("bronze_created_at"),
         F.lit(BRONZE_CREATED_BY).alias("bronze_created_by"),
         F.when(not_a_number(price), price).alias("bad_price"),
+        (F.lit(FIRST_VERSION) if version is None else version).alias("bronze_version"),
         "source_file",
         *keep,
     )
@@ -86,6 +91,7 @@ def to_transactions(df: DataFrame, batch_id: Column) -> DataFrame:
         F.col("bronze_created_at").cast("string").alias("bronze_created_at"),
         F.current_timestamp().alias("db_inserted_at"),
         F.lit(None).cast("string").alias("processing_metadata"),
+        (F.col("bronze_version") if "bronze_version" in df.columns else F.lit(FIRST_VERSION)).alias("bronze_version"),
         reject_reason(df).alias("reject_reason"),
     )
 

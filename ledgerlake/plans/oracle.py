@@ -336,7 +336,7 @@ SELECT 'run-1' AS run_id, j AS incremental_stats, j AS database_stats, 1::INTEGE
   CASE WHEN event_id % 97 = 0 THEN 'NA' WHEN event_id % 193 = 0 THEN 'abc' ELSE CAST(price AS VARCHAR) END AS price, sample_no
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY source_file ORDER BY event_id, copy) AS INTEGER) AS sample_no FROM dirty)
 WHERE sample_no <= 3""",
-    "parquet_profile": f"""WITH {_DIRTY} SELECT source_file, count(*) AS row_count, 6::INTEGER AS column_count,
+    "parquet_profile": f"""WITH {_DIRTY} SELECT source_file, count(*) AS row_count, 7::INTEGER AS column_count,
   'SNAPPY' AS compression, 0::BIGINT AS corrupt_files FROM dirty GROUP BY source_file""",
     "conversion_totals": f"""WITH {_DIRTY}, f AS (SELECT source_file, count(*) AS n FROM dirty GROUP BY 1)
 SELECT count(*) AS total_files, count(*) AS converted_files, 0::BIGINT AS failed_files, CAST(SUM(n) AS BIGINT) AS total_rows,

@@ -9,16 +9,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.texts import iso_text
 from ledgerlake.operators.clean import to_bronze
 from ledgerlake.operators.completeness import check_layer, expected_sources, layer_totals, missing_sources
 from ledgerlake.operators.reconcile import audit_row, drift, reconcile, verdict
 from ledgerlake.operators.stats import direct_stats, report_stats
 from ledgerlake.plans.report import report_lines, report_row
 from ledgerlake.settings import BATCH_SIZE, Feed
-from ledgerlake.sinks.tables import append_audit, write_bronze, write_report
+from ledgerlake.sinks.tables import append_audit, overwrite_partitions, write_bronze, write_report
 from ledgerlake.sources.csvfiles import read_csv_by_name
-from ledgerlake.sources.listing import count_sources, list_files
+from ledgerlake.sources.listing import count_sources, fingerprints, list_files
 from ledgerlake.sources.parquetfiles import parquet_footers, parquet_profile
+from ledgerlake.workspace import read_if_any, written
 from ledgerlake.streaming.ingest import HELD_OUT_PHASE, MAIN, Store, bronze_stream, ingest_available
 
 
@@ -78,9 +80,23 @@ class Layout:
 
 
 def convert_to_bronze(spark: SparkSession, raw: str, bronze: str) -> None:
-    """All CSV files of a folder to bronze, in one distributed job."""
-    files = list_files(spark, raw, "*.csv*")
-    write_bronze(to_bronze(read_csv_by_name(spark, raw, files)), bronze)
+    """CSV files of a folder to bronze, in one distributed job.
+
+    Only sources whose files are new or have changed since the last conversion are read;
+    each replaces what bronze has of it. A manifest beside the table remembers the files.
+    """
+    files = written(list_files(spark, raw, "*.csv*"), "files")
+    manifest = f"{bronze.rstrip('/')}_manifest"
+    prints = fingerprints(files)
+    known = read_if_any(spark, manifest, prints.schema)
+    todo = written(prints.join(known, prints.columns, "left_anti"), "todo")
+    if todo.isEmpty():
+        return
+    changed = files.join(todo, "source_file", "left_semi")
+    everything = prints.join(todo, "source_file", "left_anti").isEmpty()
+    rows = read_csv_by_name(spark, raw if everything else None, changed)
+    write_bronze(to_bronze(rows, version=iso_text(F.current_timestamp())), bronze)
+    overwrite_partitions(todo, manifest, ["source_file"])
 
 
 def load_phase(spark: SparkSession, layout: Layout, feed: Feed, phase: str, scale: int | None, max_files: int | None = None) -> Store:

@@ -5,16 +5,18 @@ from __future__ import annotations
 RAW = "timestamp string, price string, user_id string"
 
 # `bad_price` keeps the text of a price that is present but not a number, so that a later
-# step can tell it from a missing one. `source_file` is the partition column.
+# step can tell it from a missing one. `bronze_version` grows whenever a source is converted
+# anew as a whole; rows that are only ever added share one version. `source_file` is the
+# partition column.
 BRONZE = (
     "timestamp string, price double, user_id string, bronze_created_at string, "
-    "bronze_created_by string, bad_price string, source_file string"
+    "bronze_created_by string, bad_price string, bronze_version string, source_file string"
 )
 
 TRANSACTIONS = (
     "timestamp string, price double, user_id string, source_file string, batch_id string, "
     "bronze_created_at string, db_inserted_at timestamp, processing_metadata string, "
-    "reject_reason string, outcome string, phase string, ingest_batch bigint"
+    "bronze_version string, reject_reason string, outcome string, phase string, ingest_batch bigint"
 )
 
 BATCH_EVENTS = (
@@ -24,7 +26,7 @@ BATCH_EVENTS = (
 )
 
 BATCH_PARTIALS = (
-    "source_file string, rows_in bigint, rows_rejected bigint, count bigint, sum double, "
+    "source_file string, bronze_version string, rows_in bigint, rows_rejected bigint, count bigint, sum double, "
     "min double, max double, phase string, ingest_batch bigint"
 )
 

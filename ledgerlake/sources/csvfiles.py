@@ -50,22 +50,23 @@ def _read_layout(
 
 def read_csv_by_name(
     spark: SparkSession,
-    folder: str,
+    folder: str | None,
     files: DataFrame,
     required: Sequence[str] = RAW_COLUMNS,
     multi_line: bool = False,
 ) -> DataFrame:
-    """All usable CSV files of ``folder`` as text columns, mapped by header **name**.
+    """All usable CSV files of a listing as text columns, mapped by header **name**.
 
-    Spark maps a user schema by position, so files are read per header layout. One layout,
-    the usual case, reads the whole folder without naming a file. Files that lack a required
+    Spark maps a user schema by position, so files are read per header layout. ``folder``
+    says that the listing is all of that folder; when it has one layout, the usual case, the
+    folder is read without naming a file. Files that lack a required
     column are left out; `missing_columns` lists them. Quoted line breaks need
     ``multi_line``, which makes a file unsplittable.
     """
     headers = written(missing_columns(csv_headers(files), required), "headers")
     layouts = headers.groupBy("columns", "missing_columns").agg(F.count("*").alias("n")).collect()
     usable = [row for row in layouts if not row["missing_columns"]]
-    if len(usable) == len(layouts) == 1:
+    if folder and len(usable) == len(layouts) == 1:
         return _read_layout(spark, folder, usable[0]["columns"], required, multi_line)
     parts = []
     for row in usable:

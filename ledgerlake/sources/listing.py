@@ -31,6 +31,16 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     )
 
 
+def fingerprints(files: DataFrame) -> DataFrame:
+    """What identifies the files of a source, whatever their order: number, bytes, newest, hash."""
+    return files.groupBy("source_file").agg(
+        F.count("*").alias("n_files"),
+        F.sum("file_size").alias("bytes"),
+        F.max("modified_at").alias("newest"),
+        F.bit_xor(F.xxhash64("path", "file_size", "modified_at")).alias("hash"),
+    )
+
+
 def feed_folders(files: DataFrame, raw_folder: str, min_files: int = 5) -> DataFrame:
     """Folders that hold a whole feed: at least ``min_files`` CSV sources.
 

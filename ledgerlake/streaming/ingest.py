@@ -2,7 +2,8 @@
 
 Every micro-batch writes under its own partition key ``(phase, ingest_batch)``. The state is
 always folded from the per-batch partials, never counted up, so a batch that is replayed
-after a failure overwrites itself and nothing is counted twice.
+after a failure overwrites itself and nothing is counted twice. A source that is converted
+anew replaces its earlier rows: only the newest ``bronze_version`` of a source counts.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from ledgerlake.operators.batches import running_history
 from ledgerlake.operators.clean import to_transactions
 from ledgerlake.operators.stats import merge_partials
 from ledgerlake.sinks.tables import overwrite_partitions
+from ledgerlake.workspace import written
 
 PARTIAL_NAMES = ("count", "sum", "min", "max")
 MAIN, HELD_OUT_PHASE = "main", "held_out"
@@ -47,18 +49,33 @@ class Store:
     def checkpoint(self, phase: str) -> str:
         return f"{self.folder}/checkpoints/{phase}"
 
-    def _all_rows(self, spark: SparkSession) -> DataFrame:
+    def all_rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(schemas.TRANSACTIONS).parquet(self.rows_path)
 
+    def all_partials(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(schemas.BATCH_PARTIALS).parquet(self.partials_path)
+
+    def _newest(self, spark: SparkSession) -> DataFrame:
+        """The version that counts, one row per source, found in the partials."""
+        return self.all_partials(spark).groupBy("source_file").agg(F.max("bronze_version").alias("bronze_version"))
+
+    def _current_rows(self, spark: SparkSession, outcome: str) -> DataFrame:
+        # Written first, so that the planner knows how small the list of sources is.
+        newest = written(self._newest(spark), "newest")
+        return self.all_rows(spark).where(F.col("outcome") == outcome).join(
+            newest, ["source_file", "bronze_version"], "left_semi"
+        )
+
     def transactions(self, spark: SparkSession) -> DataFrame:
         """Kept rows; rejected ones lie in other partitions and are not read."""
-        return self._all_rows(spark).where(F.col("outcome") == "kept")
+        return self._current_rows(spark, "kept")
 
     def rejects(self, spark: SparkSession) -> DataFrame:
-        return self._all_rows(spark).where(F.col("outcome") == "rejected")
+        return self._current_rows(spark, "rejected")
 
     def partials(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(schemas.BATCH_PARTIALS).parquet(self.partials_path)
+        """Partial statistics per micro-batch and source, without replaced sources."""
+        return self.all_partials(spark).join(self._newest(spark), ["source_file", "bronze_version"], "left_semi")
 
     def events(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(schemas.BATCH_EVENTS).parquet(self.events_path)
@@ -167,20 +184,19 @@ def load_batch(rows: DataFrame, ingest_batch: int, store: Store, phase: str) ->
         )
         overwrite_partitions(keyed, store.rows_path, ["outcome", "phase", "ingest_batch"])
         mine = (F.col("phase") == phase) & (F.col("ingest_batch") == ingest_batch)
-        stored = store._all_rows(spark).where(mine)
+        stored = store.all_rows(spark).where(mine)
         price = F.when(F.col("outcome") == "kept", F.col("price"))
-        partial = stored.groupBy("source_file").agg(
+        partial = stored.groupBy("source_file", "bronze_version").agg(
             F.count("*").alias("rows_in"), F.count_if(F.col("outcome") == "rejected").alias("rows_rejected"),
             F.count(price).alias("count"), exact_sum(price, store.scale).alias("sum"),
             F.min(price).alias("min"), F.max(price).alias("max"),
         ).select("*", F.lit(phase).alias("phase"), F.lit(ingest_batch).cast("bigint").alias("ingest_batch"))
         overwrite_partitions(partial, store.partials_path, ["phase", "ingest_batch"])
-        partials = store.partials(spark)
-        counts = partials.where(mine).agg(
+        counts = store.all_partials(spark).where(mine).agg(
             F.coalesce(F.sum("count"), F.lit(0)).alias("rows_processed"),
             F.coalesce(F.sum("rows_rejected"), F.lit(0)).alias("rows_rejected"),
         )
-        earlier = merge_partials(_earlier(partials, phase, ingest_batch), store.scale, names=PARTIAL_NAMES)
+        earlier = merge_partials(_earlier(store.partials(spark), phase, ingest_batch), store.scale, names=PARTIAL_NAMES)
         _log(spark, store, phase, ingest_batch, "completed", counts, snapshot=earlier)
     except Exception as problem:
         _log(spark, store, phase, ingest_batch, "failed", error=str(problem)[:2000])

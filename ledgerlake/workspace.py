@@ -10,7 +10,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _own_folders: dict[str, str] = {}
 
@@ -32,6 +34,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ledgerlake/{name}-{uuid.uuid4().hex}"
 
 
+def read_if_any(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A written table, or an empty one when nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written table."""
     path = fresh_path(df.sparkSession, name)

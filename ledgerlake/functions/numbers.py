@@ -16,21 +16,21 @@ def null_tokens(col: Column) -> Column:
 def to_number(col: Column) -> Column:
     """Text to double; anything that is not a number becomes NULL, and so does NaN.
 
-    The cast also takes Java's type suffixes (``12d``); those are not numbers here.
+    The cast also takes Java's type suffixes (``12d``); those are not numbers here. The
+    input is referenced once, so that long expressions stay short after optimisation.
     """
-    text = col.cast("string")
-    number = F.when(~text.rlike(r"(?i)[0-9.][df]\s*$"), text.try_cast("double"))
-    return finite_or_inf(number)
+    text = F.regexp_replace(col.cast("string"), r"([0-9.])[dDfF]\s*$", "$1 x")
+    return no_nan(text.try_cast("double"))
 
 
-def finite_or_inf(col: Column) -> Column:
+def no_nan(col: Column) -> Column:
     """NaN becomes NULL. In Spark NaN is larger than any number and would pass ``> 0``."""
-    return F.when(~F.isnan(col), col)
+    return F.nullif(col, F.lit(float("nan")))
 
 
 def not_a_number(col: Column) -> Column:
     """True for a value that is present but does not parse."""
-    return null_tokens(col).isNotNull() & to_number(col).isNull()
+    return F.coalesce(to_number(col).isNull() & ~F.trim(col).isin(*NULL_TOKENS), F.lit(False))
 
 
 def safe_float(col: Column, default: float = 0.0) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.numbers import finite_or_inf, not_a_number, null_tokens, to_number
+from ledgerlake.functions.numbers import no_nan, not_a_number, null_tokens, to_number
 from ledgerlake.functions.texts import iso_text
 from ledgerlake.settings import BRONZE_CREATED_BY, RAW_COLUMNS
 
@@ -34,7 +34,7 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None =
     price = F.col("price").cast("string")
     return raw.select(
         null_tokens(F.col("timestamp").cast("string")).alias("timestamp"),
-        to_number(null_tokens(price)).alias("price"),
+        to_number(price).alias("price"),
         null_tokens(F.col("user_id").cast("string")).alias("user_id"),
         iso_text(F.current_timestamp()).alias("bronze_created_at"),
         F.lit(BRONZE_CREATED_BY).alias("bronze_created_by"),
@@ -47,7 +47,7 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None =
 
 def reject_reason(df: DataFrame) -> Column:
     """Why a row is rejected; NULL for a row that is kept."""
-    price = finite_or_inf(F.col("price"))
+    price = no_nan(F.col("price"))
     reason = F.when(price.isNull(), F.lit(MISSING)).when(price <= 0, F.lit(NON_POSITIVE))
     if "bad_price" in df.columns:
         return F.when(F.col("bad_price").isNotNull(), F.lit(UNPARSEABLE)).otherwise(reason)
@@ -60,8 +60,12 @@ def judge(df: DataFrame) -> DataFrame:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Rows that pass. The two conditions reach the Parquet scan as pushed filters."""
-    return df.where(F.col("price").isNotNull() & (F.col("price") > 0) & ~F.isnan("price"))
+    """Rows that pass: no NULL, no NaN, above zero.
+
+    NaN is larger than infinity, so the upper bound keeps it out; unlike a NaN test, both
+    bounds reach the Parquet scan as pushed filters.
+    """
+    return df.where((F.col("price") > 0) & (F.col("price") <= float("inf")))
 
 
 def rejected(df: DataFrame) -> DataFrame:

@@ -69,31 +69,32 @@ def with_running(sliced: DataFrame, group: Sequence[str], weight: str, name: str
     )
 
 
-def with_neighbours(sliced: DataFrame, group: Sequence[str], value: Column, prefix: str) -> DataFrame:
+def with_neighbours(
+    sliced: DataFrame, group: Sequence[str], value: Column, prefix: str, sides: Sequence[str] = ("before", "after")
+) -> DataFrame:
     """Adds the nearest non-null ``value`` before and after each row of its group.
 
     ``{prefix}_before`` is the last one up to the row, ``{prefix}_after`` the first one from it.
+    The latter is a running value in reverse order: a frame that reaches to the end of the
+    partition would be evaluated anew for every row.
     """
     marked = sliced.withColumn("_value", value)
-    slices = marked.groupBy(*group, "_slice").agg(
-        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_row"))).alias("_last"),
-        F.min_by("_value", F.when(F.col("_value").isNotNull(), F.col("_row"))).alias("_first"),
-    )
-    by_slice = Window.partitionBy(*group).orderBy("_slice")
-    carried = slices.select(
-        *group, "_slice",
-        F.last("_last", ignorenulls=True).over(by_slice.rowsBetween(Window.unboundedPreceding, -1)).alias("_from_left"),
-        F.first("_first", ignorenulls=True).over(by_slice.rowsBetween(1, Window.unboundedFollowing)).alias("_from_right"),
-    )
-    inside = Window.partitionBy(*group, "_slice").orderBy("_row")
-    left = F.last("_value", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    right = F.first("_value", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
-    return (
-        marked.join(written(carried, "carried"), [*group, "_slice"])
-        .withColumn(f"{prefix}_before", F.coalesce(left, F.col("_from_left")))
-        .withColumn(f"{prefix}_after", F.coalesce(right, F.col("_from_right")))
-        .drop("_value", "_from_left", "_from_right")
-    )
+    place = F.when(F.col("_value").isNotNull(), F.col("_row"))
+    nearest = {"before": F.max_by("_value", place), "after": F.min_by("_value", place)}
+    slices = marked.groupBy(*group, "_slice").agg(*[nearest[s].alias(f"_{s}") for s in sides])
+
+    def running(column: str, by: str, side: str, upto: int) -> Column:
+        order = F.col(by).asc() if side == "before" else F.col(by).desc()
+        keys = [*group] if by == "_slice" else [*group, "_slice"]
+        frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, upto)
+        return F.last(column, ignorenulls=True).over(frame)
+
+    carried = slices.select(*group, "_slice", *[running(f"_{s}", "_slice", s, -1).alias(f"_from_{s}") for s in sides])
+    out = marked.join(written(carried, "carried"), [*group, "_slice"])
+    for side in sides:
+        near = F.coalesce(running("_value", "_row", side, 0), F.col(f"_from_{side}"))
+        out = out.withColumn(f"{prefix}_{side}", near).drop(f"_from_{side}")
+    return out.drop("_value")
 
 
 def quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[float]) -> DataFrame:

@@ -124,9 +124,10 @@ def fill_prices(rows: DataFrame, strategy: str, order: Sequence[str]) -> DataFra
     """Adds ``filled_price``: missing prices by ``median`` or ``mean`` of the source, or by the
     nearest price before (``forward_fill``) or after (``backward_fill``) in ``order``."""
     if strategy in ("forward_fill", "backward_fill"):
-        near = with_neighbours(slice_in_order(rows, ["source_file"], order), ["source_file"], F.col("price"), "_price")
-        side = "_price_before" if strategy == "forward_fill" else "_price_after"
-        return near.withColumn("filled_price", F.col(side)).drop("_price_before", "_price_after", "_slice", "_row")
+        side = "before" if strategy == "forward_fill" else "after"
+        sliced = slice_in_order(rows, ["source_file"], order)
+        near = with_neighbours(sliced, ["source_file"], F.col("price"), "_price", [side])
+        return near.withColumnRenamed(f"_price_{side}", "filled_price").drop("_slice", "_row")
     if strategy == "median":
         middle = quantiles(rows, ["source_file"], "price", [0.5]).withColumnRenamed("q_0_5", "_fill")
     elif strategy == "mean":

@@ -166,7 +166,7 @@ def batch_status_latest(spark, sf_dir):
         F.when(F.col("event_no") == 2, F.col("rows_processed")).alias("rows_processed"),
         F.when(F.col("event_no") == 2, F.col("rows_rejected")).alias("rows_rejected"),
         (at + F.make_interval(secs=F.col("event_no"))).alias("event_time"),
-        nothing.alias("error_message"), nothing.alias("stats_snapshot"), F.lit("main").alias("phase"),
+        nothing.alias("error_message"), F.lit("main").alias("phase"),
         F.lit(0).cast("bigint").alias("ingest_batch"),
         F.when(F.col("event_no") == 2, end).otherwise("processing").alias("status"),
     )
@@ -755,10 +755,12 @@ def stream_history(spark, sf_dir):
     for source in FEED.expected:  # one load per source, in processing order
         _bronze_part(spark, sf_dir, f"{lake}/bronze", F.col("source_file") == source)
         ingest.ingest_available(ingest.bronze_stream(spark, f"{lake}/bronze"), store, ingest.MAIN)
-    return store.history(spark).select(
+    history = store.history(spark).select(
         "phase", "ingest_batch", "rows_in", "rows_rejected", "rows_processed", "running_count_before",
         "running_count_after", "running_avg_after",
     )
+    status = store.batch_metadata(spark).select("phase", "ingest_batch", "status")
+    return history.join(status, ["phase", "ingest_batch"])
 
 
 @query

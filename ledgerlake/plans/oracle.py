@@ -437,7 +437,7 @@ WHERE reject_reason IS NOT NULL GROUP BY ALL""",
     "stream_history": f"""WITH {_DIRTY}, p AS (SELECT feed_no, count(*) AS rows_in, count(reject_reason) AS rows_rejected,
   count(*) FILTER (reject_reason IS NULL) AS rows_processed,
   SUM(CAST(price AS DECIMAL(18,2))) FILTER (reject_reason IS NULL) AS s FROM judged GROUP BY 1)
-SELECT 'main' AS phase, feed_no - 1 AS ingest_batch, rows_in, rows_rejected, rows_processed,
+SELECT 'main' AS phase, 'completed' AS status, feed_no - 1 AS ingest_batch, rows_in, rows_rejected, rows_processed,
   CAST(SUM(rows_processed) OVER w - rows_processed AS BIGINT) AS running_count_before,
   CAST(SUM(rows_processed) OVER w AS BIGINT) AS running_count_after,
   CAST(SUM(s) OVER w AS DOUBLE) / CAST(SUM(rows_processed) OVER w AS BIGINT) AS running_avg_after

@@ -111,7 +111,7 @@ def load_phase(spark: SparkSession, layout: Layout, feed: Feed, phase: str, scal
 def verify_store(spark: SparkSession, store: Store, layout: Layout, run_id: str, publish: bool = True) -> DataFrame:
     """Reconcile state and store, and put the result into the audit table."""
     state, direct = store.state(spark), direct_stats(store.transactions(spark), store.scale)
-    comparison = reconcile(state, direct)
+    comparison = written(reconcile(state, direct), "comparison")
     if publish:
         append_audit(audit_row(state, direct, comparison, run_id), layout.audit)
     return verdict(comparison)

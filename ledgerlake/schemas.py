@@ -21,8 +21,7 @@ TRANSACTIONS = (
 
 BATCH_EVENTS = (
     "batch_id string, event_no int, rows_processed bigint, rows_rejected bigint, "
-    "event_time timestamp, error_message string, stats_snapshot string, status string, "
-    "phase string, ingest_batch bigint"
+    "event_time timestamp, error_message string, status string, phase string, ingest_batch bigint"
 )
 
 BATCH_PARTIALS = (

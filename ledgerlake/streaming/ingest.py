@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.functions.numbers import exact_sum
-from ledgerlake.functions.texts import null_safe_json
-from ledgerlake.operators.batches import running_history
+from ledgerlake.operators.batches import running_history, snapshots
 from ledgerlake.operators.clean import to_transactions
 from ledgerlake.operators.stats import merge_partials
 from ledgerlake.sinks.tables import overwrite_partitions
-from ledgerlake.workspace import written
+from ledgerlake.workspace import read_if_any, written
 
 PARTIAL_NAMES = ("count", "sum", "min", "max")
 MAIN, HELD_OUT_PHASE = "main", "held_out"
+BATCH_KEY = ("phase", "ingest_batch")
+_EVENT_ORDER = {"processing": 1, "failed": 2, "completed": 3}
 
 
 @dataclass(frozen=True)
@@ -98,6 +99,14 @@ class Store:
         history = running_history(numbered, (MAIN, HELD_OUT_PHASE), self.scale)
         return history.withColumnRenamed("source_file", "phase").withColumn("ingest_batch", F.col("batch_number") - 1)
 
+    def batch_metadata(self, spark: SparkSession) -> DataFrame:
+        """Latest status of every batch, with the state as it was before the batch."""
+        history = self.history(spark).withColumn("source_file", F.col("phase"))
+        before = snapshots(history).select(
+            F.col("source_file").alias("phase"), (F.col("batch_number") - 1).alias("ingest_batch"), "stats_snapshot"
+        )
+        return latest_status(self.events(spark)).join(before, list(BATCH_KEY), "left")
+
     def statistics(self, spark: SparkSession) -> DataFrame:
         """The statistics table: the state with its times and version."""
         times = self.events(spark).agg(
@@ -118,7 +127,7 @@ def latest_status(events: DataFrame) -> DataFrame:
         latest.alias("r"), started.alias("processing_start"), F.max("event_time").alias("processing_end")
     ).select(
         "batch_id", "r.status", "r.rows_processed", "r.rows_rejected", "processing_start", "processing_end",
-        "r.error_message", "r.stats_snapshot", "r.phase", "r.ingest_batch",
+        "r.error_message", "r.phase", "r.ingest_batch",
     )
 
 
@@ -151,66 +160,58 @@ def _batch_id(phase: str, ingest_batch: int) -> Column:
 
 def _log(
     spark: SparkSession, store: Store, phase: str, ingest_batch: int, status: str, counts: DataFrame | None = None,
-    error: str | None = None, snapshot: DataFrame | None = None,
+    error: str | None = None,
 ) -> None:
-    numbers = counts if counts is not None else spark.range(1).select(
-        F.lit(None).cast("bigint").alias("rows_processed"), F.lit(None).cast("bigint").alias("rows_rejected")
-    )
-    before = snapshot.select(null_safe_json(F.struct("count", "sum", "min", "max", "avg")).alias("j")).scalar() if (
-        snapshot is not None
-    ) else F.lit(None).cast("string")
-    order = {"processing": 1, "failed": 2, "completed": 3}[status]
-    row = numbers.select(
-        _batch_id(phase, ingest_batch).alias("batch_id"), F.lit(order).alias("event_no"), "rows_processed",
-        "rows_rejected", F.current_timestamp().alias("event_time"),
-        F.lit(error).cast("string").alias("error_message"), before.alias("stats_snapshot"),
-        F.lit(phase).alias("phase"), F.lit(ingest_batch).cast("bigint").alias("ingest_batch"), F.lit(status).alias("status"),
+    if counts is None:
+        nothing = F.lit(None).cast("bigint")
+        counts = spark.range(0, 1, 1, 1).select(nothing.alias("rows_processed"), nothing.alias("rows_rejected"))
+    row = counts.select(
+        _batch_id(phase, ingest_batch).alias("batch_id"), F.lit(_EVENT_ORDER[status]).alias("event_no"),
+        "rows_processed", "rows_rejected", F.current_timestamp().alias("event_time"),
+        F.lit(error).cast("string").alias("error_message"), F.lit(phase).alias("phase"),
+        F.lit(ingest_batch).cast("bigint").alias("ingest_batch"), F.lit(status).alias("status"),
     )
-    overwrite_partitions(row, store.events_path, ["status", "phase", "ingest_batch"])
+    overwrite_partitions(row, store.events_path, [*BATCH_KEY, "status"])
+
+
+def _own_part(spark: SparkSession, path: str, schema: str, phase: str, ingest_batch: int) -> DataFrame:
+    """What one micro-batch has written to a table. Only its folder is listed, so the cost of
+    a batch does not grow with the number of batches before it."""
+    return read_if_any(spark, f"{path}/phase={phase}/ingest_batch={ingest_batch}", schema, base=path)
 
 
 def load_batch(rows: DataFrame, ingest_batch: int, store: Store, phase: str) -> None:
     """Load one micro-batch: rows, then their partial statistics, then the event.
 
     Rows are judged and written in one pass. Partials are computed from what was written,
-    reading two columns, so they agree with the store by construction.
+    so they agree with the store by construction.
     """
     spark = rows.sparkSession
+    key = {"phase": F.lit(phase), "ingest_batch": F.lit(ingest_batch).cast("bigint")}
     _log(spark, store, phase, ingest_batch, "processing")
     try:
         outcome = F.when(F.col("reject_reason").isNull(), "kept").otherwise("rejected")
-        keyed = to_transactions(rows, _batch_id(phase, ingest_batch)).select(
-            "*", outcome.alias("outcome"), F.lit(phase).alias("phase"), F.lit(ingest_batch).cast("bigint").alias("ingest_batch")
-        )
-        overwrite_partitions(keyed, store.rows_path, ["outcome", "phase", "ingest_batch"])
-        mine = (F.col("phase") == phase) & (F.col("ingest_batch") == ingest_batch)
-        stored = store.all_rows(spark).where(mine)
+        loaded = to_transactions(rows, _batch_id(phase, ingest_batch)).withColumns({**key, "outcome": outcome})
+        overwrite_partitions(loaded, store.rows_path, [*BATCH_KEY, "outcome"])
+        stored = _own_part(spark, store.rows_path, schemas.TRANSACTIONS, phase, ingest_batch)
         price = F.when(F.col("outcome") == "kept", F.col("price"))
         partial = stored.groupBy("source_file", "bronze_version").agg(
             F.count("*").alias("rows_in"), F.count_if(F.col("outcome") == "rejected").alias("rows_rejected"),
             F.count(price).alias("count"), exact_sum(price, store.scale).alias("sum"),
             F.min(price).alias("min"), F.max(price).alias("max"),
-        ).select("*", F.lit(phase).alias("phase"), F.lit(ingest_batch).cast("bigint").alias("ingest_batch"))
-        overwrite_partitions(partial, store.partials_path, ["phase", "ingest_batch"])
-        counts = store.all_partials(spark).where(mine).agg(
+        )
+        overwrite_partitions(partial.withColumns(key), store.partials_path, BATCH_KEY)
+        mine = _own_part(spark, store.partials_path, schemas.BATCH_PARTIALS, phase, ingest_batch)
+        counts = mine.agg(
             F.coalesce(F.sum("count"), F.lit(0)).alias("rows_processed"),
             F.coalesce(F.sum("rows_rejected"), F.lit(0)).alias("rows_rejected"),
         )
-        earlier = merge_partials(_earlier(store.partials(spark), phase, ingest_batch), store.scale, names=PARTIAL_NAMES)
-        _log(spark, store, phase, ingest_batch, "completed", counts, snapshot=earlier)
+        _log(spark, store, phase, ingest_batch, "completed", counts)
     except Exception as problem:
         _log(spark, store, phase, ingest_batch, "failed", error=str(problem)[:2000])
         raise
 
 
-def _earlier(partials: DataFrame, phase: str, ingest_batch: int) -> DataFrame:
-    """Partials of the batches before this one; the held-out phase comes after the main one."""
-    earlier = (F.col("phase") == phase) & (F.col("ingest_batch") < ingest_batch)
-    if phase != MAIN:
-        earlier = earlier | (F.col("phase") == MAIN)
-    return partials.where(earlier)
-
-
 def bronze_stream(
     spark: SparkSession, bronze_path: str, wanted: Callable[[DataFrame], DataFrame] | None = None,
     max_files: int | None = None,

@@ -34,10 +34,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ledgerlake/{name}-{uuid.uuid4().hex}"
 
 
-def read_if_any(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A written table, or an empty one when nothing has been written yet."""
+def read_if_any(spark: SparkSession, path: str, schema: StructType | str, base: str | None = None) -> DataFrame:
+    """A written table, or an empty one when nothing has been written yet.
+
+    ``base`` is the table that ``path`` is a partition of.
+    """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", base or path).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise

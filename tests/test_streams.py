@@ -36,7 +36,7 @@ def test_two_phases_share_the_state(spark, layout):
     drift = run.phase_drift(spark, store).first()
     assert (drift["count_added"], drift["new_min"], drift["new_max"]) == (2, True, True)
     assert store.rejects(spark).count() == 6 and store.transactions(spark).count() == 33
-    snapshot = store.events(spark).where("status = 'completed' and phase = 'held_out'").first()["stats_snapshot"]
+    snapshot = store.batch_metadata(spark).where("status = 'completed' and phase = 'held_out'").first()["stats_snapshot"]
     assert snapshot.startswith('{"count":31,"sum":447.5')
     history = store.history(spark).orderBy("batch_seq").collect()
     assert [(r["phase"], r["running_count_after"]) for r in history] == [("main", 31), ("held_out", 33)]
@@ -141,6 +141,13 @@ def test_changed_source_replaces_its_rows(spark, raw_layout):
     assert store.rejects(spark).where("source_file = 'b.csv'").count() == 1
 
 
+def test_files_of_the_other_phase_make_empty_batches(spark, tmp_path, bronze_rows):
+    layout = run.Layout(raw="", lake=str(tmp_path / "lake"))
+    write_bronze(bronze_rows(HELD), layout.bronze)
+    store = run.load_phase(spark, layout, FEED, ingest.MAIN, 2)
+    assert [(r["status"], r["rows_processed"]) for r in ingest.latest_status(store.events(spark)).collect()] == [("completed", 0)]
+
+
 def test_small_micro_batches_give_the_same_state(spark, layout):
     store = run.load_phase(spark, layout, FEED, ingest.MAIN, 2, max_files=1)
     assert state_of(store, spark) == (31, sum(KEPT_MAIN), 1.0, 29.0)

@@ -202,8 +202,9 @@ def lineitem_incremental(spark, sf_dir):
 @query
 def lineitem_history(spark, sf_dir):
     """Running history of the largest table in batches of a thousand rows."""
-    rows = inputs.lineitems(spark, sf_dir).select("source_file", "price", "event_id", "line", "seller", "item")
-    numbered = batches.number_batches(rows, ["event_id", "line", "item", "seller", "price"])
+    order = ["event_id", "line", "item", "seller", "price", "row_file", "row_no"]
+    rows = inputs.lineitems(spark, sf_dir).select("source_file", *order)
+    numbered = batches.number_batches(rows, order)
     history = batches.running_history(batches.batch_partials(numbered, PRICE_SCALE), inputs.LINEITEM_SOURCES, PRICE_SCALE)
     return history.select(
         "source_file", "batch_number", "batch_seq", "rows_processed", "running_count_after", "running_sum_after",

@@ -165,9 +165,12 @@ def run_all(
 
     def report() -> tuple[int, str]:
         store = layout.store(scale)
-        row = report_row(
-            count_sources(list_files(spark, layout.bronze, "*.parquet")),
-            report_stats(store.transactions(spark), scale), store.state(spark), batch_size,
+        row = written(
+            report_row(
+                count_sources(list_files(spark, layout.bronze, "*.parquet")),
+                report_stats(store.transactions(spark), scale), store.state(spark), batch_size,
+            ),
+            "report",
         )
         if publish:
             write_report(row, report_lines(row), layout.reports)

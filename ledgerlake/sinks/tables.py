@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.gold import gold_table, period
+from ledgerlake.workspace import written
 
 
 def overwrite_partitions(
@@ -49,9 +50,10 @@ def write_gold(gold: DataFrame, path: str) -> None:
 def refresh_gold(store: DataFrame, new_rows: DataFrame, level: str, path: str, scale: int | None = None) -> None:
     """Rebuild only the periods that new rows touch; all others stay as written.
 
-    The touched periods are at most one row per calendar period.
+    The touched periods are one row per calendar period; they are written first, so that the
+    planner sees how few they are and does not move the store's rows to find them.
     """
-    touched = new_rows.select(period(F.col("ts"), level).alias("_period")).distinct()
+    touched = written(new_rows.select(period(F.col("ts"), level).alias("_period")).distinct(), "touched")
     again = store.withColumn("_period", period(F.col("ts"), level)).join(touched, "_period", "left_semi")
     write_gold(gold_table(again.drop("_period"), level, scale), path)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,9 +38,19 @@ def windowed_prices(stream: DataFrame, scale: int | None = None, length: str = "
     )
 
 
-def without_copies(stream: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Drops copies of a transaction that arrive within ``late`` of event time."""
-    return stream.withWatermark("ts", late).dropDuplicatesWithinWatermark(["ts", "user_id", "price"])
+def without_copies(stream: DataFrame, late: str = "1 hour", key: Sequence[str] = ("ts", "user_id", "price")) -> DataFrame:
+    """Drops copies of a transaction that arrive within ``late`` of event time.
+
+    Copies are dropped per input task first and across tasks second, so a transaction that
+    is copied millions of times does not send all its copies to one task.
+    """
+    return (
+        stream.withColumn("_task", F.spark_partition_id())
+        .withWatermark("ts", late)
+        .dropDuplicatesWithinWatermark([*key, "_task"])
+        .dropDuplicatesWithinWatermark(list(key))
+        .drop("_task")
+    )
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str, partition_by: str | None = None) -> None:

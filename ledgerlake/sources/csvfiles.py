@@ -11,15 +11,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerlake import schemas
 from ledgerlake.functions.texts import size_two_decimals, source_name
 from ledgerlake.settings import RAW_COLUMNS
-from ledgerlake.sources.remote import header_batches
+from ledgerlake.sources.remote import HEADER_SCHEMA, header_batches
 from ledgerlake.workspace import written
 
 
 def csv_headers(files: DataFrame) -> DataFrame:
     """Header of every file of a listing: (path, source_file, columns). Reads first lines only."""
-    return files.select("path", "source_file").mapInPandas(
-        header_batches, "path string, source_file string, columns array<string>"
-    )
+    return files.select("path", "source_file").mapInArrow(header_batches, HEADER_SCHEMA)
 
 
 def missing_columns(headers: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ledgerlake import schemas
 from ledgerlake.functions.texts import size_one_decimal
-from ledgerlake.sources.remote import footer_batches
+from ledgerlake.sources.remote import FOOTER_SCHEMA, footer_batches
 
 
 def read_bronze(spark: SparkSession, path: str, sources: Sequence[str] | None = None) -> DataFrame:
@@ -35,11 +35,8 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 
 def parquet_footers(files: DataFrame) -> DataFrame:
     """Footer facts per file, without reading data. A file that cannot be read has an ``error``."""
-    out = (
-        "path string, source_file string, file_size bigint, modified_at timestamp, row_count bigint, "
-        "column_count int, row_groups int, compression string, columns array<string>, error string"
-    )
-    return files.select("path", "source_file", "file_size", "modified_at").mapInPandas(footer_batches, out)
+    known = files.select("path", "source_file", "file_size", "modified_at")
+    return known.mapInArrow(footer_batches, FOOTER_SCHEMA)
 
 
 def parquet_profile(footers: DataFrame) -> DataFrame:

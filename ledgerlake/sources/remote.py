@@ -8,7 +8,17 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+
+HEADER_SCHEMA = "path string, source_file string, columns array<string>"
+FOOTER_SCHEMA = (
+    "path string, source_file string, file_size bigint, modified_at timestamp, row_count bigint, "
+    "column_count int, row_groups int, compression string, columns array<string>, error string"
+)
+_FOOTER_TYPES = {
+    "row_count": pa.int64(), "column_count": pa.int32(), "row_groups": pa.int32(), "compression": pa.string(),
+    "columns": pa.list_(pa.string()), "error": pa.string(),
+}
 
 
 def _open(uri: str):
@@ -16,7 +26,8 @@ def _open(uri: str):
 
     scheme, _, rest = uri.partition(":")
     scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    return fs.FileSystem.from_uri(f"{scheme}://{'/' + rest.lstrip('/') if scheme == 'file' else rest.lstrip('/')}")
+    path = rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"file:///{path}" if scheme == "file" else f"{scheme}://{path}")
 
 
 def first_line(uri: str, chunk: int = 65536) -> str:
@@ -31,29 +42,35 @@ def first_line(uri: str, chunk: int = 65536) -> str:
     return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
 
 
-def header_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in batches:
-        columns = [next(csv.reader([first_line(p)]), []) for p in frame["path"]]
-        yield frame.assign(columns=columns)
+def header_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = [next(csv.reader([first_line(path.as_py())]), []) for path in batch["path"]]
+        yield batch.append_column("columns", pa.array(columns, pa.list_(pa.string())))
 
 
-def footer_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _footer(uri: str) -> dict:
     import pyarrow.parquet as pq
 
-    for frame in batches:
-        rows = []
-        for uri in frame["path"]:
+    files, path = _open(uri)
+    with files.open_input_file(path) as handle:
+        meta = pq.ParquetFile(handle).metadata
+    return {
+        "row_count": meta.num_rows,
+        "column_count": meta.num_columns,
+        "row_groups": meta.num_row_groups,
+        "compression": meta.row_group(0).column(0).compression if meta.num_row_groups else "unknown",
+        "columns": [meta.schema.column(i).path for i in range(meta.num_columns)],
+    }
+
+
+def footer_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path in batch["path"]:
             try:
-                files, path = _open(uri)
-                with files.open_input_file(path) as handle:
-                    meta = pq.ParquetFile(handle).metadata
-                codec = meta.row_group(0).column(0).compression if meta.num_row_groups else "unknown"
-                names = [meta.schema.column(i).path for i in range(meta.num_columns)]
-                rows.append((meta.num_rows, meta.num_columns, meta.num_row_groups, codec, names, None))
+                found.append(_footer(path.as_py()))
             except Exception as problem:  # a corrupt file is a finding, not a failure
-                rows.append((None, None, None, None, None, str(problem)))
-        names = ["row_count", "column_count", "row_groups", "compression", "columns", "error"]
-        found = pd.DataFrame(rows, columns=names).astype(
-            {"row_count": "Int64", "column_count": "Int32", "row_groups": "Int32"}
-        )
-        yield pd.concat([frame.reset_index(drop=True), found], axis=1)
+                found.append({"error": str(problem)})
+        for name, kind in _FOOTER_TYPES.items():
+            batch = batch.append_column(name, pa.array([f.get(name) for f in found], kind))
+        yield batch

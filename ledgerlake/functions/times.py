@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from ledgerlake.settings import TIMESTAMP_FORMATS
 
 
+_STARTS_WITH_DAY = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
+
+
 def parse_timestamp(text: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """First format that fits wins; text that fits none becomes NULL."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
+    """ISO 8601 with ``T`` or a blank, else the first format that fits; NULL when none does.
+
+    ISO text goes through the cast, which reads no pattern and raises nothing for a misfit;
+    the test in front keeps out bare years and times, which the cast would complete.
+    """
+    others = F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
+    return F.when(text.rlike(_STARTS_WITH_DAY), text.try_cast("timestamp")).otherwise(others)
 
 
 def within_days(at: Column, first_day: str, last_day: str) -> Column:

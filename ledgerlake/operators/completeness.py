@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.numbers import ceil_div, saved_percent
 from ledgerlake.settings import BATCH_SIZE, GATE_FILES, LAYER_OK_FILES
+from ledgerlake.workspace import literal_rows
 
 
 def expected_sources(spark: SparkSession, expected: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([(n, s) for n, s in enumerate(expected, 1)], "feed_no int, source_file string")
+    return literal_rows(spark, "feed_no int, source_file string", list(enumerate(expected, 1)))
 
 
 def missing_sources(present: DataFrame, expected: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,27 +47,25 @@ def verdict(comparison: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def compare_sources(sources: DataFrame, reference: str, tolerance: float = TOLERANCE) -> DataFrame:
-    """Every source against the reference source.
+def compare_sources(sources: Mapping[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
+    """Every source of statistics against the first one, metric by metric.
 
-    ``sources`` has one row of statistics per ``source``; the comparison is an equi-join on
-    the metric between a handful of rows per source and the four of the reference.
+    ``sources`` maps names to one-row statistics; the comparison is an equi-join on the
+    metric between four rows per source and the four of the reference.
     """
-    long = metrics_long(sources, ["source"]).where(F.col("metric").isin(*STATS_METRICS))
-    base = long.where(F.col("source") == reference).select("metric", F.col("value").alias("reference_value"))
-    others = long.where(F.col("source") != reference).withColumnRenamed("value", "compare_value")
+    if len(sources) < 2:
+        raise ValueError("at least two sources are needed for a comparison")
+    (_, reference), *others = sources.items()
+    compared = F.col("metric").isin(*STATS_METRICS)
+    base = metrics_long(reference, value="reference_value").where(compared)
+    named = [metrics_long(df, value="compare_value").withColumn("source", F.lit(name)) for name, df in others]
     a, b = F.col("reference_value"), F.col("compare_value")
-    return others.join(base, "metric").select(
+    return reduce(DataFrame.unionByName, named).join(base, "metric").select(
         "source", "metric", "reference_value", "compare_value",
         F.abs(a - b).alias("difference"), close_to(a, b, tolerance).alias("matches"),
     )
 
 
-def require_two_sources(sources: DataFrame) -> None:
-    if len(sources.select("source").distinct().limit(2).collect()) < 2:
-        raise ValueError("at least two sources are needed for a comparison")
-
-
 def held_out_drift(partials: DataFrame, held_out: str, scale: int | None = None) -> DataFrame:
     """Statistics before and after the held-out source, and what it changed.
 

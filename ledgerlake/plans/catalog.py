@@ -17,7 +17,7 @@ from ledgerlake.plans import inputs, report, run
 from ledgerlake.plans.inputs import FEED, NARROW_FEED, PRICE_SCALE
 from ledgerlake.sinks import tables as sinks
 from ledgerlake.sources import csvfiles, listing, parquetfiles
-from ledgerlake.sources.tables import query_store
+from ledgerlake.sources.tables import query_store, read_state
 from ledgerlake.streaming import ingest, live
 from ledgerlake.workspace import fresh_path, written
 
@@ -328,10 +328,18 @@ def batch_ids(spark, sf_dir):
 
 @query
 def state_json(spark, sf_dir):
-    """State written as JSON text and read back."""
-    state = stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE, ["source_file"])
-    text = state.select("source_file", texts.null_safe_json(F.struct("count", "sum", "min", "max", "avg")).alias("j"))
-    return text.select("source_file", F.from_json("j", schemas.STATE_JSON).alias("s")).select("source_file", "s.*")
+    """State per source written as a JSON file and loaded again."""
+    path = fresh_path(spark, "state")
+    sinks.write_state(stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE, ["source_file"]), path)
+    return read_state(spark, path, ["source_file"])
+
+
+@query
+def snapshot_values(spark, sf_dir):
+    """Snapshots decoded from their JSON text."""
+    text = batches.snapshots(_history(spark, sf_dir))
+    state = F.from_json("stats_snapshot", schemas.STATE_JSON)
+    return text.select("batch_id", state.alias("s")).select("batch_id", "s.*")
 
 
 # --- Reconciliation ----------------------------------------------------------------
@@ -346,8 +354,7 @@ def compare_sources(spark, sf_dir):
         "incremental": stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE),
         "uncleaned": stats.direct_stats(rows.where(F.col("price").isNotNull()), PRICE_SCALE),
     }
-    named = [df.select(F.lit(name).alias("source"), *reconcile.ALL_METRICS) for name, df in sides.items()]
-    return reconcile.compare_sources(named[0].unionByName(named[1]).unionByName(named[2]), "store")
+    return reconcile.compare_sources(sides)
 
 
 @query

@@ -317,6 +317,8 @@ SELECT source_file, batch_number, replace(source_file, '.csv', '') AS file_stem,
   replace(source_file, '.csv', '') || '_batch_' || printf('%04d', batch_number) || '_' || strftime(first_ts, '%Y%m%d_%H%M%S') AS stamped_id,
   md5(source_file || '/' || batch_number) AS batch_id, {_ISO.format('first_ts')} AS started_at FROM b""",
     "state_json": f"""WITH {_DIRTY} {_state('kept', group='source_file')}""",
+    "snapshot_values": f"""WITH {_history()} SELECT batch_id, running_count_before AS "count", running_sum_before AS "sum",
+  running_min_before AS "min", running_max_before AS "max", running_avg_before AS "avg" FROM history""",
     "compare_sources": f"""WITH {_DIRTY}, s AS ({_state('kept')}), u AS ({_state('(SELECT * FROM dirty WHERE price IS NOT NULL)')}),
 b AS ({_long('s', 'reference_value')}), c AS (
   SELECT 'incremental' AS source, metric, v AS compare_value FROM ({_long('s', 'v')})

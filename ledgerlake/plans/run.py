@@ -20,8 +20,8 @@ from ledgerlake.sinks.tables import append_audit, overwrite_partitions, write_br
 from ledgerlake.sources.csvfiles import read_csv_by_name
 from ledgerlake.sources.listing import count_sources, fingerprints, list_files
 from ledgerlake.sources.parquetfiles import parquet_footers, parquet_profile
-from ledgerlake.workspace import read_if_any, written
 from ledgerlake.streaming.ingest import HELD_OUT_PHASE, MAIN, Store, bronze_stream, ingest_available
+from ledgerlake.workspace import literal_rows, read_if_any, written
 
 
 @dataclass
@@ -50,9 +50,10 @@ class RunLog:
         )
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.entries,
+        return literal_rows(
+            spark,
             "step_no int, step string, critical boolean, status string, rows bigint, seconds double, message string",
+            self.entries,
         )
 
 
@@ -99,12 +100,24 @@ def convert_to_bronze(spark: SparkSession, raw: str, bronze: str) -> None:
     overwrite_partitions(todo, manifest, ["source_file"])
 
 
-def load_phase(spark: SparkSession, layout: Layout, feed: Feed, phase: str, scale: int | None, max_files: int | None = None) -> Store:
-    """Load the main sources, or the held-out one, into the store."""
+def load_phase(
+    spark: SparkSession, layout: Layout, feed: Feed, phase: str, scale: int | None, max_files: int | None = None,
+    verify_every: int = 0,
+) -> Store:
+    """Load the main sources, or the held-out one, into the store.
+
+    ``verify_every`` reconciles after every so many micro-batches; each time re-reads the store.
+    """
     store = layout.store(scale)
     held_out = F.col("source_file") == feed.held_out
     pick = held_out if phase == HELD_OUT_PHASE else ~held_out
-    ingest_available(bronze_stream(spark, layout.bronze, lambda rows: rows.where(pick), max_files), store, phase)
+
+    def verify(number: int) -> None:
+        if verify_every and (number + 1) % verify_every == 0:
+            verify_store(spark, store, layout, f"{phase}-{number}")
+
+    stream = bronze_stream(spark, layout.bronze, lambda rows: rows.where(pick), max_files)
+    ingest_available(stream, store, phase, verify)
     return store
 
 

@@ -50,13 +50,8 @@ PROCESSING_VERSION = "1.0"
 LAYER_OK_FILES = 5
 GATE_FILES = 6
 
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy",
-)
+# Tried after ISO 8601, which Spark's own cast reads.
+TIMESTAMP_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy")
 
 
 @dataclass(frozen=True)

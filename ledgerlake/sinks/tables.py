@@ -63,6 +63,11 @@ def write_invalid(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_state(state: DataFrame, path: str) -> None:
+    """Statistics as JSON, one row per group or a single one; NULL fields are kept."""
+    state.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def append_audit(audit: DataFrame, path: str) -> None:
     """Audit rows under their run; writing a run again replaces its row."""
     overwrite_partitions(audit, path, ["run_id"])

@@ -11,13 +11,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerlake import schemas
 from ledgerlake.functions.texts import size_two_decimals, source_name
 from ledgerlake.settings import RAW_COLUMNS
+from ledgerlake.sources.listing import spread
 from ledgerlake.sources.remote import HEADER_SCHEMA, header_batches
-from ledgerlake.workspace import written
+from ledgerlake.workspace import literal_rows, written
 
 
 def csv_headers(files: DataFrame) -> DataFrame:
     """Header of every file of a listing: (path, source_file, columns). Reads first lines only."""
-    return files.select("path", "source_file").mapInArrow(header_batches, HEADER_SCHEMA)
+    return spread(files.select("path", "source_file")).mapInArrow(header_batches, HEADER_SCHEMA)
 
 
 def missing_columns(headers: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> DataFrame:
@@ -73,8 +74,7 @@ def read_csv_by_name(
         paths = [r["path"] for r in same.select("path").toLocalIterator()]
         parts.append(_read_layout(spark, paths, row["columns"], required, multi_line))
     if not parts:
-        empty = StructType([StructField(c, StringType()) for c in (*required, "source_file")])
-        return spark.createDataFrame([], empty)
+        return literal_rows(spark, ", ".join(f"{c} string" for c in (*required, "source_file")), [])
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

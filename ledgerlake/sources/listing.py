@@ -31,6 +31,11 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     )
 
 
+def spread(files: DataFrame, per_task: int = 64) -> DataFrame:
+    """A listing dealt out so that a task opens about ``per_task`` files."""
+    return files.repartition(max(1, -(-files.count() // per_task)))
+
+
 def fingerprints(files: DataFrame) -> DataFrame:
     """What identifies the files of a source, whatever their order: number, bytes, newest, hash."""
     return files.groupBy("source_file").agg(

@@ -10,7 +10,9 @@ from pyspark.sql.types import StructType
 
 from ledgerlake import schemas
 from ledgerlake.functions.texts import size_one_decimal
+from ledgerlake.sources.listing import spread
 from ledgerlake.sources.remote import FOOTER_SCHEMA, footer_batches
+from ledgerlake.workspace import literal_rows
 
 
 def read_bronze(spark: SparkSession, path: str, sources: Sequence[str] | None = None) -> DataFrame:
@@ -36,7 +38,7 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 def parquet_footers(files: DataFrame) -> DataFrame:
     """Footer facts per file, without reading data. A file that cannot be read has an ``error``."""
     known = files.select("path", "source_file", "file_size", "modified_at")
-    return known.mapInArrow(footer_batches, FOOTER_SCHEMA)
+    return spread(known).mapInArrow(footer_batches, FOOTER_SCHEMA)
 
 
 def parquet_profile(footers: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def schema_difference(spark: SparkSession, old: StructType, new: StructType) ->
     """Fields added, removed or changed between two schemas."""
     def fields(schema: StructType) -> DataFrame:
         rows = [(f.name, f.dataType.simpleString()) for f in schema.fields]
-        return spark.createDataFrame(rows, "field string, type string")
+        return literal_rows(spark, "field string, type string", rows)
 
     before = fields(old).withColumnRenamed("type", "old_type")
     after = fields(new).withColumnRenamed("type", "new_type")

@@ -9,7 +9,7 @@ anew replaces its earlier rows: only the newest ``bronze_version`` of a source c
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,21 +34,29 @@ class Store:
 
     folder: str
     scale: int | None = None
+    generation: int = 1
+
+    def _path(self, table: str) -> str:
+        return f"{self.folder}/{self.generation}/{table}"
 
     @property
     def rows_path(self) -> str:
-        return f"{self.folder}/transactions"
+        return self._path("transactions")
 
     @property
     def partials_path(self) -> str:
-        return f"{self.folder}/batch_partials"
+        return self._path("batch_partials")
 
     @property
     def events_path(self) -> str:
-        return f"{self.folder}/batch_events"
+        return self._path("batch_events")
 
     def checkpoint(self, phase: str) -> str:
-        return f"{self.folder}/checkpoints/{phase}"
+        return self._path(f"checkpoints/{phase}")
+
+    def reset(self) -> Store:
+        """An empty store to start over with: new tables, new checkpoints, the old ones untouched."""
+        return replace(self, generation=self.generation + 1)
 
     def all_rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(schemas.TRANSACTIONS).parquet(self.rows_path)
@@ -224,14 +232,23 @@ def bronze_stream(
     return wanted(rows) if wanted else rows
 
 
-def ingest_available(stream: DataFrame, store: Store, phase: str) -> None:
+def ingest_available(
+    stream: DataFrame, store: Store, phase: str, after_batch: Callable[[int], None] | None = None
+) -> None:
     """Load everything that has arrived since the last run of this phase, then stop.
 
     Run again after a failure or after new files came in, it goes on where the checkpoint
-    left off. Phases have their own checkpoint and share the state.
+    left off. Phases have their own checkpoint and share the state. ``after_batch`` is
+    called with the number of every loaded batch.
     """
+
+    def load(rows: DataFrame, number: int) -> None:
+        load_batch(rows, number, store, phase)
+        if after_batch:
+            after_batch(number)
+
     query = (
-        stream.writeStream.foreachBatch(lambda rows, number: load_batch(rows, number, store, phase))
+        stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", store.checkpoint(phase))
         .trigger(availableNow=True)
         .start()

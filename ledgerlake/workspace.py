@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _own_folders: dict[str, str] = {}
@@ -34,6 +36,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ledgerlake/{name}-{uuid.uuid4().hex}"
 
 
+def literal_rows(spark: SparkSession, columns: str, rows: Sequence[tuple]) -> DataFrame:
+    """A few known values as a table: ``literal_rows(spark, "n int, name string", [(1, "a")])``.
+
+    Made of literals in the JVM; handing Python rows over would start a Python worker per core.
+    """
+    fields = [field.split(" ", 1) for field in columns.split(", ")]
+    one = spark.range(0, 1, 1, 1)
+    if not rows:
+        return one.limit(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])
+    structs = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields)]) for row in rows]
+    return one.select(F.inline(F.array(*structs)))
+
+
 def read_if_any(spark: SparkSession, path: str, schema: StructType | str, base: str | None = None) -> DataFrame:
     """A written table, or an empty one when nothing has been written yet.
 
@@ -44,7 +59,8 @@ def read_if_any(spark: SparkSession, path: str, schema: StructType | str, base:
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        columns = schema if isinstance(schema, str) else ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        return literal_rows(spark, columns, [])
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -92,10 +92,11 @@ def test_a_difference_fails_and_zero_is_a_number(spark):
 
 
 def test_two_sources_are_needed(spark):
-    one = state_row(spark).withColumn("source", F.lit("a"))
+    one = state_row(spark)
     with pytest.raises(ValueError):
-        reconcile.require_two_sources(one)
-    reconcile.require_two_sources(one.union(state_row(spark).withColumn("source", F.lit("b"))))
+        reconcile.compare_sources({"a": one})
+    result = reconcile.compare_sources({"a": one, "b": one, "c": state_row(spark, max=9.0)}).collect()
+    assert {(r["source"], r["metric"]) for r in result if not r["matches"]} == {("c", "max")} and len(result) == 8
 
 
 def test_drift_from_an_empty_state(spark):

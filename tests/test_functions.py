@@ -101,7 +101,8 @@ def test_stats_text(spark):
     [("2012-01-05T10:11:12", dt.datetime(2012, 1, 5, 10, 11, 12)), ("2012-01-05 10:11:12.5", dt.datetime(2012, 1, 5, 10, 11, 12, 500000)),
      ("2012-01-05 10:11:12.500000", dt.datetime(2012, 1, 5, 10, 11, 12, 500000)),
      ("2012-01-05", dt.datetime(2012, 1, 5)), ("1/5/2012", dt.datetime(2012, 1, 5)),
-     ("2012-01-05T10:11:12+01:00", dt.datetime(2012, 1, 5, 9, 11, 12)), ("soon", None), (None, None)],
+     ("2012-01-05T10:11:12+01:00", dt.datetime(2012, 1, 5, 9, 11, 12)), ("soon", None), (None, None),
+     ("10:11:12", None), ("2012", None), ("2012-13-45", None), ("1/5/2012 1:02:03", dt.datetime(2012, 1, 5, 1, 2, 3))],
 )
 def test_parse_timestamp(spark, text, want):
     assert one(spark, times.parse_timestamp(F.col("v")), text) == want

@@ -148,6 +148,30 @@ def test_files_of_the_other_phase_make_empty_batches(spark, tmp_path, bronze_row
     assert [(r["status"], r["rows_processed"]) for r in ingest.latest_status(store.events(spark)).collect()] == [("completed", 0)]
 
 
+def test_reset_starts_over(spark, layout):
+    store = run.load_phase(spark, layout, FEED, ingest.MAIN, 2)
+    new = store.reset()
+    assert new.rows_path != store.rows_path
+    ingest.ingest_available(ingest.bronze_stream(spark, layout.bronze), new, ingest.MAIN)
+    assert state_of(new, spark)[0] == 33 and state_of(store, spark)[0] == 31
+
+
+def test_periodic_verification(spark, layout):
+    run.load_phase(spark, layout, FEED, ingest.MAIN, 2, max_files=2, verify_every=2)
+    audit = spark.read.parquet(layout.audit).collect()
+    assert audit and all(r["verification_passed"] == 1 for r in audit)
+    assert all(int(r["run_id"].split("-")[1]) % 2 == 1 for r in audit)
+
+
+def test_state_file(spark, tmp_path):
+    from ledgerlake.sinks.tables import write_state
+    from ledgerlake.sources.tables import read_state
+
+    empty = stats.direct_stats(spark.range(0).select(F.lit(1.0).alias("price")))
+    write_state(empty, f"{tmp_path}/state")
+    assert tuple(read_state(spark, f"{tmp_path}/state").first()) == (0, None, None, None, None)
+
+
 def test_small_micro_batches_give_the_same_state(spark, layout):
     store = run.load_phase(spark, layout, FEED, ingest.MAIN, 2, max_files=1)
     assert state_of(store, spark) == (31, sum(KEPT_MAIN), 1.0, 29.0)

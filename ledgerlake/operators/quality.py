@@ -108,11 +108,10 @@ def deduplicate(rows: DataFrame, order: Sequence[str], key: Sequence[str] = KEY)
 def outliers(rows: DataFrame, times_std: float = OUTLIER_STD) -> DataFrame:
     """Flags prices further than ``times_std`` standard deviations from the mean of the run.
 
-    Mean and deviation are scalar subqueries over one aggregate.
+    Mean and deviation come from one scalar subquery.
     """
-    spread = rows.agg(F.avg("price").alias("mean"), F.stddev_samp("price").alias("std"))
-    mean, std = spread.select("mean").scalar(), spread.select("std").scalar()
-    far = F.abs(F.col("price") - mean) > std * F.lit(times_std)
+    spread = rows.agg(F.struct(F.avg("price").alias("mean"), F.stddev_samp("price").alias("std"))).scalar()
+    far = F.abs(F.col("price") - spread["mean"]) > spread["std"] * F.lit(times_std)
     return rows.withColumn("is_outlier", F.coalesce(far, F.lit(False)))
 
 

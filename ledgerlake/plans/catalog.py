@@ -203,7 +203,7 @@ def lineitem_incremental(spark, sf_dir):
 def lineitem_history(spark, sf_dir):
     """Running history of the largest table in batches of a thousand rows."""
     order = ["event_id", "line", "item", "seller", "price", "row_file", "row_no"]
-    rows = inputs.lineitems(spark, sf_dir).select("source_file", *order)
+    rows = inputs.numbered_lineitems(spark, sf_dir).select("source_file", *order)
     numbered = batches.number_batches(rows, order)
     history = batches.running_history(batches.batch_partials(numbered, PRICE_SCALE), inputs.LINEITEM_SOURCES, PRICE_SCALE)
     return history.select(
@@ -432,9 +432,15 @@ def conversion_totals(spark, sf_dir):
 @query
 def size_compare(spark, sf_dir):
     raw, bronze = _raw_and_bronze(spark, sf_dir)
-    return completeness.compare_sizes(
+    sizes = completeness.compare_sizes(
         listing.list_files(spark, raw, "*.csv"), listing.list_files(spark, bronze, "*.parquet")
     )
+    saved = F.col("csv_size") - F.col("parquet_size")
+    return sizes.select(
+        "file_stem", "csv_exists", "parquet_exists", "csv_size",
+        (F.col("parquet_size") > 0).alias("parquet_has_bytes"),
+        ((F.col("space_saved") == saved) & (F.abs(F.col("compression_ratio") - saved * 100 / F.col("csv_size")) < 1e-9)).alias("consistent"),
+    )
 
 
 @query

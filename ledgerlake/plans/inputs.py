@@ -95,15 +95,23 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Third and largest feed: one transaction per order line, one source per return flag.
+    """Third and largest feed: one transaction per order line, one source per return flag."""
+    return table(spark, sf_dir, "lineitem").select(*_lineitem_columns())
 
-    ``row_file`` and ``row_no`` tell equal lines apart, so that an order by them never ties.
-    """
+
+def numbered_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the place of a line in its file, so that an order by it never ties."""
     return table(spark, sf_dir, "lineitem").select(
+        *_lineitem_columns(), F.xxhash64("_metadata.file_path").alias("row_file"),
+        F.col("_metadata.row_index").alias("row_no"),
+    )
+
+
+def _lineitem_columns() -> list[Column]:
+    return [
         F.col("l_orderkey").alias("event_id"), F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("seller"),
-        F.xxhash64("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_no"),
         F.col("l_shipdate").alias("ts"), F.col("l_extendedprice").alias("price"),
         F.concat(F.lit("user_"), F.col("l_suppkey")).alias("user_id"),
         F.concat(F.lower("l_returnflag"), F.lit(".csv")).alias("source_file"),
-    )
+    ]

@@ -344,6 +344,11 @@ WHERE sample_no <= 3""",
 SELECT count(*) AS total_files, count(*) AS converted_files, 0::BIGINT AS failed_files, CAST(SUM(n) AS BIGINT) AS total_rows,
   CAST(SUM((n + 999) // 1000) AS BIGINT) AS total_batches, CAST(SUM(n) AS DOUBLE) / CAST(SUM((n + 999) // 1000) AS DOUBLE) AS avg_batch_size,
   true AS success FROM f""",
+    "size_compare": f"""WITH {_DIRTY} SELECT replace(source_file, '.csv', '') AS file_stem, true AS csv_exists, true AS parquet_exists,
+  CAST(length('event_id,copy,timestamp,price,user_id') + 1 + SUM(length(CAST(event_id AS VARCHAR)) + 1 + 1 + 1 + length(ts_text) + 1
+    + length(CASE WHEN event_id % 97 = 0 THEN 'NA' ELSE coalesce(bad_price, CAST(price AS VARCHAR)) END) + 1
+    + length(coalesce(user_raw, 'null')) + 1) AS BIGINT) AS csv_size,
+  true AS parquet_has_bytes, true AS consistent FROM dirty GROUP BY source_file""",
     "missing_files": """SELECT source_file, feed_no::INTEGER AS feed_no FROM (VALUES ('2024-1.csv', 1), ('2024-2.csv', 2), ('2024-3.csv', 3),
   ('2024-4.csv', 4), ('2024-5.csv', 5), ('validation.csv', 6), ('2024-6.csv', 7), ('2024-7.csv', 8)) e(source_file, feed_no)
 WHERE source_file NOT IN (SELECT """ + _SOURCE + """ FROM events)""",

@@ -132,10 +132,10 @@ def verify_store(spark: SparkSession, store: Store, layout: Layout, run_id: str,
 
 def phase_drift(spark: SparkSession, store: Store) -> DataFrame:
     """What the held-out phase changed, from the partials of both phases."""
-    main = store.state(spark, MAIN).select(*[F.col(c).alias(f"{c}_before") for c in ("count", "avg", "min", "max")])
-    both = store.state(spark).select(*[F.col(c).alias(f"{c}_after") for c in ("count", "avg", "min", "max")])
-    sides = both.select("*", *[main.select(c).scalar().alias(c) for c in main.columns])
-    return drift(sides)
+    names = ("count", "avg", "min", "max")
+    before = store.state(spark, MAIN).select(F.struct(*names)).scalar()
+    sides = store.state(spark).select(F.struct(*names).alias("after"), before.alias("before"))
+    return drift(sides.select(*[F.col(f"{side}.{n}").alias(f"{n}_{side}") for side in ("before", "after") for n in names]))
 
 
 def run_all(

@@ -531,8 +531,10 @@ def schema_checks(spark, sf_dir):
 
 @query
 def silver_clean(spark, sf_dir):
-    rows = silver.silver_table(silver.to_silver(_bronze(spark, sf_dir), NARROW_FEED))
-    return rows.select(
+    """The silver table, written by source and read back."""
+    path = fresh_path(spark, "silver")
+    sinks.write_silver(silver.silver_table(silver.to_silver(_bronze(spark, sf_dir), NARROW_FEED)), path)
+    return spark.read.schema(schemas.SILVER).parquet(path).select(
         "transaction_id", _iso("timestamp").alias("timestamp"), "price", "user_id", "source_file", "is_valid", "quality_score"
     )
 

@@ -55,6 +55,15 @@ def test_numbering_with_one_large_source(spark):
     assert all(r["position"] == r["n"] + 1 for r in placed) and len(placed) == len(rows)
 
 
+def test_hot_source_is_cut_into_even_slices(spark):
+    """A source with a third of all rows, and one range per task all the same."""
+    n = 60000
+    source = F.when(F.col("id") % 3 == 0, "hot.csv").otherwise(F.concat((F.col("id") % 50).cast("string"), F.lit(".csv")))
+    df = spark.range(n).select(source.alias("source_file"), "id")
+    sizes = [r["count"] for r in slice_in_order(df, ["source_file"], ["id"]).groupBy("_slice").count().collect()]
+    assert sum(sizes) == n and len(sizes) == 4 and max(sizes) < 1.6 * n / 4
+
+
 def test_history_blocks_do_not_change_results(spark):
     random.seed(3)
     rows = [(random.choice(["a.csv", "b.csv", "c.csv"]), i, round(random.uniform(1, 9), 2)) for i in range(400)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,13 +80,14 @@ class Layout:
         return Store(f"{self.lake}/store", scale)
 
 
-def convert_to_bronze(spark: SparkSession, raw: str, bronze: str) -> None:
-    """CSV files of a folder to bronze, in one distributed job.
+def convert_to_bronze(spark: SparkSession, raw: str, bronze: str, sources: Sequence[str] | None = None) -> None:
+    """CSV files of a folder to bronze, in one distributed job; ``sources`` names the wanted ones.
 
     Only sources whose files are new or have changed since the last conversion are read;
     each replaces what bronze has of it. A manifest beside the table remembers the files.
     """
-    files = written(list_files(spark, raw, "*.csv*"), "files")
+    present = written(list_files(spark, raw, "*.csv*"), "files")
+    files = present.where(F.col("source_file").isin(*sources)) if sources else present
     manifest = f"{bronze.rstrip('/')}_manifest"
     prints = fingerprints(files)
     known = read_if_any(spark, manifest, prints.schema)
@@ -94,7 +95,7 @@ def convert_to_bronze(spark: SparkSession, raw: str, bronze: str) -> None:
     if todo.isEmpty():
         return
     changed = files.join(todo, "source_file", "left_semi")
-    everything = prints.join(todo, "source_file", "left_anti").isEmpty()
+    everything = present.join(todo, "source_file", "left_anti").isEmpty()
     rows = read_csv_by_name(spark, raw if everything else None, changed)
     write_bronze(to_bronze(rows, version=iso_text(F.current_timestamp())), bronze)
     overwrite_partitions(todo, manifest, ["source_file"])
@@ -104,13 +105,12 @@ def load_phase(
     spark: SparkSession, layout: Layout, feed: Feed, phase: str, scale: int | None, max_files: int | None = None,
     verify_every: int = 0,
 ) -> Store:
-    """Load the main sources, or the held-out one, into the store.
+    """Load the main sources, or the held-out one, into the store; others stay in bronze.
 
     ``verify_every`` reconciles after every so many micro-batches; each time re-reads the store.
     """
     store = layout.store(scale)
-    held_out = F.col("source_file") == feed.held_out
-    pick = held_out if phase == HELD_OUT_PHASE else ~held_out
+    pick = F.col("source_file").isin(*([feed.held_out] if phase == HELD_OUT_PHASE else feed.main))
 
     def verify(number: int) -> None:
         if verify_every and (number + 1) % verify_every == 0:
@@ -158,7 +158,7 @@ def run_all(
         return files.select("source_file").distinct().count(), "all expected sources are there"
 
     def bronze() -> tuple[int, str]:
-        convert_to_bronze(spark, layout.raw, layout.bronze)
+        convert_to_bronze(spark, layout.raw, layout.bronze, feed.expected)
         profile = parquet_profile(parquet_footers(list_files(spark, layout.bronze, "*.parquet")))
         totals = layer_totals(check_layer(profile, expected)).first()
         if not totals["valid"]:

@@ -55,9 +55,9 @@ def test_restart_and_replay_do_not_double(spark, layout):
 
 def test_new_files_are_added(spark, layout, bronze_rows):
     store = run.load_phase(spark, layout, FEED, ingest.MAIN, 2)
-    write_bronze(bronze_rows([("c.csv", "2012-04-01", "2.25", "user_1")]), layout.bronze)
-    run.load_phase(spark, layout, FEED, ingest.MAIN, 2)
-    assert state_of(store, spark)[:2] == (32, sum(KEPT_MAIN) + 2.25)
+    write_bronze(bronze_rows([(s, "2012-04-01", "2.25", "user_1") for s in ("c.csv", "d.csv")]), layout.bronze)
+    run.load_phase(spark, layout, Feed(main=("a.csv", "b.csv", "c.csv")), ingest.MAIN, 2)
+    assert state_of(store, spark)[:2] == (32, sum(KEPT_MAIN) + 2.25)  # d.csv is not part of the feed
 
 
 def test_failed_batch_is_logged_and_recovers(spark, tmp_path, bronze_rows):
@@ -128,6 +128,15 @@ def test_whole_run(spark, raw_layout):
     assert raw_layout.store(2).state(spark).first()["count"] == 33
 
 
+def test_sources_outside_the_feed_are_left_alone(spark, raw_layout):
+    from pathlib import Path
+
+    (Path(raw_layout.raw) / "other.csv").write_text("timestamp,price,user_id\n2012-01-01,99,user_1\n")
+    steps = run.run_all(spark, raw_layout, FEED, 2)
+    assert [r["rows"] for r in steps.orderBy("step_no").collect()] == [4, 39, 31, 2, 33]
+    assert read_bronze(spark, raw_layout.bronze).where("source_file = 'other.csv'").count() == 0
+
+
 def test_changed_source_replaces_its_rows(spark, raw_layout):
     from pathlib import Path
 

@@ -1,14 +1,19 @@
 """Small helpers that look at the head or the footer of one file, inside a task.
 
-They use Arrow's file systems, so the same code opens local, HDFS, S3 and GCS paths.
+They use Arrow's file systems, so the same code opens local, HDFS, S3 and GCS paths. The
+module travels with the task, so executors need no copy of this package.
 """
 
 from __future__ import annotations
 
 import csv
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HEADER_SCHEMA = "path string, source_file string, columns array<string>"
 FOOTER_SCHEMA = (

@@ -841,7 +841,7 @@ def stream_live_stats(spark, sf_dir):
 
 
 def _event_stream(spark: SparkSession, path: str, max_files: int) -> DataFrame:
-    rows = quality.parsed(ingest.bronze_stream(spark, path, max_files=max_files))
+    rows = quality.parsed(ingest.bronze_stream(live.state_session(spark), path, max_files=max_files))
     return rows.where(F.col("timestamp").isNotNull()).withColumnRenamed("timestamp", "ts")
 
 

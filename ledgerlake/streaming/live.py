@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +12,18 @@ from ledgerlake.functions.numbers import exact_sum
 from ledgerlake.sinks.tables import overwrite_partitions
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session whose stateful streams keep one state partition per core.
+
+    The number of state partitions is fixed by the first run of a checkpoint, and every one
+    is opened in every micro-batch, so it should follow the cluster, not a default.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session
+
+
 def live_stats(stream: DataFrame, scale: int | None = None) -> DataFrame:
     """Global statistics held in Spark's state store: one row of state, merged from partials."""
     return stream.agg(

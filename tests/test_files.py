@@ -183,3 +183,18 @@ def test_registered_table(spark, tmp_path):
     rows = spark.range(5).select(F.col("id").cast("double").alias("price"))
     assert query_store(spark, "SELECT sum(price) AS s FROM {t}", t=rows).first()["s"] == 10.0
     assert callable(append_audit)
+
+
+def test_file_helpers_need_no_installed_package():
+    """Executors get the helpers with the task: unpickled where this package is not importable."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from ledgerlake.sources.remote import footer_batches, header_batches
+
+    payload = cloudpickle.dumps((header_batches, footer_batches))
+    code = "import pickle, sys; print([f.__name__ for f in pickle.load(sys.stdin.buffer)])"
+    done = subprocess.run([sys.executable, "-c", code], input=payload, capture_output=True, cwd="/", timeout=60)
+    assert b"header_batches" in done.stdout, done.stderr

@@ -35,17 +35,21 @@ def live_stats(stream: DataFrame, scale: int | None = None) -> DataFrame:
 def windowed_prices(stream: DataFrame, scale: int | None = None, length: str = "1 day", late: str = "2 days") -> DataFrame:
     """Counts and prices per tumbling window of event time; state older than ``late`` is dropped.
 
-    ``ts`` must be a timestamp with time zone semantics, as watermarks require.
+    ``ts`` must be a timestamp with time zone semantics, as watermarks require. Windows are
+    aligned to UTC, so event time is shifted to the clock of the session for them: days
+    begin at its midnight, as they do in batch metrics.
     """
+    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
     return (
-        stream.withWatermark("ts", late)
+        stream.withColumn("ts", F.from_utc_timestamp("ts", zone))
+        .withWatermark("ts", late)
         .groupBy(F.window("ts", length).alias("w"))
         .agg(
             F.count("*").alias("transaction_count"), exact_sum(F.col("price"), scale).alias("price_sum"),
             F.min("price").alias("price_min"), F.max("price").alias("price_max"),
         )
         .select(
-            F.col("w.start").cast("date").alias("date_partition"), "transaction_count", "price_sum", "price_min", "price_max"
+            F.to_utc_timestamp(F.col("w.start"), zone).cast("date").alias("date_partition"), "transaction_count", "price_sum", "price_min", "price_max"
         )
     )
 

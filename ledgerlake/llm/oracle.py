@@ -3,6 +3,19 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {
+    "op3_chat_format": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+n AS (SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS turns,
+        sum(15 + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g')) + length(regexp_replace(text, '([\\#<])', '\\\1', 'g'))) OVER w AS upto
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (role = 'assistant' OR place = turns) AS BIGINT) AS formatted_chars
+FROM n GROUP BY conv_id
+""",
     "op8_line_dedup": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS n FROM d),

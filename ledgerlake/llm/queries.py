@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import exact_dedup, line_dedup
+from ledgerlake.llm import chat_format, exact_dedup, language_id, line_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,39 @@ def sha(text: str) -> F.Column:
     return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
 
 
+def held_out() -> F.Column:
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~held_out()))
+    texts = docs.select("doc_id", "text")
+    return language_id.classify(texts, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+#: A conversation whose texts hold the template's own marks.
+ODD_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = spark.range(0, 2, 1, 1).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat_format.ASSISTANT).alias("role"), F.lit(ODD_TEXT).alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    examples = chat_format.expand(turns).withColumn("trained", chat_format.trained_text(F.col("text"), F.col("loss_start"), F.col("loss_chars")))
+    whole = examples.groupBy("conv_id").agg(
+        F.max_by("text", "example").alias("text"), F.sum(F.length("text")).alias("formatted_chars"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("example", "trained"))), lambda x: x["trained"]), "").alias("trained"),
+    ).withColumn("turns", chat_format.turns_of(F.col("text")))
+    return whole.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", sha("text").alias("kept_sha256"))
@@ -33,6 +66,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op3_chat_format": op3_chat_format,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }

@@ -1,4 +1,10 @@
 """Operators for large text corpora; each one is a DataFrame-in, DataFrame-out function.
 
-Executors import this package: hand it over with ``--py-files`` or install it on the image.
+The modules travel with the tasks, so executors need no copy of this package.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

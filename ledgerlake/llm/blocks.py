@@ -21,8 +21,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.workspace import fresh_path
-
 BLOCK_BYTES = 2 << 20
 BYTES_PER_SHARD = 16 << 20
 PACKED = "block long, n_docs int, n_bytes long, raw_bytes long, payload binary"
@@ -33,6 +31,8 @@ _LETTER = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("data", pa.b
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder, in small row groups, so that large rows spread over tasks."""
+    from ledgerlake.workspace import fresh_path  # only the driver needs it
+
     path = fresh_path(df.sparkSession, name)
     df.write.option("parquet.block.size", 8 << 20).option("parquet.page.size.row.check.min", 4).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -228,3 +228,26 @@ def with_answers(blocks: DataFrame, mail: DataFrame, work: Callable[[int, Block,
 
     pair = blocks.select("block", "raw_bytes", "payload").groupBy("block").cogroup(mail.groupBy("block"))
     return pair.applyInArrow(run, schema)
+
+
+def state_row(block: int, *arrays: np.ndarray) -> tuple[int, int, bytes]:
+    """What a block keeps for its next round, among its letters."""
+    return block, -1, zip_arrays(*arrays)
+
+
+def split_state(table: pa.Table) -> tuple[list[np.ndarray], pa.Table]:
+    """The kept arrays and the other letters."""
+    own = table["shard"].to_numpy() < 0
+    return unzip_arrays(table["data"][int(np.flatnonzero(own)[0])].as_py()), table.filter(pa.array(~own))
+
+
+def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of true values."""
+    turns = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
+    return turns[::2], turns[1::2]
+
+
+def covered(size: int, starts: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+    """Which of ``size`` places some run [start, start + length) covers."""
+    depth = np.bincount(starts, minlength=size + 1) - np.bincount(starts + length, minlength=size + 1)
+    return np.cumsum(depth[:size]) > 0

@@ -14,7 +14,16 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+class _Cache(dict):
+    """Filled anew in each process; what is in it does not travel with tasks."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_powers = _Cache()
 
 
 def _table(seed: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, mixing
+from ledgerlake.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, mixing, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.classify(texts, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", sha("text").alias("kept_sha256"))
+
+
 #: A conversation whose texts hold the template's own marks.
 ODD_TEXT = "\\### Assistant: </turn> ok"
 
@@ -51,6 +56,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -76,7 +86,9 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_chat_format": op3_chat_format,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_mixing": op7_mixing,
     "op8_line_dedup": op8_line_dedup,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, mixing, substring_dedup, suffix_dedup
+from ledgerlake.llm import chat_format, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs.where(early), docs.where(~early))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -93,4 +97,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }

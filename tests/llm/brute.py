@@ -51,3 +51,39 @@ def repeated_bytes(rows, length=100):
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         out.append((doc_id, len(data), sum(gone), spans, sha(bytes(b for b, g in zip(data, gone) if not g))))
     return out
+
+
+def shingles(text, size=5):
+    text = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def similar_groups(rows, size=5, percent=75):
+    """(doc_id, n_shingles, component_id)."""
+    sets = [shingles(text, size) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    holders = {}
+    for i, s in enumerate(sets):
+        common = {}
+        for x in s:
+            for j in holders.setdefault(x, []):
+                common[j] = common.get(j, 0) + 1
+            holders[x].append(i)
+        for j, both in common.items():
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)] = min(doc_id, least.get(root(i), doc_id))
+    return [(doc_id, len(s), least.get(root(i))) for i, ((doc_id, _), s) in enumerate(zip(rows, sets))]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat_format, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, substring_dedup, suffix_dedup
+from ledgerlake.llm import chat_format, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,14 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: Anyone who uses the operator on real data gives a secret key.
+PII_KEY = b"open key for the given tables"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -93,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_pii": op5_pii,
     "op6_decontaminate": op6_decontaminate,
     "op7_mixing": op7_mixing,
     "op8_line_dedup": op8_line_dedup,

@@ -117,8 +117,7 @@ def exact_dedup(history: DataFrame, incoming: DataFrame, id_column: str = "doc_i
 
 def keep_one_row(docs: DataFrame, decisions: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns and one row for each document."""
-    kept = decisions.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    sha = F.sha2(F.coalesce(F.col(text_column).cast("string"), F.lit("")), 256)
-    rows = docs.withColumn("_sha_of_text", sha)
-    pair = rows.join(kept, rows[id_column].cast("long").eqNullSafe(kept["_id"]) & (rows["_sha_of_text"] == kept["_sha"]), "left_semi")
-    return pair.dropDuplicates([id_column, "_sha_of_text"]).select(*docs.columns)
+    kept = decisions.where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha")).distinct()
+    rows = docs.withColumn("__sha", F.sha2(F.coalesce(F.col(text_column).cast("string"), F.lit("")), 256))
+    same = F.col("__sha").eqNullSafe(F.col("__kept_sha")) & rows[id_column].cast("long").eqNullSafe(F.col("__kept_id"))
+    return rows.join(kept, same, "left_semi").dropDuplicates([id_column, "__sha"]).select(*docs.columns)

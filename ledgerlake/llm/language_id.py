@@ -172,3 +172,15 @@ def classify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=schema.names)
 
     return docs.mapInArrow(run, from_arrow_schema(schema))
+
+
+def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with exactly their columns."""
+    at, names = docs.columns.index(text_column), to_arrow_schema(docs.schema).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, _, rejected = _predict(model, batch.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays(batch.filter(pa.array(~rejected)).columns, names=names)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -136,19 +136,31 @@ def solve(weighted: DataFrame, targets: Mapping[str, float], settings: Settings
     return history[: settings.steps]
 
 
-def rates(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float] = TARGETS, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` without the text, with n_words, p_<domain> and rate.
-
-    Expected words for each domain, at these rates, meet the domain's share of all words.
-    """
+def _fitted(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float], settings: Settings) -> tuple[DataFrame, list[list[float]], Model]:
+    """The weighted documents without their text, the steps, and the classifier."""
     domains = list(shares)
     made = {"n_words", "rate", *(f"p_{d}" for d in domains)}
     model = train(docs, labels, domains, settings)
     scored = posteriors(docs.select(*[c for c in docs.columns if c not in made]), model).drop("text")
     weighted = stored(scored, "posteriors")
     total = weighted.agg(F.sum("n_words")).first()[0] or 0
-    history = solve(weighted, {d: share * total for d, share in shares.items()}, settings)
-    return weighted.withColumn("rate", _rate(domains, history))
+    return weighted, solve(weighted, {d: share * total for d, share in shares.items()}, settings), model
+
+
+def rates(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float] = TARGETS, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` without the text, with n_words, p_<domain> and rate.
+
+    Expected words for each domain, at these rates, meet the domain's share of all words.
+    """
+    weighted, history, _ = _fitted(docs, labels, shares, settings)
+    return weighted.withColumn("rate", _rate(list(shares), history))
+
+
+def with_rates(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float] = TARGETS, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` with n_words, p_<domain> and rate; texts are scored once more instead of shuffled."""
+    _, history, model = _fitted(docs.select("doc_id", "text"), labels, shares, settings)
+    made = {"n_words", "rate", *(f"p_{d}" for d in shares)}
+    return posteriors(docs.select(*[c for c in docs.columns if c not in made]), model).withColumn("rate", _rate(list(shares), history))
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ which a few numbers for each pair of domains reach the driver; a rate is
 a function of the document's posteriors and of the steps so far, so nothing is rewritten between
 steps. The gradient is scaled by the inverse of the domains' Gram matrix, so that it leads straight
 to the solution as long as no further rate becomes zero; of all solutions this is the one nearest
-to rate 1.
+to rate 1. Targets that no rates can reach are approached, within ``steps`` aggregates.
 
 Words are lower-cased runs between spaces, line breaks, tabs and ``.,;:!?``. Null and empty texts
 have no words, the prior as posteriors, and a rate like any other. Without labelled rows all
@@ -125,33 +125,40 @@ def _rate(domains: list[str], history: list[list[float]]) -> Column:
 def solve(weighted: DataFrame, targets: Mapping[str, float], settings: Settings = Settings()) -> list[list[float]]:
     """The steps; ``weighted`` has n_words and p_<domain>, ``targets`` are total words for each domain.
 
-    One aggregate for each step gives the totals and the Gram matrix of the documents whose rate
-    is positive. A step that does not bring the totals nearer to the targets is halved.
+    One aggregate for each step gives the totals, the Gram matrix of the domains over documents
+    whose rate is positive, and its trace over all documents. A scaled step that does not bring
+    the totals nearer to the targets is halved, and in the end replaced by a plain gradient step,
+    which always does unless the solution is reached.
     """
     domains = list(targets)
     pairs = [(i, j) for i in range(len(domains)) for j in range(i + 1)]
-    goal, p = np.array(list(targets.values())), [F.col(f"p_{d}") for d in domains]
+    goal, p = np.array(list(targets.values()), dtype=float), [F.col(f"p_{d}") for d in domains]
     history: list[list[float]] = []
-    best = math.inf
-    for _ in range(settings.steps + 1):
+    best, last, tries = math.inf, np.zeros(len(domains)), 0
+    for _ in range(settings.steps):
         rows = weighted.withColumn("_rate", _rate(domains, history))
         words, active = F.col("n_words"), F.when(F.col("_rate") > 0, F.col("n_words"))
-        sums = [F.sum(F.col("_rate") * words * x) for x in p] + [F.sum(active * p[i] * p[j]) for i, j in pairs]
+        sums = [F.sum(F.col("_rate") * words * x) for x in p] + [F.sum(active * p[i] * p[j]) for i, j in pairs] + [F.sum(words * x * x) for x in p]
         found = [float(x or 0.0) for x in rows.agg(*[x.alias(f"s{k}") for k, x in enumerate(sums)]).first()]
-        residual = np.array(found[: len(domains)]) - goal
-        error = float(np.abs(residual).max())
-        if error <= settings.tolerance * max(goal.sum(), 1e-9):
-            break
-        if error < best:
+        residual, trace = np.array(found[: len(domains)]) - goal, sum(found[-len(domains) :])
+        if np.abs(residual).max() <= settings.tolerance * max(goal.sum(), 1e-9):
+            return history
+        if (error := float(residual @ residual)) < best * (1 - 1e-6):
             gram = np.zeros((len(domains),) * 2)
             for (i, j), value in zip(pairs, found[len(domains) :]):
                 gram[i, j] = gram[j, i] = value
-            ridge = np.eye(len(domains)) * (1e-9 * np.trace(gram) + 1e-12)
-            best = error
+            ridge = np.eye(len(domains)) * (1e-9 * trace + 1e-12)
+            best, last, tries = error, residual, 0
             history.append(np.linalg.solve(gram + ridge, residual).tolist())
-        else:
+        elif tries < 3:
+            tries += 1
             history[-1] = [x / 2 for x in history[-1]]
-    return history
+        elif tries == 3:
+            tries += 1
+            history[-1] = (last / max(trace, 1e-9)).tolist()
+        else:
+            break
+    return history[:-1]  # the last step has not been looked at, or did no good
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float], settings: Settings) -> tuple[DataFrame, list[list[float]], Model]:

@@ -87,3 +87,19 @@ def similar_groups(rows, size=5, percent=75):
         if doc_id is not None:
             least[root(i)] = min(doc_id, least.get(root(i), doc_id))
     return [(doc_id, len(s), least.get(root(i))) for i, ((doc_id, _), s) in enumerate(zip(rows, sets))]
+
+
+def common_lines(rows, min_docs=10, min_chars=1):
+    """(doc_id, n_lines, n_dropped, kept_sha256)."""
+    white = " \t\n\v\f\r"
+    lower = {i: i + 32 for i in range(65, 91)}
+    lines = [[(line, line.strip(white).translate(lower)) for line in (text or "").split("\n")] for _, text in rows]
+    holders = {}
+    for i, own in enumerate(lines):
+        for _, key in own:
+            holders.setdefault(key, set()).add(i)
+    out = []
+    for (doc_id, _), own in zip(rows, lines):
+        kept = [line for line, key in own if len(key) < min_chars or len(holders[key]) < min_docs]
+        out.append((doc_id, len(own), len(own) - len(kept), sha("\n".join(kept))))
+    return out

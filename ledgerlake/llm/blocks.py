@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2 << 20
+MOST_DOCS = 1 << 15  # so that 16 bits number the documents of a block
 BYTES_PER_SHARD = 16 << 20
 PACKED = "block long, n_docs int, n_bytes long, raw_bytes long, payload binary"
 LETTER = "block long, shard int, data binary"
@@ -35,14 +36,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     path = fresh_path(df.sparkSession, name)
     df.write.option("parquet.block.size", 8 << 20).option("parquet.page.size.row.check.min", 4).option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` wrote, once nothing will read them again."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def zip_arrays(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed value."""
     head = np.array([x for a in arrays for x in (ord(a.dtype.char), len(a))], dtype=np.int64)
     raw = b"".join([np.int64(len(arrays)).tobytes(), head.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(raw, asbytes=True)
 
 
 def unzip_arrays(data: bytes) -> list[np.ndarray]:
@@ -133,7 +143,7 @@ def _pack(limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             no_text.append(null[i])
             parts.append(data[offsets[i] : offsets[i + 1]].copy())
             size += int(offsets[i + 1] - offsets[i])
-            if size >= limit or len(ids) >= limit // 64:
+            if size >= limit or len(ids) >= MOST_DOCS:
                 yield flush()
     if ids:
         yield flush()

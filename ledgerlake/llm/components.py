@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.blocks import stored
+from ledgerlake.llm.blocks import release, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -35,5 +35,6 @@ def roots(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _state(edges)) != before:
         before = now
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        last, edges = edges, stored(_small_star(_large_star(edges)), "edges")
+        release(last)
     return edges

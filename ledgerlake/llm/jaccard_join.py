@@ -46,7 +46,7 @@ PIVOTS = 16
 MEMBERS_PER_TASK = 2048
 _MAX = np.iinfo(np.int64).max
 _SETS = "block long, rank int, doc_id long, n_shingles long, set_a long, set_b long, text_sha256 string"
-_KEYS = [np.uint64, np.uint32, np.int64]
+_KEYS = [np.uint64, np.uint16, np.uint16]
 _CANDIDATES = "node long, n long, shingles binary, regions array<long>"
 _MEMBERS = "u long, v long, region long, node long, n long, distance double, shingles binary"
 _EDGES = "u long, v long"
@@ -141,12 +141,13 @@ def _representatives(table: pa.Table) -> pa.Table:
 
 def _count_keys(inbox: blocks.Inbox) -> pa.Table:
     """For keys of several classes: in how many, and the first of these."""
-    key, classes, node = inbox.columns
-    order = np.argsort(key, kind="stable")
+    key, classes, rank = inbox.columns
+    holder = mix(inbox.blocks.astype(np.uint64)[inbox.sender] * np.uint64(1 << 16) + rank).view(np.int64)
+    order = np.argsort(key, kind="stable")  # letters lie in the order of blocks
     head = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
     entry = np.empty(len(key), dtype=np.int64)
     entry[order] = np.repeat(np.arange(len(head)), np.diff(np.concatenate((head, [len(key)]))))
-    times, least = np.add.reduceat(classes[order].astype(np.int64), head)[entry], np.minimum.reduceat(node[order], head)[entry]
+    times, least = np.add.reduceat(classes[order].astype(np.int64), head)[entry], holder[order][head][entry]
     cuts = np.concatenate(([0], np.cumsum(inbox.sizes)))
     rows = []
     for number, a, b in zip(inbox.blocks, cuts, cuts[1:]):
@@ -159,7 +160,7 @@ def _count_keys(inbox: blocks.Inbox) -> pa.Table:
 class _Keys:
     """The prefix keys of a block's representatives, each once, by shard."""
 
-    def __init__(self, sets: _Sets, rank: np.ndarray, node: np.ndarray, threshold: _Threshold, shards: int):
+    def __init__(self, sets: _Sets, rank: np.ndarray, threshold: _Threshold, shards: int):
         place = np.arange(len(sets.doc)) - sets.cuts[sets.doc]
         is_rep = np.full(len(sets.n), -1, dtype=np.int64)
         is_rep[rank] = np.arange(len(rank))
@@ -167,12 +168,13 @@ class _Keys:
         self.rep = is_rep[sets.doc[at]]
         value = sets.value[at]
         shard = blocks.shard_of(mix(value), shards)
-        order = np.lexsort((node[self.rep], value, shard))
+        order = np.lexsort((self.rep, value, shard))
         self.rep, value, shard = self.rep[order], value[order], shard[order]
         head = np.ones(len(value), dtype=bool)
         head[1:] = value[1:] != value[:-1]
         self.entry = np.cumsum(head) - 1
-        self.columns = shard[head], value[head], np.bincount(self.entry, minlength=int(head.sum())).astype(np.uint32), node[self.rep][head]
+        count = np.bincount(self.entry, minlength=int(head.sum()))
+        self.columns = shard[head], value[head], count.astype(np.uint16), rank[self.rep][head].astype(np.uint16)
         self.value = value
 
 
@@ -184,16 +186,16 @@ def _candidates(parts: DataFrame, classes: DataFrame, size: int, threshold: _Thr
     def ask(number, block, mail):
         if not mail.num_rows:
             return blocks.letter_table([])
-        (rank, node), _ = blocks.split_state(mail)
-        shard, value, count, least = _Keys(_Sets(block, size), rank, node, threshold, shards).columns
-        return blocks.letter_table(blocks.letters(number, shard, [value, count, least]))
+        (rank, _), _ = blocks.split_state(mail)
+        shard, value, count, first = _Keys(_Sets(block, size), rank, threshold, shards).columns
+        return blocks.letter_table(blocks.letters(number, shard, [value, count, first]))
 
     def choose(number, block, mail):
         out = {"node": [], "n": [], "shingles": [], "regions": []}
         if mail.num_rows:
             (rank, node), mail = blocks.split_state(mail)
             sets = _Sets(block, size)
-            keys = _Keys(sets, rank, node, threshold, shards)
+            keys = _Keys(sets, rank, threshold, shards)
             order = np.argsort(mail["shard"].to_numpy(), kind="stable")
             times, least = [], []
             for i in order:
@@ -327,9 +329,9 @@ def _name(parent: int, pivot: int) -> int:
     return int.from_bytes(raw, "little", signed=True)
 
 
-def _small_joined(members: DataFrame, threshold: _Threshold) -> DataFrame:
+def _small_joined(members: DataFrame, n_members: int, threshold: _Threshold) -> DataFrame:
     """Links in regions that fit in a task; many regions share one call."""
-    bucket = F.pmod(F.xxhash64("region"), F.lit(max(1, 1 + members.count() // MEMBERS_PER_TASK)))
+    bucket = F.pmod(F.xxhash64("region"), F.lit(1 + n_members // MEMBERS_PER_TASK))
     return members.select("region", "node", "n", "shingles", bucket.alias("bucket")).groupBy("bucket").applyInArrow(_join_regions(threshold), _EDGES)
 
 
@@ -340,20 +342,31 @@ def _in_squares(members: DataFrame, sizes: DataFrame, region_size: int, threshol
     rows = members.join(sizes, "region").withColumn("parts", parts).withColumn("own", own)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     square = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
-    return _small_joined(rows.withColumn("region", square), threshold)
+    n = sizes.agg(F.sum(F.col("size") * parts)).first()[0] or 0
+    return _small_joined(rows.withColumn("region", square), n, threshold)
+
+
+def _total(sizes: DataFrame, wanted) -> int:
+    return sizes.where(wanted).agg(F.sum("size")).first()[0] or 0
 
 
 def _sizes(members: DataFrame) -> DataFrame:
     return members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
 
 
-def _links(candidates: DataFrame, region_size: int, threshold: _Threshold) -> DataFrame:
-    """Edges that connect what is linked."""
-    places = blocks.stored(candidates.select("node", F.explode("regions").alias("region")), "places")
-    sizes = blocks.stored(_sizes(places).where("size > 1"), "sizes")
+def _links(candidates: DataFrame, region_size: int, threshold: _Threshold, scratch: list[DataFrame]) -> DataFrame:
+    """Edges that connect what is linked; ``scratch`` gets the tables that they are read from."""
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(blocks.stored(df, name))
+        return scratch[-1]
+
+    places = kept(candidates.select("node", F.explode("regions").alias("region")), "places")
+    sizes = kept(_sizes(places).where("size > 1"), "sizes")
     members = places.join(sizes, "region").join(candidates.select("node", "n", "shingles"), "node")
-    edges = [_small_joined(members.where(F.col("size") <= region_size).select("region", "node", "n", "shingles"), threshold)]
-    large = blocks.stored(members.where(F.col("size") > region_size), "large-regions")
+    small, big = F.col("size") <= region_size, F.col("size") > region_size
+    edges = [_small_joined(members.where(small), _total(sizes, small), threshold)]
+    large = kept(members.where(big), "large-regions")
     level = 0
     while large.head(1):
         chance = F.pmod(F.xxhash64("node", "region", F.lit(level)), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -361,20 +374,20 @@ def _links(candidates: DataFrame, region_size: int, threshold: _Threshold) -> Da
         pivots = large.where(chance < F.lit(float(PIVOTS)) / F.col("size")).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         dealt = large.withColumn("salt", F.pmod(F.xxhash64("node"), salts))
         pair = dealt.groupBy("region", "salt").cogroup(pivots.groupBy("region", "salt"))
-        split = blocks.stored(pair.applyInArrow(_assign(threshold), _MEMBERS), "split-regions")
+        split = kept(pair.applyInArrow(_assign(threshold), _MEMBERS), "split-regions")
         edges.append(split.where(F.col("u").isNotNull()).select("u", "v"))
         moved = split.where(F.col("u").isNull()).drop("u", "v")
         # only pairs with a member beyond the radius are open, and those a link away from it
         fringe = moved.where(F.col("distance") > threshold.radius).groupBy("region").agg(F.min("distance").alias("nearest"))
         moved = moved.join(fringe, "region").where(F.col("distance") >= F.col("nearest") - F.lit(threshold.radius + 1e-9))
-        now = blocks.stored(_sizes(moved), "sizes")
-        members = blocks.stored(moved.join(now, "region").where("size > 1").select("region", "node", "n", "shingles", "size"), "members")
-        edges.append(_small_joined(members.where(F.col("size") <= region_size), threshold))
-        large_now = members.where(F.col("size") > region_size)
+        now = kept(_sizes(moved), "sizes")
+        members = kept(moved.join(now, "region").where("size > 1").select("region", "node", "n", "shingles", "size"), "members")
+        edges.append(_small_joined(members.where(small), _total(now, small & (F.col("size") > 1)), threshold))
+        large_now = members.where(big)
         before, after = (x.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for x in (large, large_now))
         level += 1
         if 2 * after > before:  # the sum of squared sizes does not fall: pivots do not divide these
-            edges.append(_in_squares(large_now.drop("size"), now.where(F.col("size") > region_size), region_size, threshold))
+            edges.append(_in_squares(large_now.drop("size"), now.where(big), region_size, threshold))
             break
         large = large_now
     out = edges[0]
@@ -389,7 +402,11 @@ def similar_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, re
     parts = blocks.packed(docs, id_column, text_column)
     sets = _rows_of_sets(parts, size)
     classes = _classes(sets)
-    tree = roots(_links(_candidates(parts, classes, size, threshold), region_size, threshold))
+    candidates = _candidates(parts, classes, size, threshold)
+    blocks.release(parts)
+    scratch = [candidates]
+    tree = roots(_links(candidates, region_size, threshold, scratch))
+    blocks.release(*scratch)
     rooted = classes.join(tree, classes["node"] == tree["u"], "left").select("set_a", "set_b", "n_shingles", "key", "block", "rank", F.coalesce("v", "node").alias("root"))
     first = rooted.groupBy("root").agg(F.min(F.struct("key", "block", "rank")).alias("first"))
     of_class = rooted.select("set_a", "set_b", "n_shingles", "root").join(first, "root").select("set_a", "set_b", "n_shingles", "first")

@@ -38,7 +38,7 @@ from ledgerlake.llm import blocks
 from ledgerlake.llm.hashing import Spans, byte_values, leftmost_min, mix
 
 LENGTH = 100
-TRIGGER = 32
+TRIGGER = 24
 CROWDED = 1000
 KEPT = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
 _UNITS = [np.uint64, np.uint64, np.int64]

@@ -6,8 +6,8 @@ smallest in it. Equal runs have equal anchors.
 1. Blocks report the hashes of their anchors; shards tell which of them occur twice or more.
 2. A block confirms which of its phrases recur, compiles them to an Aho-Corasick automaton
    (each block of documents has the shard of the automaton that can match there) and streams its
-   documents through it. Runs of words around a match are the only ones that can recur; their
-   96-bit keys go to the shards with the identifier of the earliest document that has them.
+   documents through it. Runs whose anchor is among the occurrences are the only ones that can
+   recur; their 96-bit keys go to the shards with the earliest document of the block that has them.
 3. The shards answer which of them are not the first; the words these cover are removed.
 
 Words are runs of anything but space and ``\\t\\n\\v\\f\\r``, unchanged. A run is removed if the same
@@ -22,6 +22,7 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +51,8 @@ class _Words:
         self.doc = np.repeat(np.arange(len(block)), np.diff(self.first_word))
         self.whole = self.doc[:n] == self.doc[window - 1 :][:n]  # runs inside one document
         self.phrases = Spans(self.hashes).windows(phrase)
-        anchors = leftmost_min(self.phrases, window - phrase + 1)
-        self.anchors = np.unique(anchors[np.flatnonzero(self.whole)])
+        self.anchor_of = leftmost_min(self.phrases, window - phrase + 1)  # of each run
+        self.anchors = np.unique(self.anchor_of[np.flatnonzero(self.whole)])
 
     def distinct_anchors(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Hashes by shard, whether the block has them twice, shards, and the entry of each anchor."""
@@ -105,28 +106,34 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
         value, twice, shard, _ = _Words(block, window, phrase).distinct_anchors(shards)
         return blocks.letters(number, shard, [value, twice])
 
-    def runs(number, block, mail):
+    def recurring(block, mail):
+        """The runs whose anchor recurs: 96-bit keys, each run's entry among the distinct ones, first words."""
         text = _Words(block, window, phrase)
         *_, entry = text.distinct_anchors(shards)
         (often,) = blocks.replies(mail, [np.uint8])
-        hits = _matches(text, text.anchors[often[entry] == 1], phrase)
-        n = len(text.whole)
-        before = window - phrase  # a run holds the phrase if it starts so many words before it, or less
-        at = np.flatnonzero(blocks.covered(len(text.doc) + before, hits, before + 1)[before:][:n] & text.whole)
-        sums = Spans(text.hashes), Spans(text.hashes, 1)
-        a, b = sums[0].of(at, at + window), (sums[1].of(at, at + window) >> np.uint64(32)).astype(np.uint32)
+        located = np.zeros(len(text.doc) + 1, dtype=bool)
+        located[_matches(text, text.anchors[often[entry] == 1], phrase)] = True
+        at = np.flatnonzero(text.whole & located[text.anchor_of])
+        a, b = Spans(text.hashes).of(at, at + window), (Spans(text.hashes, 1).of(at, at + window) >> np.uint64(32)).astype(np.uint32)
         shard = blocks.shard_of(mix(a), shards)
         order = np.lexsort((at, b, a, shard))
         a, b, shard, at = a[order], b[order], shard[order], at[order]
         new = np.ones(len(at), dtype=bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        letters = blocks.letters(number, shard[new], [a[new], b[new], block.keys[text.doc[at[new]]]])
-        return blocks.letter_table([*letters, blocks.state_row(number, at[new].astype(np.uint32), at[~new].astype(np.uint32))])
+        return text, shard, a, b, at, new
+
+    def runs(number, block, mail):
+        text, shard, a, b, at, new = recurring(block, mail)
+        return blocks.letter_table(blocks.letters(number, shard[new], [a[new], b[new], block.keys[text.doc[at[new]]]]))
 
     def clean(number, block, mail):
-        (firsts, repeats), mail = blocks.split_state(mail)
-        (later,) = blocks.replies(mail, [np.uint8])
-        removed_runs = np.concatenate([firsts[later == 1], repeats]).astype(np.int64)
+        # the runs are found again: that costs less than keeping them
+        of_phrases = pa.compute.less(mail["shard"], shards)
+        *_, at, new = recurring(block, mail.filter(of_phrases))
+        (later,) = blocks.replies(mail.filter(pa.compute.invert(of_phrases)), [np.uint8])
+        first = np.ones(len(at), dtype=bool)
+        first[new] = later == 0
+        removed_runs = at[~(new & first)]
         texts, n_words, n_removed = [], [], []
         rows = [block.text(i).split() for i in range(len(block))]
         cuts = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
@@ -140,7 +147,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
             n_removed.append(lost)
         return pa.table({"doc_id": block.id_list(), "text": pa.array(texts, pa.string()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())})
 
-    known = blocks.answered(blocks.asked(parts, anchors), _ANCHORS, _recurring)
-    asked = blocks.stored(blocks.with_answers(parts, known, runs, blocks.LETTER), "recurring-runs")
-    later = blocks.answered(asked.where(F.col("shard") >= 0), _RUNS, _not_first)
-    return blocks.with_answers(parts, later.unionByName(asked.where(F.col("shard") < 0)), clean, KEPT)
+    known = blocks.stored(blocks.answered(blocks.asked(parts, anchors), _ANCHORS, _recurring), "recurring-phrases")
+    later = blocks.answered(blocks.with_answers(parts, known, runs, blocks.LETTER), _RUNS, _not_first)
+    both = known.unionByName(later.withColumn("shard", F.col("shard") + F.lit(shards)))
+    return blocks.with_answers(parts, both, clean, KEPT)

@@ -65,14 +65,22 @@ def saved_percent(after: Column, before: Column) -> Column:
     return (F.lit(1.0) - F.try_divide(after.cast("double"), before.cast("double"))) * 100
 
 
-def exact_sum(col: Column, scale: int | None) -> Column:
-    """Sum that does not depend on the order of rows when prices have ``scale`` decimals.
+def partial_sum(col: Column, scale: int | None) -> Column:
+    """A sum to be folded further: ``decimal(38, scale)``, so that folding never rounds.
 
     Without a scale it is a plain double sum, whose last digits depend on partitioning.
     """
-    if scale is None:
-        return F.sum(col)
-    return F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(col) if scale is None else F.sum(col.cast(f"decimal(28,{scale})"))
+
+
+def exact_sum(col: Column, scale: int | None) -> Column:
+    """Sum that does not depend on the order of rows when prices have ``scale`` decimals."""
+    return partial_sum(col, scale).cast("double")
+
+
+def folded_sum(col: Column, scale: int | None) -> Column:
+    """Total of partial sums, rounded to double only now."""
+    return (F.sum(col) if scale is None else F.sum(col.cast(f"decimal(38,{scale})"))).cast("double")
 
 
 def flag(col: Column) -> Column:

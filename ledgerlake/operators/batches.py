@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.numbers import exact_sum
+from ledgerlake.functions.numbers import partial_sum
 from ledgerlake.functions.texts import batch_key, null_safe_json
 from ledgerlake.operators.clean import judge
 from ledgerlake.operators.ordering import slice_in_order, with_position
@@ -88,7 +88,7 @@ def batch_partials(
         F.count("*").alias("rows_in"),
         F.count("reject_reason").alias("rows_rejected"),
         F.count(price).alias("rows_processed"),
-        exact_sum(price, scale).alias("batch_sum"),
+        partial_sum(price, scale).alias("batch_sum"),
         F.min(price).alias("batch_min"),
         F.max(price).alias("batch_max"),
     )
@@ -108,7 +108,7 @@ def running_history(
         .withColumn("_block", _whole_div(F.col("batch_number") - 1, block)),
         "partials",
     )
-    money = (lambda c: c) if scale is None else (lambda c: c.cast(f"decimal(18,{scale})"))
+    money = (lambda c: c) if scale is None else (lambda c: c.cast(f"decimal(38,{scale})"))
     blocks = stored.groupBy("feed_no", "source_file", "_block").agg(
         F.count("*").alias("_batches"),
         F.sum("rows_processed").alias("_rows"),
@@ -140,8 +140,9 @@ def running_history(
         columns[f"running_min_{when}"] = F.least("_min_b", F.min("batch_min").over(frame))
         columns[f"running_max_{when}"] = F.greatest("_max_b", F.max("batch_max").over(frame))
     out = joined.select(
-        "source_file", "batch_number", "feed_no", "rows_in", "rows_rejected", "rows_processed", "batch_sum",
-        "batch_min", "batch_max", F.try_divide("batch_sum", "rows_processed").alias("batch_avg"),
+        "source_file", "batch_number", "feed_no", "rows_in", "rows_rejected", "rows_processed",
+        F.col("batch_sum").cast("double").alias("batch_sum"), "batch_min", "batch_max",
+        F.try_divide(F.col("batch_sum").cast("double"), "rows_processed").alias("batch_avg"),
         *[c.alias(n) for n, c in columns.items()],
     )
     for when in frames:

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.numbers import no_nan, not_a_number, null_tokens, to_number
 from ledgerlake.functions.texts import iso_text
-from ledgerlake.settings import BRONZE_CREATED_BY, RAW_COLUMNS
+from ledgerlake.settings import BRONZE_CREATED_BY, MAX_PRICE, RAW_COLUMNS
 
 # Why a row is not loaded.
 UNPARSEABLE = "price_not_numeric"
 MISSING = "price_null"
 NON_POSITIVE = "price_not_positive"
+NOT_FINITE = "price_not_finite"
+OUT_OF_RANGE = "price_out_of_range"
 
 
 def absent_columns(df: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> list[str]:
@@ -22,7 +24,7 @@ def absent_columns(df: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> list
     return [c for c in required if c not in df.columns]
 
 
-FIRST_VERSION = ""
+FIRST_VERSION = 0
 
 
 def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None = None) -> DataFrame:
@@ -39,7 +41,7 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None =
         iso_text(F.current_timestamp()).alias("bronze_created_at"),
         F.lit(BRONZE_CREATED_BY).alias("bronze_created_by"),
         F.when(not_a_number(price), price).alias("bad_price"),
-        (F.lit(FIRST_VERSION) if version is None else version).alias("bronze_version"),
+        (F.lit(FIRST_VERSION) if version is None else version).cast("bigint").alias("bronze_version"),
         "source_file",
         *keep,
     )
@@ -48,7 +50,10 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None =
 def reject_reason(df: DataFrame) -> Column:
     """Why a row is rejected; NULL for a row that is kept."""
     price = no_nan(F.col("price"))
-    reason = F.when(price.isNull(), F.lit(MISSING)).when(price <= 0, F.lit(NON_POSITIVE))
+    reason = (
+        F.when(price.isNull(), F.lit(MISSING)).when(F.abs(price) == float("inf"), F.lit(NOT_FINITE))
+        .when(price <= 0, F.lit(NON_POSITIVE)).when(price > MAX_PRICE, F.lit(OUT_OF_RANGE))
+    )
     if "bad_price" in df.columns:
         return F.when(F.col("bad_price").isNotNull(), F.lit(UNPARSEABLE)).otherwise(reason)
     return reason
@@ -60,12 +65,12 @@ def judge(df: DataFrame) -> DataFrame:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Rows that pass: no NULL, no NaN, above zero.
+    """Rows that `judge` gives no reason: no NULL, no NaN, above zero, at most ``MAX_PRICE``.
 
-    NaN is larger than infinity, so the upper bound keeps it out; unlike a NaN test, both
-    bounds reach the Parquet scan as pushed filters.
+    NaN and infinity are above the upper bound; unlike tests for them, both bounds reach the
+    Parquet scan as pushed filters.
     """
-    return df.where((F.col("price") > 0) & (F.col("price") <= float("inf")))
+    return df.where((F.col("price") > 0) & (F.col("price") <= MAX_PRICE))
 
 
 def rejected(df: DataFrame) -> DataFrame:
@@ -81,6 +86,8 @@ def clean_counts(df: DataFrame) -> DataFrame:
         F.count_if(reason == MISSING).alias("rejected_null"),
         F.count_if(reason == NON_POSITIVE).alias("rejected_not_positive"),
         F.count_if(reason == UNPARSEABLE).alias("rejected_not_numeric"),
+        F.count_if(reason == NOT_FINITE).alias("rejected_not_finite"),
+        F.count_if(reason == OUT_OF_RANGE).alias("rejected_out_of_range"),
     )
 
 
@@ -95,7 +102,7 @@ def to_transactions(df: DataFrame, batch_id: Column) -> DataFrame:
         F.col("bronze_created_at").cast("string").alias("bronze_created_at"),
         F.current_timestamp().alias("db_inserted_at"),
         F.lit(None).cast("string").alias("processing_metadata"),
-        (F.col("bronze_version") if "bronze_version" in df.columns else F.lit(FIRST_VERSION)).alias("bronze_version"),
+        (F.col("bronze_version") if "bronze_version" in df.columns else F.lit(FIRST_VERSION)).cast("bigint").alias("bronze_version"),
         reject_reason(df).alias("reject_reason"),
     )
 

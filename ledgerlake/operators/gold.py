@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.numbers import exact_sum
+from ledgerlake.functions.numbers import exact_sum, folded_sum, partial_sum
 from ledgerlake.workspace import written
 
 # Aggregation level -> calendar unit.
@@ -32,13 +32,13 @@ def hourly_totals(rows: DataFrame, level: str, scale: int | None = None) -> Data
     """
     day = period(F.col("ts"), level).alias("date_partition")
     return rows.groupBy(day, F.hour("ts").alias("hour"), (F.weekday("ts") + 1).alias("weekday")).agg(
-        F.count("*").alias("n"), F.count("price").alias("priced"), exact_sum(F.col("price"), scale).alias("s"),
+        F.count("*").alias("n"), F.count("price").alias("priced"), partial_sum(F.col("price"), scale).alias("s"),
         F.min("price").alias("low"), F.max("price").alias("high"),
     )
 
 
 def _folded(column: str, scale: int | None) -> Column:
-    return F.sum(column) if scale is None else exact_sum(F.col(column), scale)
+    return folded_sum(F.col(column), scale)
 
 
 def price_metrics(rows: DataFrame, level: str, scale: int | None = None) -> DataFrame:
@@ -68,7 +68,7 @@ def user_metrics(rows: DataFrame, level: str, scale: int | None = None) -> DataF
     """
     day = period(F.col("ts"), level).alias("date_partition")
     per_user = rows.groupBy(day, "user_id").agg(
-        F.count("*").alias("n"), exact_sum(F.col("price"), scale).alias("spend")
+        F.count("*").alias("n"), partial_sum(F.col("price"), scale).alias("spend")
     )
     spend = _folded("spend", scale)
     users = F.count("user_id")

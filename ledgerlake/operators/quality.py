@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +17,15 @@ from ledgerlake.settings import (
 )
 from ledgerlake.workspace import written
 
+# Copies are rows of one source that agree in all of these; a row that lacks one of them is
+# nobody's copy.
 KEY = ("timestamp", "user_id", "price")
 
 
+def full_key(key: Sequence[str] = KEY) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+
+
 def standard_user(user_id: Column) -> Column:
     """Trimmed, lower case; bare digits become ``user_<digits>``."""
     plain = F.lower(F.trim(user_id))
@@ -81,11 +88,12 @@ def key_counts(rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
 def duplicate_summary(rows: DataFrame, key: Sequence[str] = KEY, tolerance: float | None = None) -> DataFrame:
     """Surplus copies per source and whether their share is tolerated."""
     limit = DUPLICATE_TOLERANCE["quality"] if tolerance is None else tolerance
-    extra = F.sum(F.col("copies") - 1)
+    full = full_key(key)
+    extra = F.sum(F.when(full, F.col("copies") - 1).otherwise(0))
     share = F.try_divide(extra.cast("double"), F.sum("copies"))
     return key_counts(rows, key).groupBy("source_file").agg(
         F.sum("copies").alias("total_rows"),
-        F.count_if(F.col("copies") > 1).alias("repeated_keys"),
+        F.count_if((F.col("copies") > 1) & full).alias("repeated_keys"),
         extra.alias("duplicate_rows"),
         F.round(share, 6).alias("duplicate_share"),
         (share <= limit).alias("tolerated"),
@@ -93,18 +101,37 @@ def duplicate_summary(rows: DataFrame, key: Sequence[str] = KEY, tolerance: floa
 
 
 def deduplicate(rows: DataFrame, order: Sequence[str], key: Sequence[str] = KEY) -> DataFrame:
-    """The first row of every key in the total order ``order``, with its number of copies.
+    """The first row of every key and source in the order ``order``, with its number of copies.
 
-    An aggregate, not a window: each task keeps one row per key, so a key that holds a
-    third of all rows sends one row per task.
+    Rows that lack a part of the key are told apart by ``order`` and all stay. An aggregate,
+    not a window: each task keeps one row per key, so a key that holds a third of all rows
+    sends one row per task.
     """
+    key = [*key, *(["source_file"] if "source_file" in rows.columns and "source_file" not in key else [])]
     rest = [c for c in rows.columns if c not in key and c not in order]
     first = F.min(F.struct(*order, *rest))
-    return rows.groupBy(*key).agg(first.alias("_first"), F.count("*").alias("copies")).select(
+    own = F.when(~full_key(key), F.struct(*order))
+    return rows.groupBy(*key, own.alias("_own")).agg(first.alias("_first"), F.count("*").alias("copies")).select(
         *key, "_first.*", "copies"
     )
 
 
+def handle_duplicates(
+    rows: DataFrame, order: Sequence[str], action: str = "warn", tolerance: float | None = None
+) -> DataFrame:
+    """What to do about copies: ``warn`` leaves them, ``remove`` keeps the first, ``error`` raises
+    when some source has more than is tolerated."""
+    if action == "remove":
+        return deduplicate(rows, order).drop("copies").select(*rows.columns)
+    if action not in ("warn", "error"):
+        raise ValueError(f"unknown action: {action}")
+    if action == "error":
+        bad = duplicate_summary(rows, tolerance=tolerance).where(~F.col("tolerated")).agg(F.sum("duplicate_rows")).first()[0]
+        if bad:
+            raise RuntimeError(f"{bad} duplicate rows are not tolerated")
+    return rows
+
+
 def outliers(rows: DataFrame, times_std: float = OUTLIER_STD) -> DataFrame:
     """Flags prices further than ``times_std`` standard deviations from the mean of the run.
 
@@ -164,12 +191,16 @@ def _share_check(bad: Column, total: Column, tolerance: float, action: str) -> C
     return F.when(share <= tolerance, "passed").otherwise("failed" if action == "error" else "warning")
 
 
-def quality_checks(bronze: DataFrame, feed: Feed, layer: str = "bronze", action: str = "warn") -> DataFrame:
+def quality_checks(
+    bronze: DataFrame, feed: Feed, layer: str = "bronze", action: str = "warn", tolerances: str | None = None
+) -> DataFrame:
     """The quality report: one row per source and check, with the share of rows affected.
 
     Every rule depends on the key columns only, so rows first collapse to one per key; that
-    one shuffle also yields the duplicates.
+    one shuffle also yields the duplicates. Price range and tolerances are those of the layer;
+    ``tolerances`` names another entry, such as ``quality`` for the general ones.
     """
+    lenient = tolerances or layer
     low, high = PRICE_RANGE[layer]
     data = key_counts(parsed(bronze))
     n = F.col("copies")
@@ -186,12 +217,12 @@ def quality_checks(bronze: DataFrame, feed: Feed, layer: str = "bronze", action:
         "timestamp_range": rows_where(F.coalesce(outside, F.lit(False))),
         "price_range": rows_where(F.coalesce(~F.col("price").between(low, high), F.lit(False))),
         "user_id_pattern": rows_where(F.coalesce(~F.col("user_id").rlike(USER_ID_PATTERN), F.lit(False))),
-        "duplicates": F.sum(n - 1),
+        "duplicates": rows_where(full_key()) - F.count_if(full_key()),
     }
     wide = data.groupBy("source_file").agg(F.sum(n).alias("total_rows"), *[c.alias(k) for k, c in bad.items()])
     long = wide.unpivot(["source_file", "total_rows"], list(bad), "check_type", "affected_rows")
-    limits = {k: NULL_TOLERANCE["quality"] if k.startswith("null_") else 0.0 for k in bad}
-    limits["duplicates"] = DUPLICATE_TOLERANCE["quality"]
+    limits = {k: NULL_TOLERANCE[lenient] if k.startswith("null_") else 0.0 for k in bad}
+    limits["duplicates"] = DUPLICATE_TOLERANCE[lenient]
     result = F.lit(None).cast("string")
     for name, limit in limits.items():
         verdict = _share_check(F.col("affected_rows"), F.col("total_rows"), limit, action)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.numbers import close_to, no_infinity
+from ledgerlake.functions.numbers import close_to, folded_sum, no_infinity
 from ledgerlake.functions.texts import null_safe_json
 from ledgerlake.settings import STATS_METRICS, TOLERANCE
 
@@ -72,7 +72,6 @@ def held_out_drift(partials: DataFrame, held_out: str, scale: int | None = None)
     Both states come from one pass over the batch partials.
     """
     before = F.col("source_file") != held_out
-    money = (lambda c: c) if scale is None else (lambda c: c.cast(f"decimal(18,{scale})"))
 
     def total(name: str, only_before: bool) -> Column:
         col = F.col(name)
@@ -81,7 +80,7 @@ def held_out_drift(partials: DataFrame, held_out: str, scale: int | None = None)
     sides = []
     for side, only in (("before", True), ("after", False)):
         rows = F.coalesce(F.sum(total("rows_processed", only)), F.lit(0))
-        amount = F.sum(money(total("batch_sum", only))).cast("double")
+        amount = folded_sum(total("batch_sum", only), scale)
         sides += [
             rows.alias(f"count_{side}"),
             F.try_divide(amount, rows).alias(f"avg_{side}"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.texts import iso_text
-from ledgerlake.operators.quality import deduplicate, parsed, rules
+from ledgerlake.operators.quality import deduplicate, full_key, parsed, rules
 from ledgerlake.settings import Feed
 
 
@@ -16,13 +16,17 @@ def to_silver(bronze: DataFrame, feed: Feed) -> DataFrame:
     """Bronze to silver, row by row: no shuffle. Invalid rows stay, marked as such.
 
     The identifier is a hash of what identifies a transaction, so it is the same in every run.
+    Where a part of that is missing or unreadable, the text as it came in counts too.
     """
-    rows = parsed(bronze)
+    raw = [F.coalesce(F.col(c), F.lit("")).alias(f"_raw_{c}") for c in ("timestamp", "user_id", "bad_price") if c in bronze.columns]
+    rows = parsed(bronze.select("*", *raw))
     flags = list(rules(feed, "silver").values())
     identity = F.concat_ws(
         "|", F.coalesce(iso_text(F.col("timestamp")), F.lit("")), F.coalesce("user_id", F.lit("")),
         F.coalesce(F.col("price").cast("string"), F.lit("")), "source_file",
     )
+    texts = [c for c in rows.columns if c.startswith("_raw_")]
+    identity = F.when(full_key(), identity).otherwise(F.concat_ws("|", identity, *texts))
     score = reduce(lambda a, b: a + b, [f.cast("int") for f in flags]) / F.lit(float(len(flags)))
     valid = reduce(lambda a, b: a & b, flags)
     return rows.withColumns(
@@ -30,7 +34,7 @@ def to_silver(bronze: DataFrame, feed: Feed) -> DataFrame:
             "transaction_id": F.md5(identity), "is_valid": valid, "quality_score": score,
             "silver_created_at": F.current_timestamp(), "silver_updated_at": F.current_timestamp(),
         }
-    )
+    ).drop(*texts)
 
 
 def silver_table(silver: DataFrame) -> DataFrame:

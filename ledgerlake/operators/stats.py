@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.numbers import exact_sum, round_or_zero
+from ledgerlake.functions.numbers import exact_sum, folded_sum, partial_sum, round_or_zero
 from ledgerlake.operators.ordering import quantiles
+from ledgerlake.workspace import written
 
 
 def direct_stats(
@@ -31,7 +32,7 @@ def merge_partials(
 ) -> DataFrame:
     """The state: partial statistics of any batches folded into one. Stored rows are not read."""
     rows, total, low, high = names
-    summed = F.sum(total) if scale is None else F.sum(F.col(total).cast(f"decimal(18,{scale})")).cast("double")
+    summed = folded_sum(F.col(total), scale)
     return partials.groupBy(*group).agg(
         F.coalesce(F.sum(rows), F.lit(0)).alias("count"),
         summed.alias("sum"),
@@ -47,10 +48,10 @@ def report_stats(transactions: DataFrame, scale: int | None = None) -> DataFrame
     Rows shrink to one per (source, user) first; the distinct counts run over those.
     """
     pairs = transactions.groupBy("source_file", "user_id").agg(
-        F.count("*").alias("n"), F.count("price").alias("priced"), exact_sum(F.col("price"), scale).alias("total"),
+        F.count("*").alias("n"), F.count("price").alias("priced"), partial_sum(F.col("price"), scale).alias("total"),
         F.min("price").alias("low"), F.max("price").alias("high"),
     )
-    total = F.sum("total") if scale is None else F.sum(F.col("total").cast(f"decimal(18,{scale})")).cast("double")
+    total = folded_sum(F.col("total"), scale)
     return pairs.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
         round_or_zero(F.try_divide(total, F.sum("priced"))).alias("avg_price"),
@@ -71,14 +72,23 @@ def record_count(rows: DataFrame) -> DataFrame:
 
 
 def variance_parts(value: Column) -> tuple[Column, Column, Column]:
-    """Count, sum and sum of squares: what a standard deviation can be folded from."""
-    return F.count(value), F.sum(value), F.sum(value * value)
+    """Count, mean and sum of squared deviations: what a standard deviation can be folded from."""
+    return F.count(value), F.avg(value), F.var_pop(value) * F.count(value)
 
 
-def std_from_parts(n: Column, total: Column, squares: Column) -> Column:
-    """Sample standard deviation of folded parts; NULL below two rows."""
-    spread = F.greatest(squares - total * total / n, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(spread / (n - 1)))
+def std_from_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sample standard deviation per key of parts (n, mean, squares); NULL below two rows.
+
+    Deviations are taken from the common mean, so nothing cancels at large counts.
+    """
+    centre = parts.groupBy(*keys).agg(
+        F.sum("n").alias("_n"), F.try_divide(F.sum(F.col("mean") * F.col("n")), F.sum("n")).alias("_mean")
+    )
+    away = F.col("mean") - F.col("_mean")
+    spread = F.sum(F.col("squares") + F.col("n") * away * away)
+    return parts.join(centre, list(keys)).groupBy(*keys).agg(
+        F.when(F.max("_n") > 1, F.sqrt(spread / (F.max("_n") - 1))).alias("std")
+    )
 
 
 def describe_prices(rows: DataFrame, places: int = 6) -> DataFrame:
@@ -97,10 +107,12 @@ def describe_prices(rows: DataFrame, places: int = 6) -> DataFrame:
 
 
 def std_and_median(rows: DataFrame, places: int = 6) -> DataFrame:
-    """The two extra statistics per source: std folded from parts, and the exact median."""
-    n, total, squares = variance_parts(F.col("price"))
-    parts = rows.groupBy("source_file").agg(n.alias("n"), total.alias("s"), squares.alias("q"))
-    std = parts.select("source_file", F.round(std_from_parts(F.col("n"), F.col("s"), F.col("q")), places).alias("std"))
+    """The two extra statistics per source: std folded from parts per task, and the exact median."""
+    n, mean, squares = variance_parts(F.col("price"))
+    parts = rows.groupBy("source_file", F.spark_partition_id().alias("_part")).agg(
+        n.alias("n"), mean.alias("mean"), squares.alias("squares")
+    )
+    std = std_from_parts(written(parts, "parts"), ["source_file"]).withColumn("std", F.round("std", places))
     median = quantiles(rows, ["source_file"], "price", [0.5])
     return std.join(median, "source_file", "left").select(
         "source_file", "std", F.round("q_0_5", places).alias("median")

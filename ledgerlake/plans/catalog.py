@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,12 @@ def _partials(spark: SparkSession, sf_dir: str, size: int = 1000) -> DataFrame:
     return batches.batch_partials(batches.number_batches(rows, FILE_ORDER, size), PRICE_SCALE)
 
 
+def _folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partials for a fold, which needs no numbers: one row per source and task, nothing is sorted."""
+    rows = _bronze(spark, sf_dir).select("source_file", "price", "bad_price", F.spark_partition_id().alias("part"))
+    return batches.batch_partials(rows, PRICE_SCALE, ["source_file", "part"])
+
+
 def _history(spark: SparkSession, sf_dir: str, size: int = 1000) -> DataFrame:
     return batches.running_history(_partials(spark, sf_dir, size), FEED.expected, PRICE_SCALE)
 
@@ -77,8 +84,8 @@ def _iso(column: str) -> Column:
 def running_stats_reconcile(spark, sf_dir):
     """Per-batch partials folded into the state, against a direct recomputation."""
     rows = inputs.transactions(spark, sf_dir)
-    slim = rows.select("source_file", "price", "ts", "event_id")
-    partials = batches.batch_partials(batches.number_batches(slim, ["ts", "event_id"]), PRICE_SCALE)
+    slim = rows.select("source_file", "price", F.spark_partition_id().alias("part"))
+    partials = batches.batch_partials(slim, PRICE_SCALE, ["source_file", "part"])
     return reconcile.reconcile(
         stats.merge_partials(partials, PRICE_SCALE), stats.direct_stats(clean.kept(rows), PRICE_SCALE)
     )
@@ -140,37 +147,7 @@ def stored_batches(spark, sf_dir):
 def update_per_file(spark, sf_dir):
     """Statistics updated per source instead of per batch."""
     rows = _bronze(spark, sf_dir)
-    return batches.batch_partials(rows, PRICE_SCALE, ["source_file"])
-
-
-@query
-def batch_summary(spark, sf_dir):
-    status = F.when(F.col("rows_processed") > 0, "completed").otherwise("failed")
-    return ingest.batch_summary(_partials(spark, sf_dir).withColumn("status", status))
-
-
-@query
-def batch_status_latest(spark, sf_dir):
-    """Batch metadata out of the event log: two events per batch, the later one counts."""
-    done = _partials(spark, sf_dir, SMALL_BATCH).select(
-        texts.batch_key(F.col("source_file"), F.col("batch_number")).alias("batch_id"),
-        "rows_processed", "rows_rejected",
-    )
-    at = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    end = F.when(F.col("rows_processed") > 0, "completed").otherwise("failed")
-    nothing = F.lit(None).cast("string")
-    log = done.select(
-        "batch_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("event_no"), "rows_processed", "rows_rejected"
-    ).select(
-        "batch_id", "event_no",
-        F.when(F.col("event_no") == 2, F.col("rows_processed")).alias("rows_processed"),
-        F.when(F.col("event_no") == 2, F.col("rows_rejected")).alias("rows_rejected"),
-        (at + F.make_interval(secs=F.col("event_no"))).alias("event_time"),
-        nothing.alias("error_message"), F.lit("main").alias("phase"),
-        F.lit(0).cast("bigint").alias("ingest_batch"),
-        F.when(F.col("event_no") == 2, end).otherwise("processing").alias("status"),
-    )
-    return ingest.latest_status(log).select("batch_id", "status", "rows_processed", "rows_rejected")
+    return batches.batch_partials(rows, PRICE_SCALE, ["source_file"]).withColumn("batch_sum", F.col("batch_sum").cast("double"))
 
 
 @query
@@ -246,11 +223,13 @@ def users_per_file(spark, sf_dir):
 @query
 def stats_text(spark, sf_dir):
     """State as a line of text and as a block, per source."""
-    state = stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE, ["source_file"])
+    partials = written(_partials(spark, sf_dir), "partials")
+    made = partials.groupBy("source_file").agg(F.count("*").alias("batches"))
+    state = stats.merge_partials(partials, PRICE_SCALE, ["source_file"]).join(made, "source_file")
     c = {n: F.col(n) for n in ("count", "sum", "avg", "min", "max")}
     return state.select(
         "source_file", texts.stats_line(c["count"], c["avg"], c["min"], c["max"]).alias("line"),
-        texts.stats_block(c["count"], c["sum"], c["avg"], c["min"], c["max"], F.lit(1)).alias("block"),
+        texts.stats_block(c["count"], c["sum"], c["avg"], c["min"], c["max"], F.col("batches")).alias("block"),
     )
 
 
@@ -330,7 +309,7 @@ def batch_ids(spark, sf_dir):
 def state_json(spark, sf_dir):
     """State per source written as a JSON file and loaded again."""
     path = fresh_path(spark, "state")
-    sinks.write_state(stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE, ["source_file"]), path)
+    sinks.write_state(stats.merge_partials(_folds(spark, sf_dir), PRICE_SCALE, ["source_file"]), path)
     return read_state(spark, path, ["source_file"])
 
 
@@ -351,7 +330,7 @@ def compare_sources(spark, sf_dir):
     rows = _bronze(spark, sf_dir)
     sides = {
         "store": stats.direct_stats(clean.kept(rows), PRICE_SCALE),
-        "incremental": stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE),
+        "incremental": stats.merge_partials(_folds(spark, sf_dir), PRICE_SCALE),
         "uncleaned": stats.direct_stats(rows.where(F.col("price").isNotNull()), PRICE_SCALE),
     }
     return reconcile.compare_sources(sides)
@@ -359,23 +338,23 @@ def compare_sources(spark, sf_dir):
 
 @query
 def per_file_reconcile(spark, sf_dir):
-    folded = stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE, ["source_file"])
+    folded = stats.merge_partials(_folds(spark, sf_dir), PRICE_SCALE, ["source_file"])
     direct = stats.direct_stats(clean.kept(_bronze(spark, sf_dir)), PRICE_SCALE, ["source_file"])
     return reconcile.verdict(reconcile.reconcile(folded, direct, ["source_file"]), ["source_file"])
 
 
 @query
 def heldout_drift(spark, sf_dir):
-    return reconcile.held_out_drift(_partials(spark, sf_dir), FEED.held_out, PRICE_SCALE)
+    return reconcile.held_out_drift(_folds(spark, sf_dir), FEED.held_out, PRICE_SCALE)
 
 
 @query
 def audit_record(spark, sf_dir):
     """The audit row of a reconciliation, written and read back."""
-    folded = stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE)
+    folded = stats.merge_partials(_folds(spark, sf_dir), PRICE_SCALE)
     direct = stats.direct_stats(clean.kept(_bronze(spark, sf_dir)), PRICE_SCALE)
     path = fresh_path(spark, "audit")
-    for _ in range(2):  # the second write replaces the first
+    for _ in range(2):  # both verifications stay on record
         sinks.append_audit(reconcile.audit_row(folded, direct, reconcile.reconcile(folded, direct), "run-1", "final"), path)
     return spark.read.schema(schemas.STATS_VERIFICATION).parquet(path).select(
         "run_id", "incremental_stats", "database_stats", "verification_passed", "notes"
@@ -595,12 +574,18 @@ def outliers(spark, sf_dir):
 
 @query
 def quality_checks(spark, sf_dir):
-    return quality.quality_checks(_bronze(spark, sf_dir), NARROW_FEED).drop("checked_at")
+    return quality.quality_checks(_bronze(spark, sf_dir), NARROW_FEED, tolerances="quality").drop("checked_at")
+
+
+@query
+def quality_checks_silver(spark, sf_dir):
+    """The same with the price range and the tolerances of the silver layer."""
+    return quality.quality_checks(_bronze(spark, sf_dir), NARROW_FEED, "silver").drop("checked_at")
 
 
 @query
 def quality_gate(spark, sf_dir):
-    return quality.quality_gate(quality.quality_checks(_bronze(spark, sf_dir), NARROW_FEED, action="error"))
+    return quality.quality_gate(quality.quality_checks(_bronze(spark, sf_dir), NARROW_FEED, action="error", tolerances="quality"))
 
 
 # --- Gold ---------------------------------------------------------------------------
@@ -656,8 +641,7 @@ def gold_refresh(spark, sf_dir):
     path = fresh_path(spark, "gold")
     sinks.write_gold(gold.gold_table(rows.where(~held_out), "weekly", PRICE_SCALE), path)
     sinks.refresh_gold(rows, rows.where(held_out), "weekly", path, PRICE_SCALE)
-    back = _gold_columns(spark.read.schema(schemas.GOLD).parquet(path))
-    return back.where(F.col("metric_type").isin("transaction_count", "price_statistics"))
+    return _gold_columns(spark.read.schema(schemas.GOLD).parquet(path))
 
 
 @query
@@ -678,31 +662,15 @@ def count_anomalies(spark, sf_dir):
     return monitoring.count_anomalies(monitoring.daily_counts(inputs.transactions(spark, sf_dir)))
 
 
-@query
-def degradation_flags(spark, sf_dir):
-    """Every source as one run: rejected share, batches with many rejects, rows per second of feed time."""
-    per_run = _partials(spark, sf_dir, SMALL_BATCH).groupBy("source_file").agg(
-        F.sum("rows_in").alias("rows_in"), F.sum("rows_rejected").alias("rows_rejected"),
-        F.count("*").alias("batches"), F.count_if(F.col("rows_rejected") * 20 > F.col("rows_in")).alias("failed_batches"),
-    )
-    at = F.col("ts").cast("timestamp")
-    span = inputs.transactions(spark, sf_dir).groupBy("source_file").agg(
-        (F.unix_seconds(F.max(at)) - F.unix_seconds(F.min(at))).alias("seconds")
-    )
-    runs = per_run.join(span, "source_file").withColumns(
-        {"run_id": F.col("source_file"), "run_no": listing.feed_position(F.col("source_file"), FEED.expected)}
-    )
-    return monitoring.degradation(runs)
-
-
 @query
 def retention_split(spark, sf_dir):
     """Orders kept and archived, written by tier and read back."""
     path = fresh_path(spark, "archive")
     rows = inputs.orders(spark, sf_dir).select("event_id", "ts", "price")
-    as_of = F.lit("2001-08-01").cast("date")
-    sinks.archive(monitoring.with_retention(rows, "silver", F.col("ts"), as_of), path)
-    return spark.read.parquet(path).select("event_id", "price", "tier")
+    for day in ("2001-08-01", "1999-08-01"):  # the second run leaves the first one's files alone
+        as_of = F.lit(day).cast("date")
+        sinks.archive(monitoring.with_retention(rows, "silver", F.col("ts"), as_of), path, day)
+    return spark.read.schema("event_id bigint, price double, tier string, as_of string").parquet(path)
 
 
 @query
@@ -826,7 +794,7 @@ def run_report(spark, sf_dir):
     """Text lines of the run report."""
     rows = clean.kept(_bronze(spark, sf_dir))
     files = rows.agg(F.count_distinct("source_file").alias("sources"))
-    state = stats.merge_partials(_partials(spark, sf_dir), PRICE_SCALE)
+    state = stats.merge_partials(_folds(spark, sf_dir), PRICE_SCALE)
     return report.report_lines(report.report_row(files, stats.report_stats(rows, PRICE_SCALE), state, 1000))
 
 
@@ -836,38 +804,47 @@ def stream_live_stats(spark, sf_dir):
     path = fresh_path(spark, "live")
     _bronze_part(spark, sf_dir, f"{path}/bronze", F.lit(True))
     stream = clean.kept(ingest.bronze_stream(spark, f"{path}/bronze", max_files=2))
-    live.run_available(live.live_stats(stream, PRICE_SCALE), f"{path}/state", f"{path}/checkpoint", "complete")
-    return spark.read.parquet(f"{path}/state")
+    live.run_live(live.live_stats(stream, PRICE_SCALE), f"{path}/state", f"{path}/checkpoint")
+    return live.published(spark, f"{path}/state")
 
 
-def _event_stream(spark: SparkSession, path: str, max_files: int) -> DataFrame:
-    rows = quality.parsed(ingest.bronze_stream(live.state_session(spark), path, max_files=max_files))
-    return rows.where(F.col("timestamp").isNotNull()).withColumnRenamed("timestamp", "ts")
+def _newest_first(spark: SparkSession, sf_dir: str, path: str, load: Callable[[DataFrame], None]) -> None:
+    """The feed with its newest source first, then the others; one file for each micro-batch."""
+    held_out = F.col("source_file") == FEED.held_out
+    for part in (held_out, ~held_out):
+        _bronze_part(spark, sf_dir, f"{path}/bronze", part)
+        rows = quality.parsed(ingest.bronze_stream(spark, f"{path}/bronze", max_files=1))
+        load(rows.withColumnRenamed("timestamp", "ts"))
 
 
 @query
 def stream_daily_prices(spark, sf_dir):
-    """Tumbling one-day windows of event time; each micro-batch replaces the days it changed."""
+    """Days of event time, folded from micro-batches that arrive newest first."""
     path = fresh_path(spark, "windows")
-    _bronze_part(spark, sf_dir, f"{path}/bronze", F.lit(True))
-    stream = clean.kept(_event_stream(spark, f"{path}/bronze", 100))
-    live.run_available(
-        live.windowed_prices(stream, PRICE_SCALE), f"{path}/days", f"{path}/checkpoint", "update", "date_partition"
-    )
-    return spark.read.parquet(f"{path}/days").select(
+    _newest_first(spark, sf_dir, path, lambda rows: live.fold_windows(
+        clean.kept(rows).where(F.col("ts").isNotNull()), f"{path}/days", f"{path}/checkpoint", PRICE_SCALE))
+    return live.daily_windows(spark, f"{path}/days", PRICE_SCALE).select(
         F.date_format("date_partition", "yyyy-MM-dd").alias("day"), "transaction_count", "price_sum", "price_min", "price_max"
     )
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """Rows per day that arrived more than two days late; they are in the days all the same."""
+    path = fresh_path(spark, "late")
+    _newest_first(spark, sf_dir, path, lambda rows: live.fold_windows(
+        clean.kept(rows).where(F.col("ts").isNotNull()), f"{path}/days", f"{path}/checkpoint", PRICE_SCALE))
+    return live.daily_windows(spark, f"{path}/days", PRICE_SCALE).select(
+        F.date_format("date_partition", "yyyy-MM-dd").alias("day"), "transaction_count", "late_rows"
+    )
+
+
 @query
 def stream_dedup(spark, sf_dir):
-    """Copies dropped by the stream: rows left per source."""
+    """Copies dropped by the stream, newest source first: rows left per source."""
     path = fresh_path(spark, "unique")
-    _bronze_part(spark, sf_dir, f"{path}/bronze", F.lit(True))
-    stream = live.without_copies(_event_stream(spark, f"{path}/bronze", 100))
-    live.run_available(
-        stream.select("ts", "user_id", "price", "source_file"), f"{path}/rows", f"{path}/checkpoint", "append"
-    )
+    _newest_first(spark, sf_dir, path, lambda rows: live.fold_unique(
+        rows.select("ts", "user_id", "price", "source_file"), f"{path}/rows", f"{path}/checkpoint"))
     return spark.read.parquet(f"{path}/rows").groupBy("source_file").agg(F.count("*").alias("n_rows"))
 
 
@@ -879,6 +856,149 @@ def approx_metrics(spark, sf_dir):
     users = rows.agg(F.count_distinct("user_id").alias("users")).scalar()
     median = written(quantiles(rows, [], "price", [0.5]), "median").scalar()
     return near.select(
+        users.alias("users"), F.round(median, 6).alias("median"),
         (F.abs(F.col("approx_users") - users) <= users * 0.1).alias("users_close"),
         (F.abs(F.col("approx_median") - median) <= median * 0.05).alias("median_close"),
     )
+
+
+# --- What goes wrong -----------------------------------------------------------------------
+
+
+def _wild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.to_bronze(inputs.wild_text(spark, sf_dir), keep=FILE_ORDER)
+
+
+@query
+def wild_rejects(spark, sf_dir):
+    """Infinite and huge prices are rejected with a reason of their own."""
+    return clean.rejected(_wild(spark, sf_dir)).select("event_id", "copy", "source_file", "reject_reason")
+
+
+@query
+def wild_counts(spark, sf_dir):
+    return clean.clean_counts(_wild(spark, sf_dir))
+
+
+@query
+def wild_stats(spark, sf_dir):
+    return stats.direct_stats(clean.kept(_wild(spark, sf_dir)), PRICE_SCALE, ["source_file"])
+
+
+def _troubled_store(spark: SparkSession, sf_dir: str) -> ingest.Store:
+    """A store whose batch 1 failed and was loaded again, whose batch 2 was loaded and failed when
+    it was replayed, and whose batch 3 has only failed; batch n is source n + 1."""
+    store = ingest.Store(fresh_path(spark, "store"), PRICE_SCALE)
+
+    def load(number: int, broken: bool) -> None:
+        rows = clean.to_bronze(inputs.dirty_text(spark, sf_dir).where(F.col("source_file") == FEED.expected[number]))
+        if broken:
+            rows = rows.withColumn("price", F.when(F.col("price").isNotNull(), F.raise_error(F.lit("broken batch")).cast("double")))
+        try:
+            ingest.load_batch(rows, number, store, ingest.MAIN)
+        except Exception:
+            if not broken:
+                raise
+
+    for number, broken in ((0, False), (1, True), (1, False), (2, False), (2, True), (3, True), (4, False), (5, False)):
+        load(number, broken)
+    return store
+
+
+@query
+def batch_status_latest(spark, sf_dir):
+    """Batch metadata of a store with failed, recovered and replayed batches."""
+    status = ingest.latest_status(_troubled_store(spark, sf_dir).events(spark))
+    return status.select(
+        "phase", "ingest_batch", "status", "rows_processed", "rows_rejected",
+        F.coalesce(F.contains(F.col("error_message"), F.lit("broken batch")), F.lit(False)).alias("says_why"),
+    )
+
+
+@query
+def batch_summary(spark, sf_dir):
+    return ingest.batch_summary(ingest.latest_status(_troubled_store(spark, sf_dir).events(spark)))
+
+
+@query
+def degradation_flags(spark, sf_dir):
+    """Every batch of the troubled store as a run; seconds come from the log and only their sign is compared."""
+    store = _troubled_store(spark, sf_dir)
+    last = ingest.latest_status(store.events(spark))
+    spent = F.timestamp_diff("MICROSECOND", F.col("processing_start"), F.col("processing_end")) / F.lit(1e6)
+    runs = last.select(
+        F.col("ingest_batch").cast("string").alias("run_id"), F.col("ingest_batch").alias("run_no"),
+        (F.coalesce("rows_processed", F.lit(0)) + F.coalesce("rows_rejected", F.lit(0))).alias("rows_in"),
+        F.coalesce("rows_rejected", F.lit(0)).alias("rows_rejected"), F.lit(1).alias("batches"),
+        (F.col("status") == "failed").cast("int").alias("failed_batches"), spent.alias("seconds"),
+    )
+    return monitoring.degradation(runs).select(
+        "run_id", "failed_share", "reject_share", "processing_failure", "quality_degraded",
+        (F.col("rows_per_second") >= 0).alias("timed"),
+    )
+
+
+@query
+def reconcile_detects_loss(spark, sf_dir):
+    """A stored source that vanishes, and one that is there twice, are seen by the verification."""
+    lake = fresh_path(spark, "lake")
+    store = ingest.Store(f"{lake}/store", PRICE_SCALE)
+    for number, source in enumerate(FEED.expected):
+        rows = clean.to_bronze(inputs.dirty_text(spark, sf_dir).where(F.col("source_file") == source))
+        ingest.load_batch(rows, number, store, ingest.MAIN)
+    whole, state = store.transactions(spark), store.state(spark)
+    first = F.col("source_file") == FEED.expected[0]
+    sides = {"whole": whole, "lost": whole.where(~first), "doubled": whole.unionByName(whole.where(first))}
+    out = None
+    for name, rows in sides.items():
+        verdict = reconcile.verdict(reconcile.reconcile(state, stats.direct_stats(rows, PRICE_SCALE)))
+        verdict = verdict.select(F.lit(name).alias("store"), "overall_match")
+        out = verdict if out is None else out.unionByName(verdict)
+    return out
+
+
+def _csv_text(spark: SparkSession, lines: list[str], path: str) -> None:
+    """A CSV file with exactly these lines."""
+    rows = written(spark.range(0, 1, 1, 1).select(F.explode(F.array(*[F.lit(x) for x in lines])).alias("value")), "lines")
+    rows.coalesce(1).write.mode("overwrite").option("sep", "\x01").option("quote", "").csv(path)
+
+
+_HEADER = "event_id,copy,timestamp,price,user_id"
+
+
+@query
+def header_only_source(spark, sf_dir):
+    """A source with a header and no rows is present with none, and the run goes through."""
+    raw = _raw_files(spark, sf_dir)
+    _csv_text(spark, [_HEADER], f"{raw}/source_file=2024-9.csv")
+    feed = replace(FEED, main=(*FEED.main, "2024-9.csv"))
+    layout = run.Layout(raw=raw, lake=fresh_path(spark, "lake"))
+    steps = written(run.run_all(spark, layout, feed, PRICE_SCALE, publish=False), "steps")
+    done = steps.agg(F.bool_and(F.col("status") == "completed")).scalar()
+    profile = run.bronze_profile(spark, layout.bronze)
+    return profile.select("source_file", "row_count", done.alias("run_completed"))
+
+
+@query
+def source_emptied(spark, sf_dir):
+    """A source that is replaced by a file without rows loses its earlier ones, in bronze and in the store."""
+    raw = _raw_files(spark, sf_dir)
+    layout = run.Layout(raw=raw, lake=fresh_path(spark, "lake"))
+    run.run_all(spark, layout, FEED, PRICE_SCALE, publish=False)
+    _csv_text(spark, [_HEADER], f"{raw}/source_file={FEED.main[1]}")
+    steps = written(run.run_all(spark, layout, FEED, PRICE_SCALE, publish=False), "steps")
+    done = steps.agg(F.bool_and(F.col("status") == "completed")).scalar()
+    stored = layout.store(PRICE_SCALE).transactions(spark).groupBy("source_file").agg(F.count("*").alias("n_stored"))
+    bronze = run.bronze_profile(spark, layout.bronze).select("source_file", F.col("row_count").alias("n_bronze"))
+    return bronze.join(stored, "source_file", "left").select(
+        "source_file", "n_bronze", F.coalesce("n_stored", F.lit(0)).alias("n_stored"), done.alias("run_completed")
+    )
+
+
+@query
+def conversion_results(spark, sf_dir):
+    """What became of every source's files, one of which lacks a column."""
+    raw = _raw_files(spark, sf_dir)
+    _csv_text(spark, ["event_id,copy,timestamp,user_id", "1,0,2024-01-01,user_1"], f"{raw}/source_file=2024-8.csv")
+    results = run.convert_to_bronze(spark, raw, fresh_path(spark, "bronze"))
+    return results.groupBy("source_file").agg(F.bool_and("converted").alias("converted"), F.max("reason").alias("reason"))

@@ -84,6 +84,15 @@ def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wild_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The careless feed with infinite and huge prices on top; all rows kept."""
+    price = (
+        F.when(_nth(307), F.lit("Infinity")).when(_nth(311), F.lit("-Infinity")).when(_nth(313), F.lit("1e17"))
+        .otherwise(F.col("price"))
+    )
+    return dirty_text(spark, sf_dir).withColumn("price", price)
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second feed, over years: one transaction per order, one source per year."""
     year = F.year("o_orderdate").cast("string")

@@ -33,9 +33,19 @@ _DIRTY = f"""dirty AS (
   WHERE copy = 0 OR event_id % 50 = 0),
 judged AS (
   SELECT *, CASE WHEN bad_price IS NOT NULL THEN 'price_not_numeric' WHEN price IS NULL THEN 'price_null'
-    WHEN price <= 0 THEN 'price_not_positive' END AS reject_reason FROM dirty),
+    WHEN isinf(price) THEN 'price_not_finite' WHEN price <= 0 THEN 'price_not_positive'
+    WHEN price > 1e13 THEN 'price_out_of_range' END AS reject_reason FROM dirty),
 kept AS (SELECT * FROM judged WHERE reject_reason IS NULL)"""
 
+_WILD = _DIRTY.replace(
+    "CASE WHEN event_id % 97 = 0 OR event_id % 193 = 0 THEN NULL",
+    "CASE WHEN event_id % 307 = 0 THEN 'inf'::DOUBLE WHEN event_id % 311 = 0 THEN '-inf'::DOUBLE WHEN event_id % 313 = 0 THEN 1e17 "
+    "WHEN event_id % 97 = 0 OR event_id % 193 = 0 THEN NULL",
+).replace(
+    "CASE WHEN event_id % 97 <> 0 AND event_id % 193 = 0",
+    "CASE WHEN event_id % 307 <> 0 AND event_id % 311 <> 0 AND event_id % 313 <> 0 AND event_id % 97 <> 0 AND event_id % 193 = 0",
+)
+
 _SUM = "CAST(SUM(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
 
 
@@ -179,15 +189,15 @@ _QUALITY = {
 }
 
 
-def _quality(bad_result: str) -> str:
+def _quality(bad_result: str, nulls: float = 0.01, highest: str = "50000.0") -> str:
     parts = [
-        f"""SELECT source_file, '{name}' AS check_type, count(*) FILTER ({test}) AS bad, count(*) AS total,
-        {limit} AS lim FROM dirty GROUP BY source_file"""
+        f"""SELECT source_file, '{name}' AS check_type, count(*) FILTER ({test.replace('50000.0', highest)}) AS bad, count(*) AS total,
+        {nulls if limit else 0.0} AS lim FROM dirty GROUP BY source_file"""
         for name, (test, limit) in _QUALITY.items()
     ]
     parts.append(
-        """SELECT source_file, 'duplicates', CAST(SUM(n - 1) AS BIGINT), CAST(SUM(n) AS BIGINT), 0.0 FROM
-        (SELECT source_file, ts, user_std, price, count(*) AS n FROM dirty GROUP BY ALL) GROUP BY source_file"""
+        """SELECT source_file, 'duplicates', CAST(SUM(CASE WHEN ts IS NULL OR user_std IS NULL OR price IS NULL THEN 0 ELSE n - 1 END) AS BIGINT),
+        CAST(SUM(n) AS BIGINT), 0.0 FROM (SELECT source_file, ts, user_std, price, count(*) AS n FROM dirty GROUP BY ALL) GROUP BY source_file"""
     )
     return f"""WITH {_DIRTY}, checks AS ({' UNION ALL '.join(parts)})
 SELECT source_file AS batch_id, check_type, CASE WHEN bad / total <= lim THEN 'passed' ELSE '{bad_result}' END AS check_result,
@@ -244,12 +254,15 @@ FROM history WHERE batch_number % 5 = 0""",
   CAST(SUM(CAST(price AS DECIMAL(18,2))) FILTER (reject_reason IS NULL) AS DOUBLE) AS batch_sum,
   MIN(price) FILTER (reject_reason IS NULL) AS batch_min, MAX(price) FILTER (reject_reason IS NULL) AS batch_max
 FROM judged GROUP BY source_file""",
-    "batch_summary": f"""WITH {_partials()} SELECT count(*) AS total_batches, CAST(SUM(rows_processed) AS BIGINT) AS total_rows,
-  avg(rows_processed) AS avg_batch_size, count(*) FILTER (rows_processed > 0) AS completed_batches,
-  count(*) FILTER (rows_processed = 0) AS failed_batches, count(*) FILTER (rows_processed > 0) * 100.0::DOUBLE / count(*) AS success_rate
-FROM partials""",
-    "batch_status_latest": f"""WITH {_partials(100)} SELECT md5(source_file || '/' || batch_number) AS batch_id,
-  CASE WHEN rows_processed > 0 THEN 'completed' ELSE 'failed' END AS status, rows_processed, rows_rejected FROM partials""",
+    "batch_status_latest": f"""WITH {_DIRTY}, l AS (SELECT feed_no - 1 AS ingest_batch, count(*) FILTER (reject_reason IS NULL) AS k,
+  count(reject_reason) AS r FROM judged GROUP BY 1)
+SELECT 'main' AS phase, ingest_batch, CASE WHEN ingest_batch IN (2, 3) THEN 'failed' ELSE 'completed' END AS status,
+  CASE WHEN ingest_batch NOT IN (2, 3) THEN k END AS rows_processed, CASE WHEN ingest_batch NOT IN (2, 3) THEN r END AS rows_rejected,
+  ingest_batch IN (2, 3) AS says_why FROM l""",
+    "batch_summary": f"""WITH {_DIRTY}, l AS (SELECT feed_no - 1 AS n, count(*) AS k FROM kept GROUP BY 1)
+SELECT count(*) AS total_batches, CAST(SUM(k) FILTER (n NOT IN (2, 3)) AS BIGINT) AS total_rows,
+  avg(k) FILTER (n NOT IN (2, 3)) AS avg_batch_size, count(*) FILTER (n NOT IN (2, 3)) AS completed_batches,
+  count(*) FILTER (n IN (2, 3)) AS failed_batches, count(*) FILTER (n NOT IN (2, 3)) * 100.0::DOUBLE / count(*) AS success_rate FROM l""",
     "direct_stats": f"""WITH {_DIRTY} {_state('kept')}""",
     "lineitem_stats": f"""WITH t AS (SELECT lower(l_returnflag) || '.csv' AS source_file, l_extendedprice AS price FROM lineitem)
 {_state('t', group='source_file')}""",
@@ -280,16 +293,26 @@ FROM dirty GROUP BY source_file""",
     "std_median": f"""WITH {_DIRTY} SELECT source_file, round(stddev_samp(price), 6) AS std,
   round(quantile_cont(price, 0.5), 6) AS median FROM dirty GROUP BY source_file""",
     "users_per_file": f"""WITH {_DIRTY} SELECT source_file, count(DISTINCT user_raw) AS unique_users FROM dirty GROUP BY source_file""",
-    "stats_text": f"""WITH {_DIRTY}, s AS ({_state('kept', group='source_file')})
+    "stats_text": f"""WITH {_partials()}, b AS (SELECT source_file, count(*) AS batches FROM partials GROUP BY 1),
+s AS (SELECT * FROM ({_state('kept', group='source_file')}) JOIN b USING (source_file))
 SELECT source_file, format('Count: {{:,}}, Avg: ${{:.2f}}, Min: ${{:.2f}}, Max: ${{:.2f}}', "count", "avg", "min", "max") AS line,
   format('Records: {{:,}}' || chr(10) || 'Total: ${{:,.2f}}' || chr(10) || 'Average: ${{:.2f}}' || chr(10) || 'Minimum: ${{:.2f}}'
-   || chr(10) || 'Maximum: ${{:.2f}}' || chr(10) || 'Batches: 1', "count", "sum", "avg", "min", "max") AS block FROM s""",
+   || chr(10) || 'Maximum: ${{:.2f}}' || chr(10) || 'Batches: {{}}', "count", "sum", "avg", "min", "max", batches) AS block FROM s""",
     "clean_kept": f"""WITH {_DIRTY} SELECT event_id, copy, price, user_raw AS user_id, source_file FROM kept""",
     "clean_rejects": f"""WITH {_DIRTY} SELECT event_id, copy, price, bad_price, source_file, reject_reason FROM judged
 WHERE reject_reason IS NOT NULL""",
     "clean_counts": f"""WITH {_DIRTY} SELECT source_file, count(*) AS rows_in, count(*) FILTER (reject_reason IS NULL) AS rows_kept,
   count(*) FILTER (reject_reason = 'price_null') AS rejected_null, count(*) FILTER (reject_reason = 'price_not_positive') AS rejected_not_positive,
-  count(*) FILTER (reject_reason = 'price_not_numeric') AS rejected_not_numeric FROM judged GROUP BY source_file""",
+  count(*) FILTER (reject_reason = 'price_not_numeric') AS rejected_not_numeric, count(*) FILTER (reject_reason = 'price_not_finite')
+  AS rejected_not_finite, count(*) FILTER (reject_reason = 'price_out_of_range') AS rejected_out_of_range FROM judged GROUP BY source_file""",
+    "wild_counts": f"""WITH {_WILD} SELECT source_file, count(*) AS rows_in, count(*) FILTER (reject_reason IS NULL) AS rows_kept,
+  count(*) FILTER (reject_reason = 'price_null') AS rejected_null, count(*) FILTER (reject_reason = 'price_not_positive') AS rejected_not_positive,
+  count(*) FILTER (reject_reason = 'price_not_numeric') AS rejected_not_numeric, count(*) FILTER (reject_reason = 'price_not_finite')
+  AS rejected_not_finite, count(*) FILTER (reject_reason = 'price_out_of_range') AS rejected_out_of_range FROM judged GROUP BY source_file""",
+    "wild_rejects": f"""WITH {_WILD} SELECT event_id, copy, source_file, reject_reason FROM judged WHERE reject_reason IS NOT NULL""",
+    "wild_stats": f"""WITH {_WILD} {_state('kept', group='source_file')}""",
+    "reconcile_detects_loss": """SELECT * FROM (VALUES ('whole', true), ('lost', false), ('doubled', false)) v(store, overall_match)
+WHERE (SELECT count(*) FROM events) > 0""",
     "customer_balances": """SELECT CAST(c_nationkey AS VARCHAR) AS source_file, count(*) AS rows_in,
   count(*) FILTER (c_acctbal > 0) AS rows_kept, count(*) FILTER (c_acctbal <= 0) AS rejected_not_positive FROM customer GROUP BY 1""",
     "null_profile": f"""WITH {_DIRTY}, n AS (
@@ -329,7 +352,8 @@ SELECT source, metric, reference_value, compare_value, abs(reference_value - com
     "heldout_drift": _DRIFT_QUERY,
     "audit_record": f"""WITH {_DIRTY}, s AS ({_state('kept')}), j AS (SELECT '{{"count":' || "count" || ',"sum":' || "sum"
   || ',"avg":' || "avg" || ',"min":' || "min" || ',"max":' || "max" || '}}' AS j FROM s)
-SELECT 'run-1' AS run_id, j AS incremental_stats, j AS database_stats, 1::INTEGER AS verification_passed, 'final' AS notes FROM j""",
+SELECT 'run-1' AS run_id, j AS incremental_stats, j AS database_stats, 1::INTEGER AS verification_passed, 'final' AS notes
+FROM j, range(2)""",
     "bronze_roundtrip": f"""WITH {_DIRTY} SELECT ts_text AS "timestamp", price, user_raw AS user_id, bad_price,
   'bronze_converter' AS bronze_created_by, source_file FROM dirty""",
     "csv_profile": f"""WITH {_DIRTY} SELECT source_file, count(*) AS row_count, 'event_id,copy,timestamp,price,user_id' AS columns,
@@ -377,16 +401,19 @@ SELECT source_file, row_count, check_type, affected_rows, CASE WHEN affected_row
   round(affected_rows * 100.0::DOUBLE / row_count, 2) AS percent FROM c""",
     "silver_clean": f"""WITH {_DIRTY}, r AS (SELECT *, {_RULES} FROM dirty)
 SELECT DISTINCT md5(coalesce({_ISO.format('ts')}, '') || '|' || coalesce(user_std, '') || '|' || coalesce(CAST(price AS VARCHAR), '')
-  || '|' || source_file) AS transaction_id, {_ISO.format('ts')} AS "timestamp", price, user_std AS user_id, source_file,
+  || '|' || source_file || CASE WHEN ts IS NULL OR user_std IS NULL OR price IS NULL
+    THEN '|' || ts_text || '|' || coalesce(user_raw, '') || '|' || coalesce(bad_price, '') ELSE '' END) AS transaction_id, {_ISO.format('ts')} AS "timestamp", price, user_std AS user_id, source_file,
   r1 AND r2 AND r3 AND r4 AS is_valid, (r1::INT + r2::INT + r3::INT + r4::INT) / 4.0::DOUBLE AS quality_score FROM r""",
     "invalid_records": f"""WITH {_DIRTY}, r AS (SELECT *, {_RULES} FROM dirty)
 SELECT event_id, copy, price, source_file FROM r WHERE NOT (r1 AND r2 AND r3 AND r4)""",
     "dedup": f"""WITH {_DIRTY} SELECT event_id, copy, price, user_std AS user_id, source_file, copies FROM (
-  SELECT *, row_number() OVER (PARTITION BY ts, user_std, price ORDER BY event_id, copy) AS rn,
-    count(*) OVER (PARTITION BY ts, user_std, price) AS copies FROM dirty) WHERE rn = 1""",
-    "duplicate_report": f"""WITH {_DIRTY}, k AS (SELECT source_file, ts, user_std, price, count(*) AS n FROM dirty GROUP BY ALL)
-SELECT source_file, CAST(SUM(n) AS BIGINT) AS total_rows, count(*) FILTER (n > 1) AS repeated_keys, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows,
-  round(CAST(SUM(n - 1) AS DOUBLE) / CAST(SUM(n) AS DOUBLE), 6) AS duplicate_share, SUM(n - 1) = 0 AS tolerated FROM k GROUP BY 1""",
+  SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY ts, user_std, price, source_file, own) AS copies
+  FROM (SELECT *, CASE WHEN ts IS NULL OR user_std IS NULL OR price IS NULL THEN event_id || '/' || copy END AS own FROM dirty)
+  WINDOW w AS (PARTITION BY ts, user_std, price, source_file, own ORDER BY event_id, copy)) WHERE rn = 1""",
+    "duplicate_report": f"""WITH {_DIRTY}, k AS (SELECT source_file, ts, user_std, price, count(*) AS n FROM dirty GROUP BY ALL),
+x AS (SELECT *, CASE WHEN ts IS NULL OR user_std IS NULL OR price IS NULL THEN 0 ELSE n - 1 END AS extra FROM k)
+SELECT source_file, CAST(SUM(n) AS BIGINT) AS total_rows, count(*) FILTER (extra > 0) AS repeated_keys, CAST(SUM(extra) AS BIGINT) AS duplicate_rows,
+  round(CAST(SUM(extra) AS DOUBLE) / CAST(SUM(n) AS DOUBLE), 6) AS duplicate_share, SUM(extra) = 0 AS tolerated FROM x GROUP BY 1""",
     "null_fill_median": _middle_fill("quantile_cont(price, 0.5)"),
     "null_fill_mean": _middle_fill("avg(price)"),
     "null_fill_forward": _neighbour_fill("forward"),
@@ -402,6 +429,7 @@ SELECT event_id, copy, source_file, {_ISO.format('''make_timestamp(CASE WHEN ub
     "outliers": f"""WITH {_DIRTY}, s AS (SELECT avg(price) AS m, stddev_samp(price) AS d FROM dirty)
 SELECT event_id, copy, price, coalesce(abs(price - m) > d * 3.0, false) AS is_outlier FROM dirty, s""",
     "quality_checks": _quality("warning"),
+    "quality_checks_silver": _quality("warning", 0.0, "10000.0"),
     "quality_gate": f"""SELECT count(*) FILTER (check_result = 'passed') AS passed, 0::BIGINT AS warnings,
   count(*) FILTER (check_result = 'failed') AS failed, count(*) FILTER (check_result = 'failed') = 0 AS may_continue FROM ({_quality('failed')})""",
     "gold_daily": f"WITH {_TX} {_price_metrics('daily')}",
@@ -413,7 +441,7 @@ SELECT event_id, copy, price, coalesce(abs(price - m) > d * 3.0, false) AS is_ou
     "temporal_patterns": f"WITH {_TX} {_temporal_metrics('daily')}",
     "hourly_prices": f"""WITH {_TX} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS "hour", count(*) AS transaction_count,
   {_money('price')} / count(*) AS price_avg, MIN(price) AS price_min, MAX(price) AS price_max FROM tx GROUP BY 1""",
-    "gold_refresh": f"WITH {_TX} {_price_metrics('weekly')}",
+    "gold_refresh": f"WITH {_TX} {_gold('weekly')}",
     "gold_rules": f"""WITH {_ORDERS}, g AS ({_gold('monthly')}), k AS (SELECT metric_type, metric_name, date_partition, count(*) AS n,
   count(*) FILTER (metric_value IS NULL) AS nulls, count(*) FILTER (metric_value < -1e6 OR metric_value > 1e6) AS outside FROM g GROUP BY ALL)
 SELECT metric_type, CAST(SUM(n) AS BIGINT) AS total_rows, CAST(SUM(nulls) AS BIGINT) AS null_values,
@@ -423,15 +451,13 @@ SELECT metric_type, CAST(SUM(n) AS BIGINT) AS total_rows, CAST(SUM(nulls) AS BIG
     "count_anomalies": f"""WITH {_TX}, d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS transactions FROM tx GROUP BY 1),
 c AS (SELECT *, CAST(transactions AS DOUBLE) / lag(transactions) OVER (ORDER BY day) - 1 AS change FROM d)
 SELECT day, transactions, change, coalesce(abs(change) > 0.1, false) AS is_anomaly FROM c""",
-    "degradation_flags": f"""WITH {_partials(100)}, {_TX}, r AS (SELECT source_file, feed_no, CAST(SUM(rows_in) AS BIGINT) AS rows_in,
-  CAST(SUM(rows_rejected) AS BIGINT) AS rows_rejected, count(*) AS batches, count(*) FILTER (rows_rejected * 20 > rows_in) AS failed FROM partials GROUP BY 1, 2),
-s AS (SELECT source_file, epoch_us(MAX(ts)) // 1000000 - epoch_us(MIN(ts)) // 1000000 AS seconds FROM tx GROUP BY 1),
-x AS (SELECT *, failed::DOUBLE / batches AS fs, rows_rejected::DOUBLE / rows_in AS rs, rows_in::DOUBLE / seconds AS v FROM r JOIN s USING (source_file))
-SELECT source_file AS run_id, fs AS failed_share, rs AS reject_share, v AS rows_per_second, failed > 0 AS processing_failure,
-  coalesce(rs > lag(rs) OVER (ORDER BY feed_no) * 1.1::DOUBLE, false) AS quality_degraded,
-  coalesce(v < lag(v) OVER (ORDER BY feed_no) * 0.9::DOUBLE, false) AS performance_degraded FROM x""",
+    "degradation_flags": f"""WITH {_DIRTY}, l AS (SELECT feed_no - 1 AS n, count(*) AS k, count(reject_reason) AS r FROM judged GROUP BY 1),
+x AS (SELECT n, n IN (2, 3) AS failed, CASE WHEN n NOT IN (2, 3) THEN r::DOUBLE / k END AS rs FROM l)
+SELECT CAST(n AS VARCHAR) AS run_id, failed::INT::DOUBLE AS failed_share, rs AS reject_share, failed AS processing_failure,
+  coalesce(rs > lag(rs) OVER (ORDER BY n) * 1.1::DOUBLE, false) AS quality_degraded, true AS timed FROM x""",
     "retention_split": """SELECT o_orderkey AS event_id, o_totalprice AS price,
-  CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01') > 730 THEN 'warm' ELSE 'keep' END AS tier FROM orders""",
+  CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), CAST(as_of AS DATE)) > 730 THEN 'warm' ELSE 'keep' END AS tier, as_of
+FROM orders, (VALUES ('2001-08-01'), ('1999-08-01')) d(as_of)""",
     "lineage": f"""WITH {_DIRTY}, r AS (SELECT *, {_RULES} FROM dirty)
 SELECT 'bronze' AS layer, source_file, count(*) AS rows_in, count(*) AS rows_out, 'bronze_converter' AS created_by,
   'csv_files' AS data_source, '1.0' AS processing_version, 'raw' AS quality_tier FROM dirty GROUP BY source_file
@@ -469,7 +495,19 @@ SELECT CAST(line_no AS INTEGER) AS line_no, line FROM l""",
     "stream_live_stats": f"""WITH {_DIRTY} {_state('kept')}""",
     "stream_daily_prices": f"""WITH {_DIRTY} SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS transaction_count,
   {_money('price')} AS price_sum, MIN(price) AS price_min, MAX(price) AS price_max FROM kept WHERE ts IS NOT NULL GROUP BY 1""",
-    "stream_dedup": f"""WITH {_DIRTY} SELECT source_file, count(*) AS n_rows FROM
-  (SELECT DISTINCT ts, user_std, price, source_file FROM dirty WHERE ts IS NOT NULL) GROUP BY 1""",
-    "approx_metrics": """SELECT count(*) > 0 AS users_close, count(*) > 0 AS median_close FROM events""",
+    "stream_dedup": f"""WITH {_DIRTY} SELECT source_file, count(*) AS n_rows FROM (SELECT DISTINCT ts, user_std, price, source_file,
+  CASE WHEN ts IS NULL OR user_std IS NULL OR price IS NULL THEN event_id || '/' || copy END AS own FROM dirty) GROUP BY 1""",
+    "stream_late_rows": f"""WITH {_DIRTY}, m AS (SELECT MAX(ts) FILTER (source_file = 'validation.csv') AS seen FROM kept)
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS transaction_count,
+  count(*) FILTER (source_file <> 'validation.csv' AND ts < seen - INTERVAL 2 DAYS) AS late_rows
+FROM kept, m WHERE ts IS NOT NULL GROUP BY 1""",
+    "approx_metrics": f"""WITH {_DIRTY} SELECT count(DISTINCT user_raw) AS users, round(quantile_cont(price, 0.5), 6) AS median,
+  true AS users_close, true AS median_close FROM kept""",
+    "header_only_source": f"""WITH {_DIRTY} SELECT source_file, count(*) AS row_count, true AS run_completed FROM dirty GROUP BY 1
+UNION ALL SELECT '2024-9.csv', 0, true""",
+    "source_emptied": f"""WITH {_DIRTY} SELECT source_file, CASE WHEN source_file = '2024-2.csv' THEN 0 ELSE count(*) END AS n_bronze,
+  CASE WHEN source_file = '2024-2.csv' THEN 0 ELSE count(*) FILTER (reject_reason IS NULL) END AS n_stored, true AS run_completed
+FROM judged GROUP BY source_file""",
+    "conversion_results": f"""WITH {_DIRTY} SELECT DISTINCT source_file, true AS converted, CAST(NULL AS VARCHAR) AS reason FROM dirty
+UNION ALL SELECT '2024-8.csv', false, 'missing columns: price'""",
 }

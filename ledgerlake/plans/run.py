@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.texts import iso_text
+from ledgerlake import schemas
 from ledgerlake.operators.clean import to_bronze
 from ledgerlake.operators.completeness import check_layer, expected_sources, layer_totals, missing_sources
 from ledgerlake.operators.reconcile import audit_row, drift, reconcile, verdict
 from ledgerlake.operators.stats import direct_stats, report_stats
 from ledgerlake.plans.report import report_lines, report_row
 from ledgerlake.settings import BATCH_SIZE, Feed
-from ledgerlake.sinks.tables import append_audit, overwrite_partitions, write_bronze, write_report
-from ledgerlake.sources.csvfiles import read_csv_by_name
+from ledgerlake.sinks.tables import append_audit, drop_partitions, overwrite_partitions, write_bronze, write_report
+from ledgerlake.sources.csvfiles import csv_headers, missing_columns, read_csv_by_name
 from ledgerlake.sources.listing import count_sources, fingerprints, list_files
 from ledgerlake.sources.parquetfiles import parquet_footers, parquet_profile
 from ledgerlake.streaming.ingest import HELD_OUT_PHASE, MAIN, Store, bronze_stream, ingest_available
@@ -37,7 +38,7 @@ class RunLog:
             rows, message = work()
             status = "completed"
         except Exception as problem:
-            rows, message, status = 0, str(problem)[:500], "failed"
+            rows, message, status = 0, str(problem), "failed"
             if critical:
                 self._add(name, critical, status, rows, start, message)
                 raise
@@ -57,6 +58,10 @@ class RunLog:
         )
 
 
+def versions_path(bronze: str) -> str:
+    return f"{bronze.rstrip('/')}_versions"
+
+
 @dataclass(frozen=True)
 class Layout:
     """Folders of one installation."""
@@ -77,14 +82,16 @@ class Layout:
         return f"{self.lake}/reports"
 
     def store(self, scale: int | None) -> Store:
-        return Store(f"{self.lake}/store", scale)
+        return Store(f"{self.lake}/store", scale, versions=versions_path(self.bronze))
 
 
-def convert_to_bronze(spark: SparkSession, raw: str, bronze: str, sources: Sequence[str] | None = None) -> None:
+def convert_to_bronze(spark: SparkSession, raw: str, bronze: str, sources: Sequence[str] | None = None) -> DataFrame:
     """CSV files of a folder to bronze, in one distributed job; ``sources`` names the wanted ones.
 
     Only sources whose files are new or have changed since the last conversion are read;
-    each replaces what bronze has of it. A manifest beside the table remembers the files.
+    each replaces what bronze has of it, also when nothing is left of it. A manifest beside the
+    table remembers the files. Returns one row per file that was looked at: converted or not,
+    and why not. A source with a file that lacks a column is looked at again next time.
     """
     present = written(list_files(spark, raw, "*.csv*"), "files")
     files = present.where(F.col("source_file").isin(*sources)) if sources else present
@@ -93,12 +100,48 @@ def convert_to_bronze(spark: SparkSession, raw: str, bronze: str, sources: Seque
     known = read_if_any(spark, manifest, prints.schema)
     todo = written(prints.join(known, prints.columns, "left_anti"), "todo")
     if todo.isEmpty():
-        return
+        return literal_rows(spark, "source_file string, file_name string, converted boolean, reason string", [])
     changed = files.join(todo, "source_file", "left_semi")
     everything = present.join(todo, "source_file", "left_anti").isEmpty()
     rows = read_csv_by_name(spark, raw if everything else None, changed)
-    write_bronze(to_bronze(rows, version=iso_text(F.current_timestamp())), bronze)
-    overwrite_partitions(todo, manifest, ["source_file"])
+    version = time.time_ns() // 1000
+    write_bronze(to_bronze(rows, version=F.lit(version)), bronze)
+    lacking = F.concat(F.lit("missing columns: "), F.array_join("missing_columns", ", "))
+    reason = F.when(F.size("missing_columns") > 0, lacking)
+    file_name = F.regexp_extract("path", r"([^/]+)$", 1)
+    results = written(
+        missing_columns(csv_headers(changed)).select("source_file", file_name.alias("file_name"), reason.isNull().alias("converted"), reason.alias("reason")),
+        "conversions",
+    )
+    made = read_if_any(spark, bronze, schemas.BRONZE).where(F.col("bronze_version") == version)
+    made = made.groupBy("source_file").agg(F.count("*").alias("row_count"))
+    why = results.groupBy("source_file").agg(F.max("reason").alias("reason"))
+    versions = written(
+        todo.select("source_file").join(made, "source_file", "left").join(why, "source_file", "left").select(
+            F.lit(version).alias("version"), F.coalesce("row_count", F.lit(0)).alias("row_count"), "reason", "source_file"
+        ),
+        "versions",
+    )
+    overwrite_partitions(versions, versions_path(bronze), ["source_file"])
+    drop_partitions(versions.where("row_count = 0").select("source_file"), bronze, "source_file")
+    whole = versions.where(F.col("reason").isNull())
+    overwrite_partitions(todo.join(whole, "source_file", "left_semi"), manifest, ["source_file"])
+    return results
+
+
+def bronze_profile(spark: SparkSession, bronze: str) -> DataFrame:
+    """Footer facts per source; a source that was converted to no rows is there with none."""
+    # files of no source at all are listed as none
+    stored = parquet_profile(parquet_footers(list_files(spark, bronze, "*.parquet"))) if _exists(spark, bronze) else None
+    empty = read_if_any(spark, versions_path(bronze), schemas.BRONZE_VERSIONS).where("row_count = 0 AND reason IS NULL")
+    facts = ("source_file", "n_files", "row_count", "file_size", "corrupt_files")
+    none = empty.select("source_file", F.lit(1).cast("bigint").alias("n_files"), *[F.lit(0).cast("bigint").alias(c) for c in facts[2:]])
+    return none if stored is None else stored.select(*facts).unionByName(none)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def load_phase(
@@ -140,13 +183,15 @@ def phase_drift(spark: SparkSession, store: Store) -> DataFrame:
 
 def run_all(
     spark: SparkSession, layout: Layout, feed: Feed, scale: int | None = None, batch_size: int = BATCH_SIZE,
-    run_id: str = "run", publish: bool = True, max_files: int | None = None,
+    run_id: str | None = None, publish: bool = True, max_files: int | None = None,
 ) -> DataFrame:
     """The five steps in order; returns the step log.
 
     Raw data, bronze and the main load are critical: their failure ends the run. The
     held-out load and the report are not. ``publish=False`` leaves out audit and report.
+    Without ``run_id`` the run gets one of its own, so its audit rows are added to earlier ones.
     """
+    run_id = run_id or uuid.uuid4().hex
     log = RunLog()
     expected = expected_sources(spark, feed.expected)
 
@@ -159,8 +204,7 @@ def run_all(
 
     def bronze() -> tuple[int, str]:
         convert_to_bronze(spark, layout.raw, layout.bronze, feed.expected)
-        profile = parquet_profile(parquet_footers(list_files(spark, layout.bronze, "*.parquet")))
-        totals = layer_totals(check_layer(profile, expected)).first()
+        totals = layer_totals(check_layer(bronze_profile(spark, layout.bronze), expected)).first()
         if not totals["valid"]:
             raise ValueError(f"bronze is not complete: {totals['missing']} missing, {totals['corrupt']} corrupt")
         return totals["total_rows"], "bronze is complete"

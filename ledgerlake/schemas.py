@@ -5,33 +5,41 @@ from __future__ import annotations
 RAW = "timestamp string, price string, user_id string"
 
 # `bad_price` keeps the text of a price that is present but not a number, so that a later
-# step can tell it from a missing one. `bronze_version` grows whenever a source is converted
+# step can tell it from a missing one. `bronze_version` (microseconds, UTC) grows whenever a source is converted
 # anew as a whole; rows that are only ever added share one version. `source_file` is the
 # partition column.
 BRONZE = (
     "timestamp string, price double, user_id string, bronze_created_at string, "
-    "bronze_created_by string, bad_price string, bronze_version string, source_file string"
+    "bronze_created_by string, bad_price string, bronze_version bigint, source_file string"
 )
 
+# One row per source: the version of its latest conversion, also when that has no rows.
+BRONZE_VERSIONS = "version bigint, row_count bigint, reason string, source_file string"
+
 TRANSACTIONS = (
     "timestamp string, price double, user_id string, source_file string, batch_id string, "
     "bronze_created_at string, db_inserted_at timestamp, processing_metadata string, "
-    "bronze_version string, reject_reason string, outcome string, phase string, ingest_batch bigint"
+    "bronze_version bigint, reject_reason string, outcome string, phase string, ingest_batch bigint"
 )
 
 BATCH_EVENTS = (
     "batch_id string, event_no int, rows_processed bigint, rows_rejected bigint, "
-    "event_time timestamp, error_message string, status string, phase string, ingest_batch bigint"
+    "event_time timestamp, error_message string, phase string, ingest_batch bigint, attempt int, status string"
 )
 
-BATCH_PARTIALS = (
-    "source_file string, bronze_version string, rows_in bigint, rows_rejected bigint, count bigint, sum double, "
-    "min double, max double, phase string, ingest_batch bigint"
-)
+
+def batch_partials(scale: int | None) -> str:
+    """Sums are kept so that folding them never rounds."""
+    money = "double" if scale is None else f"decimal(38,{scale})"
+    return (
+        f"source_file string, bronze_version bigint, rows_in bigint, rows_rejected bigint, count bigint, sum {money}, "
+        "min double, max double, phase string, ingest_batch bigint"
+    )
+
 
 STATS_VERIFICATION = (
     "run_id string, verification_timestamp timestamp, incremental_stats string, "
-    "database_stats string, comparison_result string, verification_passed int, notes string"
+    "database_stats string, comparison_result string, verification_passed int, notes string, verified_at bigint"
 )
 
 STATISTICS = (

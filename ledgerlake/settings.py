@@ -18,13 +18,15 @@ NULL_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# --- Defaults: declared thresholds ---------------------------------------------
+# --- Fixed defaults: declared thresholds; every function that uses one takes another value ---------------------------------------------
 
 BATCH_SIZE = 1000
 PROGRESS_EVERY = 5
 TOLERANCE = 1e-6
 USER_ID_PATTERN = r"^user_\d+$"
 UNKNOWN_USER = "unknown"
+# Larger prices are rejected: their cents are no longer exact, and sums of them would not fit.
+MAX_PRICE = 1e13
 PRICE_RANGE = {"bronze": (0.01, 50000.0), "silver": (0.01, 10000.0)}
 METRIC_RANGE = (-1e6, 1e6)
 OUTLIER_STD = 3.0

@@ -28,6 +28,14 @@ def overwrite_partitions(
     )
 
 
+def drop_partitions(df_of_names: DataFrame, path: str, column: str) -> None:
+    """Removes whole partitions, named by the one column of a small table; reads names only."""
+    spark = df_of_names.sparkSession
+    for row in df_of_names.toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={row[0]}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_bronze(bronze: DataFrame, path: str, **options) -> None:
     """One partition per source. Tasks write what they read, so nothing is shuffled."""
     overwrite_partitions(bronze, path, ["source_file"], **options)
@@ -69,8 +77,9 @@ def write_state(state: DataFrame, path: str) -> None:
 
 
 def append_audit(audit: DataFrame, path: str) -> None:
-    """Audit rows under their run; writing a run again replaces its row."""
-    overwrite_partitions(audit, path, ["run_id"])
+    """Audit rows under their run and time; earlier verifications stay."""
+    at = F.unix_micros("verification_timestamp")
+    overwrite_partitions(audit.withColumn("verified_at", at), path, ["run_id", "verified_at"])
 
 
 def write_report(report: DataFrame, text: DataFrame, folder: str) -> None:
@@ -79,7 +88,7 @@ def write_report(report: DataFrame, text: DataFrame, folder: str) -> None:
     text.orderBy("line_no").coalesce(1).select("line").write.mode("overwrite").text(f"{folder}/text")
 
 
-def archive(rows: DataFrame, path: str) -> None:
-    """Rows with their ``tier``, one partition per tier."""
-    overwrite_partitions(rows, path, ["tier"])
+def archive(rows: DataFrame, path: str, as_of: str) -> None:
+    """Rows with their ``tier``, a partition for each tier and archive run; earlier runs stay."""
+    overwrite_partitions(rows.withColumn("as_of", F.lit(as_of)), path, ["tier", "as_of"])
 

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.functions.numbers import exact_sum
+from ledgerlake.functions.numbers import partial_sum
 from ledgerlake.operators.batches import running_history, snapshots
-from ledgerlake.operators.clean import to_transactions
+from ledgerlake.operators.clean import FIRST_VERSION, judge, to_transactions
 from ledgerlake.operators.stats import merge_partials
 from ledgerlake.sinks.tables import overwrite_partitions
 from ledgerlake.workspace import read_if_any, written
@@ -35,6 +35,7 @@ class Store:
     folder: str
     scale: int | None = None
     generation: int = 1
+    versions: str | None = None  # the table of conversions, when sources can be converted anew
 
     def _path(self, table: str) -> str:
         return f"{self.folder}/{self.generation}/{table}"
@@ -62,11 +63,19 @@ class Store:
         return spark.read.schema(schemas.TRANSACTIONS).parquet(self.rows_path)
 
     def all_partials(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(schemas.BATCH_PARTIALS).parquet(self.partials_path)
+        return spark.read.schema(schemas.batch_partials(self.scale)).parquet(self.partials_path)
 
     def _newest(self, spark: SparkSession) -> DataFrame:
-        """The version that counts, one row per source, found in the partials."""
-        return self.all_partials(spark).groupBy("source_file").agg(F.max("bronze_version").alias("bronze_version"))
+        """The version that counts, one row per source: the latest loaded or converted one.
+
+        A source that was converted to no rows has no partials; only its conversion tells that
+        its earlier rows are gone.
+        """
+        known = self.all_partials(spark).select("source_file", "bronze_version")
+        if self.versions:
+            converted = read_if_any(spark, self.versions, schemas.BRONZE_VERSIONS)
+            known = known.unionByName(converted.select("source_file", F.col("version").alias("bronze_version")))
+        return known.groupBy("source_file").agg(F.max("bronze_version").alias("bronze_version"))
 
     def _current_rows(self, spark: SparkSession, outcome: str) -> DataFrame:
         # Written first, so that the planner knows how small the list of sources is.
@@ -127,10 +136,13 @@ class Store:
 
 
 def latest_status(events: DataFrame) -> DataFrame:
-    """Batch metadata: the latest event of every batch. The log is only ever added to."""
+    """Batch metadata: the latest event of the latest attempt of every batch.
+
+    The log is only ever added to: each load of a batch is an attempt of its own.
+    """
     names = [c for c in events.columns if c != "batch_id"]
-    latest = F.max_by(F.struct(*names), F.struct("event_no", "event_time"))
-    started = F.min(F.when(F.col("status") == "processing", F.col("event_time")))
+    latest = F.max_by(F.struct(*names), F.struct("attempt", "event_no", "event_time"))
+    started = F.max_by("event_time", F.when(F.col("status") == "processing", F.col("attempt")))
     return events.groupBy("batch_id").agg(
         latest.alias("r"), started.alias("processing_start"), F.max("event_time").alias("processing_end")
     ).select(
@@ -166,9 +178,15 @@ def _batch_id(phase: str, ingest_batch: int) -> Column:
     return F.md5(F.concat_ws("/", F.lit(phase), F.lit(str(ingest_batch))))
 
 
+def _next_attempt(spark: SparkSession, store: Store, phase: str, ingest_batch: int) -> int:
+    """Number of this load of a batch, from the batch's own part of the log."""
+    earlier = _own_part(spark, store.events_path, schemas.BATCH_EVENTS, phase, ingest_batch)
+    return 1 + (earlier.agg(F.max("attempt")).first()[0] or 0)
+
+
 def _log(
-    spark: SparkSession, store: Store, phase: str, ingest_batch: int, status: str, counts: DataFrame | None = None,
-    error: str | None = None,
+    spark: SparkSession, store: Store, phase: str, ingest_batch: int, attempt: int, status: str,
+    counts: DataFrame | None = None, error: str | None = None,
 ) -> None:
     if counts is None:
         nothing = F.lit(None).cast("bigint")
@@ -177,9 +195,10 @@ def _log(
         _batch_id(phase, ingest_batch).alias("batch_id"), F.lit(_EVENT_ORDER[status]).alias("event_no"),
         "rows_processed", "rows_rejected", F.current_timestamp().alias("event_time"),
         F.lit(error).cast("string").alias("error_message"), F.lit(phase).alias("phase"),
-        F.lit(ingest_batch).cast("bigint").alias("ingest_batch"), F.lit(status).alias("status"),
+        F.lit(ingest_batch).cast("bigint").alias("ingest_batch"), F.lit(attempt).alias("attempt"),
+        F.lit(status).alias("status"),
     )
-    overwrite_partitions(row, store.events_path, [*BATCH_KEY, "status"])
+    overwrite_partitions(row, store.events_path, [*BATCH_KEY, "attempt", "status"])
 
 
 def _own_part(spark: SparkSession, path: str, schema: str, phase: str, ingest_batch: int) -> DataFrame:
@@ -191,32 +210,33 @@ def _own_part(spark: SparkSession, path: str, schema: str, phase: str, ingest_ba
 def load_batch(rows: DataFrame, ingest_batch: int, store: Store, phase: str) -> None:
     """Load one micro-batch: rows, then their partial statistics, then the event.
 
-    Rows are judged and written in one pass. Partials are computed from what was written,
-    so they agree with the store by construction.
+    Partials are computed from the rows that came in, not from what was written, so that a
+    later verification against the store sees what a write may have lost or doubled.
     """
     spark = rows.sparkSession
     key = {"phase": F.lit(phase), "ingest_batch": F.lit(ingest_batch).cast("bigint")}
-    _log(spark, store, phase, ingest_batch, "processing")
+    attempt = _next_attempt(spark, store, phase, ingest_batch)
+    _log(spark, store, phase, ingest_batch, attempt, "processing")
     try:
         outcome = F.when(F.col("reject_reason").isNull(), "kept").otherwise("rejected")
         loaded = to_transactions(rows, _batch_id(phase, ingest_batch)).withColumns({**key, "outcome": outcome})
         overwrite_partitions(loaded, store.rows_path, [*BATCH_KEY, "outcome"])
-        stored = _own_part(spark, store.rows_path, schemas.TRANSACTIONS, phase, ingest_batch)
-        price = F.when(F.col("outcome") == "kept", F.col("price"))
-        partial = stored.groupBy("source_file", "bronze_version").agg(
-            F.count("*").alias("rows_in"), F.count_if(F.col("outcome") == "rejected").alias("rows_rejected"),
-            F.count(price).alias("count"), exact_sum(price, store.scale).alias("sum"),
+        version = F.col("bronze_version") if "bronze_version" in rows.columns else F.lit(FIRST_VERSION).cast("bigint")
+        price = F.when(F.col("reject_reason").isNull(), F.col("price"))
+        partial = judge(rows).groupBy("source_file", version.alias("bronze_version")).agg(
+            F.count("*").alias("rows_in"), F.count("reject_reason").alias("rows_rejected"),
+            F.count(price).alias("count"), partial_sum(price, store.scale).alias("sum"),
             F.min(price).alias("min"), F.max(price).alias("max"),
         )
         overwrite_partitions(partial.withColumns(key), store.partials_path, BATCH_KEY)
-        mine = _own_part(spark, store.partials_path, schemas.BATCH_PARTIALS, phase, ingest_batch)
+        mine = _own_part(spark, store.partials_path, schemas.batch_partials(store.scale), phase, ingest_batch)
         counts = mine.agg(
             F.coalesce(F.sum("count"), F.lit(0)).alias("rows_processed"),
             F.coalesce(F.sum("rows_rejected"), F.lit(0)).alias("rows_rejected"),
         )
-        _log(spark, store, phase, ingest_batch, "completed", counts)
+        _log(spark, store, phase, ingest_batch, attempt, "completed", counts)
     except Exception as problem:
-        _log(spark, store, phase, ingest_batch, "failed", error=str(problem)[:2000])
+        _log(spark, store, phase, ingest_batch, attempt, "failed", error=str(problem))
         raise
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.functions.numbers import exact_sum
+from ledgerlake.functions.numbers import exact_sum, folded_sum, partial_sum
+from ledgerlake.operators.quality import full_key
 from ledgerlake.sinks.tables import overwrite_partitions
+from ledgerlake.workspace import literal_rows, read_if_any, written
 
 
 def state_session(spark: SparkSession) -> SparkSession:
@@ -32,60 +34,98 @@ def live_stats(stream: DataFrame, scale: int | None = None) -> DataFrame:
     ).select("count", "sum", F.try_divide("sum", "count").alias("avg"), "min", "max")
 
 
-def windowed_prices(stream: DataFrame, scale: int | None = None, length: str = "1 day", late: str = "2 days") -> DataFrame:
-    """Counts and prices per tumbling window of event time; state older than ``late`` is dropped.
+def _run(stream: DataFrame, checkpoint: str, save: Callable[[DataFrame, int], None]) -> None:
+    """Hand all available input, micro-batch by micro-batch, to ``save``."""
+    query: StreamingQuery = (
+        stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+WINDOWS = (
+    "date_partition date, transaction_count bigint, price_sum {money}, price_min double, price_max double, "
+    "last_seen timestamp, late_rows bigint, ingest_batch bigint"
+)
 
-    ``ts`` must be a timestamp with time zone semantics, as watermarks require. Windows are
-    aligned to UTC, so event time is shifted to the clock of the session for them: days
-    begin at its midnight, as they do in batch metrics.
+
+def _windows(spark: SparkSession, path: str, scale: int | None) -> DataFrame:
+    money = "double" if scale is None else f"decimal(38,{scale})"
+    return read_if_any(spark, path, WINDOWS.format(money=money))
+
+
+def fold_windows(stream: DataFrame, path: str, checkpoint: str, scale: int | None = None, late: str = "2 days") -> None:
+    """Counts and prices per day of event time, as partials of each micro-batch.
+
+    Whatever the order in which rows arrive and the number of files in a micro-batch, no row is
+    lost: late ones are merged into their day when partials are folded (`daily_windows`), and
+    counted as ``late_rows``: those more than ``late`` behind the latest event time of earlier
+    micro-batches. A replayed micro-batch replaces its partials. Days follow the session time zone.
     """
-    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
-    return (
-        stream.withColumn("ts", F.from_utc_timestamp("ts", zone))
-        .withWatermark("ts", late)
-        .groupBy(F.window("ts", length).alias("w"))
-        .agg(
-            F.count("*").alias("transaction_count"), exact_sum(F.col("price"), scale).alias("price_sum"),
-            F.min("price").alias("price_min"), F.max("price").alias("price_max"),
-        )
-        .select(
-            F.to_utc_timestamp(F.col("w.start"), zone).cast("date").alias("date_partition"), "transaction_count", "price_sum", "price_min", "price_max"
+
+    def save(rows: DataFrame, number: int) -> None:
+        earlier = _windows(rows.sparkSession, path, scale).where(F.col("ingest_batch") < number)
+        seen = earlier.agg(F.max("last_seen")).scalar()
+        behind = F.coalesce(F.col("ts") < seen - F.expr(f"INTERVAL {late}"), F.lit(False))
+        partials = rows.groupBy(F.to_date("ts").alias("date_partition")).agg(
+            F.count("*").alias("transaction_count"), partial_sum(F.col("price"), scale).alias("price_sum"),
+            F.min("price").alias("price_min"), F.max("price").alias("price_max"), F.max("ts").cast("timestamp").alias("last_seen"),
+            F.count_if(behind).alias("late_rows"),
         )
-    )
+        overwrite_partitions(partials.withColumn("ingest_batch", F.lit(number).cast("bigint")), path, ["ingest_batch"])
 
+    _run(stream, checkpoint, save)
 
-def without_copies(stream: DataFrame, late: str = "1 hour", key: Sequence[str] = ("ts", "user_id", "price")) -> DataFrame:
-    """Drops copies of a transaction that arrive within ``late`` of event time.
 
-    Copies are dropped per input task first and across tasks second, so a transaction that
-    is copied millions of times does not send all its copies to one task.
-    """
-    return (
-        stream.withColumn("_task", F.spark_partition_id())
-        .withWatermark("ts", late)
-        .dropDuplicatesWithinWatermark([*key, "_task"])
-        .dropDuplicatesWithinWatermark(list(key))
-        .drop("_task")
+def daily_windows(spark: SparkSession, path: str, scale: int | None = None) -> DataFrame:
+    """The days that `fold_windows` has seen, folded from the partials of all micro-batches."""
+    return _windows(spark, path, scale).groupBy("date_partition").agg(
+        F.sum("transaction_count").alias("transaction_count"), folded_sum(F.col("price_sum"), scale).alias("price_sum"),
+        F.min("price_min").alias("price_min"), F.max("price_max").alias("price_max"), F.sum("late_rows").alias("late_rows"),
     )
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str, partition_by: str | None = None) -> None:
-    """Run a stateful stream over all available input into a Parquet table.
+def fold_unique(
+    stream: DataFrame, path: str, checkpoint: str, key: Sequence[str] = ("ts", "user_id", "price", "source_file")
+) -> None:
+    """The first row of every key, whenever its copies arrive.
 
-    ``complete`` replaces the table per micro-batch, ``update`` replaces the partitions that
-    changed, ``append`` adds rows under the batch number, so a replay replaces them.
+    A micro-batch is reduced to one row per key in an aggregate and anti-joined with the rows
+    stored for the days it touches; only those partitions are read. Rows without a full key
+    are nobody's copy. A replayed micro-batch replaces what it wrote.
     """
+    full = full_key(key)
 
     def save(rows: DataFrame, number: int) -> None:
-        if mode == "update":
-            overwrite_partitions(rows, path, [partition_by])
-        elif mode == "complete":
-            rows.write.mode("overwrite").parquet(path)
-        else:
-            overwrite_partitions(rows.withColumn("ingest_batch", F.lit(number)), path, ["ingest_batch"])
+        spark = rows.sparkSession
+        dated = rows.withColumn("day", F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("none")))
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dated.schema)
+        new = written(dated.where(full).dropDuplicates(list(key)).unionByName(dated.where(~full)), "arrived")
+        stored = read_if_any(spark, path, f"{columns}, ingest_batch bigint").where(F.col("ingest_batch") < number)
+        touched = stored.join(new.select("day").distinct(), "day", "left_semi").where(full).select(*key)
+        fresh = new.join(touched, list(key), "left_anti").withColumn("ingest_batch", F.lit(number).cast("bigint"))
+        overwrite_partitions(fresh.select(*dated.columns, "ingest_batch"), path, ["day", "ingest_batch"])
+
+    _run(stream, checkpoint, save)
+
+
+def publish(rows: DataFrame, path: str, number: int) -> None:
+    """Replaces a small table at once: written under its number first, then pointed to."""
+    rows.write.mode("overwrite").parquet(f"{path}/versions/{number}")
+    pointer = literal_rows(rows.sparkSession, "current bigint", [(number,)])
+    overwrite_partitions(pointer.withColumn("version", F.lit(number)), f"{path}/pointers", ["version"])
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The latest complete version of a table that `publish` wrote."""
+    current = spark.read.schema("current bigint, version bigint").parquet(f"{path}/pointers").agg(F.max("current")).first()[0]
+    return spark.read.parquet(f"{path}/versions/{current}")
+
 
+def run_live(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Run a streaming aggregate over all available input; `published` reads its latest result
+    at any time, also while the next one is written."""
     query: StreamingQuery = (
-        stream.writeStream.outputMode(mode).foreachBatch(save)
+        stream.writeStream.outputMode("complete").foreachBatch(lambda rows, number: publish(rows, path, number))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

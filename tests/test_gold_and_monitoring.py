@@ -88,5 +88,6 @@ def test_retention(spark, tmp_path):
     tiers = monitoring.with_retention(rows, "bronze", F.col("ts"), as_of)
     assert {r["tier"]: r["count"] for r in tiers.groupBy("tier").count().collect()} == {"cold": 2, "keep": 3}
     assert monitoring.with_retention(rows, "gold", F.col("ts"), as_of).where("tier <> 'keep'").count() == 0
-    tables.archive(tiers, str(tmp_path / "a"))
-    assert spark.read.parquet(f"{tmp_path}/a/tier=cold").count() == 2
+    for day in ("2025-01-05", "2025-01-06", "2025-01-06"):  # a run that is repeated replaces itself only
+        tables.archive(tiers, str(tmp_path / "a"), day)
+    assert spark.read.parquet(f"{tmp_path}/a/tier=cold").count() == 4

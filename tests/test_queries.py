@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerlake.plans.catalog import QUERIES
+from ledgerlake.plans.oracle import ORACLE
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -32,11 +34,11 @@ def test_entry(spark):
     assert len(rows) == 5 and all(r["matches"] for r in rows)
 
 
-def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+def test_every_query_of_the_catalog_has_sql():
+    assert set(ORACLE) == set(QUERIES) and set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, duck, name):
     df = queries()[name](spark, SF)
     columns = sorted(df.columns)

@@ -84,23 +84,38 @@ def test_summary_of_nothing(spark):
 
 def test_live_statistics_equal_batch(spark, layout, tmp_path):
     stream = ingest.bronze_stream(spark, layout.bronze, lambda r: r.where("price > 0"), max_files=1)
-    live.run_available(live.live_stats(stream, 2), f"{tmp_path}/s", f"{tmp_path}/cp", "complete")
-    row = spark.read.parquet(f"{tmp_path}/s").first()
+    live.run_live(live.live_stats(stream, 2), f"{tmp_path}/s", f"{tmp_path}/cp")
+    row = live.published(spark, f"{tmp_path}/s").first()
     assert (row["count"], row["sum"], row["min"], row["max"]) == (33, sum(KEPT_MAIN) + 100.5, 0.5, 100.0)
 
 
 def test_windows_and_copies(spark, layout, tmp_path):
     rows = lambda r: r.withColumn("ts", F.to_timestamp("timestamp"))
-    days = live.windowed_prices(ingest.bronze_stream(spark, layout.bronze, rows), 2)
-    live.run_available(days, f"{tmp_path}/d", f"{tmp_path}/cpd", "update", "date_partition")
-    per_day = {str(r["date_partition"]): r["transaction_count"] for r in spark.read.parquet(f"{tmp_path}/d").collect()}
+    live.fold_windows(ingest.bronze_stream(spark, layout.bronze, rows, max_files=1), f"{tmp_path}/d", f"{tmp_path}/cpd", 2)
+    per_day = {str(r["date_partition"]): r["transaction_count"] for r in live.daily_windows(spark, f"{tmp_path}/d", 2).collect()}
     assert per_day["2012-02-01"] == 4 and per_day["2012-03-01"] == 3 and sum(per_day.values()) == len(ROWS + HELD)
 
     twice = lambda r: rows(r).union(rows(r))
-    unique = live.without_copies(ingest.bronze_stream(spark, layout.bronze, twice))
-    live.run_available(unique.select("ts", "user_id", "price"), f"{tmp_path}/u", f"{tmp_path}/cpu", "append")
-    distinct = {(r[1], r[2], r[3]) if r[2] not in ("NA", "x") else (r[1], None, r[3]) for r in ROWS + HELD}
-    assert spark.read.parquet(f"{tmp_path}/u").count() == len(distinct)
+    stream = ingest.bronze_stream(spark, layout.bronze, twice, max_files=1)
+    key = ("ts", "user_id", "price")
+    live.fold_unique(stream.select(*key, "source_file"), f"{tmp_path}/u", f"{tmp_path}/cpu", key)
+    got = spark.read.parquet(f"{tmp_path}/u")
+    full = [r for r in ROWS + HELD if r[2] not in ("NA", "x") and r[1] and r[3]]
+    assert got.where("price is not null and ts is not null and user_id is not null").count() == len({(r[1], r[2], r[3]) for r in full})
+    assert got.where("price is null or ts is null or user_id is null").count() == 2 * (len(ROWS + HELD) - len(full))
+
+
+def test_a_failed_replay_is_a_failure(spark, tmp_path, bronze_rows):
+    store = ingest.Store(str(tmp_path / "store"), 2)
+    good = bronze_rows(ROWS)
+    bad = good.withColumn("price", F.raise_error(F.lit("no " + "x" * 3000)).cast("double"))
+    ingest.load_batch(good, 0, store, ingest.MAIN)
+    with pytest.raises(Exception):
+        ingest.load_batch(bad, 0, store, ingest.MAIN)
+    row = ingest.latest_status(store.events(spark)).first()
+    assert row["status"] == "failed" and "x" * 3000 in row["error_message"]
+    ingest.load_batch(good, 0, store, ingest.MAIN)
+    assert ingest.latest_status(store.events(spark)).first()["status"] == "completed"
 
 
 @pytest.fixture()

@@ -129,7 +129,7 @@ def raw_layout(tmp_path):
 
 
 def test_whole_run(spark, raw_layout):
-    steps = run.run_all(spark, raw_layout, FEED, 2)
+    steps = run.run_all(spark, raw_layout, FEED, 2, run_id="run")
     got = [(r["step"], r["status"], r["rows"]) for r in steps.orderBy("step_no").collect()]
     assert got == [("raw_data", "completed", 3), ("bronze", "completed", 39), ("ingestion", "completed", 31),
                    ("validation", "completed", 2), ("report", "completed", 33)]

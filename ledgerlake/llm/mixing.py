@@ -109,17 +109,16 @@ def posteriors(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def _rate(domains: list[str], history: list[list[float]]) -> Column:
-    """The rate after the steps so far: start at 1, take each step, stay nonnegative."""
-    if not history:
-        return F.lit(1.0)
-    steps = F.split(F.lit(";".join(",".join(repr(x) for x in h) for h in history)), ";")
-    steps = F.transform(steps, lambda h: F.split(h, ",").cast("array<double>"))
+    """The rate after the steps so far: start at 1, take each step, stay nonnegative.
 
-    def step(rate: Column, size: Column) -> Column:
-        moves = [F.get(size, F.lit(k)) * F.col(f"p_{d}") for k, d in enumerate(domains)]
-        return F.greatest(F.lit(0.0), rate - sum(moves[1:], moves[0]))
-
-    return F.aggregate(steps, F.lit(1.0), step)
+    Plain arithmetic on the posterior columns: inside a lambda the optimizer would put their whole
+    computation in place of each reference.
+    """
+    rate = F.lit(1.0)
+    for step in history:
+        moves = [F.lit(size) * F.col(f"p_{d}") for d, size in zip(domains, step)]
+        rate = F.greatest(F.lit(0.0), rate - sum(moves[1:], moves[0]))
+    return rate
 
 
 def solve(weighted: DataFrame, targets: Mapping[str, float], settings: Settings = Settings()) -> list[list[float]]:

@@ -644,6 +644,18 @@ def gold_refresh(spark, sf_dir):
     return _gold_columns(spark.read.schema(schemas.GOLD).parquet(path))
 
 
+@query
+def hourly_refresh(spark, sf_dir):
+    """The hourly level written for the main sources, then refreshed for the days of the held-out one."""
+    rows = inputs.transactions(spark, sf_dir)
+    held_out = F.col("source_file") == FEED.held_out
+    path = fresh_path(spark, "hourly")
+    sinks.write_hourly(rows.where(~held_out), path, PRICE_SCALE)
+    sinks.refresh_hourly(rows, rows.where(held_out), path, PRICE_SCALE)
+    back = spark.read.parquet(path).drop("date_partition")
+    return back.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def gold_rules(spark, sf_dir):
     return quality.gold_rule_checks(gold.gold_table(inputs.orders(spark, sf_dir), "monthly", PRICE_SCALE))
@@ -1002,3 +1014,19 @@ def conversion_results(spark, sf_dir):
     _csv_text(spark, ["event_id,copy,timestamp,user_id", "1,0,2024-01-01,user_1"], f"{raw}/source_file=2024-8.csv")
     results = run.convert_to_bronze(spark, raw, fresh_path(spark, "bronze"))
     return results.groupBy("source_file").agg(F.bool_and("converted").alias("converted"), F.max("reason").alias("reason"))
+
+
+@query
+def bronze_layouts(spark, sf_dir):
+    """Sources whose files differ in the order of their columns, read in one scan by header name."""
+    raw, bronze = fresh_path(spark, "raw"), fresh_path(spark, "bronze")
+    columns = ["event_id", "copy", "timestamp", "price", "user_id"]
+    layouts = (columns, columns[::-1], ["price", "user_id", "note", "timestamp"])
+    rows = inputs.dirty_text(spark, sf_dir).withColumn("note", F.lit("a, b"))
+    for k, names in enumerate(layouts):
+        mine = F.pmod(listing.feed_position(F.col("source_file"), FEED.expected), F.lit(len(layouts))) == k
+        rows.where(mine).select(*names, "source_file").write.mode("append").partitionBy("source_file").option("header", True).option(
+            "ignoreLeadingWhiteSpace", False
+        ).option("ignoreTrailingWhiteSpace", False).csv(raw)
+    run.convert_to_bronze(spark, raw, bronze)
+    return parquetfiles.read_bronze(spark, bronze).select("timestamp", "price", "user_id", "bad_price", "source_file")

@@ -510,4 +510,7 @@ UNION ALL SELECT '2024-9.csv', 0, true""",
 FROM judged GROUP BY source_file""",
     "conversion_results": f"""WITH {_DIRTY} SELECT DISTINCT source_file, true AS converted, CAST(NULL AS VARCHAR) AS reason FROM dirty
 UNION ALL SELECT '2024-8.csv', false, 'missing columns: price'""",
+    "hourly_refresh": f"""WITH {_TX} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS "hour", count(*) AS transaction_count,
+  {_money('price')} / count(*) AS price_avg, MIN(price) AS price_min, MAX(price) AS price_max FROM tx GROUP BY 1""",
+    "bronze_layouts": f"""WITH {_DIRTY} SELECT ts_text AS "timestamp", price, user_raw AS user_id, bad_price, source_file FROM dirty""",
 }

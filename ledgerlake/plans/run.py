@@ -102,8 +102,7 @@ def convert_to_bronze(spark: SparkSession, raw: str, bronze: str, sources: Seque
     if todo.isEmpty():
         return literal_rows(spark, "source_file string, file_name string, converted boolean, reason string", [])
     changed = files.join(todo, "source_file", "left_semi")
-    everything = present.join(todo, "source_file", "left_anti").isEmpty()
-    rows = read_csv_by_name(spark, raw if everything else None, changed)
+    rows = read_csv_by_name(spark, raw, changed)
     version = time.time_ns() // 1000
     write_bronze(to_bronze(rows, version=F.lit(version)), bronze)
     lacking = F.concat(F.lit("missing columns: "), F.array_join("missing_columns", ", "))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.gold import gold_table, period
+from ledgerlake.operators.gold import LEVELS as UNITS
+from ledgerlake.operators.gold import gold_table, hourly_prices, period
 from ledgerlake.workspace import written
 
 
@@ -55,15 +56,36 @@ def write_gold(gold: DataFrame, path: str) -> None:
     )
 
 
-def refresh_gold(store: DataFrame, new_rows: DataFrame, level: str, path: str, scale: int | None = None) -> None:
-    """Rebuild only the periods that new rows touch; all others stay as written.
+def touched_rows(store: DataFrame, new_rows: DataFrame, level: str) -> DataFrame:
+    """The stored rows of the periods that new rows fall into.
 
-    The touched periods are one row per calendar period; they are written first, so that the
-    planner sees how few they are and does not move the store's rows to find them.
+    The first and the last touched period bound the scan of the store as a plain range of ``ts``,
+    which reaches the Parquet reader; the periods themselves, one row each, decide inside it.
+    They are written first, so that the planner sees how few they are.
     """
     touched = written(new_rows.select(period(F.col("ts"), level).alias("_period")).distinct(), "touched")
-    again = store.withColumn("_period", period(F.col("ts"), level)).join(touched, "_period", "left_semi")
-    write_gold(gold_table(again.drop("_period"), level, scale), path)
+    unit = UNITS[level]
+    ends = touched.agg(F.min("_period").alias("a"), (F.max("_period") + F.expr(f"INTERVAL 1 {unit}")).alias("b")).first()
+    if ends["a"] is None:
+        return store.limit(0)
+    near = store.where((F.col("ts") >= F.lit(ends["a"])) & (F.col("ts") < F.lit(ends["b"])))
+    return near.withColumn("_period", period(F.col("ts"), level)).join(touched, "_period", "left_semi").drop("_period")
+
+
+def refresh_gold(store: DataFrame, new_rows: DataFrame, level: str, path: str, scale: int | None = None) -> None:
+    """Rebuild only the periods that new rows touch; all others stay as written."""
+    write_gold(gold_table(touched_rows(store, new_rows, level), level, scale), path)
+
+
+def write_hourly(rows: DataFrame, path: str, scale: int | None = None) -> None:
+    """The hourly level of gold, a partition for each day."""
+    hourly = hourly_prices(rows, scale).withColumn("date_partition", F.to_date("hour"))
+    overwrite_partitions(hourly.repartition("date_partition"), path, ["date_partition"])
+
+
+def refresh_hourly(store: DataFrame, new_rows: DataFrame, path: str, scale: int | None = None) -> None:
+    """Rebuild only the days that new rows touch."""
+    write_hourly(touched_rows(store, new_rows, "daily"), path, scale)
 
 
 def write_invalid(rows: DataFrame, path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -27,60 +27,47 @@ def missing_columns(headers: DataFrame, required: Sequence[str] = RAW_COLUMNS) -
     return headers.withColumn("missing_columns", F.array_except(wanted, F.col("columns")))
 
 
-def _read_layout(
-    spark: SparkSession, paths: str | list[str], header: Sequence[str], required: Sequence[str], multi_line: bool
+def _plain_path(file_path: Column) -> Column:
+    """The path as a listing has it; the reader gives it as an encoded URI."""
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+
+
+def read_csv_by_name(
+    spark: SparkSession, folder: str, files: DataFrame, required: Sequence[str] = RAW_COLUMNS, multi_line: bool = False
 ) -> DataFrame:
-    fields = [StructField(f"c{i}", StringType()) for i in range(len(header))]
+    """The usable CSV files of a listing as text columns, mapped by header **name**.
+
+    One scan, whatever number of files and header layouts there are: cells are read by position
+    and picked by the place that the file's own header gives to a column. The header table is
+    joined by path, so what arrives in ``folder`` after the listing is not read, and files older
+    than the oldest listed one are not opened. Files that lack a required column are left out;
+    `missing_columns` lists them. Quoted line breaks need ``multi_line``, which makes a file
+    unsplittable.
+    """
+    headers = written(missing_columns(csv_headers(files), required).where(F.size("missing_columns") == 0), "headers")
+    places = headers.select("path", *[(F.array_position("columns", F.lit(c)) - 1).cast("int").alias(f"_{c}") for c in required])
+    facts = headers.agg(F.max(F.size("columns"))).first()[0]
+    if facts is None:
+        return literal_rows(spark, ", ".join(f"{c} string" for c in (*required, "source_file")), [])
+    oldest = files.agg(F.date_format(F.min("modified_at") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    cells = [f"c{i}" for i in range(facts)]
     rows = (
-        spark.read.schema(StructType(fields))
+        spark.read.schema(StructType([StructField(c, StringType()) for c in cells]))
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv*")
-        .csv(paths)
+        .option("modifiedAfter", oldest)
+        .csv(folder)
     )
-    return rows.select(
-        *[F.col(f"c{list(header).index(name)}").alias(name) for name in required],
-        source_name(F.col("_metadata.file_path")).alias("source_file"),
+    named = rows.select(F.array(*cells).alias("_cells"), _plain_path(F.col("_metadata.file_path")).alias("path"))
+    return named.join(places, "path").select(
+        *[F.get("_cells", F.col(f"_{c}")).alias(c) for c in required], source_name(F.col("path")).alias("source_file")
     )
 
 
-def read_csv_by_name(
-    spark: SparkSession,
-    folder: str | None,
-    files: DataFrame,
-    required: Sequence[str] = RAW_COLUMNS,
-    multi_line: bool = False,
-) -> DataFrame:
-    """All usable CSV files of a listing as text columns, mapped by header **name**.
-
-    Spark maps a user schema by position, so files are read per header layout. ``folder``
-    says that the listing is all of that folder; when it has one layout, the usual case, the
-    folder is read without naming a file. Files that lack a required
-    column are left out; `missing_columns` lists them. Quoted line breaks need
-    ``multi_line``, which makes a file unsplittable.
-    """
-    headers = written(missing_columns(csv_headers(files), required), "headers")
-    layouts = headers.groupBy("columns", "missing_columns").agg(F.count("*").alias("n")).collect()
-    usable = [row for row in layouts if not row["missing_columns"]]
-    if folder and len(usable) == len(layouts) == 1:
-        return _read_layout(spark, folder, usable[0]["columns"], required, multi_line)
-    parts = []
-    for row in usable:
-        # File names of one layout, as the reader needs them; no table rows.
-        same = headers.where(F.col("columns") == F.array(*[F.lit(c) for c in row["columns"]]))
-        paths = [r["path"] for r in same.select("path").toLocalIterator()]
-        parts.append(_read_layout(spark, paths, row["columns"], required, multi_line))
-    if not parts:
-        return literal_rows(spark, ", ".join(f"{c} string" for c in (*required, "source_file")), [])
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def stream_csv(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """CSV files as a stream of text rows. A file with another header order stops the stream."""
     reader = (

@@ -4,8 +4,9 @@ A mask keeps some positions of a run of words and ignores the others, so a repla
 ignored position leaves the hash unchanged. Hashes of all masks over the benchmark are matched
 with those over every document; each hit names a diagonal (document position minus item
 position), along which the words of the item are compared one by one. The best-scoring stretch
-(match +1, mismatch -3) is the overlap; it counts from ``min_matches`` equal words on, or from
-``min_share`` of the item's words if the item is shorter than that.
+(match +1, mismatch -2, so more than two thirds of its words are equal) is the overlap; it counts
+from ``min_matches`` equal words on, or from ``min_share`` of the item's words if the item is
+shorter than that.
 
 Words are lower-cased runs of ASCII letters and digits and of all non-ASCII characters, so
 punctuation and line breaks do not matter. Null and empty texts, and items with fewer words
@@ -111,7 +112,7 @@ class Index:
                 if end - start < min(min_matches, int(np.ceil(min_share * (b - a)))):
                     continue
                 equal = words[start:end] == self.words[start - diagonal : end - diagonal]
-                score = np.cumsum(np.where(equal, 1, -3))
+                score = np.cumsum(np.where(equal, 1, -2))
                 floor = np.minimum.accumulate(np.concatenate(([0], score[:-1])))
                 stop = int(np.argmax(score - floor))
                 begin = int(np.argmin(np.concatenate(([0], score[:stop]))))

@@ -96,7 +96,8 @@ class _Threshold:
         return -(-self.percent * n // 100)
 
     def _common(self, n: np.ndarray) -> np.ndarray:
-        return 1 + n // 32
+        """More common keys ask for a longer prefix, but sets that share a passage only fall out."""
+        return 1 + n // 8
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
         """Two linked sets share at least ``common_keys`` of so many smallest members."""
@@ -361,12 +362,12 @@ def _links(candidates: DataFrame, region_size: int, threshold: _Threshold, scrat
         scratch.append(blocks.stored(df, name))
         return scratch[-1]
 
-    places = kept(candidates.select("node", F.explode("regions").alias("region")), "places")
-    sizes = kept(_sizes(places).where("size > 1"), "sizes")
-    members = places.join(sizes, "region").join(candidates.select("node", "n", "shingles"), "node")
     small, big = F.col("size") <= region_size, F.col("size") > region_size
-    edges = [_small_joined(members.where(small), _total(sizes, small), threshold)]
-    large = kept(members.where(big), "large-regions")
+    sizes = kept(_sizes(candidates.select(F.explode("regions").alias("region"))), "sizes")
+    crowded = kept(sizes.where(big), "crowded")
+    places = candidates.select("node", "n", "shingles", F.explode("regions").alias("region"))
+    edges = [_small_joined(places.join(crowded, "region", "left_anti"), _total(sizes, small), threshold)]
+    large = kept(places.join(crowded, "region"), "large-regions")
     level = 0
     while large.head(1):
         chance = F.pmod(F.xxhash64("node", "region", F.lit(level)), F.lit(1 << 30)) / F.lit(float(1 << 30))

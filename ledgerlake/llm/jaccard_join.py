@@ -7,7 +7,9 @@
    leave at least one common key to any link, and meet in the regions that their remaining keys
    name. A region is named by the first class that has the key, so the many keys of a family of
    near copies name few regions.
-3. A region of up to ``REGION`` members is joined in one task. A larger one gets pivots: each
+3. A region of up to ``REGION`` members is joined in one task. A larger one is cut by the same
+   filter again, with the shingles that are rare in the region first. What stays large are near
+   copies in great number; such a region gets pivots: each
    member goes to the Voronoi region of its nearest pivot, and to those whose distance exceeds
    that by no more than twice the radius (triangle inequality: a link cannot leave these
    windows). Members farther than 1 - 2 radii from all pivots also meet in a region of their
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import blocks
@@ -347,6 +349,37 @@ def _in_squares(members: DataFrame, sizes: DataFrame, region_size: int, threshol
     return _small_joined(rows.withColumn("region", square), n, threshold)
 
 
+def _unpacked(members: DataFrame) -> DataFrame:
+    """One row for each shingle of each member."""
+    schema = "region long, node long, n long, shingles array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x, dtype=np.int64) for x in batch.column(3).to_pylist()]
+            cuts = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+            value = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], value], names=["region", "node", "n", "shingles"])
+
+    return members.select("region", "node", "n", "shingles").mapInArrow(run, schema).select("region", "node", "n", F.explode("shingles").alias("shingle"))
+
+
+def _by_rare_keys(large: DataFrame, threshold: _Threshold) -> DataFrame:
+    """Large regions cut by the prefix filter once more, now with the shingles that are rare in the
+    region first: members that have only a passage in common share none of those."""
+    rows = _unpacked(large)
+    shared = rows.groupBy("region", "shingle").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("least")).where("times > 1")
+    found = rows.join(shared, ["region", "shingle"])
+    own = Window.partitionBy("region", "node")
+    alone = F.col("n") - F.count(F.lit(1)).over(own)  # shingles of this member only come first
+    place = alone + F.row_number().over(own.orderBy("times", "shingle"))
+    prefix = F.col("n") - F.ceil(F.col("n") * threshold.percent / 100) + 1
+    keys = found.withColumn("place", place).where(F.col("place") <= prefix)
+    places = keys.select("region", "node", F.xxhash64("region", "least").alias("part")).distinct()
+    return places.join(large.select("region", "node", "n", "shingles"), ["region", "node"]).select(
+        F.col("part").alias("region"), "node", "n", "shingles"
+    )
+
+
 def _total(sizes: DataFrame, wanted) -> int:
     return sizes.where(wanted).agg(F.sum("size")).first()[0] or 0
 
@@ -368,6 +401,12 @@ def _links(candidates: DataFrame, region_size: int, threshold: _Threshold, scrat
     places = candidates.select("node", "n", "shingles", F.explode("regions").alias("region"))
     edges = [_small_joined(places.join(crowded, "region", "left_anti"), _total(sizes, small), threshold)]
     large = kept(places.join(crowded, "region"), "large-regions")
+    if large.head(1):
+        cut = kept(_by_rare_keys(large, threshold), "rare-keys")
+        sizes = kept(_sizes(cut).where("size > 1"), "sizes")
+        members = cut.join(sizes, "region")
+        edges.append(_small_joined(members.where(small), _total(sizes, small), threshold))
+        large = kept(members.where(big), "large-regions")
     level = 0
     while large.head(1):
         chance = F.pmod(F.xxhash64("node", "region", F.lit(level)), F.lit(1 << 30)) / F.lit(float(1 << 30))

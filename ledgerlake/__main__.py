@@ -15,6 +15,7 @@ def main() -> int:
     parser = argparse.ArgumentParser(prog="ledgerlake", description="CSV files to bronze, store, statistics and report.")
     parser.add_argument("raw", help="folder with the CSV files")
     parser.add_argument("lake", help="folder for all tables")
+    # The names of the options; scheduled runs use them.
     parser.add_argument("--batch-size", type=int, default=BATCH_SIZE, help="rows per reported batch")
     parser.add_argument("--no-stats", action="store_true", help="do not publish audit rows and report")
     parser.add_argument("--max-files", type=int, default=None, help="files per micro-batch")

@@ -70,6 +70,9 @@ def date_in_name(name: Column, prefix: str = "daily_report_") -> Column:
     return F.regexp_extract(stem(name), f"^{prefix}(.*)$", 1)
 
 
+# Fixed formats: the two texts of the running statistics.
+
+
 def stats_line(count: Column, avg: Column, low: Column, high: Column, precision: int = 2) -> Column:
     """One-line summary of the running statistics."""
     money = f"$%.{precision}f"
@@ -78,14 +81,19 @@ def stats_line(count: Column, avg: Column, low: Column, high: Column, precision:
     )
 
 
-def stats_block(count: Column, total: Column, avg: Column, low: Column, high: Column, batches: Column) -> Column:
-    """Several lines for reports."""
-    return F.when(count == 0, F.lit("No data processed")).otherwise(
-        F.format_string(
-            "Records: %,d\nTotal: $%,.2f\nAverage: $%.2f\nMinimum: $%.2f\nMaximum: $%.2f\nBatches: %d",
-            count, total, avg, low, high, batches,
-        )
+def stats_block(
+    count: Column, total: Column, avg: Column, low: Column, high: Column, batches: Column,
+    updated_at: Column | None = None, created_at: Column | None = None,
+) -> Column:
+    """Several lines for reports; with the times of the state where they are given."""
+    lines = F.format_string(
+        "Records: %,d\nTotal: $%,.2f\nAverage: $%.2f\nMinimum: $%.2f\nMaximum: $%.2f\nBatches: %d",
+        count, total, avg, low, high, batches,
     )
+    for name, at in (("Last update", updated_at), ("Created", created_at)):
+        if at is not None:
+            lines = F.concat(lines, F.lit(f"\n{name}: "), F.coalesce(iso_text(at), F.lit("never")))
+    return F.when(count == 0, F.lit("No data processed")).otherwise(lines)
 
 
 def null_safe_json(struct: Column) -> Column:

@@ -16,7 +16,7 @@ from ledgerlake.operators.completeness import check_layer, expected_sources, lay
 from ledgerlake.operators.reconcile import audit_row, drift, reconcile, verdict
 from ledgerlake.operators.stats import direct_stats, report_stats
 from ledgerlake.plans.report import report_lines, report_row
-from ledgerlake.settings import BATCH_SIZE, Feed
+from ledgerlake.settings import BATCH_SIZE, FILES_PER_LOAD, Feed
 from ledgerlake.sinks.tables import append_audit, drop_partitions, overwrite_partitions, write_bronze, write_report
 from ledgerlake.sources.csvfiles import csv_headers, missing_columns, read_csv_by_name
 from ledgerlake.sources.listing import count_sources, fingerprints, list_files
@@ -158,7 +158,7 @@ def load_phase(
         if verify_every and (number + 1) % verify_every == 0:
             verify_store(spark, store, layout, f"{phase}-{number}")
 
-    stream = bronze_stream(spark, layout.bronze, lambda rows: rows.where(pick), max_files)
+    stream = bronze_stream(spark, layout.bronze, lambda rows: rows.where(pick), max_files or FILES_PER_LOAD)
     ingest_available(stream, store, phase, verify)
     return store
 

@@ -22,6 +22,7 @@ NULL_TOKENS = (
 
 BATCH_SIZE = 1000
 PROGRESS_EVERY = 5
+FILES_PER_LOAD = 1000  # per micro-batch, so that the first load is not replayed as a whole
 TOLERANCE = 1e-6
 USER_ID_PATTERN = r"^user_\d+$"
 UNKNOWN_USER = "unknown"

@@ -19,6 +19,7 @@ from ledgerlake.functions.numbers import partial_sum
 from ledgerlake.operators.batches import running_history, snapshots
 from ledgerlake.operators.clean import FIRST_VERSION, judge, to_transactions
 from ledgerlake.operators.stats import merge_partials
+from ledgerlake.settings import FILES_PER_LOAD
 from ledgerlake.sinks.tables import overwrite_partitions
 from ledgerlake.workspace import read_if_any, written
 
@@ -242,7 +243,7 @@ def load_batch(rows: DataFrame, ingest_batch: int, store: Store, phase: str) ->
 
 def bronze_stream(
     spark: SparkSession, bronze_path: str, wanted: Callable[[DataFrame], DataFrame] | None = None,
-    max_files: int | None = None,
+    max_files: int | None = FILES_PER_LOAD,
 ) -> DataFrame:
     """Bronze files as a stream, a number of files per micro-batch."""
     reader = spark.readStream.schema(schemas.BRONZE)

@@ -7,6 +7,7 @@ from ledgerlake.operators import batches, clean, reconcile, stats
 from ledgerlake.operators.ordering import quantiles, slice_in_order, with_neighbours, with_position, with_running
 
 GOLDEN = [
+    # The worked example.
     [10.5, 20.3, 15.7, 8.9, 25.1],
     [12.4, 18.6, 22.1, 9.3, 30.0],
     [5.5, 35.2, 28.4, 14.7, 19.8],

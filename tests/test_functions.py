@@ -121,3 +121,10 @@ def test_json_keeps_nulls(spark):
 
 def test_report_date(spark):
     assert one(spark, texts.date_in_name(F.col("v")), "daily_report_20250603.txt") == "20250603"
+
+
+def test_statistics_text_with_times(spark):
+    at = F.lit("2024-05-06 07:08:09").cast("timestamp")
+    numbers = [F.lit(v) for v in (3, 6.0, 2.0, 1.0, 3.0, 2)]
+    text = spark.range(1).select(texts.stats_block(*numbers, at, F.lit(None).cast("timestamp")).alias("t")).first()["t"]
+    assert text.split("\n")[-3:] == ["Batches: 2", "Last update: 2024-05-06T07:08:09.000000", "Created: never"]

@@ -7,16 +7,16 @@
    leave at least one common key to any link, and meet in the regions that their remaining keys
    name. A region is named by the first class that has the key, so the many keys of a family of
    near copies name few regions.
-3. A region of up to ``REGION`` members is joined in one task. A larger one is cut by the same
-   filter again, with the shingles that are rare in the region first. What stays large are near
-   copies in great number; such a region gets pivots: each
-   member goes to the Voronoi region of its nearest pivot, and to those whose distance exceeds
-   that by no more than twice the radius (triangle inequality: a link cannot leave these
-   windows). Members farther than 1 - 2 radii from all pivots also meet in a region of their
-   own. Members within the radius of a pivot are linked with it, so a region needs no further
-   look at those nearer to its pivot than its other members minus the radius. Regions
-   are split again until they are small. One that does not shrink, because its members
-   are all about as far from each other, is joined in squares of ``REGION`` by ``REGION`` members.
+3. A region of up to ``REGION`` members is joined in one task. A larger one gets pivots. Members
+   within the radius of a pivot are linked with it, and members that such links connect need not
+   be compared with each other any more; if no more than ``REGION`` members are left over, they
+   are compared with all others, a part at a time. If more are, the region is cut: first by the
+   prefix filter once more, now with the shingles that are rare in the region first; then each
+   member goes to the Voronoi region of its nearest pivot, and to those whose distance exceeds that
+   by no more than twice the radius (triangle inequality: a link cannot leave these windows), and
+   members farther than 1 - 2 radii from all pivots also meet in a region of their own. This is
+   repeated until regions are small. One that does not shrink, because its many members are
+   unconnected and all about as far from each other, is joined in squares of parts.
 4. Links, as spanning trees of each region, give the connected components.
 
 Words are runs of anything but space and ``\\t\\n\\v\\f\\r``, A-Z lower-cased; a set has the distinct
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ _MAX = np.iinfo(np.int64).max
 _SETS = "block long, rank int, doc_id long, n_shingles long, set_a long, set_b long, text_sha256 string"
 _KEYS = [np.uint64, np.uint16, np.uint16]
 _CANDIDATES = "node long, n long, shingles binary, regions array<long>"
-_MEMBERS = "u long, v long, region long, node long, n long, distance double, shingles binary"
+_MEMBERS = "region long, node long, n long, shingles binary"
 _EDGES = "u long, v long"
 
 
@@ -290,38 +291,50 @@ def _join_regions(threshold: _Threshold):
     return run
 
 
-def _assign(threshold: _Threshold):
-    """Members of one part of a region and its pivots: links to pivots, and the regions of the next level."""
-    radius, slack = threshold.radius, 1e-9
+def _distances(members: pa.Table, pivots: pa.Table) -> tuple:
+    """Members of one part of a region, the region's pivots, overlaps and distances."""
+    node, n, value, cuts = _sets_of(members)
+    p_node, p_n, p_value, p_cuts = _sets_of(pivots) if pivots.num_rows else (np.empty(0, np.int64),) * 4
+    both = np.zeros((len(node), len(p_node)), dtype=np.int64)
+    for j in range(len(p_node)):
+        own = p_value[p_cuts[j] : p_cuts[j + 1]]
+        hit = own[np.minimum(np.searchsorted(own, value), len(own) - 1)] == value
+        both[:, j] = np.add.reduceat(hit.astype(np.int64), cuts[:-1])
+    kept = [value[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+    return node, n, kept, p_node, p_n, both, 1 - both / (n[:, None] + p_n[None, :] - both)
+
+
+def _link_to_pivots(threshold: _Threshold):
+    """The links between members and pivots."""
 
     def run(members: pa.Table, pivots: pa.Table) -> pa.Table:
-        out = {k: [] for k in ("u", "v", "region", "node", "n", "distance", "shingles")}
+        u, v = np.empty(0, np.int64), np.empty(0, np.int64)
+        if members.num_rows and pivots.num_rows:
+            node, n, _, p_node, p_n, both, _ = _distances(members, pivots)
+            i, j = np.nonzero(threshold.linked(both, n[:, None], p_n[None, :]) & (node[:, None] != p_node[None, :]))
+            u, v = node[i], p_node[j]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-        def row(**x):
-            for k in out:
-                out[k].append(x.get(k))
+    return run
+
+
+def _to_windows(threshold: _Threshold):
+    """Each member in the Voronoi regions whose windows it lies in."""
+    radius, slack = threshold.radius, 1e-9
 
+    def run(members: pa.Table, pivots: pa.Table) -> pa.Table:
+        out = {k: [] for k in ("region", "node", "n", "shingles")}
         if members.num_rows:
-            node, n, value, cuts = _sets_of(members)
+            node, n, kept, p_node, _, _, distance = _distances(members, pivots)
             parent = members["region"][0].as_py()
-            kept = [value[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            p_node, p_n, p_value, p_cuts = _sets_of(pivots) if pivots.num_rows else (np.empty(0, np.int64),) * 4
-            distance = np.ones((len(node), len(p_node)))
-            for j in range(len(p_node)):
-                own = p_value[p_cuts[j] : p_cuts[j + 1]]
-                hit = own[np.minimum(np.searchsorted(own, value), len(own) - 1)] == value
-                both = np.add.reduceat(hit.astype(np.int64), cuts[:-1])
-                distance[:, j] = 1 - both / (n + p_n[j] - both)
-                for i in np.flatnonzero(threshold.linked(both, n, p_n[j]) & (node != p_node[j])):
-                    row(u=int(node[i]), v=int(p_node[j]))
             home = distance.min(axis=1) if len(p_node) else np.ones(len(node))
             for i in range(len(node)):
-                x = dict(node=int(node[i]), n=int(n[i]), shingles=kept[i])
-                for j in np.flatnonzero((distance[i] < 1) & (distance[i] <= home[i] + 2 * radius + slack)):
-                    row(region=_name(parent, int(p_node[j])), distance=float(distance[i, j]), **x)
-                if home[i] >= 1 - 2 * radius - slack:
-                    row(region=_name(parent, -1), distance=1.0, **x)
-        types = [pa.int64()] * 5 + [pa.float64(), pa.binary()]
+                at = np.flatnonzero((distance[i] < 1) & (distance[i] <= home[i] + 2 * radius + slack))
+                names = [_name(parent, int(p_node[j])) for j in at] + ([_name(parent, -1)] if home[i] >= 1 - 2 * radius - slack else [])
+                for name in names:
+                    for k, x in zip(out, (name, int(node[i]), int(n[i]), kept[i])):
+                        out[k].append(x)
+        types = [pa.int64()] * 3 + [pa.binary()]
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), types)})
 
     return run
@@ -338,6 +351,16 @@ def _small_joined(members: DataFrame, n_members: int, threshold: _Threshold) ->
     return members.select("region", "node", "n", "shingles", bucket.alias("bucket")).groupBy("bucket").applyInArrow(_join_regions(threshold), _EDGES)
 
 
+def _open_joined(marked: DataFrame, state: DataFrame, large: DataFrame, region_size: int, threshold: _Threshold) -> DataFrame:
+    """Links of the open members of a region: they join every part of its connected members."""
+    parts = F.ceil(F.col("size") / region_size)
+    own = F.array(F.pmod(F.xxhash64("node"), parts))
+    rows = marked.withColumn("part", F.explode(F.when(F.col("is_open"), F.sequence(F.lit(0).cast("bigint"), parts - 1)).otherwise(own)))
+    sizes = large.select("region", "size").distinct().join(state, "region")
+    n = sizes.agg(F.sum(F.col("size") + F.col("open") * parts)).first()[0] or 0
+    return _small_joined(rows.withColumn("region", F.xxhash64("region", "part")), n, threshold)
+
+
 def _in_squares(members: DataFrame, sizes: DataFrame, region_size: int, threshold: _Threshold) -> DataFrame:
     """Links in large regions that no pivot divides: every pair of parts is a region."""
     parts = F.ceil(F.col("size") * 2 / region_size)
@@ -401,39 +424,48 @@ def _links(candidates: DataFrame, region_size: int, threshold: _Threshold, scrat
     places = candidates.select("node", "n", "shingles", F.explode("regions").alias("region"))
     edges = [_small_joined(places.join(crowded, "region", "left_anti"), _total(sizes, small), threshold)]
     large = kept(places.join(crowded, "region"), "large-regions")
-    if large.head(1):
-        cut = kept(_by_rare_keys(large, threshold), "rare-keys")
-        sizes = kept(_sizes(cut).where("size > 1"), "sizes")
-        members = cut.join(sizes, "region")
-        edges.append(_small_joined(members.where(small), _total(sizes, small), threshold))
-        large = kept(members.where(big), "large-regions")
+    to_pivots: list[DataFrame] = []
     level = 0
     while large.head(1):
+        # 1. what is linked with the same pivots, or with others that are, is connected already
         chance = F.pmod(F.xxhash64("node", "region", F.lit(level)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         salts = F.ceil(F.col("size") / MEMBERS_PER_TASK)
-        pivots = large.where(chance < F.lit(float(PIVOTS)) / F.col("size")).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        chosen = kept(large.where(chance < F.lit(float(PIVOTS)) / F.col("size")), "pivots")
+        pivots = chosen.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).groupBy("region", "salt")
         dealt = large.withColumn("salt", F.pmod(F.xxhash64("node"), salts))
-        pair = dealt.groupBy("region", "salt").cogroup(pivots.groupBy("region", "salt"))
-        split = kept(pair.applyInArrow(_assign(threshold), _MEMBERS), "split-regions")
-        edges.append(split.where(F.col("u").isNotNull()).select("u", "v"))
-        moved = split.where(F.col("u").isNull()).drop("u", "v")
-        # only pairs with a member beyond the radius are open, and those a link away from it
-        fringe = moved.where(F.col("distance") > threshold.radius).groupBy("region").agg(F.min("distance").alias("nearest"))
-        moved = moved.join(fringe, "region").where(F.col("distance") >= F.col("nearest") - F.lit(threshold.radius + 1e-9))
-        now = kept(_sizes(moved), "sizes")
-        members = kept(moved.join(now, "region").where("size > 1").select("region", "node", "n", "shingles", "size"), "members")
-        edges.append(_small_joined(members.where(small), _total(now, small & (F.col("size") > 1)), threshold))
-        large_now = members.where(big)
-        before, after = (x.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for x in (large, large_now))
-        level += 1
-        if 2 * after > before:  # the sum of squared sizes does not fall: pivots do not divide these
-            edges.append(_in_squares(large_now.drop("size"), now.where(big), region_size, threshold))
+        to_pivots.append(kept(dealt.groupBy("region", "salt").cogroup(pivots).applyInArrow(_link_to_pivots(threshold), _EDGES), "pivot-links"))
+        tree = roots(reduce(DataFrame.unionByName, to_pivots))
+        part = large.join(tree, large["node"] == tree["u"], "left").withColumn("part", F.coalesce("v", "node"))
+        counts = part.groupBy("region", "part").agg(F.count(F.lit(1)).alias("c"), F.max("size").alias("size"))
+        state = counts.groupBy("region").agg(F.max_by("part", F.struct("c", "part")).alias("main"), (F.max("size") - F.max("c")).alias("open"))
+        state = kept(state.where("open > 0"), "open-regions")
+        marked = part.join(state, "region").withColumn("is_open", F.col("part") != F.col("main"))
+        marked = marked.select("region", "node", "n", "shingles", "size", "open", "is_open")
+        # 2. a few members that are not connected yet meet all others, a part of them at a time
+        few = F.col("open") <= region_size
+        edges.append(_open_joined(marked.where(few), state.where(few), large, region_size, threshold))
+        # 3. regions in which nothing holds together are cut by rare shingles, then by pivots
+        rest = kept(marked.where(~few).drop("open", "is_open"), "large-regions")
+        if not rest.head(1):
+            break
+        if level == 0:
+            cut = _by_rare_keys(rest, threshold)
+        else:
+            again = chosen.join(rest.select("region").distinct(), "region", "left_semi")
+            pivots = again.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).groupBy("region", "salt")
+            dealt = rest.withColumn("salt", F.pmod(F.xxhash64("node"), salts))
+            cut = dealt.groupBy("region", "salt").cogroup(pivots).applyInArrow(_to_windows(threshold), _MEMBERS)
+        cut = kept(cut, "cut-regions")
+        now = kept(_sizes(cut).where("size > 1"), "sizes")
+        members = cut.join(now, "region")
+        edges.append(_small_joined(members.where(small), _total(now, small), threshold))
+        large = kept(members.where(big), "large-regions")
+        before, after = (x.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for x in (rest, large))
+        if level and 2 * after > before:  # the sum of squared sizes does not fall: pivots do not divide these
+            edges.append(_in_squares(large.drop("size"), now.where(big), region_size, threshold))
             break
-        large = large_now
-    out = edges[0]
-    for e in edges[1:]:
-        out = out.unionByName(e)
-    return out
+        level += 1
+    return reduce(DataFrame.unionByName, [*edges, *to_pivots])
 
 
 def similar_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, region_size: int = REGION, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

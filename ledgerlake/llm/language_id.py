@@ -3,11 +3,16 @@
 A text is a vector of hashed byte trigrams of its lower-cased letters, weighted by
 (1 + log tf) * idf and scaled to length one. ``train`` counts document frequencies over all
 labelled rows and clusters a bounded sample of each language's vectors into ``centroids`` unit
-vectors (spherical k-means). ``classify`` takes the centroid with the largest cosine; a text
-whose distance to it exceeds the language's radius is rejected.
-
-The radius is, for each language, the largest distance of a sampled text to its nearest centroid,
-plus a share (``slack``) of what is left to 1, so that texts like the labelled ones stay. A text that
+vectors (spherical k-means). ``classify`` takes the centroid with the largest cosine; a text that
+lies within the radius of no centroid of that language is rejected.
+
+A cosine grows with the length of a text, so radii hold for a language and a band of length (powers
+of two of the number of trigrams; bands with few texts are joined, and the shortest texts, when few,
+are measured with those of all languages). The radius is a high quantile
+(1 - ``odd``) of the labelled texts' distances to their nearest centroid, each sampled text left out
+of its own centroid, plus a share (``slack``) of what is left to 1, so that texts like the labelled
+ones stay; all labelled rows are measured. In a band only centroids that are nearest to a share
+(``typical``) of its texts count: one made of short odd texts does not admit long ones. A text that
 is null or has no letter is ``und`` with score 0 and is rejected. Ties go to the first language
 in alphabetical order. Labelled rows without text, letter or language are not learned from; with
 nothing to learn from every text is ``und``. All columns of ``docs`` are passed through; columns
@@ -31,6 +36,8 @@ BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
 TEXTS_AT_ONCE = 256
 CHARS_AT_ONCE = 2 << 20
+STEPS = 500  # of a cosine, when cosines are counted
+BANDS = 9  # the last one holds all texts of 256 trigrams and more
 _LETTER = re.compile(r"[^\W\d_]")
 _LETTERS_ONLY = np.arange(256, dtype=np.uint8)
 _LETTERS_ONLY[[i for i in range(128) if not chr(i).isalpha()]] = 32
@@ -44,11 +51,14 @@ class Settings:
     centroids: int = 4
     rounds: int = 12
     slack: float = 0.5
+    odd: float = 0.01
+    typical: float = 0.05
+    texts_per_band: int = 20
 
 
 @dataclass(frozen=True)
 class Model:
-    """Bounded by languages x centroids x buckets, whatever the input."""
+    """Bounded by languages x centroids x buckets, whatever the input; ``radius`` has a column for each band, -1 where a centroid does not count."""
 
     languages: list[str]
     centroids: np.ndarray
@@ -85,16 +95,37 @@ def counts(texts: list[str]) -> np.ndarray:
     return np.bincount(cell, minlength=len(raw) * BUCKETS).reshape(len(raw), BUCKETS)
 
 
-def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
+def vectors(texts: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, and each text's band of length."""
     tf = counts(texts)
+    band = np.minimum(np.log2(np.maximum(tf.sum(axis=1), 1)).astype(int), BANDS - 1)
     v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0).astype(np.float32) * idf
-    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), np.float32(1e-12))
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), np.float32(1e-12)), band
+
+
+def _joined(per_band: np.ndarray, least: int) -> tuple[int, list[tuple[int, int]]]:
+    """Ranges of bands with ``least`` texts each, the longest texts first, and where the shortest range begins."""
+    ranges, end = [], BANDS
+    for start in reversed(range(BANDS)):
+        if per_band[start:end].sum() >= least:
+            ranges.append((start, end))
+            end = start
+    return end, ranges
+
+
+def _typical(nearest: np.ndarray, band: np.ndarray, k: int, settings: Settings) -> np.ndarray:
+    """For each centroid and band: whether it is nearest to enough of the band's texts."""
+    typical = np.ones((k, BANDS), dtype=bool)
+    for start, end in _joined(np.bincount(band, minlength=BANDS), settings.texts_per_band)[1]:
+        share = np.bincount(nearest[(band >= start) & (band < end)], minlength=k)
+        typical[:, start:end] = (share >= settings.typical * share.sum())[:, None]
+    return typical
 
 
 def _fit(table: pa.Table, settings: Settings, idf: np.ndarray) -> pa.Table:
     """Spherical k-means over the sampled texts of one language."""
     texts = sorted(table["text"].to_pylist())
-    v = np.concatenate([vectors(texts[a:b], idf) for a, b in portions(texts)])
+    v, band = map(np.concatenate, zip(*[vectors(texts[a:b], idf) for a, b in portions(texts)]))
     mean = v.sum(axis=0)
     by_likeness = np.argsort(v @ (mean / max(np.linalg.norm(mean), 1e-12)), kind="stable")
     k = min(settings.centroids, len(v))
@@ -105,15 +136,64 @@ def _fit(table: pa.Table, settings: Settings, idf: np.ndarray) -> pa.Table:
             if (own := v[nearest == k]).size:
                 total = own.sum(axis=0)
                 centers[k] = total / max(np.linalg.norm(total), 1e-12)
-    widest = 1 - float((v @ centers.T).max(axis=1).min())
-    radius = [widest + settings.slack * (1 - widest)] * len(centers)
+    own = [v[nearest == k].sum(axis=0) for k in range(len(centers))]
     rows = len(centers)
     return pa.table({
-        "lang": pa.array([table["lang"][0].as_py()] * rows, pa.string()), "radius": pa.array(radius, pa.float64()),
+        "lang": pa.array([table["lang"][0].as_py()] * rows, pa.string()), "length": pa.array([float(np.linalg.norm(x)) for x in own], pa.float64()),
+        "typical": pa.array(_typical(nearest, band, rows, settings).tolist(), pa.list_(pa.bool_())),
         "center": pa.array([c.astype(np.float32).tobytes() for c in centers], pa.binary()),
     })
 
 
+def _cosines(rows: DataFrame, languages: list[str], centers: np.ndarray, length: np.ndarray, typical: np.ndarray, idf: np.ndarray) -> DataFrame:
+    """(lang, band, step, n): how many texts have which cosine with the nearest typical centroid of their language.
+
+    ``rows`` has text, lang and whether the text was sampled; a sampled one is taken out of the
+    centroid it is nearest to, which is a sum of texts of the given length.
+    """
+    of = {lang: np.flatnonzero(np.array(languages) == lang) for lang in languages}
+    order = list(of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(order), BANDS, STEPS + 1), dtype=np.int64)
+        for batch in batches:
+            texts, langs, sampled = (c.to_pylist() for c in batch.columns)
+            at = [i for i, t in enumerate(texts) if has_letter(t) and langs[i] in of]
+            for a, b in portions([texts[i] for i in at]):
+                v, band = vectors([texts[i] for i in at[a:b]], idf)
+                for x, similar, i in zip(band, (v @ centers.T).astype(np.float64), at[a:b]):
+                    own = of[langs[i]]
+                    if sampled[i]:
+                        k = own[similar[own].argmax()]
+                        rest = length[k] ** 2 - 2 * length[k] * similar[k] + 1
+                        similar[k] = (length[k] * similar[k] - 1) / np.sqrt(rest) if rest > 1e-6 else 0
+                    best = similar[own[typical[own, x]]].max()
+                    total[order.index(langs[i]), x, int(np.clip(best, 0, 1) * STEPS)] += 1
+        lang, band, step = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([order[k] for k in lang], pa.string()), pa.array(band, pa.int32()), pa.array(step, pa.int32()), pa.array(total[lang, band, step], pa.int64())],
+            names=["lang", "band", "step", "n"],
+        )
+
+    return rows.mapInArrow(run, "lang string, band int, step int, n long").groupBy("lang", "band", "step").agg(F.sum("n").alias("n"))
+
+
+def _radii(counted: np.ndarray, everyone: np.ndarray, settings: Settings) -> np.ndarray:
+    """A language's radius for each band, from texts counted by band and step of the cosine: its own and those of all languages."""
+
+    def least(per_step: np.ndarray) -> float:
+        upto = per_step.cumsum()
+        return np.searchsorted(upto, settings.odd * upto[-1], side="right") / STEPS if upto[-1] else 1.0
+
+    cosine = np.ones(BANDS)
+    few, ranges = _joined(counted.sum(axis=1), settings.texts_per_band)
+    for start, end in ranges:
+        cosine[start:end] = least(counted[start:end].sum(axis=0))
+    if few:
+        cosine[:few] = min(cosine[few:].min(initial=1.0), least(counted[:few].sum(axis=0)), least(everyone[:few].sum(axis=0)))
+    return 1 - (1 - settings.slack) * cosine
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS + 1, dtype=np.int64)  # the last one counts texts
     for batch in batches:
@@ -136,22 +216,33 @@ def train(labelled: DataFrame, settings: Settings = Settings(), text_column: str
     idf = (np.log((1 + total[-1]) / (1 + total[:-1])) + 1).astype(np.float32)
     per_language = rows.groupBy("lang").count().collect()
     rate = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, settings.sample_per_language / r["count"]))) for r in per_language], F.lit(0.0))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < rate * (1 << 30))
-    fitted = sample.groupBy("lang").applyInArrow(lambda t: _fit(t, settings, idf), "lang string, radius double, center binary")
+    rows = rows.withColumn("sampled", F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < rate * (1 << 30))
+    fitted = rows.where("sampled").select("text", "lang").groupBy("lang").applyInArrow(lambda t: _fit(t, settings, idf), "lang string, length double, typical array<boolean>, center binary")
     found = sorted(fitted.collect(), key=lambda r: (r["lang"], r["center"]))
-    centers = np.stack([np.frombuffer(r["center"], dtype=np.float32) for r in found]) if found else np.zeros((0, BUCKETS), np.float32)
-    return Model([r["lang"] for r in found], centers, np.array([r["radius"] for r in found]), idf)
+    if not found:
+        return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros((0, BANDS)), idf)
+    languages, centers = [r["lang"] for r in found], np.stack([np.frombuffer(r["center"], dtype=np.float32) for r in found])
+    typical = np.array([r["typical"] for r in found])
+    counted = {lang: np.zeros((BANDS, STEPS + 1), dtype=np.int64) for lang in languages}
+    for r in _cosines(rows.select("text", "lang", "sampled"), languages, centers, np.array([r["length"] for r in found]), typical, idf).collect():
+        counted[r["lang"]][r["band"], r["step"]] = r["n"]
+    everyone = sum(counted.values())
+    radii = {lang: _radii(c, everyone, settings) for lang, c in counted.items()}
+    return Model(languages, centers, np.where(typical, np.stack([radii[lang] for lang in languages]), -1.0), idf)
 
 
 def _predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     lang, score, rejected = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
     at = [i for i, t in enumerate(texts) if has_letter(t)] if model.languages else []
+    languages = np.array(model.languages)
     for a, b in portions([texts[i] for i in at]):
         own = at[a:b]
-        similar = vectors([texts[i] for i in own], model.idf) @ model.centroids.T
+        v, band = vectors([texts[i] for i in own], model.idf)
+        similar = v @ model.centroids.T
         best = similar.argmax(axis=1)
         value = similar[np.arange(len(own)), best]
-        score[own], rejected[own] = np.clip(value, 0, 1), 1 - value > model.radius[best]
+        near = (1 - similar <= model.radius[:, band].T) & (languages == languages[best][:, None])
+        score[own], rejected[own] = np.clip(value, 0, 1), ~near.any(axis=1)
         for i, k in zip(own, best):
             lang[i] = model.languages[k]
     return lang, score, rejected

@@ -1,5 +1,7 @@
 """Classifiers and mixing: held-out accuracy, and the solution against a dense solver."""
 
+import base64
+
 import numpy as np
 import pytest
 from odd_rows import CLASHING, ODD_ROWS, sorted_rows
@@ -116,3 +118,18 @@ def test_mixing_runs_no_python(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     plan = mixing.with_rates(docs, mixing.domain_labels(labels))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_long_far_texts_are_rejected_and_clean_ones_stay(spark, docs_of, model):
+    """Many trigrams share the buckets, so long texts of any kind are nearer than short ones."""
+    rng = np.random.default_rng(3)
+    words = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10))) for _ in range(2000))
+    turkish = "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. "
+    with open(language_id.__file__) as f:
+        code = f.read()
+    far = [words, rng.bytes(5000).hex(), base64.b64encode(rng.bytes(6000)).decode(), code, turkish * 40, words[:1500]]
+    assert language_id.classify(docs_of(list(enumerate(far))), model).where("not rejected").count() == 0
+    clean = spark.read.parquet(f"{SF}/documents.parquet")
+    assert language_id.accepted(clean, model).count() >= 0.999 * clean.count()
+    short = [(i, t) for i, t in enumerate(["Of the.", "Die tz.", "Avec une.", "En los."])]
+    assert language_id.accepted(docs_of(short), model).count() == len(short)

@@ -13,6 +13,11 @@ steps. The gradient is scaled by the inverse of the domains' Gram matrix, so tha
 to the solution as long as no further rate becomes zero; of all solutions this is the one nearest
 to rate 1. Targets that no rates can reach are approached, within ``steps`` aggregates.
 
+A domain with target 0 is unwanted: documents that are more likely of it than of any other get rate 0,
+and the rates of the others are scaled by their probability to be wanted before the other domains'
+targets are solved for. What such documents hold of it in expectation stays. (As an equation, target 0
+would be met only by dropping clean documents too, as no posterior is quite zero.)
+
 Words are lower-cased runs between spaces, line breaks, tabs and ``.,;:!?``. Null and empty texts
 have no words, the prior as posteriors, and a rate like any other. Without labelled rows all
 posteriors are equal. A document that occurs twice counts twice. Columns of ``docs`` are passed
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.blocks import stored
 
 BUCKETS = 1 << 14
-TARGETS = {"good": 0.70, "low": 0.28, "toxic": 0.02}
+TARGETS = {"good": 0.72, "low": 0.28, "toxic": 0.0}
 
 
 @dataclass(frozen=True)
@@ -160,6 +165,20 @@ def solve(weighted: DataFrame, targets: Mapping[str, float], settings: Settings
     return history[:-1]  # the last step has not been looked at, or did no good
 
 
+def _wanted(shares: Mapping[str, float]) -> tuple[list[str], Column, Column]:
+    """The wanted domains, a document's probability to be of them, and whether an unwanted one is the likeliest."""
+    wanted, unwanted = [d for d in shares if shares[d] > 0], [F.col(f"p_{d}") for d in shares if shares[d] <= 0]
+    if not unwanted or not wanted:
+        return wanted, F.lit(1.0), F.lit(not wanted)
+    likeliest = [F.greatest(*x) if len(x) > 1 else x[0] for x in (unwanted, [F.col(f"p_{d}") for d in wanted])]
+    return wanted, F.greatest(F.lit(0.0), F.lit(1.0) - sum(unwanted[1:], unwanted[0])), likeliest[0] > likeliest[1]
+
+
+def _final_rate(shares: Mapping[str, float], history: list[list[float]]) -> Column:
+    wanted, chance, dropped = _wanted(shares)
+    return F.when(dropped, F.lit(0.0)).otherwise(_rate(wanted, history) * chance)
+
+
 def _fitted(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float], settings: Settings) -> tuple[DataFrame, list[list[float]], Model]:
     """The weighted documents without their text, the steps, and the classifier."""
     domains = list(shares)
@@ -168,23 +187,25 @@ def _fitted(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float], set
     scored = posteriors(docs.select(*[c for c in docs.columns if c not in made]), model).drop("text")
     weighted = stored(scored, "posteriors")
     total = weighted.agg(F.sum("n_words")).first()[0] or 0
-    return weighted, solve(weighted, {d: share * total for d, share in shares.items()}, settings), model
+    wanted, chance, dropped = _wanted(shares)
+    history = solve(weighted.where(~dropped).withColumn("n_words", F.col("n_words") * chance), {d: shares[d] * total for d in wanted}, settings) if wanted else []
+    return weighted, history, model
 
 
 def rates(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float] = TARGETS, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without the text, with n_words, p_<domain> and rate.
 
-    Expected words for each domain, at these rates, meet the domain's share of all words.
+    Expected words for each domain with a positive share, at these rates, meet its share of all words.
     """
     weighted, history, _ = _fitted(docs, labels, shares, settings)
-    return weighted.withColumn("rate", _rate(list(shares), history))
+    return weighted.withColumn("rate", _final_rate(shares, history))
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float] = TARGETS, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with n_words, p_<domain> and rate; texts are scored once more instead of shuffled."""
     _, history, model = _fitted(docs.select("doc_id", "text"), labels, shares, settings)
     made = {"n_words", "rate", *(f"p_{d}" for d in shares)}
-    return posteriors(docs.select(*[c for c in docs.columns if c not in made]), model).withColumn("rate", _rate(list(shares), history))
+    return posteriors(docs.select(*[c for c in docs.columns if c not in made]), model).withColumn("rate", _final_rate(shares, history))
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:

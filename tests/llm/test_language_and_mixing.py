@@ -133,3 +133,13 @@ def test_long_far_texts_are_rejected_and_clean_ones_stay(spark, docs_of, model):
     assert language_id.accepted(clean, model).count() >= 0.999 * clean.count()
     short = [(i, t) for i, t in enumerate(["Of the.", "Die tz.", "Avec une.", "En los."])]
     assert language_id.accepted(docs_of(short), model).count() == len(short)
+
+
+def test_planted_toxic_documents_go_and_clean_ones_stay(spark, docs_of):
+    """Toxic text is 1 % of the words; some clean documents hold a toxic word."""
+    words = {"good": "calm river stone garden", "low": "click offer cheap winner", "toxic": "awful nasty vile hateful"}
+    kinds = ["toxic"] * 3 + ["low"] * 57 + ["good"] * 240
+    rows = [(i, f"{words[k]} " * 5 + ("vile" if i >= 290 else "")) for i, k in enumerate(kinds)]
+    labels = spark.createDataFrame([(i, int(k == "good"), int(k == "toxic")) for i, k in enumerate(kinds)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["rate"] for r in mixing.with_rates(docs_of(rows), mixing.domain_labels(labels)).collect()}
+    assert [i for i, rate in sorted(got.items()) if rate <= 0] == [0, 1, 2]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat_format, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, substring_dedup, suffix_dedup
+from ledgerlake.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +96,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def tokenizer_path() -> str:
+    """The public file of the check; its place is a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = bpe.Settings(tokenizer_path())
+    texts = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), settings), settings)
+    return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -107,4 +120,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_bpe": op11_bpe,
 }

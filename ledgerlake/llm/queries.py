@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, substring_dedup, suffix_dedup
+from ledgerlake.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, merkle, mixing, pii, prefix_trie, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +109,18 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose identifier's checksum 3 divides are found with lower-cased text."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    return merkle.manifest(table(spark, sf_dir, "documents"), {"text": F.when(hit, lower).otherwise(F.col("text"))})
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_in_order(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.prefixes(prefix_trie.rebuilt(turns)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -121,4 +133,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_bpe": op11_bpe,
+    "op12_merkle": op12_merkle,
+    "op13_prefix_trie": op13_prefix_trie,
 }

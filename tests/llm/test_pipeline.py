@@ -17,7 +17,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
-    assert [next(q for q in QUERIES if q.startswith(f"op{n}_")) for n in range(1, 11)] == list(QUERIES)
+    assert [next(q for q in QUERIES if q.startswith(f"op{n}_")) for n in range(1, 14)] == list(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -14,11 +14,13 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def source_name(path: Column) -> Column:
     """The source a file belongs to: its own name, or the folder name for a part file.
 
-    ``raw/2012-1.csv`` and ``raw/2012-1.csv/part-00000-x.csv`` are both ``2012-1.csv``.
+    ``raw/2012-1.csv`` and ``raw/2012-1.csv/part-00000-x.csv`` are both ``2012-1.csv``; so is what
+    lies anywhere below a partition ``source_file=2012-1.csv``.
     """
+    partition = F.regexp_extract(path, r"/source_file=([^/]+)/", 1)
     part = path.rlike(r"/part-[^/]+$")
     folder = F.regexp_extract(path, r"([^/=]+)/part-[^/]+$", 1)
-    return F.when(part, F.url_decode(folder)).otherwise(F.regexp_extract(path, r"([^/]+)$", 1))
+    return F.when(partition != "", F.url_decode(partition)).when(part, F.url_decode(folder)).otherwise(F.regexp_extract(path, r"([^/]+)$", 1))
 
 
 def stem(name: Column) -> Column:

@@ -25,6 +25,8 @@ def absent_columns(df: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> list
 
 
 FIRST_VERSION = 0
+NO_FILE = 0  # rows that do not come from a file
+REPLACED = "\ufffd"  # what readers put where bytes are not UTF-8
 
 
 def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None = None) -> DataFrame:
@@ -34,6 +36,7 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None =
     these rows replace all earlier ones of their source; without one they are added.
     """
     price = F.col("price").cast("string")
+    garbled = F.exists(F.array(*[F.col(c).cast("string") for c in RAW_COLUMNS]), lambda c: F.coalesce(F.contains(c, F.lit(REPLACED)), F.lit(False)))
     return raw.select(
         null_tokens(F.col("timestamp").cast("string")).alias("timestamp"),
         to_number(price).alias("price"),
@@ -41,6 +44,8 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None =
         iso_text(F.current_timestamp()).alias("bronze_created_at"),
         F.lit(BRONZE_CREATED_BY).alias("bronze_created_by"),
         F.when(not_a_number(price), price).alias("bad_price"),
+        (F.col("file_id") if "file_id" in raw.columns else F.lit(NO_FILE)).cast("bigint").alias("file_id"),
+        garbled.alias("is_garbled"),
         (F.lit(FIRST_VERSION) if version is None else version).cast("bigint").alias("bronze_version"),
         "source_file",
         *keep,
@@ -103,6 +108,7 @@ def to_transactions(df: DataFrame, batch_id: Column) -> DataFrame:
         F.current_timestamp().alias("db_inserted_at"),
         F.lit(None).cast("string").alias("processing_metadata"),
         (F.col("bronze_version") if "bronze_version" in df.columns else F.lit(FIRST_VERSION)).cast("bigint").alias("bronze_version"),
+        (F.col("file_id") if "file_id" in df.columns else F.lit(NO_FILE)).cast("bigint").alias("file_id"),
         reject_reason(df).alias("reject_reason"),
     )
 

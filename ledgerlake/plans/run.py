@@ -11,15 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.operators.clean import to_bronze
+from ledgerlake.functions.numbers import ceil_div
+from ledgerlake.operators.clean import FIRST_VERSION, to_bronze
 from ledgerlake.operators.completeness import check_layer, expected_sources, layer_totals, missing_sources
 from ledgerlake.operators.reconcile import audit_row, drift, reconcile, verdict
 from ledgerlake.operators.stats import direct_stats, report_stats
 from ledgerlake.plans.report import report_lines, report_row
 from ledgerlake.settings import BATCH_SIZE, FILES_PER_LOAD, Feed
-from ledgerlake.sinks.tables import append_audit, drop_partitions, overwrite_partitions, write_bronze, write_report
-from ledgerlake.sources.csvfiles import csv_headers, missing_columns, read_csv_by_name
-from ledgerlake.sources.listing import count_sources, fingerprints, list_files
+from ledgerlake.sinks.tables import append_audit, drop_partitions, write_bronze, write_report
+from ledgerlake.sources.csvfiles import FILES_PER_SCAN, file_id, inspected, layout_scans
+from ledgerlake.sources.listing import count_sources, list_files, literal_paths
+from ledgerlake.sources.manifest import CONVERTED, QUARANTINED, WITHDRAWN, changes, commit, current, history, manifest_path
 from ledgerlake.sources.parquetfiles import parquet_footers, parquet_profile
 from ledgerlake.streaming.ingest import HELD_OUT_PHASE, MAIN, Store, bronze_stream, ingest_available
 from ledgerlake.workspace import literal_rows, read_if_any, written
@@ -58,10 +60,6 @@ class RunLog:
         )
 
 
-def versions_path(bronze: str) -> str:
-    return f"{bronze.rstrip('/')}_versions"
-
-
 @dataclass(frozen=True)
 class Layout:
     """Folders of one installation."""
@@ -82,60 +80,110 @@ class Layout:
         return f"{self.lake}/reports"
 
     def store(self, scale: int | None) -> Store:
-        return Store(f"{self.lake}/store", scale, versions=versions_path(self.bronze))
-
-
-def convert_to_bronze(spark: SparkSession, raw: str, bronze: str, sources: Sequence[str] | None = None) -> DataFrame:
-    """CSV files of a folder to bronze, in one distributed job; ``sources`` names the wanted ones.
+        return Store(f"{self.lake}/store", scale, record=manifest_path(self.bronze))
+
+
+def _next_version(spark: SparkSession, bronze: str, record: str) -> int:
+    """Above every version that was committed. Versions that a conversion wrote and did not commit are
+    removed, and their numbers are not used again: a stream may have read them."""
+    used = {0}
+    for path in (bronze, record):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = files.listStatus(folder) if files.exists(folder) else []
+        names = [f.getPath().getName() for f in found]
+        used.add(max((int(n.partition("=")[2]) for n in names if "version=" in n), default=0))
+        if path == bronze:
+            written_only = {int(n.partition("=")[2]) for n in names if n.startswith("bronze_version=")}
+        else:
+            written_only -= {int(n.partition("=")[2]) for n in names if n.startswith("version=")}
+    for version in written_only - {FIRST_VERSION}:
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{bronze.rstrip('/')}/bronze_version={version}")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return 1 + max(used)
+
+
+def convert_to_bronze(
+    spark: SparkSession, raw: str, bronze: str, sources: Sequence[str] | None = None, batch_size: int = BATCH_SIZE,
+    files_per_scan: int = FILES_PER_SCAN,
+) -> DataFrame:
+    """CSV files of a folder to bronze; ``sources`` names the wanted ones.
 
-    Only sources whose files are new or have changed since the last conversion are read;
-    each replaces what bronze has of it, also when nothing is left of it. A manifest beside the
-    table remembers the files. Returns one row per file that was looked at: converted or not,
-    and why not. A source with a file that lacks a column is looked at again next time.
+    Only files that are new, have changed or could not be converted before are read. Each one
+    replaces what bronze has of it; rows of a file that is gone are withdrawn. A file that cannot
+    be read, lacks a column or is not UTF-8 is quarantined with its reason, and the others go on.
+    Files are converted in portions of ``files_per_scan``, each committed by itself, so a run that
+    dies goes on where it was. Returns one row per file that was looked at.
     """
-    present = written(list_files(spark, raw, "*.csv*"), "files")
-    files = present.where(F.col("source_file").isin(*sources)) if sources else present
-    manifest = f"{bronze.rstrip('/')}_manifest"
-    prints = fingerprints(files)
-    known = read_if_any(spark, manifest, prints.schema)
-    todo = written(prints.join(known, prints.columns, "left_anti"), "todo")
-    if todo.isEmpty():
-        return literal_rows(spark, "source_file string, file_name string, converted boolean, reason string", [])
-    changed = files.join(todo, "source_file", "left_semi")
-    rows = read_csv_by_name(spark, raw, changed)
-    version = time.time_ns() // 1000
-    write_bronze(to_bronze(rows, version=F.lit(version)), bronze)
-    lacking = F.concat(F.lit("missing columns: "), F.array_join("missing_columns", ", "))
-    reason = F.when(F.size("missing_columns") > 0, lacking)
-    file_name = F.regexp_extract("path", r"([^/]+)$", 1)
-    results = written(
-        missing_columns(csv_headers(changed)).select("source_file", file_name.alias("file_name"), reason.isNull().alias("converted"), reason.alias("reason")),
-        "conversions",
-    )
-    made = read_if_any(spark, bronze, schemas.BRONZE).where(F.col("bronze_version") == version)
-    made = made.groupBy("source_file").agg(F.count("*").alias("row_count"))
-    why = results.groupBy("source_file").agg(F.max("reason").alias("reason"))
-    versions = written(
-        todo.select("source_file").join(made, "source_file", "left").join(why, "source_file", "left").select(
-            F.lit(version).alias("version"), F.coalesce("row_count", F.lit(0)).alias("row_count"), "reason", "source_file"
-        ),
-        "versions",
+    record = manifest_path(bronze)
+    present = list_files(spark, raw, "*.csv*").withColumn("file_id", file_id(F.col("path")))
+    files = written(present.where(F.col("source_file").isin(*sources)) if sources else present, "files")
+    changed, gone = changes(spark, record, files, sources)
+    looked = written(inspected(changed), "inspected")
+    version = _next_version(spark, bronze, record)
+    facts = ("path", "file_id", "source_file", "file_name", "file_size", "modified_at")
+    nothing = F.lit(0).cast("bigint")
+
+    def commit_as(rows: DataFrame) -> None:
+        nonlocal version
+        commit(rows.withColumn("version", F.lit(version).cast("bigint")).select(*[c.split(" ")[0] for c in schemas.MANIFEST.split(", ")]), record)
+        version += 1
+
+    if not gone.isEmpty():
+        commit_as(gone.withColumns({"state": F.lit(WITHDRAWN), "reason": F.lit("file is gone"), "row_count": nothing, "batches": nothing}))
+    unusable = looked.where(F.col("reason").isNotNull())
+    if not unusable.isEmpty():
+        commit_as(unusable.select(*facts, F.lit(QUARANTINED).alias("state"), "reason", nothing.alias("row_count"), nothing.alias("batches")))
+    for paths, rows in layout_scans(spark, looked.where(F.col("reason").isNull()), files_per_scan=files_per_scan):
+        write_bronze(to_bronze(rows, version=F.lit(version)), bronze)
+        made = read_if_any(spark, f"{bronze.rstrip('/')}/bronze_version={version}", schemas.BRONZE, base=bronze)
+        made = made.groupBy("file_id").agg(F.count("*").alias("n_rows"), F.count_if("is_garbled").alias("n_garbled"))
+        mine = written(literal_paths(spark, paths), "portion").join(looked, "path").join(made, "file_id", "left")
+        bad = F.coalesce(F.col("n_garbled") > 0, F.lit(False))
+        count = F.when(bad, 0).otherwise(F.coalesce("n_rows", nothing))
+        commit_as(mine.select(
+            *facts, F.when(bad, QUARANTINED).otherwise(CONVERTED).alias("state"),
+            F.when(bad, F.concat(F.lit("not UTF-8 in rows: "), F.col("n_garbled"))).alias("reason"),
+            count.alias("row_count"), ceil_div(count, batch_size).cast("bigint").alias("batches"),
+        ))
+    now = current(spark, record)
+    return changed.select("file_id").join(now, "file_id").select(
+        "source_file", "file_name", (F.col("state") == CONVERTED).alias("converted"), "reason", "file_size", "row_count", "batches"
     )
-    overwrite_partitions(versions, versions_path(bronze), ["source_file"])
-    drop_partitions(versions.where("row_count = 0").select("source_file"), bronze, "source_file")
-    whole = versions.where(F.col("reason").isNull())
-    overwrite_partitions(todo.join(whole, "source_file", "left_semi"), manifest, ["source_file"])
-    return results
+
+
+def vacuum_bronze(spark: SparkSession, bronze: str) -> DataFrame:
+    """Deletes versions of which no file counts any more; returns their numbers. Run it between loads."""
+    record = manifest_path(bronze)
+    alive = current(spark, record).where(F.col("state") == CONVERTED).select("version").distinct()
+    dead = written(history(spark, record).select("version").distinct().join(alive, "version", "left_anti"), "dead-versions")
+    drop_partitions(dead, bronze, "bronze_version")
+    return dead
 
 
 def bronze_profile(spark: SparkSession, bronze: str) -> DataFrame:
-    """Footer facts per source; a source that was converted to no rows is there with none."""
-    # files of no source at all are listed as none
-    stored = parquet_profile(parquet_footers(list_files(spark, bronze, "*.parquet"))) if _exists(spark, bronze) else None
-    empty = read_if_any(spark, versions_path(bronze), schemas.BRONZE_VERSIONS).where("row_count = 0 AND reason IS NULL")
-    facts = ("source_file", "n_files", "row_count", "file_size", "corrupt_files")
-    none = empty.select("source_file", F.lit(1).cast("bigint").alias("n_files"), *[F.lit(0).cast("bigint").alias(c) for c in facts[2:]])
-    return none if stored is None else stored.select(*facts).unionByName(none)
+    """Rows per source by the manifest, files and bytes by the footers of the versions that count.
+
+    A source that was converted to no rows is there with none; so is one without a manifest, by
+    its footers alone.
+    """
+    facts = ("n_files", "row_count", "file_size", "corrupt_files")
+    stored = list_files(spark, bronze, "*.parquet") if _exists(spark, bronze) else None
+    files = current(spark, manifest_path(bronze)).where(F.col("state") == CONVERTED)
+    if files.isEmpty():
+        return parquet_profile(parquet_footers(stored)).select("source_file", *facts) if stored else literal_rows(
+            spark, "source_file string, " + ", ".join(f"{c} bigint" for c in facts), [])
+    alive = written(files.groupBy("source_file", "version").agg(F.sum("row_count").alias("rows"), F.count("*").alias("converted")), "alive")
+    if stored is None:
+        found = alive.groupBy("source_file").agg(F.lit(0).cast("bigint").alias("file_size"), F.lit(0).cast("bigint").alias("corrupt_files"))
+    else:
+        version = F.regexp_extract("path", r"/bronze_version=(\d+)/", 1).cast("bigint")
+        footers = parquet_footers(stored.join(alive, (stored["source_file"] == alive["source_file"]) & (version == alive["version"]), "left_semi"))
+        found = parquet_profile(footers).select("source_file", "file_size", "corrupt_files")
+    rows = alive.groupBy("source_file").agg(F.sum("converted").alias("n_files"), F.sum("rows").alias("row_count"))
+    return rows.join(found, "source_file", "left").select(
+        "source_file", "n_files", "row_count", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in facts[2:]]
+    )
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -182,12 +230,14 @@ def phase_drift(spark: SparkSession, store: Store) -> DataFrame:
 
 def run_all(
     spark: SparkSession, layout: Layout, feed: Feed, scale: int | None = None, batch_size: int = BATCH_SIZE,
-    run_id: str | None = None, publish: bool = True, max_files: int | None = None,
+    run_id: str | None = None, publish: bool = True, max_files: int | None = None, strict: bool = True,
 ) -> DataFrame:
     """The five steps in order; returns the step log.
 
     Raw data, bronze and the main load are critical: their failure ends the run. The
     held-out load and the report are not. ``publish=False`` leaves out audit and report.
+    With ``strict`` an expected source that is not there, or cannot be converted, ends the run;
+    otherwise it is a warning in the log and the others are loaded.
     Without ``run_id`` the run gets one of its own, so its audit rows are added to earlier ones.
     """
     run_id = run_id or uuid.uuid4().hex
@@ -197,16 +247,20 @@ def run_all(
     def raw_data() -> tuple[int, str]:
         files = list_files(spark, layout.raw, "*.csv*")
         absent = missing_sources(files, expected).count()  # at most the length of the expected list
-        if absent:
+        if absent and strict:
             raise FileNotFoundError(f"{absent} expected sources are missing")
-        return files.select("source_file").distinct().count(), "all expected sources are there"
+        message = f"warning: {absent} expected sources are missing" if absent else "all expected sources are there"
+        return files.select("source_file").distinct().count(), message
 
     def bronze() -> tuple[int, str]:
         convert_to_bronze(spark, layout.raw, layout.bronze, feed.expected)
         totals = layer_totals(check_layer(bronze_profile(spark, layout.bronze), expected)).first()
-        if not totals["valid"]:
-            raise ValueError(f"bronze is not complete: {totals['missing']} missing, {totals['corrupt']} corrupt")
-        return totals["total_rows"], "bronze is complete"
+        if totals["valid"]:
+            return totals["total_rows"], "bronze is complete"
+        trouble = f"bronze is not complete: {totals['missing']} missing, {totals['corrupt']} corrupt"
+        if strict or totals["missing"] == totals["files_expected"] or totals["corrupt"]:
+            raise ValueError(trouble)
+        return totals["total_rows"], f"warning: {trouble}"
 
     def main_load() -> tuple[int, str]:
         store = load_phase(spark, layout, feed, MAIN, scale, max_files)

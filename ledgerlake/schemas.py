@@ -5,21 +5,24 @@ from __future__ import annotations
 RAW = "timestamp string, price string, user_id string"
 
 # `bad_price` keeps the text of a price that is present but not a number, so that a later
-# step can tell it from a missing one. `bronze_version` (microseconds, UTC) grows whenever a source is converted
-# anew as a whole; rows that are only ever added share one version. `source_file` is the
-# partition column.
+# step can tell it from a missing one. `is_garbled` marks a row with characters that were not UTF-8.
+# `file_id` is the raw file; `bronze_version` grows with every conversion, and the newest one of a
+# file counts. Rows that are only ever added share one version. The last two are partition columns.
 BRONZE = (
     "timestamp string, price double, user_id string, bronze_created_at string, "
-    "bronze_created_by string, bad_price string, bronze_version bigint, source_file string"
+    "bronze_created_by string, bad_price string, file_id bigint, is_garbled boolean, bronze_version bigint, source_file string"
 )
 
-# One row per source: the version of its latest conversion, also when that has no rows.
-BRONZE_VERSIONS = "version bigint, row_count bigint, reason string, source_file string"
+# What became of a raw file, a row for each file and version. States: converted, quarantined, withdrawn.
+MANIFEST = (
+    "path string, file_id bigint, source_file string, file_name string, file_size bigint, modified_at timestamp, "
+    "state string, reason string, row_count bigint, batches bigint, version bigint"
+)
 
 TRANSACTIONS = (
     "timestamp string, price double, user_id string, source_file string, batch_id string, "
     "bronze_created_at string, db_inserted_at timestamp, processing_metadata string, "
-    "bronze_version bigint, reject_reason string, outcome string, phase string, ingest_batch bigint"
+    "bronze_version bigint, file_id bigint, reject_reason string, outcome string, phase string, ingest_batch bigint"
 )
 
 BATCH_EVENTS = (
@@ -32,7 +35,7 @@ def batch_partials(scale: int | None) -> str:
     """Sums are kept so that folding them never rounds."""
     money = "double" if scale is None else f"decimal(38,{scale})"
     return (
-        f"source_file string, bronze_version bigint, rows_in bigint, rows_rejected bigint, count bigint, sum {money}, "
+        f"source_file string, file_id bigint, bronze_version bigint, rows_in bigint, rows_rejected bigint, count bigint, sum {money}, "
         "min double, max double, phase string, ingest_batch bigint"
     )
 

@@ -38,8 +38,8 @@ def drop_partitions(df_of_names: DataFrame, path: str, column: str) -> None:
 
 
 def write_bronze(bronze: DataFrame, path: str, **options) -> None:
-    """One partition per source. Tasks write what they read, so nothing is shuffled."""
-    overwrite_partitions(bronze, path, ["source_file"], **options)
+    """One partition per version and source. Tasks write what they read, so nothing is shuffled."""
+    overwrite_partitions(bronze, path, ["bronze_version", "source_file"], **options)
 
 
 def write_silver(silver: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,15 +18,30 @@ from ledgerlake.sources.remote import HEADER_SCHEMA, header_batches
 from ledgerlake.workspace import literal_rows, written
 
 
+FILES_PER_SCAN = 10_000
+LAYOUTS_PER_SCAN = 16
+_GLOB_SIGNS = re.compile(r"([*?{}\[\]\\])")
+
+
 def csv_headers(files: DataFrame) -> DataFrame:
-    """Header of every file of a listing: (path, source_file, columns). Reads first lines only."""
+    """Header of every file of a listing: (path, source_file, columns, error). Reads first lines only,
+    compressed files as a whole. A file that cannot be read has an error and no columns."""
     return spread(files.select("path", "source_file")).mapInArrow(header_batches, HEADER_SCHEMA)
 
 
 def missing_columns(headers: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """Adds the required columns that a file does not have."""
+    """Adds the required columns that a file does not have; all of them if it cannot be read."""
     wanted = F.array(*[F.lit(c) for c in required])
-    return headers.withColumn("missing_columns", F.array_except(wanted, F.col("columns")))
+    return headers.withColumn("missing_columns", F.coalesce(F.array_except(wanted, F.col("columns")), wanted))
+
+
+def inspected(files: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> DataFrame:
+    """A listing with ``places``, where each required column stands, or the ``reason`` why a file is not usable."""
+    headers = missing_columns(csv_headers(files), required)
+    lacking = F.concat(F.lit("missing columns: "), F.array_join("missing_columns", ", "))
+    reason = F.when(F.col("error").isNotNull(), F.col("error")).when(F.size("missing_columns") > 0, lacking)
+    places = F.array(*[(F.array_position("columns", F.lit(c)) - 1).cast("int") for c in required])
+    return files.join(headers.select("path", reason.alias("reason"), F.when(reason.isNull(), places).alias("places")), "path")
 
 
 def _plain_path(file_path: Column) -> Column:
@@ -32,42 +49,75 @@ def _plain_path(file_path: Column) -> Column:
     return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
 
 
-def read_csv_by_name(
-    spark: SparkSession, folder: str, files: DataFrame, required: Sequence[str] = RAW_COLUMNS, multi_line: bool = False
+def file_id(path: Column) -> Column:
+    """Identifies a file by its path."""
+    return F.xxhash64(path)
+
+
+def read_csv_layout(
+    spark: SparkSession, paths: Sequence[str], places: Sequence[int], required: Sequence[str] = RAW_COLUMNS, multi_line: bool = False
 ) -> DataFrame:
-    """The usable CSV files of a listing as text columns, mapped by header **name**.
+    """Exactly these files, whose required columns all stand at the same places, as text columns.
 
-    One scan, whatever number of files and header layouts there are: cells are read by position
-    and picked by the place that the file's own header gives to a column. The header table is
-    joined by path, so what arrives in ``folder`` after the listing is not read, and files older
-    than the oldest listed one are not opened. Files that lack a required column are left out;
-    `missing_columns` lists them. Quoted line breaks need ``multi_line``, which makes a file
-    unsplittable.
+    No other file is listed or opened, and what a row belongs to comes from its path, so nothing
+    is joined. The scan is as wide as the last place that is needed, whatever else files hold.
     """
-    headers = written(missing_columns(csv_headers(files), required).where(F.size("missing_columns") == 0), "headers")
-    places = headers.select("path", *[(F.array_position("columns", F.lit(c)) - 1).cast("int").alias(f"_{c}") for c in required])
-    facts = headers.agg(F.max(F.size("columns"))).first()[0]
-    if facts is None:
-        return literal_rows(spark, ", ".join(f"{c} string" for c in (*required, "source_file")), [])
-    oldest = files.agg(F.date_format(F.min("modified_at") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
-    cells = [f"c{i}" for i in range(facts)]
+    cells = [f"c{i}" for i in range(max(places) + 1)]
     rows = (
         spark.read.schema(StructType([StructField(c, StringType()) for c in cells]))
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv*")
-        .option("modifiedAfter", oldest)
-        .csv(folder)
+        .csv([_GLOB_SIGNS.sub(r"\\\1", p) for p in paths])
     )
-    named = rows.select(F.array(*cells).alias("_cells"), _plain_path(F.col("_metadata.file_path")).alias("path"))
-    return named.join(places, "path").select(
-        *[F.get("_cells", F.col(f"_{c}")).alias(c) for c in required], source_name(F.col("path")).alias("source_file")
+    path = _plain_path(F.col("_metadata.file_path"))
+    return rows.select(
+        *[F.col(f"c{place}").alias(name) for name, place in zip(required, places)],
+        source_name(path).alias("source_file"), file_id(path).alias("file_id"),
     )
 
 
+def layout_scans(
+    spark: SparkSession, usable: DataFrame, required: Sequence[str] = RAW_COLUMNS, multi_line: bool = False,
+    files_per_scan: int = FILES_PER_SCAN,
+) -> Iterator[tuple[list[str], DataFrame]]:
+    """The usable files of `inspected` in portions: their paths, and their rows.
+
+    The driver holds the paths of one portion at a time, at most ``files_per_scan``. Files with
+    the same places are one scan; a portion unites a few of them.
+    """
+
+    def portion(found: dict[tuple, list[str]]) -> tuple[list[str], DataFrame]:
+        scans = [read_csv_layout(spark, paths, places, required, multi_line) for places, paths in found.items()]
+        return [p for paths in found.values() for p in paths], reduce(DataFrame.unionByName, scans)
+
+    found: dict[tuple, list[str]] = {}
+    for row in usable.select("places", "path").orderBy("places", "path").toLocalIterator():
+        places = tuple(row["places"])
+        if sum(map(len, found.values())) >= files_per_scan or (places not in found and len(found) >= LAYOUTS_PER_SCAN):
+            yield portion(found)
+            found = {}
+        found.setdefault(places, []).append(row["path"])
+    if found:
+        yield portion(found)
+
+
+def read_csv_by_name(
+    spark: SparkSession, files: DataFrame, required: Sequence[str] = RAW_COLUMNS, multi_line: bool = False
+) -> DataFrame:
+    """The usable CSV files of a listing as text columns, mapped by header **name**.
+
+    Files that cannot be read or lack a required column are left out; `inspected` lists them.
+    Quoted line breaks need ``multi_line``, which makes a file unsplittable.
+    """
+    usable = written(inspected(files, required), "headers").where(F.col("reason").isNull())
+    scans = [rows for _, rows in layout_scans(spark, usable, required, multi_line)]
+    if not scans:
+        return literal_rows(spark, ", ".join(f"{c} string" for c in (*required, "source_file")) + ", file_id bigint", [])
+    return reduce(DataFrame.unionByName, scans)
+
+
 def stream_csv(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """CSV files as a stream of text rows. A file with another header order stops the stream."""
     reader = (

@@ -2,23 +2,49 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.texts import date_in_name, source_name, stem
+from ledgerlake.sources.remote import LISTING_SCHEMA, READABLE, listing_batches
+from ledgerlake.workspace import written
 
+FOLDERS_PER_TASK = 16
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """One row per file below ``folder``: path, folder, file_name, source_file, size, time."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .load(folder)
-        .select("path", F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at"))
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def _by_reader(spark: SparkSession, folder: str) -> DataFrame:
+    """The listing that Spark's own reader makes on the driver; it leaves out files without a byte."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select(
+        "path", F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at")
     )
+
+
+def _by_tasks(spark: SparkSession, root: str) -> DataFrame:
+    """The files below a folder: its own entries first, then every subfolder as a whole, dealt out to tasks."""
+    top = written(literal_paths(spark, [root]).mapInArrow(listing_batches(False), LISTING_SCHEMA), "top")
+    below = spread(top.where("is_folder").select("path"), FOLDERS_PER_TASK).mapInArrow(listing_batches(True), LISTING_SCHEMA)
+    return top.where("NOT is_folder").unionByName(below).drop("is_folder")
+
+
+def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """One row per file below ``folder``: path, folder, file_name, source_file, size, time.
+
+    Files are listed through the file system, in tasks, and without opening any. A store that
+    only Spark's readers know is listed by them.
+    """
+    root = _qualified(spark, folder)
+    files = _by_tasks(spark, root) if root.partition(":")[0] in READABLE else _by_reader(spark, folder)
+    pattern = "^" + re.sub(r"\\\*", "[^/]*", re.sub(r"\\\?", "[^/]", re.escape(glob))) + "$"
+    files = files.where(F.regexp_extract("path", r"([^/]+)$", 1).rlike(pattern))
     source = source_name(F.col("path"))
     return files.select(
         "path",
@@ -31,21 +57,17 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     )
 
 
+def literal_paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """A bounded number of paths as a table, made of one literal in the JVM."""
+    listed = F.from_json(F.lit(json.dumps(list(paths))), "array<string>")
+    return spark.range(0, 1, 1, 1).select(F.explode(listed).alias("path"))
+
+
 def spread(files: DataFrame, per_task: int = 64) -> DataFrame:
     """A listing dealt out so that a task opens about ``per_task`` files."""
     return files.repartition(max(1, -(-files.count() // per_task)))
 
 
-def fingerprints(files: DataFrame) -> DataFrame:
-    """What identifies the files of a source, whatever their order: number, bytes, newest, hash."""
-    return files.groupBy("source_file").agg(
-        F.count("*").alias("n_files"),
-        F.sum("file_size").alias("bytes"),
-        F.max("modified_at").alias("newest"),
-        F.bit_xor(F.xxhash64("path", "file_size", "modified_at")).alias("hash"),
-    )
-
-
 def feed_folders(files: DataFrame, raw_folder: str, min_files: int = 5) -> DataFrame:
     """Folders that hold a whole feed: at least ``min_files`` CSV sources.
 

@@ -11,13 +11,20 @@ from pyspark.sql.types import StructType
 from ledgerlake import schemas
 from ledgerlake.functions.texts import size_one_decimal
 from ledgerlake.sources.listing import spread
+from ledgerlake.sources.manifest import dead_versions, manifest_path
 from ledgerlake.sources.remote import FOOTER_SCHEMA, footer_batches
-from ledgerlake.workspace import literal_rows
+from ledgerlake.workspace import literal_rows, written
 
 
 def read_bronze(spark: SparkSession, path: str, sources: Sequence[str] | None = None) -> DataFrame:
-    """The bronze table; naming sources prunes partitions."""
+    """The rows of bronze that count; naming sources prunes partitions.
+
+    What replaced, quarantined and withdrawn files left behind is few pairs of file and version.
+    """
     rows = spark.read.schema(schemas.BRONZE).parquet(path)
+    dead = written(dead_versions(spark, manifest_path(path)), "dead-versions")
+    if not dead.isEmpty():
+        rows = rows.join(dead, ["file_id", "bronze_version"], "left_anti").select(*rows.columns)
     return rows.where(F.col("source_file").isin(*sources)) if sources else rows
 
 

@@ -2,8 +2,8 @@
 
 Every micro-batch writes under its own partition key ``(phase, ingest_batch)``. The state is
 always folded from the per-batch partials, never counted up, so a batch that is replayed
-after a failure overwrites itself and nothing is counted twice. A source that is converted
-anew replaces its earlier rows: only the newest ``bronze_version`` of a source counts.
+after a failure overwrites itself and nothing is counted twice. A file that is converted
+anew replaces its earlier rows: only the newest ``bronze_version`` of a file counts.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas
 from ledgerlake.functions.numbers import partial_sum
 from ledgerlake.operators.batches import running_history, snapshots
-from ledgerlake.operators.clean import FIRST_VERSION, judge, to_transactions
+from ledgerlake.operators.clean import FIRST_VERSION, NO_FILE, judge, to_transactions
 from ledgerlake.operators.stats import merge_partials
 from ledgerlake.settings import FILES_PER_LOAD
 from ledgerlake.sinks.tables import overwrite_partitions
+from ledgerlake.sources import manifest
 from ledgerlake.workspace import read_if_any, written
 
 PARTIAL_NAMES = ("count", "sum", "min", "max")
@@ -36,7 +37,7 @@ class Store:
     folder: str
     scale: int | None = None
     generation: int = 1
-    versions: str | None = None  # the table of conversions, when sources can be converted anew
+    record: str | None = None  # the manifest of raw files, when they can be converted anew
 
     def _path(self, table: str) -> str:
         return f"{self.folder}/{self.generation}/{table}"
@@ -66,24 +67,32 @@ class Store:
     def all_partials(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(schemas.batch_partials(self.scale)).parquet(self.partials_path)
 
-    def _newest(self, spark: SparkSession) -> DataFrame:
-        """The version that counts, one row per source: the latest loaded or converted one.
+    def _dead(self, spark: SparkSession) -> DataFrame:
+        """Loaded versions that no longer count, a row for each file and version.
 
-        A source that was converted to no rows has no partials; only its conversion tells that
-        its earlier rows are gone.
+        A file that was converted to no rows, or is gone, has no newer partials; only the manifest
+        tells that its earlier rows do not count.
         """
-        known = self.all_partials(spark).select("source_file", "bronze_version")
-        if self.versions:
-            converted = read_if_any(spark, self.versions, schemas.BRONZE_VERSIONS)
-            known = known.unionByName(converted.select("source_file", F.col("version").alias("bronze_version")))
-        return known.groupBy("source_file").agg(F.max("bronze_version").alias("bronze_version"))
+        key = ["source_file", "file_id"]
+        loaded = self.all_partials(spark).select(*key, "bronze_version").distinct()
+        if not self.record:
+            known = loaded.withColumn("alive", F.lit(True))
+        else:
+            files = manifest.current(spark, self.record)
+            known = loaded.withColumn("alive", F.lit(True)).unionByName(
+                files.select(*key, F.col("version").alias("bronze_version"), (F.col("state") == manifest.CONVERTED).alias("alive"))
+            )
+        # of equal versions the manifest's word counts: false before true
+        newest = known.groupBy(*key).agg(F.max("bronze_version").alias("_newest"), F.min_by("alive", F.struct(-F.col("bronze_version"), "alive")).alias("_alive"))
+        return loaded.join(newest, key).where((F.col("bronze_version") < F.col("_newest")) | ~F.col("_alive")).select(*key, "bronze_version")
+
+    def _current(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
+        # Written first, so that the planner knows how small the list is; mostly it is empty.
+        dead = written(self._dead(spark), "dead")
+        return rows if dead.isEmpty() else rows.join(dead, ["source_file", "file_id", "bronze_version"], "left_anti")
 
     def _current_rows(self, spark: SparkSession, outcome: str) -> DataFrame:
-        # Written first, so that the planner knows how small the list of sources is.
-        newest = written(self._newest(spark), "newest")
-        return self.all_rows(spark).where(F.col("outcome") == outcome).join(
-            newest, ["source_file", "bronze_version"], "left_semi"
-        )
+        return self._current(spark, self.all_rows(spark).where(F.col("outcome") == outcome))
 
     def transactions(self, spark: SparkSession) -> DataFrame:
         """Kept rows; rejected ones lie in other partitions and are not read."""
@@ -93,8 +102,8 @@ class Store:
         return self._current_rows(spark, "rejected")
 
     def partials(self, spark: SparkSession) -> DataFrame:
-        """Partial statistics per micro-batch and source, without replaced sources."""
-        return self.all_partials(spark).join(self._newest(spark), ["source_file", "bronze_version"], "left_semi")
+        """Partial statistics per micro-batch and file, without replaced files."""
+        return self._current(spark, self.all_partials(spark))
 
     def events(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(schemas.BATCH_EVENTS).parquet(self.events_path)
@@ -224,7 +233,8 @@ def load_batch(rows: DataFrame, ingest_batch: int, store: Store, phase: str) ->
         overwrite_partitions(loaded, store.rows_path, [*BATCH_KEY, "outcome"])
         version = F.col("bronze_version") if "bronze_version" in rows.columns else F.lit(FIRST_VERSION).cast("bigint")
         price = F.when(F.col("reject_reason").isNull(), F.col("price"))
-        partial = judge(rows).groupBy("source_file", version.alias("bronze_version")).agg(
+        file = F.col("file_id") if "file_id" in rows.columns else F.lit(NO_FILE).cast("bigint")
+        partial = judge(rows).groupBy("source_file", file.alias("file_id"), version.alias("bronze_version")).agg(
             F.count("*").alias("rows_in"), F.count("reject_reason").alias("rows_rejected"),
             F.count(price).alias("count"), partial_sum(price, store.scale).alias("sum"),
             F.min(price).alias("min"), F.max(price).alias("max"),

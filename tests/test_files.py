@@ -26,7 +26,7 @@ def files_of(spark, raw):
 
 
 def test_columns_are_mapped_by_name(spark, raw):
-    rows = csvfiles.read_csv_by_name(spark, raw, files_of(spark, raw))
+    rows = csvfiles.read_csv_by_name(spark, files_of(spark, raw))
     got = {r["user_id"]: (r["timestamp"], r["price"], r["source_file"]) for r in rows.collect()}
     assert got == {
         "user_1": ("2012-01-01", "1.5", "2012-1.csv"), "user_2": ("2012-01-02", "NA", "2012-1.csv"),
@@ -65,7 +65,7 @@ def test_quoted_line_breaks(spark, tmp_path):
     folder.mkdir()
     (folder / "a.csv").write_text('timestamp,price,user_id\n2012-01-01,1,"two\nlines"\n')
     files = listing.list_files(spark, str(folder), "*.csv")
-    rows = csvfiles.read_csv_by_name(spark, str(folder), files, multi_line=True)
+    rows = csvfiles.read_csv_by_name(spark, files, multi_line=True)
     assert [r["user_id"] for r in rows.collect()] == ["two\nlines"]
     counted = csvfiles.line_counts(spark, str(folder)).first()
     assert counted["line_rows"] == 2  # a plain line count sees the break
@@ -75,8 +75,8 @@ def test_no_usable_file(spark, tmp_path):
     folder = tmp_path / "raw"
     folder.mkdir()
     (folder / "a.csv").write_text("x,y\n1,2\n")
-    rows = csvfiles.read_csv_by_name(spark, str(folder), listing.list_files(spark, str(folder), "*.csv"))
-    assert rows.count() == 0 and rows.columns == ["timestamp", "price", "user_id", "source_file"]
+    rows = csvfiles.read_csv_by_name(spark, listing.list_files(spark, str(folder), "*.csv"))
+    assert rows.count() == 0 and rows.columns == ["timestamp", "price", "user_id", "source_file", "file_id"]
 
 
 def test_footers_and_corrupt_files(spark, raw, tmp_path):

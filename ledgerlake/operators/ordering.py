@@ -95,33 +95,3 @@ def with_neighbours(
         near = F.coalesce(running("_value", "_row", side, 0), F.col(f"_from_{side}"))
         out = out.withColumn(f"{prefix}_{side}", near).drop(f"_from_{side}")
     return out.drop("_value")
-
-
-def quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per group with ``q_<point>`` columns.
-
-    Rows are first counted per distinct value, so a hot group shrinks before it moves, and
-    the ranks come from running totals over sorted slices instead of one buffer per group.
-    """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_copies"))
-    ranked = with_running(slice_in_order(counted, group, [value]), group, "_copies", "_upto")
-    sizes = written(counted_sizes(ranked, group), "sizes")
-    located = ranked.join(sizes, list(group)) if group else ranked.withColumn(
-        "_size", sizes.select("_size").scalar()
-    )
-    # Rank of a point is (size - 1) * point, counted from 0; a value covers the ranks
-    # [_upto - _copies, _upto - 1].
-    out = []
-    for point in points:
-        rank = (F.col("_size") - 1) * F.lit(float(point))
-        low, high = F.floor(rank), F.ceil(rank)
-        covers = lambda r: (r >= F.col("_upto") - F.col("_copies")) & (r <= F.col("_upto") - 1)
-        at_low = F.max(F.when(covers(low), F.col(value)))
-        at_high = F.max(F.when(covers(high), F.col(value)))
-        part = F.max(rank - low)
-        out.append((at_low + (at_high - at_low) * part).alias(f"q_{point:g}".replace(".", "_")))
-    return located.groupBy(*group).agg(*out)
-
-
-def counted_sizes(ranked: DataFrame, group: Sequence[str]) -> DataFrame:
-    return ranked.groupBy(*group).agg(F.max("_upto").alias("_size"))

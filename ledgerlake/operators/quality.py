@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.times import parse_timestamp, within_days
 from ledgerlake.operators.clean import MISSING, UNPARSEABLE, absent_columns, judge
-from ledgerlake.operators.ordering import quantiles, slice_in_order, with_neighbours, with_position
+from ledgerlake.operators.ordering import slice_in_order, with_neighbours, with_position
+from ledgerlake.operators.quantiles import quantiles
 from ledgerlake.settings import (
     DUPLICATE_TOLERANCE, METRIC_RANGE, NULL_TOLERANCE, OUTLIER_STD, PRICE_RANGE, RAW_COLUMNS,
     UNKNOWN_USER, USER_ID_PATTERN, Feed,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.numbers import exact_sum, folded_sum, partial_sum, round_or_zero
-from ledgerlake.operators.ordering import quantiles
+from ledgerlake.operators.quantiles import quantiles
 from ledgerlake.workspace import written
 
 

@@ -13,7 +13,7 @@ from ledgerlake.functions import numbers, texts
 from ledgerlake.operators import (
     batches, clean, completeness, gold, monitoring, quality, reconcile, silver, stats,
 )
-from ledgerlake.operators.ordering import quantiles
+from ledgerlake.operators.quantiles import quantiles
 from ledgerlake.plans import inputs, report, run
 from ledgerlake.plans.inputs import FEED, NARROW_FEED, PRICE_SCALE
 from ledgerlake.sinks import tables as sinks
@@ -822,10 +822,11 @@ def stream_live_stats(spark, sf_dir):
 
 def _newest_first(spark: SparkSession, sf_dir: str, path: str, load: Callable[[DataFrame], None]) -> None:
     """The feed with its newest source first, then the others; one file for each micro-batch."""
+    reader = live.state_session(spark)
     held_out = F.col("source_file") == FEED.held_out
     for part in (held_out, ~held_out):
         _bronze_part(spark, sf_dir, f"{path}/bronze", part)
-        rows = quality.parsed(ingest.bronze_stream(spark, f"{path}/bronze", max_files=1))
+        rows = quality.parsed(ingest.bronze_stream(reader, f"{path}/bronze", max_files=1))
         load(rows.withColumnRenamed("timestamp", "ts"))
 
 
@@ -874,6 +875,49 @@ def approx_metrics(spark, sf_dir):
     )
 
 
+def _store_of_sources(spark: SparkSession, sf_dir: str, after: Callable[[ingest.Store], None] | None = None) -> ingest.Store:
+    """A store into which batch n brought source n + 1."""
+    store = ingest.Store(fresh_path(spark, "store"), PRICE_SCALE)
+    for number, source in enumerate(FEED.expected):
+        rows = clean.to_bronze(inputs.dirty_text(spark, sf_dir).where(F.col("source_file") == source))
+        ingest.load_batch(rows, number, store, ingest.MAIN)
+        if after:
+            after(store)
+    return store
+
+
+@query
+def compacted_history(spark, sf_dir):
+    """History of a store whose partials and events were gathered in segments after each batch."""
+    store = _store_of_sources(spark, sf_dir, lambda s: s.compact(spark, fanout=2))
+    done = ingest.latest_status(store.events(spark)).select("ingest_batch", "status")
+    return store.history(spark).join(done, "ingest_batch").select(
+        "ingest_batch", "rows_in", "rows_rejected", "rows_processed", "running_count_after", "running_sum_after", "status"
+    )
+
+
+@query
+def batch_sketches(spark, sf_dir):
+    """Distinct users and quantiles merged from the sketches of all batches, against the stored rows."""
+    store = _store_of_sources(spark, sf_dir)
+    sketch = written(store.sketches(spark), "sketches")
+    rows = store.transactions(spark).select("price", "user_id")
+    names = {"price_5": 0.05, "price_25": 0.25, "price_50": 0.5, "price_75": 0.75, "price_95": 0.95}
+    below = {n: F.count_if(F.col("price") <= sketch.select(n).scalar()) / F.count("price") for n in names}
+    above = {n: F.count_if(F.col("price") < sketch.select(n).scalar()) / F.count("price") for n in names}
+    bound = sketch.select("rank_bound").scalar()
+    exact = rows.agg(
+        F.count_distinct("user_id").alias("users"), F.count("price").alias("n_prices"),
+        *[((above[n] <= q + bound) & (below[n] >= q - bound)).alias(f"{n}_close") for n, q in names.items()],
+    )
+    near, most = sketch.select("users").scalar(), sketch.select("users_bound").scalar()
+    return exact.select(
+        "users", "n_prices", (sketch.select("n_prices").scalar() == F.col("n_prices")).alias("all_prices"),
+        (F.abs(near - F.col("users")) <= F.col("users") * most).alias("users_close"), *[f"{n}_close" for n in names],
+        F.round(most, 6).alias("users_bound"), F.round(bound, 6).alias("rank_bound"),
+    )
+
+
 # --- What goes wrong -----------------------------------------------------------------------
 
 
@@ -975,6 +1019,19 @@ def _csv_text(spark: SparkSession, lines: list[str], path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").option("sep", "\x01").option("quote", "").csv(path)
 
 
+def _raw_bytes(spark: SparkSession, content: bytes, path: str) -> None:
+    """A file with exactly these few bytes."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True)
+    out.write(bytearray(content))
+    out.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _HEADER = "event_id,copy,timestamp,price,user_id"
 
 
@@ -1012,8 +1069,36 @@ def conversion_results(spark, sf_dir):
     """What became of every source's files, one of which lacks a column."""
     raw = _raw_files(spark, sf_dir)
     _csv_text(spark, ["event_id,copy,timestamp,user_id", "1,0,2024-01-01,user_1"], f"{raw}/source_file=2024-8.csv")
+    _raw_bytes(spark, "timestamp,price,user_id,größe\n2024-01-01,1,user_1,2\n".encode("latin-1"), f"{raw}/2024-7.csv")
+    _raw_bytes(spark, "timestamp,price,user_id\n2024-01-01,1,Jürgen\n".encode("latin-1"), f"{raw}/2024-6.csv")
+    _raw_bytes(spark, b"this is no archive", f"{raw}/2024-5.csv.gz")
+    _raw_bytes(spark, b"", f"{raw}/2024-10.csv")
     results = run.convert_to_bronze(spark, raw, fresh_path(spark, "bronze"))
-    return results.groupBy("source_file").agg(F.bool_and("converted").alias("converted"), F.max("reason").alias("reason"))
+    return results.groupBy("source_file").agg(
+        F.bool_and("converted").alias("converted"), F.max(F.regexp_extract("reason", "^[^:]+(: price)?", 0)).alias("reason"),
+        F.sum("row_count").alias("row_count"), (F.sum("file_size") >= 0).alias("sized"),
+        (F.sum("batches") >= F.ceil(F.sum("row_count") / 1000)).alias("batched"),
+    )
+
+
+@query
+def manifest_follows_files(spark, sf_dir):
+    """A file that is added to a source, one that is replaced and one that is gone: rows per source
+    afterwards, in bronze and in the store, and how many files the second run looked at."""
+    raw = _raw_files(spark, sf_dir)
+    layout = run.Layout(raw=raw, lake=fresh_path(spark, "lake"))
+    run.convert_to_bronze(spark, raw, layout.bronze)
+    run.load_phase(spark, layout, FEED, ingest.MAIN, PRICE_SCALE)
+    first, second, third = FEED.main[:3]
+    _raw_bytes(spark, b"timestamp,price,user_id\n2024-01-01,1.5,user_1\n", f"{raw}/source_file={first}/part-added.csv")
+    _csv_text(spark, [_HEADER, "1,0,2024-01-01,2.5,user_1"], f"{raw}/source_file={second}")
+    _delete(spark, f"{raw}/source_file={third}")
+    looked = written(run.convert_to_bronze(spark, raw, layout.bronze), "looked").agg(F.count("*")).scalar()
+    store = run.load_phase(spark, layout, FEED, ingest.MAIN, PRICE_SCALE)
+    bronze = parquetfiles.read_bronze(spark, layout.bronze).groupBy("source_file").agg(F.count("*").alias("n_bronze"))
+    stored = store.transactions(spark).groupBy("source_file").agg(F.count("*").alias("n_stored"))
+    return bronze.join(stored, "source_file", "left").select(
+        "source_file", "n_bronze", F.coalesce("n_stored", F.lit(0)).alias("n_stored"), looked.alias("files_looked_at"))
 
 
 @query

@@ -508,8 +508,27 @@ UNION ALL SELECT '2024-9.csv', 0, true""",
     "source_emptied": f"""WITH {_DIRTY} SELECT source_file, CASE WHEN source_file = '2024-2.csv' THEN 0 ELSE count(*) END AS n_bronze,
   CASE WHEN source_file = '2024-2.csv' THEN 0 ELSE count(*) FILTER (reject_reason IS NULL) END AS n_stored, true AS run_completed
 FROM judged GROUP BY source_file""",
-    "conversion_results": f"""WITH {_DIRTY} SELECT DISTINCT source_file, true AS converted, CAST(NULL AS VARCHAR) AS reason FROM dirty
-UNION ALL SELECT '2024-8.csv', false, 'missing columns: price'""",
+    "conversion_results": f"""WITH {_DIRTY} SELECT source_file, true AS converted, CAST(NULL AS VARCHAR) AS reason, count(*) AS row_count,
+  true AS sized, true AS batched FROM dirty GROUP BY 1
+UNION ALL SELECT '2024-8.csv', false, 'missing columns: price', 0, true, true
+UNION ALL SELECT '2024-7.csv', false, 'header is not UTF-8', 0, true, true
+UNION ALL SELECT '2024-6.csv', false, 'not UTF-8 in rows', 0, true, true
+UNION ALL SELECT '2024-5.csv.gz', false, 'unreadable', 0, true, true
+UNION ALL SELECT '2024-10.csv', false, 'missing columns', 0, true, true""",
+    "manifest_follows_files": f"""WITH {_DIRTY}, n AS (SELECT source_file, count(*) AS b, count(*) FILTER (reject_reason IS NULL AND source_file <> 'validation.csv') AS s
+  FROM judged WHERE source_file <> '2024-3.csv' GROUP BY 1)
+SELECT source_file, CASE source_file WHEN '2024-1.csv' THEN b + 1 WHEN '2024-2.csv' THEN 1 ELSE b END AS n_bronze,
+  CASE source_file WHEN '2024-1.csv' THEN s + 1 WHEN '2024-2.csv' THEN 1 ELSE s END AS n_stored, 2 AS files_looked_at FROM n""",
+    "compacted_history": f"""WITH {_DIRTY}, p AS (SELECT source_file, CASE WHEN source_file = 'validation.csv' THEN 5
+    ELSE CAST(source_file[6:6] AS INTEGER) - 1 END AS ingest_batch, count(*) AS rows_in, count(reject_reason) AS rows_rejected,
+    count(*) FILTER (reject_reason IS NULL) AS rows_processed, sum(CAST(price AS DECIMAL(18, 2))) FILTER (reject_reason IS NULL) AS s
+  FROM judged GROUP BY 1)
+SELECT CAST(ingest_batch AS BIGINT) AS ingest_batch, rows_in, rows_rejected, rows_processed,
+  CAST(sum(rows_processed) OVER (ORDER BY ingest_batch) AS BIGINT) AS running_count_after,
+  CAST(sum(s) OVER (ORDER BY ingest_batch) AS DOUBLE) AS running_sum_after, 'completed' AS status FROM p""",
+    "batch_sketches": f"""WITH {_DIRTY} SELECT count(DISTINCT user_raw) AS users, count(*) AS n_prices, true AS all_prices, true AS users_close,
+  true AS price_5_close, true AS price_25_close, true AS price_50_close, true AS price_75_close, true AS price_95_close,
+  CAST(0.04875 AS DOUBLE) AS users_bound, CAST(0.02 AS DOUBLE) AS rank_bound FROM kept""",
     "hourly_refresh": f"""WITH {_TX} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS "hour", count(*) AS transaction_count,
   {_money('price')} / count(*) AS price_avg, MIN(price) AS price_min, MAX(price) AS price_max FROM tx GROUP BY 1""",
     "bronze_layouts": f"""WITH {_DIRTY} SELECT ts_text AS "timestamp", price, user_raw AS user_id, bad_price, source_file FROM dirty""",

@@ -36,7 +36,7 @@ def batch_partials(scale: int | None) -> str:
     money = "double" if scale is None else f"decimal(38,{scale})"
     return (
         f"source_file string, file_id bigint, bronze_version bigint, rows_in bigint, rows_rejected bigint, count bigint, sum {money}, "
-        "min double, max double, phase string, ingest_batch bigint"
+        "min double, max double, users binary, prices binary, phase string, ingest_batch bigint"
     )
 
 

@@ -53,7 +53,7 @@ def _listed(uri: str, recursive: bool) -> list[tuple]:
     out = []
     for info in files.get_file_info(fs.FileSelector(folder, recursive=recursive)):
         inside = info.path[len(folder) :].strip("/")
-        hidden = any(name[0] in "._" and "=" not in name for name in inside.split("/"))
+        hidden = any(name[0] == "." or (name[0] == "_" and "=" not in name) for name in inside.split("/"))
         if not hidden and (info.type == fs.FileType.File or not recursive):
             out.append((f"{root}/{inside}", info.size or 0, info.mtime, info.type == fs.FileType.Directory))
     return out

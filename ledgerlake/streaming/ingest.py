@@ -11,22 +11,27 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.functions.numbers import partial_sum
 from ledgerlake.operators.batches import running_history, snapshots
-from ledgerlake.operators.clean import FIRST_VERSION, NO_FILE, judge, to_transactions
+from ledgerlake.operators.clean import to_transactions
 from ledgerlake.operators.stats import merge_partials
 from ledgerlake.settings import FILES_PER_LOAD
 from ledgerlake.sinks.tables import overwrite_partitions
 from ledgerlake.sources import manifest
-from ledgerlake.workspace import read_if_any, written
+from ledgerlake.streaming import segments
+from ledgerlake.workspace import literal_rows, read_if_any, written
 
 PARTIAL_NAMES = ("count", "sum", "min", "max")
 MAIN, HELD_OUT_PHASE = "main", "held_out"
 BATCH_KEY = ("phase", "ingest_batch")
+# Sizes of the sketches in partials, and their bounds at three standard errors.
+USERS_LOG, PRICES_K = 12, 200
+USERS_BOUND = 3 * 1.04 / 2 ** (USERS_LOG / 2)
+RANK_BOUND = 0.02
 _EVENT_ORDER = {"processing": 1, "failed": 2, "completed": 3}
 
 
@@ -65,7 +70,7 @@ class Store:
         return spark.read.schema(schemas.TRANSACTIONS).parquet(self.rows_path)
 
     def all_partials(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(schemas.batch_partials(self.scale)).parquet(self.partials_path)
+        return segments.read_all(spark, self.partials_path, schemas.batch_partials(self.scale))
 
     def _dead(self, spark: SparkSession) -> DataFrame:
         """Loaded versions that no longer count, a row for each file and version.
@@ -106,7 +111,26 @@ class Store:
         return self._current(spark, self.all_partials(spark))
 
     def events(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(schemas.BATCH_EVENTS).parquet(self.events_path)
+        return segments.read_all(spark, self.events_path, schemas.BATCH_EVENTS)
+
+    def compact(self, spark: SparkSession, fanout: int = segments.FANOUT) -> dict[str, int]:
+        """Gathers partials and events of complete batches; the state and all histories stay as they are."""
+        kinds = {self.partials_path: schemas.batch_partials(self.scale), self.events_path: schemas.BATCH_EVENTS}
+        return {path.rsplit("/", 1)[1]: segments.compact(spark, path, schema, fanout) for path, schema in kinds.items()}
+
+    def sketches(self, spark: SparkSession) -> DataFrame:
+        """Distinct users and price quantiles, merged from the sketches of all batches, with their bounds.
+
+        The bounds are those at three standard errors: relative for users, in rank for quantiles.
+        """
+        users, prices = F.hll_union_agg("users"), F.kll_merge_agg_double("prices")
+        merged = self.partials(spark).agg(users.alias("u"), prices.alias("p"))
+        at = lambda q: F.kll_sketch_get_quantile_double("p", F.lit(q)).alias(f"price_{int(q * 100)}")
+        return merged.select(
+            F.hll_sketch_estimate("u").alias("users"), F.lit(USERS_BOUND).alias("users_bound"),
+            F.kll_sketch_get_n_double("p").alias("n_prices"), *[at(q) for q in (0.05, 0.25, 0.5, 0.75, 0.95)],
+            F.lit(RANK_BOUND).alias("rank_bound"),
+        )
 
     def state(self, spark: SparkSession, phase: str | None = None) -> DataFrame:
         """Current statistics, without reading stored rows."""
@@ -217,11 +241,19 @@ def _own_part(spark: SparkSession, path: str, schema: str, phase: str, ingest_ba
     return read_if_any(spark, f"{path}/phase={phase}/ingest_batch={ingest_batch}", schema, base=path)
 
 
+def _clear(spark: SparkSession, path: str, phase: str, ingest_batch: int) -> None:
+    """Removes what an earlier attempt wrote: a replay may have no rows for one of its partitions."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/phase={phase}/ingest_batch={ingest_batch}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def load_batch(rows: DataFrame, ingest_batch: int, store: Store, phase: str) -> None:
     """Load one micro-batch: rows, then their partial statistics, then the event.
 
-    Partials are computed from the rows that came in, not from what was written, so that a
-    later verification against the store sees what a write may have lost or doubled.
+    The input is evaluated once: while it is written, it is counted and added up. Partials by file
+    come from the columns they need of what was written, and have to agree with those counts, so a
+    write that lost or doubled rows fails the batch; a later loss is seen by the verification of
+    the store against the partials.
     """
     spark = rows.sparkSession
     key = {"phase": F.lit(phase), "ingest_batch": F.lit(ingest_batch).cast("bigint")}
@@ -230,21 +262,26 @@ def load_batch(rows: DataFrame, ingest_batch: int, store: Store, phase: str) ->
     try:
         outcome = F.when(F.col("reject_reason").isNull(), "kept").otherwise("rejected")
         loaded = to_transactions(rows, _batch_id(phase, ingest_batch)).withColumns({**key, "outcome": outcome})
-        overwrite_partitions(loaded, store.rows_path, [*BATCH_KEY, "outcome"])
-        version = F.col("bronze_version") if "bronze_version" in rows.columns else F.lit(FIRST_VERSION).cast("bigint")
+        seen = Observation()
         price = F.when(F.col("reject_reason").isNull(), F.col("price"))
-        file = F.col("file_id") if "file_id" in rows.columns else F.lit(NO_FILE).cast("bigint")
-        partial = judge(rows).groupBy("source_file", file.alias("file_id"), version.alias("bronze_version")).agg(
-            F.count("*").alias("rows_in"), F.count("reject_reason").alias("rows_rejected"),
+        observed = loaded.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count("reject_reason").alias("rows_rejected"))
+        _clear(spark, store.rows_path, phase, ingest_batch)
+        overwrite_partitions(observed, store.rows_path, [*BATCH_KEY, "outcome"])
+        stored = _own_part(spark, store.rows_path, schemas.TRANSACTIONS, phase, ingest_batch)
+        user = F.when(F.col("reject_reason").isNull(), F.col("user_id"))
+        partial = stored.groupBy("source_file", "file_id", "bronze_version").agg(
+            F.count(F.lit(1)).alias("rows_in"), F.count("reject_reason").alias("rows_rejected"),
             F.count(price).alias("count"), partial_sum(price, store.scale).alias("sum"),
             F.min(price).alias("min"), F.max(price).alias("max"),
+            F.hll_sketch_agg(user, USERS_LOG).alias("users"), F.kll_sketch_agg_double(price, PRICES_K).alias("prices"),
         )
         overwrite_partitions(partial.withColumns(key), store.partials_path, BATCH_KEY)
         mine = _own_part(spark, store.partials_path, schemas.batch_partials(store.scale), phase, ingest_batch)
-        counts = mine.agg(
-            F.coalesce(F.sum("count"), F.lit(0)).alias("rows_processed"),
-            F.coalesce(F.sum("rows_rejected"), F.lit(0)).alias("rows_rejected"),
-        )
+        sums = mine.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_in", "rows_rejected", "count")]).first()
+        came = seen.get
+        if (sums["rows_in"], sums["rows_rejected"]) != (came["rows_in"], came["rows_rejected"]):
+            raise ValueError(f"{came['rows_in']} rows came in, {sums['rows_in']} were stored")
+        counts = literal_rows(spark, "rows_processed bigint, rows_rejected bigint", [(sums["count"], sums["rows_rejected"])])
         _log(spark, store, phase, ingest_batch, attempt, "completed", counts)
     except Exception as problem:
         _log(spark, store, phase, ingest_batch, attempt, "failed", error=str(problem))

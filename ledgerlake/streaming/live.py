@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake.functions.numbers import exact_sum, folded_sum, partial_sum
 from ledgerlake.operators.quality import full_key
 from ledgerlake.sinks.tables import overwrite_partitions
-from ledgerlake.workspace import literal_rows, read_if_any, written
+from ledgerlake.workspace import literal_rows, read_if_any
 
 
 def state_session(spark: SparkSession) -> SparkSession:
@@ -23,6 +23,8 @@ def state_session(spark: SparkSession) -> SparkSession:
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session
 
 
@@ -48,9 +50,12 @@ WINDOWS = (
 )
 
 
+def _window_columns(scale: int | None) -> str:
+    return WINDOWS.format(money="double" if scale is None else f"decimal(38,{scale})")
+
+
 def _windows(spark: SparkSession, path: str, scale: int | None) -> DataFrame:
-    money = "double" if scale is None else f"decimal(38,{scale})"
-    return read_if_any(spark, path, WINDOWS.format(money=money))
+    return read_if_any(spark, path, _window_columns(scale))
 
 
 def fold_windows(stream: DataFrame, path: str, checkpoint: str, scale: int | None = None, late: str = "2 days") -> None:
@@ -59,12 +64,15 @@ def fold_windows(stream: DataFrame, path: str, checkpoint: str, scale: int | Non
     Whatever the order in which rows arrive and the number of files in a micro-batch, no row is
     lost: late ones are merged into their day when partials are folded (`daily_windows`), and
     counted as ``late_rows``: those more than ``late`` behind the latest event time of earlier
-    micro-batches. A replayed micro-batch replaces its partials. Days follow the session time zone.
+    micro-batches. That time is a mark, which each micro-batch takes from the one before it and
+    hands on, so nothing earlier is listed or read. A replayed micro-batch replaces its partials and
+    its mark. Days follow the session time zone.
     """
 
     def save(rows: DataFrame, number: int) -> None:
-        earlier = _windows(rows.sparkSession, path, scale).where(F.col("ingest_batch") < number)
-        seen = earlier.agg(F.max("last_seen")).scalar()
+        spark = rows.sparkSession
+        mark = read_if_any(spark, f"{path}_marks/ingest_batch={number - 1}", "last_seen timestamp")
+        seen = mark.agg(F.max("last_seen")).scalar()
         behind = F.coalesce(F.col("ts") < seen - F.expr(f"INTERVAL {late}"), F.lit(False))
         partials = rows.groupBy(F.to_date("ts").alias("date_partition")).agg(
             F.count("*").alias("transaction_count"), partial_sum(F.col("price"), scale).alias("price_sum"),
@@ -72,6 +80,9 @@ def fold_windows(stream: DataFrame, path: str, checkpoint: str, scale: int | Non
             F.count_if(behind).alias("late_rows"),
         )
         overwrite_partitions(partials.withColumn("ingest_batch", F.lit(number).cast("bigint")), path, ["ingest_batch"])
+        own = read_if_any(spark, f"{path}/ingest_batch={number}", _window_columns(scale), base=path)
+        latest = own.agg(F.greatest(F.max("last_seen"), seen).alias("last_seen"))
+        latest.coalesce(1).write.mode("overwrite").parquet(f"{path}_marks/ingest_batch={number}")
 
     _run(stream, checkpoint, save)
 
@@ -84,28 +95,29 @@ def daily_windows(spark: SparkSession, path: str, scale: int | None = None) -> D
     )
 
 
+def unique(stream: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The first row of every key of a stream, by keyed state; rows without a full key are nobody's copy."""
+    full = full_key(key)
+    return stream.where(full).dropDuplicates(list(key)).unionByName(stream.where(~full))
+
+
 def fold_unique(
     stream: DataFrame, path: str, checkpoint: str, key: Sequence[str] = ("ts", "user_id", "price", "source_file")
 ) -> None:
     """The first row of every key, whenever its copies arrive.
 
-    A micro-batch is reduced to one row per key in an aggregate and anti-joined with the rows
-    stored for the days it touches; only those partitions are read. Rows without a full key
-    are nobody's copy. A replayed micro-batch replaces what it wrote.
+    Keys that have been seen are Spark's keyed state; open ``stream`` in a `state_session`, which
+    keeps them in RocksDB on the executors' disks, with changes only in the checkpoint. A
+    micro-batch looks up its own keys and writes its new rows; no stored row is listed or read.
+    The state grows with the distinct keys, a few bytes each. A replayed micro-batch replaces
+    what it wrote.
     """
-    full = full_key(key)
 
     def save(rows: DataFrame, number: int) -> None:
-        spark = rows.sparkSession
         dated = rows.withColumn("day", F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("none")))
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dated.schema)
-        new = written(dated.where(full).dropDuplicates(list(key)).unionByName(dated.where(~full)), "arrived")
-        stored = read_if_any(spark, path, f"{columns}, ingest_batch bigint").where(F.col("ingest_batch") < number)
-        touched = stored.join(new.select("day").distinct(), "day", "left_semi").where(full).select(*key)
-        fresh = new.join(touched, list(key), "left_anti").withColumn("ingest_batch", F.lit(number).cast("bigint"))
-        overwrite_partitions(fresh.select(*dated.columns, "ingest_batch"), path, ["day", "ingest_batch"])
+        overwrite_partitions(dated.withColumn("ingest_batch", F.lit(number).cast("bigint")), path, ["day", "ingest_batch"])
 
-    _run(stream, checkpoint, save)
+    _run(unique(stream, key), checkpoint, save)
 
 
 def publish(rows: DataFrame, path: str, number: int) -> None:

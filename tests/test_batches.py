@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import batches, clean, reconcile, stats
-from ledgerlake.operators.ordering import quantiles, slice_in_order, with_neighbours, with_position, with_running
+from ledgerlake.operators.ordering import slice_in_order, with_neighbours, with_position, with_running
+from ledgerlake.operators.quantiles import quantiles
 
 GOLDEN = [
     # The worked example.
@@ -167,3 +168,33 @@ def test_history_cap_and_last_batch(spark):
     assert sorted(r["batch_seq"] for r in batches.recent_history(history, 3).collect()) == [8, 9, 10]
     assert batches.last_batch(history).first()["batch_number"] == 10
     assert [r["batch_number"] for r in batches.progress(history).orderBy("batch_number").collect()] == [5, 10]
+
+
+def test_quantiles_of_many_values_are_narrowed(spark):
+    """Brackets that hold more values than one task should rank are cut in bins, several times."""
+    import numpy as np
+
+    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("g"), (F.xxhash64("id") % 1_000_003 / F.lit(7.0)).alias("v"))
+    values = {"hot": [], "cold": []}
+    for g, v in df.collect():
+        values[g].append(v)
+    got = {r["g"]: r for r in quantiles(df, ["g"], "v", [0.01, 0.5, 0.999], few=5).collect()}
+    for g, own in values.items():
+        for point in (0.01, 0.5, 0.999):
+            assert got[g][f"q_{point:g}".replace(".", "_")] == pytest.approx(np.quantile(own, point))
+
+
+def test_quantiles_whose_bracket_missed_are_still_exact(spark, monkeypatch):
+    import numpy as np
+
+    from ledgerlake.operators import quantiles as module
+
+    monkeypatch.setattr(module, "ACCURACY", 3)
+    df = spark.range(999).select(F.col("id").cast("double").alias("v"))
+    assert module.quantiles(df, [], "v", [0.37], few=7).first()["q_0_37"] == pytest.approx(np.quantile(np.arange(999), 0.37))
+
+
+def test_quantiles_do_not_sort_rows(spark):
+    df = spark.range(1000).select((F.col("id") % 5).cast("string").alias("source_file"), F.col("id").cast("double").alias("price"))
+    plan = quantiles(df, ["source_file"], "price", [0.25, 0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan

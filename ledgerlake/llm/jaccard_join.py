@@ -259,7 +259,7 @@ def _overlaps(n: np.ndarray, value: np.ndarray, columns_at_once: int = 4096) ->
 
 
 def _spanning(node: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
-    """A tree of edges for each component of a small matrix of links."""
+    """For each component of a small matrix of links, edges from all its nodes to the first one."""
     left, edges = np.ones(len(node), dtype=bool), []
     for i in range(len(node)):
         if not left[i]:
@@ -269,12 +269,23 @@ def _spanning(node: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
             k = front.pop()
             found = np.flatnonzero(linked[k] & left)
             left[found] = False
-            edges += [(int(node[j]), int(node[k])) for j in found]
+            edges += [(int(node[j]), int(node[i])) for j in found]
             front += found.tolist()
     return edges
 
 
+def _between(root: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """The same between groups of members that are connected already: at most one edge fewer than groups."""
+    names, group = np.unique(root, return_inverse=True)
+    i, j = np.nonzero(linked)
+    near = np.zeros((len(names), len(names)), dtype=bool)
+    near[group[i], group[j]] = True
+    return _spanning(names, near)
+
+
 def _join_regions(threshold: _Threshold):
+    """Edges that connect each region; where members have a ``root`` already, edges between roots only."""
+
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("region")
         region = table["region"].to_numpy()
@@ -284,7 +295,11 @@ def _join_regions(threshold: _Threshold):
             if b - a > 1:
                 node, n, value, _ = _sets_of(table.slice(int(a), int(b - a)))
                 linked = threshold.linked(_overlaps(n, value), n[:, None], n[None, :])
-                edges += _spanning(node, linked)
+                if "root" in table.column_names:
+                    order = np.argsort(table["node"].slice(int(a), int(b - a)).to_numpy(), kind="stable")
+                    edges += _between(table["root"].slice(int(a), int(b - a)).to_numpy()[order], linked)
+                else:
+                    edges += _spanning(node, linked)
         u, v = zip(*edges) if edges else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
@@ -348,7 +363,8 @@ def _name(parent: int, pivot: int) -> int:
 def _small_joined(members: DataFrame, n_members: int, threshold: _Threshold) -> DataFrame:
     """Links in regions that fit in a task; many regions share one call."""
     bucket = F.pmod(F.xxhash64("region"), F.lit(1 + n_members // MEMBERS_PER_TASK))
-    return members.select("region", "node", "n", "shingles", bucket.alias("bucket")).groupBy("bucket").applyInArrow(_join_regions(threshold), _EDGES)
+    columns = [c for c in ("region", "node", "n", "shingles", "root") if c in members.columns]
+    return members.select(*columns, bucket.alias("bucket")).groupBy("bucket").applyInArrow(_join_regions(threshold), _EDGES)
 
 
 def _open_joined(marked: DataFrame, state: DataFrame, large: DataFrame, region_size: int, threshold: _Threshold) -> DataFrame:
@@ -361,15 +377,22 @@ def _open_joined(marked: DataFrame, state: DataFrame, large: DataFrame, region_s
     return _small_joined(rows.withColumn("region", F.xxhash64("region", "part")), n, threshold)
 
 
-def _in_squares(members: DataFrame, sizes: DataFrame, region_size: int, threshold: _Threshold) -> DataFrame:
-    """Links in large regions that no pivot divides: every pair of parts is a region."""
+def _in_squares(members: DataFrame, sizes: DataFrame, region_size: int, threshold: _Threshold, kept) -> list[DataFrame]:
+    """Links in large regions that no pivot divides: each part by itself, then every pair of parts.
+
+    What a part connects by itself counts as one in the pairs, so a family of near copies is
+    linked once in each part and then between parts, and not by a tree of its own in every pair.
+    """
     parts = F.ceil(F.col("size") * 2 / region_size)
     own = F.pmod(F.xxhash64("node"), F.col("parts"))
     rows = members.join(sizes, "region").withColumn("parts", parts).withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    n = sizes.agg(F.sum("size"), F.sum(F.col("size") * parts)).first()
+    inside = kept(_small_joined(rows.withColumn("region", F.xxhash64("region", "own")), n[0] or 0, threshold), "square-parts")
+    tree = inside.groupBy("u").agg(F.min("v").alias("v"))  # a part is one task, which knows its components
+    rows = rows.join(tree, rows["node"] == tree["u"], "left").withColumn("root", F.coalesce("v", "node")).drop("u", "v")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("own <> other")
     square = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
-    n = sizes.agg(F.sum(F.col("size") * parts)).first()[0] or 0
-    return _small_joined(rows.withColumn("region", square), n, threshold)
+    return [inside, _small_joined(rows.withColumn("region", square), n[1] or 0, threshold)]
 
 
 def _unpacked(members: DataFrame) -> DataFrame:
@@ -440,12 +463,12 @@ def _links(candidates: DataFrame, region_size: int, threshold: _Threshold, scrat
         state = counts.groupBy("region").agg(F.max_by("part", F.struct("c", "part")).alias("main"), (F.max("size") - F.max("c")).alias("open"))
         state = kept(state.where("open > 0"), "open-regions")
         marked = part.join(state, "region").withColumn("is_open", F.col("part") != F.col("main"))
-        marked = marked.select("region", "node", "n", "shingles", "size", "open", "is_open")
+        marked = marked.select("region", "node", "n", "shingles", "size", "open", "is_open", F.col("part").alias("root"))
         # 2. a few members that are not connected yet meet all others, a part of them at a time
         few = F.col("open") <= region_size
         edges.append(_open_joined(marked.where(few), state.where(few), large, region_size, threshold))
         # 3. regions in which nothing holds together are cut by rare shingles, then by pivots
-        rest = kept(marked.where(~few).drop("open", "is_open"), "large-regions")
+        rest = kept(marked.where(~few).drop("open", "is_open", "root"), "large-regions")
         if not rest.head(1):
             break
         if level == 0:
@@ -462,7 +485,7 @@ def _links(candidates: DataFrame, region_size: int, threshold: _Threshold, scrat
         large = kept(members.where(big), "large-regions")
         before, after = (x.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for x in (rest, large))
         if level and 2 * after > before:  # the sum of squared sizes does not fall: pivots do not divide these
-            edges.append(_in_squares(large.drop("size"), now.where(big), region_size, threshold))
+            edges += _in_squares(large.drop("size"), now.where(big), region_size, threshold, kept)
             break
         level += 1
     return reduce(DataFrame.unionByName, [*edges, *to_pivots])

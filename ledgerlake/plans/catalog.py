@@ -16,6 +16,7 @@ from ledgerlake.operators import (
 from ledgerlake.operators.quantiles import quantiles
 from ledgerlake.plans import inputs, report, run
 from ledgerlake.plans.inputs import FEED, NARROW_FEED, PRICE_SCALE
+from ledgerlake.sinks import retention
 from ledgerlake.sinks import tables as sinks
 from ledgerlake.sources import csvfiles, listing, parquetfiles
 from ledgerlake.sources.tables import query_store, read_state
@@ -685,6 +686,32 @@ def retention_split(spark, sf_dir):
     return spark.read.schema("event_id bigint, price double, tier string, as_of string").parquet(path)
 
 
+@query
+def retention_move(spark, sf_dir):
+    """Expired days moved to the archive by a run that dies after recording the move and is repeated; then a later run."""
+    live_path, archive = fresh_path(spark, "live"), fresh_path(spark, "archive")
+    rows = inputs.transactions(spark, sf_dir).select("event_id", "price", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    sinks.overwrite_partitions(rows, live_path, ["day"])
+    schema = "event_id bigint, price double, day string"
+
+    def move(as_of: str, run: str, **options) -> None:
+        retention.move_expired(spark, live_path, archive, schema, "bronze", as_of, run, days=10, **options)
+
+    def dies(step: str) -> None:
+        if step == "recorded":
+            raise InterruptedError(step)
+
+    try:
+        move("2024-01-20", "first", after=dies)
+    except InterruptedError:
+        pass
+    move("2024-01-20", "first")
+    move("2024-01-25", "second")
+    here = retention.live_rows(spark, live_path, archive, schema, "day").select("event_id", "price", "day", F.lit("live").alias("side"))
+    there = retention.archived_rows(spark, archive, schema).select("event_id", "price", "day", F.concat(F.lit("cold "), F.col("run")).alias("side"))
+    return here.unionByName(there)
+
+
 @query
 def lineage(spark, sf_dir):
     rows = _bronze(spark, sf_dir)

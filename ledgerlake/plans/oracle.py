@@ -458,6 +458,9 @@ SELECT CAST(n AS VARCHAR) AS run_id, failed::INT::DOUBLE AS failed_share, rs AS
     "retention_split": """SELECT o_orderkey AS event_id, o_totalprice AS price,
   CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), CAST(as_of AS DATE)) > 730 THEN 'warm' ELSE 'keep' END AS tier, as_of
 FROM orders, (VALUES ('2001-08-01'), ('1999-08-01')) d(as_of)""",
+    "retention_move": f"""WITH {_TX}, d AS (SELECT event_id, price, CAST(ts AS DATE) AS day FROM tx)
+SELECT event_id, price, strftime(day, '%Y-%m-%d') AS day, CASE WHEN date_diff('day', day, DATE '2024-01-20') > 10 THEN 'cold first'
+  WHEN date_diff('day', day, DATE '2024-01-25') > 10 THEN 'cold second' ELSE 'live' END AS side FROM d""",
     "lineage": f"""WITH {_DIRTY}, r AS (SELECT *, {_RULES} FROM dirty)
 SELECT 'bronze' AS layer, source_file, count(*) AS rows_in, count(*) AS rows_out, 'bronze_converter' AS created_by,
   'csv_files' AS data_source, '1.0' AS processing_version, 'raw' AS quality_tier FROM dirty GROUP BY source_file

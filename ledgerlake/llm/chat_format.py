@@ -75,6 +75,6 @@ def trained_text(example: Column, start: Column, chars: Column) -> Column:
 def turns_of(text: Column) -> Column:
     """The turns that a formatted text holds, as an array of (role, text)."""
     pieces = F.filter(F.split(text, TAIL, -1), lambda p: p != "")
-    pattern = r"(?s)^### ((?:[^\\:]|\\.)*): (.*)$"
+    pattern = r"(?s)^### ((?:[^\\:]++|\\.)*+): (.*)$"  # possessive: a role of any length needs no stack
     return F.transform(pieces, lambda p: F.struct(
         unescape(F.regexp_extract(p, pattern, 1)).alias("role"), unescape(F.regexp_extract(p, pattern, 2)).alias("text")))

@@ -21,12 +21,12 @@ that are named like a result are replaced.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
@@ -38,7 +38,7 @@ TEXTS_AT_ONCE = 256
 CHARS_AT_ONCE = 2 << 20
 STEPS = 500  # of a cosine, when cosines are counted
 BANDS = 9  # the last one holds all texts of 256 trigrams and more
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # as in ``train``: a digit in superscript is none
 _LETTERS_ONLY = np.arange(256, dtype=np.uint8)
 _LETTERS_ONLY[[i for i in range(128) if not chr(i).isalpha()]] = 32
 

@@ -11,7 +11,10 @@ numbers of an address stay in range, country codes and the kind of card stay; gi
 drawn by the gender of the title, names by script.
 
 Collisions are found over the table of all distinct entities: a surrogate that two entities share
-(the smaller one keeps it) or that is itself an entity is drawn again, until none is left. Only
+(the smaller one keeps it) or that is itself an entity is drawn again, until none is left. Where a
+form has no free value, as when all addresses of one letter are entities, surrogates get longer
+with each further attempt (an address of a network first leaves the widths of its numbers, then gets
+a fifth one), so this always ends. Only
 entities that were drawn again have to reach their documents, by a join on ``doc_id``; for the
 others each task computes the surrogate itself.
 
@@ -59,6 +62,15 @@ LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "accented": "àáâãäåçè
 
 _ALL_TITLES = "|".join(sorted((t for own in TITLES.values() for t in own), key=lambda t: (-len(t), t)))
 _GENDER = {t: g for g, own in TITLES.items() for t in own}
+# Fixed values of the international numbering plan: country codes of one and of two digits; all others have three.
+ONE_DIGIT = ("1", "7")
+TWO_DIGITS = (
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98"
+).split()
+#: After so many collisions a form counts as full, and surrogates get longer with each further attempt.
+FULL = 6
+FULL_IP = 24
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏА-ЯЁ][\w'’-]+"
 PATTERN = re.compile(
@@ -84,6 +96,11 @@ def _iban_rest(value: str) -> int:
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97
 
 
+def _country_digits(digits: str) -> int:
+    """How many digits the country code of an international number has, by the public numbering plan."""
+    return 1 if digits[:1] in ONE_DIGIT else 2 if digits[:2] in TWO_DIGITS else 3
+
+
 def mentions(text: str | None) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, normal form) of the entities in a text."""
     if not text or not _WORTH_A_LOOK.search(text):
@@ -103,10 +120,10 @@ def mentions(text: str | None) -> Iterator[tuple[int, int, str, str]]:
         elif kind in ("phone", "ssn"):
             normal, known, out = ("+" if value[0] == "+" else "") + re.sub(r"\D", "", value), True, kind
             if value[0] == "+":
-                country = re.match(r"\+\d{1,3}", value)[0]
-                normal = f"{country} {normal[len(country):]}"
+                n = 1 + _country_digits(normal[1:])
+                normal = f"{normal[:n]} {normal[n:]}"
         elif kind == "person":
-            normal, known, out = value, True, f"person-{_GENDER[m['title']]}"
+            normal, known, out = value.lower(), True, f"person-{_GENDER[m['title']]}"
         else:
             normal, known, out = value.lower(), True, kind
         if known:
@@ -144,40 +161,49 @@ class _Draw:
 def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     """The replacement of a normal form, itself in normal form."""
     draw = _Draw(key, kind, entity, attempt)
+    more = max(0, attempt - FULL)
     if kind == "email":
         local, _, domain = entity.partition("@")
         name, _, top = domain.rpartition(".")
-        return "".join(map(draw.like, local)) + "@" + "".join(map(draw.like, name)) + "." + top
+        return "".join(map(draw.like, local + "a" * more)) + "@" + "".join(map(draw.like, name)) + "." + top
     if kind == "secret":
-        return "".join(draw.like(c, "0123456789abcdef") for c in entity) if re.fullmatch(r"[0-9a-f]+", entity) else "".join(map(draw.like, entity))
+        if re.fullmatch(r"[0-9a-f]+", entity):
+            return "".join(draw.like(c, "0123456789abcdef") for c in entity + "0" * more)
+        return "".join(map(draw.like, entity + "a" * more))
     if kind == "card":
-        body = entity[0] + "".join(map(draw.like, entity[1:-1]))
+        body = entity[0] + "".join(map(draw.like, entity[1:-1] + "0" * more))
         return body + str(-_luhn(body + "0") % 10)
     if kind == "iban":
-        body = "".join(map(draw.like, entity[4:]))
+        body = "".join(map(draw.like, entity[4:] + "0" * more))
         return f"{entity[:2]}{98 - _iban_rest(f'{entity[:2]}00{body}'):02d}{body}"
     if kind == "ip":
         ranges = {1: (1, 10), 2: (10, 100), 3: (100, 256)}
-        return ".".join(str(low + draw.below(high - low)) for low, high in (ranges[len(o)] for o in entity.split(".")))
+        forms = [(0, 256) if more else ranges[len(o)] for o in entity.split(".")] + [(0, 256)] * max(0, attempt - FULL_IP)
+        return ".".join(str(low + draw.below(high - low)) for low, high in forms)
     if kind.startswith("person"):
         gender = kind[7:] or "fm"[draw.below(2)]
         words = entity.split(" ")
         script = next((s for s in map(_script, entity) if s in ("cyrillic", "greek")), "latin")
         names, parts = GIVEN[script, gender], SYLLABLES[script]
-        family = "".join(parts[draw.below(len(parts))] for _ in range(3 + attempt)).capitalize()
-        return family if len(words) == 1 else f"{names[draw.below(len(names))]} {family}"
+        family = "".join(parts[draw.below(len(parts))] for _ in range(3 + attempt))
+        return family if len(words) == 1 else f"{names[draw.below(len(names))].lower()} {family}"
     country, gap, rest = entity.rpartition(" ")  # telephone and social security numbers
-    return country + gap + "".join(map(draw.like, rest))
+    return country + gap + "".join(map(draw.like, rest + "0" * more))
 
 
 def in_form_of(new: str, old: str, kind: str) -> str:
     """A surrogate in the layout and case of one mention."""
     if kind.startswith("person"):
-        return new.upper() if old.isupper() and len(old) > 1 else new
+        return new.upper() if old.isupper() and len(old) > 1 else new.title()
     if kind in ("card", "phone", "ssn", "iban"):
         rest = iter(c for c in new if c.isalnum())
-        return "".join(next(rest) if c.isalnum() else c for c in old)
-    return "".join(n.upper() if o.isupper() else n for n, o in zip(new, old))
+        return "".join(next(rest) if c.isalnum() else c for c in old) + "".join(rest)
+    if kind == "ip":
+        return new
+    if kind == "email" and len(new) > len(old):  # of a full form: the name is longer
+        at = old.index("@")
+        return in_form_of(new[:at], old[:at], kind) + new[at : at + len(new) - len(old)] + in_form_of(new[at + len(new) - len(old) :], old[at:], kind)
+    return "".join(n.upper() if o.isupper() else n for n, o in zip(new, old)) + new[len(old) :]
 
 
 def find_mentions(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

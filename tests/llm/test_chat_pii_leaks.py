@@ -187,3 +187,33 @@ def test_given_leaks(spark):
 
 def test_brute_sha():
     assert brute.sha("") == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+def test_full_forms_come_to_an_end(spark, docs_of):
+    """Every address of one letter each, and every network address of four digits: no value of their form is free."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.com" for a in letters for b in letters]
+    nets = [f"{a}.{b}.{c}.{d}" for a in range(10) for b in range(10) for c in range(10) for d in range(3)]
+    docs = docs_of([(n, " , ".join(mails[n::7] + nets[n::7])) for n in range(7)])
+    got = " , ".join(r["text"] for r in pii.replace(docs, b"key").select("text").collect()).split(" , ")
+    assert len(got) == len(set(got)) == len(mails) + len(nets) and not set(got) & {*mails, *nets}
+    assert sum("@" in x and x.endswith(".com") for x in got) == len(mails)
+
+
+def test_one_person_and_one_number_however_written(spark, docs_of):
+    text = "Ms Anna Kern, Ms ANNA KERN; +1 (243) 555-5526 or +12435555526"
+    new = pii.replace(docs_of([(1, text)]), b"key").first()["text"]
+    names, numbers = new.split("; ")
+    first, second = (x.removeprefix("Ms ") for x in names.split(", "))
+    assert second == first.upper() != "ANNA KERN" and first.istitle()
+    a, b = numbers.split(" or ")
+    assert "".join(c for c in a if c.isdigit()) == b[1:] and b.startswith("+1") and b != "+12435555526"
+
+
+def test_long_roles_are_read_back(spark):
+    from ledgerlake.llm import chat_format
+
+    role = ("r:\\" * 40_000) + "x"
+    turns = spark.createDataFrame([(1, 0, role, "a" * 100_000), (1, 1, "assistant", "b:")], "conv_id long, turn long, role string, text string")
+    row = chat_format.expand(turns).select(chat_format.turns_of(F.col("text")).alias("t")).first()["t"]
+    assert [(t["role"], t["text"]) for t in row] == [(role, "a" * 100_000), ("assistant", "b:")]

@@ -143,3 +143,9 @@ def test_planted_toxic_documents_go_and_clean_ones_stay(spark, docs_of):
     labels = spark.createDataFrame([(i, int(k == "good"), int(k == "toxic")) for i, k in enumerate(kinds)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r["rate"] for r in mixing.with_rates(docs_of(rows), mixing.domain_labels(labels)).collect()}
     assert [i for i, rate in sorted(got.items()) if rate <= 0] == [0, 1, 2]
+
+
+def test_digits_and_fractions_are_no_letters(spark, docs_of):
+    model = language_id.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.classify(docs_of([(1, "10²"), (2, "½ ① 7"), (3, "_ —"), (4, None)]), model).collect()}
+    assert got == {n: ("und", 0.0) for n in (1, 2, 3, 4)}

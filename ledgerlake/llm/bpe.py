@@ -26,17 +26,20 @@ Strings of special tokens inside a text become special tokens, as the library do
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlake.llm import blocks, hashing
 
+DECODED_BYTES = 1 << 21  # of ids
 IDS = "doc_id long, n_tokens long, ids binary"
 _IDS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
@@ -47,13 +50,17 @@ class Settings:
 
     path: str
     block_bytes: int = 8 << 20
-    least: int = 256  # bytes of a chunk, but for the last one of a text
-    mask: int = (1 << 10) - 1  # a hash with these bits unset ends a chunk
+    least: int = 512  # bytes of a chunk, but for the last one of a text
+    mask: int = (1 << 11) - 1  # a hash with these bits unset ends a chunk
     width: int = 24  # bytes under the rolling hash
     window: int = 144  # bytes behind a join that are encoded at first
     reach: int = 64  # more bytes than splitting looks ahead, a special token or a few characters
 
 
+#: Fixed value: how byte-level vocabularies of this kind split a text into words.
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space, ASCII, Latin letters and signs, and common punctuation: their classes are the same in all libraries.
+_PLAIN = re.compile("[\t-\r -~\u00a1-\u017f\u2010-\u2027\u20ac]*")
 _loaded = hashing._Cache()
 
 
@@ -79,6 +86,19 @@ class Coder:
         for token, i in vocabulary.items():
             self.spelled[i] = special[i] if i in special else bytes(byte_of[c] for c in token)
         self.size = np.array([len(x) for x in self.spelled], dtype=np.int64)
+        self._ranks = {x: i for i, x in enumerate(self.spelled) if i not in special}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        ranked = all(vocabulary.get(a + b) == 256 + n for n, (a, b) in enumerate(merges))
+        splits = spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.ranked = ranked and splits and spec["normalizer"] is None and len(self._ranks) == 256 + len(merges)
+        self._special = [t["content"] for t in spec["added_tokens"]]
+        space = frozenset(b" \t\n\v\f\r")
+        self._opens = np.array([x[:1] != b"" and x[0] in space for x in self.spelled])
+        self._closes = np.array([x[-1:] != b"" and x[-1] not in space for x in self.spelled])
+        if self.ranked:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=self._ranks, special_tokens={})
 
     @classmethod
     def of(cls, path: str) -> Coder:
@@ -86,12 +106,30 @@ class Coder:
             _loaded[path] = cls(path)
         return _loaded[path]
 
-    def encode(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text its ids and which of them start a word."""
-        out = []
-        for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False):
+    def plain_starts(self, ids: np.ndarray) -> np.ndarray:
+        """Which ids surely start a word where characters are plain: the first one, and white space behind something else."""
+        starts = self._opens[ids]
+        starts[1:] &= self._closes[ids[:-1]]
+        starts[:1] = True
+        return starts
+
+    def encode(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray | None]]:
+        """For each text its ids and which of them start a word, none where ``plain_starts`` tells.
+
+        Where the vocabulary is ranked by its merges and a text has plain European characters only,
+        the same merges are made by a faster library.
+        """
+        out: list = [None] * len(texts)
+        slow = []
+        for i, raw in enumerate(texts):
+            text = raw.decode()
+            if self.ranked and _PLAIN.fullmatch(text) and not any(s in text for s in self._special):
+                out[i] = self.fast.encode_to_numpy(text, disallowed_special=()), None
+            else:
+                slow.append((i, text))
+        for (i, _), e in zip(slow, self.tokenizer.encode_batch([t for _, t in slow], add_special_tokens=False)):
             word = np.array(e.word_ids, dtype=np.int64)
-            out.append((np.array(e.ids, dtype=np.uint32), np.concatenate(([True], word[1:] != word[:-1])) if len(word) else np.empty(0, bool)))
+            out[i] = np.array(e.ids, dtype=np.uint32), np.concatenate(([True], word[1:] != word[:-1])) if len(word) else np.empty(0, bool)
         return out
 
     def spell(self, ids: np.ndarray) -> bytes:
@@ -186,17 +224,19 @@ def _answer(settings: Settings, letters: Iterator[pa.RecordBatch]) -> Iterator[p
             new = [i for i, key in enumerate(keys) if key not in known]
             if new:
                 for i, (ids, starts) in zip(new, coder.encode([text[ends[i] - int(sizes[i]) : ends[i]] for i in new])):
-                    known[keys[i]] = ids.astype(kind), np.packbits(starts)
+                    known[keys[i]] = ids.astype(kind), np.empty(0, np.uint8) if starts is None else np.packbits(starts)
             found = [known[key] for key in keys]
-            reply = blocks.zip_arrays(np.array([len(x[0]) for x in found], dtype=np.int64), np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
+            lengths = [np.array([len(x[k]) for x in found], dtype=np.int64) for k in (0, 1)]
+            reply = blocks.zip_arrays(*lengths, *(np.concatenate([x[k] for x in found]) for k in (0, 1)))
             yield from blocks.letter_table([(block, shard, reply)]).to_batches()
 
 
 class _Chunk:
     """The ids of a chunk, where each of them starts, and which of them start a word."""
 
-    def __init__(self, coder: Coder, settings: Settings, ids: np.ndarray, starts: np.ndarray):
+    def __init__(self, coder: Coder, settings: Settings, ids: np.ndarray, starts: np.ndarray | None):
         self.ids = ids
+        starts = coder.plain_starts(ids) if starts is None else starts
         at = np.concatenate(([0], np.cumsum(coder.size[ids])))
         self.at, self.size = at[:-1], int(at[-1])
         self.words = np.flatnonzero(starts)
@@ -238,7 +278,7 @@ def _join(coder: Coder, settings: Settings, chunks: list[_Chunk], windows: dict)
                 text = text[: _whole(text, nearest + width)]
             ids, starts = windows.get(text) or coder.encode([text])[0]
             at = np.concatenate(([0], np.cumsum(coder.size[ids])))[:-1]
-            words = at[starts]
+            words = at[coder.plain_starts(ids) if starts is None else starts]
             sure = words if rest else words[words <= len(text) - settings.reach]
             base = nearest
             for j in range(k, len(chunks)):
@@ -266,12 +306,12 @@ def _assemble(settings: Settings, letters: pa.Table) -> pa.Table:
     (doc_ids, missing, counts, order), letters = blocks.split_state(letters)
     chunks: list[_Chunk] = []
     for i in np.argsort(letters["shard"].to_numpy(), kind="stable"):
-        sizes, ids, bits = blocks.unzip_arrays(letters["data"][int(i)].as_py())
+        sizes, flagged, ids, bits = blocks.unzip_arrays(letters["data"][int(i)].as_py())
         at = at_bits = 0
-        for n in sizes.tolist():
-            starts = np.unpackbits(bits[at_bits : at_bits + (n + 7) // 8], count=n).astype(bool)
+        for n, m in zip(sizes.tolist(), flagged.tolist()):
+            starts = np.unpackbits(bits[at_bits : at_bits + m], count=n).astype(bool) if m else None
             chunks.append(_Chunk(coder, settings, ids[at : at + n].astype(np.uint32), starts))
-            at, at_bits = at + n, at_bits + (n + 7) // 8
+            at, at_bits = at + n, at_bits + m
     ends = np.cumsum(counts)
     pairs = {}
     for start, end in zip((ends - counts).tolist(), ends.tolist()):  # every join as a rule needs its first window only
@@ -291,7 +331,7 @@ def _assemble(settings: Settings, letters: pa.Table) -> pa.Table:
 
 def encode(docs: DataFrame, settings: Settings, id_column: str = "doc_id", text_column: str = "text", shards: int | None = None) -> DataFrame:
     """doc_id, n_tokens and ids (unsigned 32-bit numbers, little-endian) of every row."""
-    shards = shards or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     mail = rows.mapInArrow(lambda batches: _ask(settings, shards, batches), blocks.LETTER)
 
@@ -310,9 +350,15 @@ def decode(encoded: DataFrame, settings: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Coder.of(settings.path).tokenizer
         for batch in batches:
-            ids = [np.frombuffer(x or b"", dtype="<u4").tolist() for x in batch.column("ids").to_pylist()]
-            texts = tokenizer.decode_batch(ids, skip_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            size = pc.fill_null(pc.binary_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
+            group, first = np.cumsum(size) // DECODED_BYTES, 0
+            while first < len(size):  # lists of numbers are large, so a few texts at a time
+                upto = int(np.searchsorted(group, group[first], side="right"))
+                part = batch.slice(first, upto - first)
+                ids = [np.frombuffer(x or b"", dtype="<u4").tolist() for x in part.column("ids").to_pylist()]
+                texts = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+                first = upto
 
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
     return encoded.mapInArrow(run, schema)

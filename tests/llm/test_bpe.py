@@ -45,6 +45,20 @@ def test_long_texts_are_exact(text):
         assert by_chunks(text, setting)[0] == whole(text)
 
 
+def test_both_libraries_agree(spark):
+    """Whole texts that the faster library may take, word starts included."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    texts = [r[0] or "" for r in rows] + ["".join(random.Random(n).choices("ab'sreltvmd \n\t,.1²½ªé“—", k=3000)) for n in range(20)]
+    coder = bpe.Coder.of(PATH)
+    assert coder.ranked and sum(bool(bpe._PLAIN.fullmatch(t)) for t in texts) > 20
+    for text, (ids, starts) in zip(texts, coder.encode([t.encode() for t in texts])):
+        starts = coder.plain_starts(ids) if starts is None else starts
+        library = LIBRARY.encode(text, add_special_tokens=False)
+        assert ids.tolist() == library.ids
+        words = library.word_ids
+        assert all(n == 0 or words[n] != words[n - 1] for n in np.flatnonzero(starts))
+
+
 def test_texts_really_are_cut_and_cut_alike():
     passage = prose(1, 2_000)
     parts = [{c for c in _chunks(prose(n, 50) + passage)} for n in (2, 3)]

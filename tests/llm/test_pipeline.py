@@ -6,9 +6,11 @@ import brute
 import duckdb
 import pytest
 from odd_rows import ODD_ROWS, sorted_rows
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from ledgerlake.llm import mixing
 from ledgerlake.llm.oracle import ORACLE
 from ledgerlake.llm.queries import QUERIES
 
@@ -33,7 +35,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_stages(spark):
-    """Exact and near copies and leaks are found by brute force; nothing else may go before mixing."""
+    """Exact and near copies and likelier toxic documents are found by brute force; leaks only may go besides."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     kept = dict(rows)
@@ -50,6 +52,13 @@ def test_stages(spark):
             kept = {i: kept[i] for i, n, c in groups if i == c}
         elif name == "benchmark":
             kept = {i: t for i, t in kept.items() if i in got}
+        elif name == "mixed":
+            labels = [tuple(r) for r in mixing.domain_labels(spark.read.parquet(f"{SF}/labels.parquet")).collect()]
+            words = before.select(F.explode(mixing.words_of(F.col("text"))).alias("w")).distinct()
+            bucket_of = {r["w"]: r["b"] for r in words.select("w", F.pmod(F.hash("w"), F.lit(mixing.BUCKETS)).alias("b")).collect()}
+            toxic = brute.likelier_toxic(list(kept.items()), labels, bucket_of)
+            assert toxic
+            kept = {i: t for i, t in kept.items() if i not in toxic}
         assert got == set(kept), name
         assert docs.columns[: len(before.columns)] == before.columns
     assert sorted_rows(corpus_pipeline.run(spark, SF), "doc_id", "rate") == sorted_rows(docs, "doc_id", "rate")

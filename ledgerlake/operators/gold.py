@@ -66,10 +66,17 @@ def user_metrics(rows: DataFrame, level: str, scale: int | None = None) -> DataF
 
     Rows shrink to one per period and user before the periods are formed.
     """
+    return _user_metrics(user_totals(rows, level, scale), level, scale)
+
+
+def user_totals(rows: DataFrame, level: str, scale: int | None = None) -> DataFrame:
+    """Transactions and spend per period and user."""
     day = period(F.col("ts"), level).alias("date_partition")
-    per_user = rows.groupBy(day, "user_id").agg(
-        F.count("*").alias("n"), partial_sum(F.col("price"), scale).alias("spend")
-    )
+    return rows.groupBy(day, "user_id").agg(F.count("*").alias("n"), partial_sum(F.col("price"), scale).alias("spend"))
+
+
+def _user_metrics(per_user: DataFrame, level: str, scale: int | None) -> DataFrame:
+    """Folded from one row for each period and user."""
     spend = _folded("spend", scale)
     users = F.count("user_id")
     wide = per_user.groupBy("date_partition").agg(
@@ -99,11 +106,21 @@ def _temporal_metrics(hourly: DataFrame, level: str, scale: int | None) -> DataF
 
 def gold_table(rows: DataFrame, level: str, scale: int | None = None) -> DataFrame:
     """All metrics of one level in the gold schema. Rows are read twice: by hour and by user."""
-    hourly = written(hourly_totals(rows, level, scale), "hourly")
+    return _all_metrics(written(hourly_totals(rows, level, scale), "hourly"), user_totals(rows, level, scale), level, scale)
+
+
+def gold_of_totals(hourly: DataFrame, users: DataFrame, level: str, scale: int | None = None) -> DataFrame:
+    """All metrics of one level folded from the totals of any number of loads; no rows are read."""
+    sums = "sum(spend)" if scale is None else f"CAST(sum(spend) AS decimal(38,{scale}))"
+    per_user = users.groupBy("date_partition", "user_id").agg(F.sum("n").alias("n"), F.expr(sums).alias("spend"))
+    return _all_metrics(hourly, per_user, level, scale)
+
+
+def _all_metrics(hourly: DataFrame, per_user: DataFrame, level: str, scale: int | None) -> DataFrame:
     parts = (
         _price_metrics(hourly, level, scale)
         .unionByName(_temporal_metrics(hourly, level, scale))
-        .unionByName(user_metrics(rows, level, scale))
+        .unionByName(_user_metrics(per_user, level, scale))
     )
     return parts.select(
         "metric_name", "metric_value", "metric_type", "date_partition", "aggregation_level",

@@ -636,12 +636,12 @@ def hourly_prices(spark, sf_dir):
 
 @query
 def gold_refresh(spark, sf_dir):
-    """Gold built from the main sources, then only the periods of the held-out one rebuilt."""
+    """Gold of the main sources, then the periods of the held-out one folded from the totals of both loads."""
     rows = inputs.transactions(spark, sf_dir)
     held_out = F.col("source_file") == FEED.held_out
     path = fresh_path(spark, "gold")
-    sinks.write_gold(gold.gold_table(rows.where(~held_out), "weekly", PRICE_SCALE), path)
-    sinks.refresh_gold(rows, rows.where(held_out), "weekly", path, PRICE_SCALE)
+    sinks.fold_gold(rows.where(~held_out), "weekly", path, "main", PRICE_SCALE)
+    sinks.fold_gold(rows.where(held_out), "weekly", path, "held-out", PRICE_SCALE)
     return _gold_columns(spark.read.schema(schemas.GOLD).parquet(path))
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.gold import LEVELS as UNITS
-from ledgerlake.operators.gold import gold_table, hourly_prices, period
-from ledgerlake.workspace import written
+from ledgerlake.operators.gold import gold_of_totals, gold_table, hourly_prices, hourly_totals, period, user_totals
+from ledgerlake.workspace import literal_rows, read_if_any, written
 
 
 def overwrite_partitions(
@@ -77,6 +77,29 @@ def refresh_gold(store: DataFrame, new_rows: DataFrame, level: str, path: str, s
     write_gold(gold_table(touched_rows(store, new_rows, level), level, scale), path)
 
 
+def fold_gold(new_rows: DataFrame, level: str, path: str, load: str, scale: int | None = None) -> None:
+    """Gold of the periods that new rows fall into, from totals instead of stored rows.
+
+    Each load leaves its totals per hour and per user beside the table, under its own name: a
+    repeated load replaces them. The periods it touches are then folded from the totals of all
+    loads, of which only these periods are read. Every row has to come by way of a load.
+    """
+    spark = new_rows.sparkSession
+    totals = {"hours": hourly_totals(new_rows, level, scale), "users": user_totals(new_rows, level, scale)}
+    folded = {}
+    for name, rows in totals.items():
+        table = f"{path.rstrip('/')}_totals/{level}/{name}"
+        drop_partitions(literal_rows(spark, "load string", [(load,)]), table, "load")
+        dated = rows.withColumn("date_partition", F.coalesce(F.col("date_partition").cast("string"), F.lit("none")))
+        overwrite_partitions(dated.withColumn("load", F.lit(load)), table, ["load", "date_partition"])
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "date_partition")
+        stored = read_if_any(spark, table, f"{columns}, load string, date_partition string")
+        touched = written(stored.where(F.col("load") == load).select("date_partition").distinct(), "touched")
+        near = stored.join(touched, "date_partition", "left_semi").drop("load")
+        folded[name] = near.withColumn("date_partition", F.when(F.col("date_partition") != "none", F.col("date_partition")).cast("date"))
+    write_gold(gold_of_totals(folded["hours"], folded["users"], level, scale), path)
+
+
 def write_hourly(rows: DataFrame, path: str, scale: int | None = None) -> None:
     """The hourly level of gold, a partition for each day."""
     hourly = hourly_prices(rows, scale).withColumn("date_partition", F.to_date("hour"))

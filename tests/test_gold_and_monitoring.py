@@ -52,6 +52,26 @@ def test_refresh_rebuilds_touched_periods_only(spark, tmp_path):
     assert checks.agg(F.sum("duplicates")).first()[0] == 0
 
 
+def test_folded_loads_equal_gold_of_all_rows(spark, tmp_path):
+    """Late rows, a repeated load that has changed, rows without time: always the gold of what was loaded, without any stored row."""
+    path, whole = str(tmp_path / "gold"), str(tmp_path / "whole")
+    loads = {"a": ROWS, "b": [("2024-01-02 11:00:00", 1.5, "u9"), ("2024-02-01 05:00:00", 2.25, "u1"), (None, 3.0, "u1")], "c": [("2024-01-07 09:00:00", 4.5, "u2")]}
+
+    def look(at):
+        return sorted(map(str, spark.read.schema(schemas.GOLD).parquet(at).drop("gold_created_at").collect()))
+
+    for level in ("daily", "weekly"):
+        for name, rows in loads.items():
+            tables.fold_gold(feed(spark, rows), level, path, name, 2)
+        tables.write_gold(gold.gold_table(feed(spark, sum(loads.values(), [])), level, 2), whole)
+    assert look(path) == look(whole)
+    again = [*loads["c"], ("2024-01-07 10:00:00", 7.0, None)]
+    for level in ("daily", "weekly"):
+        tables.fold_gold(feed(spark, again), level, path, "c", 2)
+        tables.write_gold(gold.gold_table(feed(spark, ROWS + loads["b"] + again), level, 2), whole)
+    assert look(path) == look(whole)
+
+
 def test_gold_rules_find_problems(spark):
     rows = [("a", 5.0), ("a", 6.0), ("b", 2e6), ("c", None)]
     df = spark.createDataFrame(rows, "metric_name string, metric_value double").withColumns(

@@ -36,7 +36,6 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None =
     these rows replace all earlier ones of their source; without one they are added.
     """
     price = F.col("price").cast("string")
-    garbled = F.exists(F.array(*[F.col(c).cast("string") for c in RAW_COLUMNS]), lambda c: F.coalesce(F.contains(c, F.lit(REPLACED)), F.lit(False)))
     return raw.select(
         null_tokens(F.col("timestamp").cast("string")).alias("timestamp"),
         to_number(price).alias("price"),
@@ -45,13 +44,18 @@ def to_bronze(raw: DataFrame, keep: Sequence[str] = (), version: Column | None =
         F.lit(BRONZE_CREATED_BY).alias("bronze_created_by"),
         F.when(not_a_number(price), price).alias("bad_price"),
         (F.col("file_id") if "file_id" in raw.columns else F.lit(NO_FILE)).cast("bigint").alias("file_id"),
-        garbled.alias("is_garbled"),
         (F.lit(FIRST_VERSION) if version is None else version).cast("bigint").alias("bronze_version"),
         "source_file",
         *keep,
     )
 
 
+def is_garbled() -> Column:
+    """Whether a bronze row has characters that were not UTF-8; a price that has is kept as text."""
+    texts = F.concat_ws("", "timestamp", "user_id", "bad_price")
+    return F.contains(texts, F.lit(REPLACED))
+
+
 def reject_reason(df: DataFrame) -> Column:
     """Why a row is rejected; NULL for a row that is kept."""
     price = no_nan(F.col("price"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.functions.numbers import ceil_div
-from ledgerlake.operators.clean import FIRST_VERSION, to_bronze
+from ledgerlake.operators.clean import FIRST_VERSION, is_garbled, to_bronze
 from ledgerlake.operators.completeness import check_layer, expected_sources, layer_totals, missing_sources
 from ledgerlake.operators.reconcile import audit_row, drift, reconcile, verdict
 from ledgerlake.operators.stats import direct_stats, report_stats
@@ -137,7 +137,7 @@ def convert_to_bronze(
     for paths, rows in layout_scans(spark, looked.where(F.col("reason").isNull()), files_per_scan=files_per_scan):
         write_bronze(to_bronze(rows, version=F.lit(version)), bronze)
         made = read_if_any(spark, f"{bronze.rstrip('/')}/bronze_version={version}", schemas.BRONZE, base=bronze)
-        made = made.groupBy("file_id").agg(F.count("*").alias("n_rows"), F.count_if("is_garbled").alias("n_garbled"))
+        made = made.groupBy("file_id").agg(F.count("*").alias("n_rows"), F.count_if(is_garbled()).alias("n_garbled"))
         mine = written(literal_paths(spark, paths), "portion").join(looked, "path").join(made, "file_id", "left")
         bad = F.coalesce(F.col("n_garbled") > 0, F.lit(False))
         count = F.when(bad, 0).otherwise(F.coalesce("n_rows", nothing))

@@ -5,12 +5,12 @@ from __future__ import annotations
 RAW = "timestamp string, price string, user_id string"
 
 # `bad_price` keeps the text of a price that is present but not a number, so that a later
-# step can tell it from a missing one. `is_garbled` marks a row with characters that were not UTF-8.
+# step can tell it from a missing one.
 # `file_id` is the raw file; `bronze_version` grows with every conversion, and the newest one of a
 # file counts. Rows that are only ever added share one version. The last two are partition columns.
 BRONZE = (
     "timestamp string, price double, user_id string, bronze_created_at string, "
-    "bronze_created_by string, bad_price string, file_id bigint, is_garbled boolean, bronze_version bigint, source_file string"
+    "bronze_created_by string, bad_price string, file_id bigint, bronze_version bigint, source_file string"
 )
 
 # What became of a raw file, a row for each file and version. States: converted, quarantined, withdrawn.

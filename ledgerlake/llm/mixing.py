@@ -110,7 +110,10 @@ def posteriors(docs: DataFrame, model: Model) -> DataFrame:
     scored = scored.withColumn("_top", top)
     odds = [F.exp(F.col(c) - F.col("_top")) for c in columns]
     total = sum(odds[1:], odds[0])
-    return scored.withColumns({f"p_{d}": o / total for d, o in zip(model.domains, odds)}).drop("_top", *columns)
+    found = F.struct("n_words", *[(o / total).alias(f"p_{d}") for d, o in zip(model.domains, odds)])
+    # A generator of one row: a filter on what it makes stays above it. Pushed below, it would hold the
+    # whole scoring once for each mention of a posterior.
+    return scored.select(*[c for c in docs.columns], F.inline(F.array(found)))
 
 
 def _rate(domains: list[str], history: list[list[float]]) -> Column:

@@ -120,6 +120,13 @@ def test_mixing_runs_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_a_filter_on_rates_does_not_repeat_the_scoring(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    rated = mixing.with_rates(docs, mixing.domain_labels(labels)).where("rate > 0")
+    plan = rated._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("aggregate(") == len(mixing.TARGETS)
+
+
 def test_long_far_texts_are_rejected_and_clean_ones_stay(spark, docs_of, model):
     """Many trigrams share the buckets, so long texts of any kind are nearer than short ones."""
     rng = np.random.default_rng(3)

@@ -14,9 +14,11 @@
    prefix filter once more, now with the shingles that are rare in the region first; then each
    member goes to the Voronoi region of its nearest pivot, and to those whose distance exceeds that
    by no more than twice the radius (triangle inequality: a link cannot leave these windows), and
-   members farther than 1 - 2 radii from all pivots also meet in a region of their own. This is
-   repeated until regions are small. One that does not shrink, because its many members are
-   unconnected and all about as far from each other, is joined in squares of parts.
+   members farther than 1 - 2 radii from all pivots also meet in a region of their own. Where all
+   members are about as far from all pivots, as the looser members of a family of near copies are,
+   windows hold everything; there members meet by the shingles that most of the region lack
+   (``_by_new_shingles``). This is repeated until regions are small. One that does not shrink by
+   any of these is joined in squares of parts.
 4. Links, as spanning trees of each region, give the connected components.
 
 Words are runs of anything but space and ``\\t\\n\\v\\f\\r``, A-Z lower-cased; a set has the distinct
@@ -51,7 +53,8 @@ _MAX = np.iinfo(np.int64).max
 _SETS = "block long, rank int, doc_id long, n_shingles long, set_a long, set_b long, text_sha256 string"
 _KEYS = [np.uint64, np.uint16, np.uint16]
 _CANDIDATES = "node long, n long, shingles binary, regions array<long>"
-_MEMBERS = "region long, node long, n long, shingles binary"
+_PLACES = "region long, node long, part long"
+_NEW = "region long, node long, near boolean, size long, both long, center long, n long, shingles array<long>"
 _EDGES = "u long, v long"
 
 
@@ -320,14 +323,18 @@ def _distances(members: pa.Table, pivots: pa.Table) -> tuple:
 
 
 def _link_to_pivots(threshold: _Threshold):
-    """The links between members and pivots."""
+    """Edges that connect what links with pivots connect."""
 
     def run(members: pa.Table, pivots: pa.Table) -> pa.Table:
-        u, v = np.empty(0, np.int64), np.empty(0, np.int64)
+        edges = []
         if members.num_rows and pivots.num_rows:
             node, n, _, p_node, p_n, both, _ = _distances(members, pivots)
-            i, j = np.nonzero(threshold.linked(both, n[:, None], p_n[None, :]) & (node[:, None] != p_node[None, :]))
-            u, v = node[i], p_node[j]
+            linked = threshold.linked(both, n[:, None], p_n[None, :])
+            some = np.flatnonzero(linked.any(axis=1))
+            first = p_node[np.argmax(linked[some], axis=1)]
+            edges = [(u, v) for u, v in zip(node[some].tolist(), first.tolist()) if u != v]
+            edges += _spanning(p_node, linked.T.astype(np.float32) @ linked.astype(np.float32) > 0)  # pivots with a common member
+        u, v = zip(*edges) if edges else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
@@ -338,23 +345,33 @@ def _to_windows(threshold: _Threshold):
     radius, slack = threshold.radius, 1e-9
 
     def run(members: pa.Table, pivots: pa.Table) -> pa.Table:
-        out = {k: [] for k in ("region", "node", "n", "shingles")}
+        places = []
         if members.num_rows:
-            node, n, kept, p_node, _, _, distance = _distances(members, pivots)
+            node, _, _, p_node, _, _, distance = _distances(members, pivots)
             parent = members["region"][0].as_py()
             home = distance.min(axis=1) if len(p_node) else np.ones(len(node))
             for i in range(len(node)):
                 at = np.flatnonzero((distance[i] < 1) & (distance[i] <= home[i] + 2 * radius + slack))
                 names = [_name(parent, int(p_node[j])) for j in at] + ([_name(parent, -1)] if home[i] >= 1 - 2 * radius - slack else [])
-                for name in names:
-                    for k, x in zip(out, (name, int(node[i]), int(n[i]), kept[i])):
-                        out[k].append(x)
-        types = [pa.int64()] * 3 + [pa.binary()]
-        return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), types)})
+                places += [(parent, int(node[i]), name) for name in names]
+        columns = zip(*places) if places else ((), (), ())
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("region", "node", "part"), columns)})
 
     return run
 
 
+def _new_shingles(members: pa.Table, center: pa.Table) -> pa.Table:
+    """The shingles of each member that the region's center lacks; without a center, all."""
+    node, size, value, cuts = _sets_of(members) if members.num_rows else (np.empty(0, np.int64),) * 3 + (np.zeros(1, np.int64),)
+    order = np.argsort(members["node"].to_numpy(), kind="stable")
+    near = ~members["is_open"].to_numpy(zero_copy_only=False)[order]
+    own = center["center"][0].values.to_numpy().view(np.uint64) if center.num_rows else np.empty(0, np.uint64)
+    sets = [np.setdiff1d(value[a:b], own, assume_unique=True).view(np.int64) for a, b in zip(cuts, cuts[1:])]
+    n = np.array([len(x) for x in sets], dtype=np.int64)
+    columns = {"region": members["region"].to_numpy(), "node": node, "near": near, "size": size, "both": size - n, "center": np.full(len(n), len(own)), "n": n}
+    return pa.table({k: pa.array(v) for k, v in columns.items()} | {"shingles": pa.array(sets, pa.list_(pa.int64()))})
+
+
 def _name(parent: int, pivot: int) -> int:
     raw = hashlib.blake2b(f"{parent} {pivot}".encode(), digest_size=8).digest()
     return int.from_bytes(raw, "little", signed=True)
@@ -377,13 +394,17 @@ def _open_joined(marked: DataFrame, state: DataFrame, large: DataFrame, region_s
     return _small_joined(rows.withColumn("region", F.xxhash64("region", "part")), n, threshold)
 
 
+def _square_parts(region_size: int):
+    return F.ceil(F.col("size") * 2 / region_size)
+
+
 def _in_squares(members: DataFrame, sizes: DataFrame, region_size: int, threshold: _Threshold, kept) -> list[DataFrame]:
     """Links in large regions that no pivot divides: each part by itself, then every pair of parts.
 
     What a part connects by itself counts as one in the pairs, so a family of near copies is
     linked once in each part and then between parts, and not by a tree of its own in every pair.
     """
-    parts = F.ceil(F.col("size") * 2 / region_size)
+    parts = _square_parts(region_size)
     own = F.pmod(F.xxhash64("node"), F.col("parts"))
     rows = members.join(sizes, "region").withColumn("parts", parts).withColumn("own", own)
     n = sizes.agg(F.sum("size"), F.sum(F.col("size") * parts)).first()
@@ -409,21 +430,58 @@ def _unpacked(members: DataFrame) -> DataFrame:
     return members.select("region", "node", "n", "shingles").mapInArrow(run, schema).select("region", "node", "n", F.explode("shingles").alias("shingle"))
 
 
-def _by_rare_keys(large: DataFrame, threshold: _Threshold) -> DataFrame:
-    """Large regions cut by the prefix filter once more, now with the shingles that are rare in the
-    region first: members that have only a passage in common share none of those."""
-    rows = _unpacked(large)
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Shingles that several members of a region have, by their place among all n of the member, rare ones first."""
     shared = rows.groupBy("region", "shingle").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("least")).where("times > 1")
     found = rows.join(shared, ["region", "shingle"])
     own = Window.partitionBy("region", "node")
     alone = F.col("n") - F.count(F.lit(1)).over(own)  # shingles of this member only come first
-    place = alone + F.row_number().over(own.orderBy("times", "shingle"))
+    return found.withColumn("place", alone + F.row_number().over(own.orderBy("times", "shingle")))
+
+
+def _by_rare_keys(large: DataFrame, threshold: _Threshold) -> DataFrame:
+    """Large regions cut by the prefix filter once more, now with the shingles that are rare in the
+    region first: members that have only a passage in common share none of those."""
     prefix = F.col("n") - F.ceil(F.col("n") * threshold.percent / 100) + 1
-    keys = found.withColumn("place", place).where(F.col("place") <= prefix)
-    places = keys.select("region", "node", F.xxhash64("region", "least").alias("part")).distinct()
-    return places.join(large.select("region", "node", "n", "shingles"), ["region", "node"]).select(
-        F.col("part").alias("region"), "node", "n", "shingles"
-    )
+    keys = _ranked(_unpacked(large)).where(F.col("place") <= prefix)
+    return keys.select("region", "node", F.xxhash64("region", "least").alias("part")).distinct()
+
+
+def _by_new_shingles(dealt: DataFrame, all_salts, threshold: _Threshold, kept) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Large regions cut by shingles that the region's center, what most members have, lacks.
+
+    Members that are not open (near) are connected with each other. Linked sets of n and m
+    shingles have percent * (n + m) / (100 + percent) in common. If an open (far) member has fewer
+    in common with the center than a link with any set of at least ``low`` shingles asks for,
+    some of those must be new, and the prefix filter on new shingles finds these links. Returns
+    these parts, the members that this does not cover (smaller sets, and far members that
+    need not share a new shingle), and their number in each region. ``low`` leaves the fewest.
+    """
+    most = _unpacked(dealt).groupBy("region", "shingle").agg(F.count(F.lit(1)).alias("times"))
+    most = most.join(dealt.select("region", "size").distinct(), "region").where(2 * F.col("times") > F.col("size"))
+    center = kept(most.groupBy("region").agg(F.collect_list("shingle").alias("center"), F.max("size").alias("size")), "centers")
+    center = center.withColumn("salt", all_salts)
+    rows = dealt.groupBy("region", "salt").cogroup(center.groupBy("region", "salt"))
+    rows = kept(rows.applyInArrow(_new_shingles, _NEW), "new-shingles")
+
+    def implied(size):
+        return F.ceil(threshold.percent * size / (100 + threshold.percent))
+
+    def common(low):
+        return implied(F.col("size") + low) - F.col("both")
+
+    def uncovered(low):
+        return (F.col("size") < low) | (~F.col("near") & (common(low) < 1))
+
+    lows = [F.col("center") - F.floor(F.col("center") / k) for k in (1 << 30, 64, 32, 16, 8, 4)]
+    counts = [F.struct(F.sum(uncovered(low).cast("long")).alias("open"), F.max(low).alias("low")) for low in lows]
+    best = kept(rows.groupBy("region").agg(F.array_min(F.array(*counts)).alias("best")).select("region", "best.*"), "uncovered")
+    rows = rows.join(best, "region").withColumn("is_open", uncovered(F.col("low")))
+    least = F.greatest(F.lit(1), common(F.col("low")))
+    keys = rows.where("not is_open").select("region", "node", "near", "n", (F.col("n") - least + 1).alias("prefix"), F.explode("shingles").alias("shingle"))
+    keys = _ranked(keys).where("place <= prefix").select("region", "node", "near", F.xxhash64("region", "shingle").alias("part"))
+    useful = keys.groupBy("part").agg(F.count(F.lit(1)).alias("size"), F.min("near").alias("all_near")).where("size > 1 and not all_near")
+    return keys.join(useful.select("part"), "part").select("region", "node", "part"), rows.where("is_open").select("region", "node"), best.select("region", "open")
 
 
 def _total(sizes: DataFrame, wanted) -> int:
@@ -447,17 +505,19 @@ def _links(candidates: DataFrame, region_size: int, threshold: _Threshold, scrat
     places = candidates.select("node", "n", "shingles", F.explode("regions").alias("region"))
     edges = [_small_joined(places.join(crowded, "region", "left_anti"), _total(sizes, small), threshold)]
     large = kept(places.join(crowded, "region"), "large-regions")
-    to_pivots: list[DataFrame] = []
+    tree = None
     level = 0
     while large.head(1):
         # 1. what is linked with the same pivots, or with others that are, is connected already
         chance = F.pmod(F.xxhash64("node", "region", F.lit(level)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         salts = F.ceil(F.col("size") / MEMBERS_PER_TASK)
+        salt, all_salts = F.pmod(F.xxhash64("node"), salts), F.explode(F.sequence(F.lit(0), salts - 1))
         chosen = kept(large.where(chance < F.lit(float(PIVOTS)) / F.col("size")), "pivots")
-        pivots = chosen.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).groupBy("region", "salt")
-        dealt = large.withColumn("salt", F.pmod(F.xxhash64("node"), salts))
-        to_pivots.append(kept(dealt.groupBy("region", "salt").cogroup(pivots).applyInArrow(_link_to_pivots(threshold), _EDGES), "pivot-links"))
-        tree = roots(reduce(DataFrame.unionByName, to_pivots))
+        pivots, dealt = chosen.withColumn("salt", all_salts), large.withColumn("salt", salt)
+        to_pivots = dealt.groupBy("region", "salt").cogroup(pivots.groupBy("region", "salt"))
+        to_pivots = kept(to_pivots.applyInArrow(_link_to_pivots(threshold), _EDGES), "pivot-links")
+        tree = roots(to_pivots if tree is None else to_pivots.unionByName(tree))
+        scratch.append(tree)
         part = large.join(tree, large["node"] == tree["u"], "left").withColumn("part", F.coalesce("v", "node"))
         counts = part.groupBy("region", "part").agg(F.count(F.lit(1)).alias("c"), F.max("size").alias("size"))
         state = counts.groupBy("region").agg(F.max_by("part", F.struct("c", "part")).alias("main"), (F.max("size") - F.max("c")).alias("open"))
@@ -467,28 +527,42 @@ def _links(candidates: DataFrame, region_size: int, threshold: _Threshold, scrat
         # 2. a few members that are not connected yet meet all others, a part of them at a time
         few = F.col("open") <= region_size
         edges.append(_open_joined(marked.where(few), state.where(few), large, region_size, threshold))
-        # 3. regions in which nothing holds together are cut by rare shingles, then by pivots
-        rest = kept(marked.where(~few).drop("open", "is_open", "root"), "large-regions")
+        # 3. regions in which too little holds together are cut
+        rest = kept(marked.where(~few).drop("open"), "large-regions")
         if not rest.head(1):
             break
+        dealt = rest.withColumn("salt", salt)
+
+        squares = rest.select("region", "size").distinct()
+        most = squares.agg(F.sum(F.col("size") ** 2), F.sum(F.col("size") * _square_parts(region_size))).first()
+
+        def cut(places):
+            """Parts, their sizes, and whether they are worth it: fewer pairs in large ones, no more rows than in squares."""
+            places = kept(places, "cut-regions")
+            now = kept(_sizes(places.select(F.col("part").alias("region"))).where("size > 1"), "sizes")
+            pairs, n = now.agg(F.sum(F.when(big, F.col("size") ** 2)), F.sum("size")).first()
+            return places, now, 2 * (pairs or 0) <= most[0] and (n or 0) <= most[1]
+
         if level == 0:
-            cut = _by_rare_keys(rest, threshold)
+            places, now, _ = cut(_by_rare_keys(rest, threshold))
         else:
-            again = chosen.join(rest.select("region").distinct(), "region", "left_semi")
-            pivots = again.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).groupBy("region", "salt")
-            dealt = rest.withColumn("salt", F.pmod(F.xxhash64("node"), salts))
-            cut = dealt.groupBy("region", "salt").cogroup(pivots).applyInArrow(_to_windows(threshold), _MEMBERS)
-        cut = kept(cut, "cut-regions")
-        now = kept(_sizes(cut).where("size > 1"), "sizes")
-        members = cut.join(now, "region")
+            again = pivots.join(rest.select("region").distinct(), "region", "left_semi")
+            windows = dealt.groupBy("region", "salt").cogroup(again.groupBy("region", "salt"))
+            places, now, divided = cut(windows.applyInArrow(_to_windows(threshold), _PLACES))
+            if not divided:
+                places, uncovered, state = _by_new_shingles(dealt, all_salts, threshold, kept)
+                places, now, divided = cut(places)
+                if not divided or state.where(F.col("open") > region_size).head(1):
+                    edges += _in_squares(rest.drop("size", "is_open", "root"), squares, region_size, threshold, kept)
+                    break
+                uncovered = uncovered.withColumn("uncovered", F.lit(True))
+                marked = rest.drop("is_open").join(uncovered, ["region", "node"], "left").withColumn("is_open", F.coalesce("uncovered", F.lit(False))).drop("uncovered")
+                edges.append(_open_joined(marked, state, rest, region_size, threshold))
+        members = places.join(rest.drop("size", "is_open"), ["region", "node"]).drop("region").withColumnRenamed("part", "region").join(now, "region")
         edges.append(_small_joined(members.where(small), _total(now, small), threshold))
-        large = kept(members.where(big), "large-regions")
-        before, after = (x.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for x in (rest, large))
-        if level and 2 * after > before:  # the sum of squared sizes does not fall: pivots do not divide these
-            edges += _in_squares(large.drop("size"), now.where(big), region_size, threshold, kept)
-            break
+        large = kept(members.where(big).drop("root"), "large-regions")
         level += 1
-    return reduce(DataFrame.unionByName, [*edges, *to_pivots])
+    return reduce(DataFrame.unionByName, edges if tree is None else [*edges, tree])
 
 
 def similar_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, region_size: int = REGION, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -78,6 +78,34 @@ def test_similar_families(docs_of, monkeypatch, region, pivots):
     assert kept.count() == kept.select("component_id").distinct().count() == len({w[2] for w in want if w[1]})
 
 
+def loose_family(seed, n, least, edits):
+    """Variants of one text that are all about as far from each other: words replaced, left out or added, and some cut short."""
+    base, r = prose(seed, 120).split(), random.Random(seed)
+    for k in range(n):
+        words = list(base)
+        for _ in range(r.randint(least, edits)):
+            at, new = r.randrange(len(words)), f"w{r.choice([k, r.randrange(3)])}x{r.randrange(1000)}"
+            words[at : at + 1] = r.choice([[new], [new], [], [words[at], new]])
+        yield " ".join(words[: r.choice([120] * 9 + [100])])
+
+
+@pytest.mark.parametrize("region, least", [(40, 1), (40, 4), (10, 1)])
+def test_similar_loose_family(docs_of, monkeypatch, region, least):
+    counts, squares, cuts = [], [], []
+    for name, calls in (("_in_squares", squares), ("_by_new_shingles", cuts)):
+        plain = getattr(jaccard_join, name)
+        monkeypatch.setattr(jaccard_join, name, lambda *a, f=plain, c=calls: c.append(1) or f(*a))
+    plain_roots = jaccard_join.roots
+    monkeypatch.setattr(jaccard_join, "roots", lambda edges: counts.append(edges.count()) or plain_roots(edges))
+    rows = [(500 - i, t) for i, t in enumerate(loose_family(7 + least, 120, least, 8))]
+    got = jaccard_join.similar_groups(docs_of(rows), region_size=region)
+    assert sorted_rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.similar_groups(rows), key=str)
+    if region == 40:
+        assert max(counts) <= 5 * len(rows)  # not one for each pair of members, or of members and pivots
+    if region == 40 and least == 1:
+        assert cuts and not squares
+
+
 def test_similarity_at_the_threshold(docs_of):
     word = [f"w{i}" for i in range(60)]
     full = " ".join(word[:16])  # 12 shingles
